@@ -89,8 +89,8 @@ def _first_lines(lines: str, clean: str) -> str:
     return f"""
   SELECT *, CAST(item_qty_d AS BIGINT) items_sold, item_qty_d * item_unit_price_d gross_revenue_eur
   FROM ({_kept(lines, clean)})
-  QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY created_at, pos, channel, customer_id,
-                             item_qty, item_sku, item_unit_price) = 1"""
+  QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY created_at, pos, customer_id, channel,
+                             item_qty_d, item_unit_price_d) = 1"""
 
 
 # one whole order per order_id: its first record, taken by the same ties as in Spark
@@ -205,7 +205,7 @@ SELECT {HEAD}, item_qty, item_sku, item_unit_price, item_qty_d, item_unit_price_
 FROM (SELECT *, {TEXT_CLEAN} FROM ({EXPLODED}) WHERE payment_status = 'paid') WHERE item_unit_price_d < 0""",
     "kept_lines": f"SELECT {LINE_COLUMNS}, item_qty_d, item_unit_price_d FROM ({_kept(LINES, NATIVE_CLEAN)})",
     "paid_orders": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'",
-    "explode_nested": EXPLODED,
+    "explode_items": EXPLODED,
     "explode_keep_empty": f"{EXPLODED} UNION ALL {EMPTY}",
     "dedup_first": """
 SELECT * EXCLUDE (l_tax, l_linestatus) FROM lineitem
@@ -223,12 +223,12 @@ FROM orders JOIN ({CUSTOMERS}) ON CAST(o_custkey AS VARCHAR) = customer_id WHERE
     "refund_join": f"""
 SELECT CAST(o_orderkey AS VARCHAR) order_id, o_totalprice, coalesce(refunds_eur, 0.0) refunds_eur
 FROM orders LEFT JOIN ({REFUNDS_SUM}) ON order_id = CAST(o_orderkey AS VARCHAR)""",
-    "clean_numbers": f"SELECT event_id, {_number('value')} AS value FROM ({DIRTY})",
+    "safe_double": f"SELECT event_id, {_number('value')} AS value FROM ({DIRTY})",
     "bad_counts": f"""
 SELECT event_type, CAST(sum({_bad('value')}) AS BIGINT) value_non_numeric FROM ({DIRTY}) GROUP BY event_type""",
     "bool_norm": f"SELECT customer_id, is_active FROM ({CUSTOMERS})",
     "order_date": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') order_date FROM orders",
-    "order_date_key": "SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') date_key FROM orders",
+    "date_key": "SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') date_key FROM orders",
     "left_join": """
 SELECT o_orderkey, o_custkey, n_lines
 FROM orders LEFT JOIN (SELECT l_orderkey, count(*) n_lines FROM lineitem GROUP BY l_orderkey) ON o_orderkey = l_orderkey""",
@@ -242,8 +242,8 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice,
     "city_revenue": """
 SELECT n_name city, round(sum(o_totalprice), 2) total_revenue
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""",
-    "local_table": """
-SELECT payment_status, count(*) orders
+    "local_sales": """
+SELECT payment_status, round(sum(o_totalprice), 2) total_revenue
 FROM orders JOIN (VALUES ('F', 'paid'), ('P', 'pending'), ('O', 'failed')) t(status, payment_status)
   ON o_orderstatus = status GROUP BY payment_status""",
     "filter_gt": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity > 6",
@@ -265,11 +265,11 @@ SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice DESC,
 SELECT c_custkey, c_mktsegment, row_number() OVER (ORDER BY c_mktsegment, c_custkey) AS position FROM customer""",
     "top_words": f"{WORDS} ORDER BY count DESC, word LIMIT 20",
     "union_all": "SELECT c_custkey AS key FROM customer UNION ALL SELECT s_suppkey FROM supplier",
-    "intersect_keys": "SELECT o_custkey AS key FROM orders INTERSECT SELECT l_suppkey FROM lineitem",
+    "intersect": "SELECT o_custkey AS key FROM orders INTERSECT SELECT l_suppkey FROM lineitem",
     "word_count_df": WORDS,
     "word_count_rdd": _raw_words("documents"),
     "word_pairs": _raw_words("conversations"),
-    "reconcile_refunds": f"""
+    "reconcile": f"""
 WITH a AS ({REFUNDS_SUM}), b AS ({ALTERED})
 SELECT order_id, refunds_eur, 'left' side, count(*) copies FROM (FROM a EXCEPT ALL FROM b) GROUP BY ALL
 UNION ALL
@@ -284,7 +284,7 @@ SELECT order_id, refunds_eur, 'right' side, count(*) copies FROM (FROM b EXCEPT
 SELECT *, replace(date, '-', '') date_key FROM daily WHERE date BETWEEN '1997-01-01' AND '1997-12-31'""",
     "sink_table": STAR_DAILY,
     "sink_table_fallback": STAR_DAILY,
-    "metrics_row": COUNTERS,
+    "run_metrics": COUNTERS,
     "job_daily": SHIPMENTS_DAILY,
     "run_report": COUNTERS.replace("SELECT (SELECT count(*) FROM cust)", "SELECT 'OK' status, (SELECT count(*) FROM cust)"),
 }

@@ -16,6 +16,7 @@ from salesflow.operators import (
     explode_items,
     group_values,
     intersect,
+    join_dimension,
     keep_first,
     number_sorted,
     reconcile,
@@ -44,6 +45,7 @@ from salesflow.sources import (
 from salesflow.staging import scratch_path, stage
 
 QUERIES = {}
+PAID_CODE = "F"  # the sales plan looks at paid orders only, so only these are read
 
 DAILY_SCHEMA = (
     "date string, city string, channel string, orders_count long, unique_customers long, "
@@ -52,7 +54,8 @@ DAILY_SCHEMA = (
 
 
 def query(function):
-    QUERIES[function.__name__] = function
+    """Register under the function's name; a final underscore keeps it apart from an operator."""
+    QUERIES[function.__name__.rstrip("_")] = function
     return function
 
 
@@ -68,7 +71,7 @@ def star_sales(spark: SparkSession, sf_dir: str, options: SalesOptions = SalesOp
     return sales_from_lines(
         star.customers(spark, sf_dir),
         star.refunds(spark, sf_dir),
-        star.order_lines(spark, sf_dir),
+        star.order_lines(spark, sf_dir, PAID_CODE),
         options,
     )
 
@@ -77,7 +80,7 @@ def nested_sales(spark: SparkSession, sf_dir: str, options: SalesOptions = Sales
     return build_daily_sales(
         star.customers(spark, sf_dir),
         clean_refunds(star.raw_shipment_refunds(spark, sf_dir)),
-        star.nested_orders(spark, sf_dir),
+        star.nested_orders(spark, sf_dir, PAID_CODE),
         options,
     )
 
@@ -134,7 +137,7 @@ def paid_orders(spark, sf_dir):
 
 
 @query
-def explode_nested(spark, sf_dir):
+def explode_items_(spark, sf_dir):
     return explode_items(star.nested_orders(spark, sf_dir))
 
 
@@ -151,7 +154,7 @@ def dedup_first(spark, sf_dir):
 
 @query
 def per_order(spark, sf_dir):
-    kept, _ = sales.split_lines(sales.paid_orders(star.order_lines(spark, sf_dir)))
+    kept, _ = sales.split_lines(sales.paid_orders(star.order_lines(spark, sf_dir, PAID_CODE)))
     return rounded(sales.per_order(kept), "gross_revenue_eur")
 
 
@@ -196,7 +199,7 @@ def _dirty_values(spark, sf_dir):
 
 
 @query
-def clean_numbers(spark, sf_dir):
+def safe_double_(spark, sf_dir):
     return _dirty_values(spark, sf_dir).select("event_id", safe_double("value").alias("value"))
 
 
@@ -218,7 +221,7 @@ def order_date(spark, sf_dir):
 
 
 @query
-def order_date_key(spark, sf_dir):
+def date_key_(spark, sf_dir):
     text = star.created_at("o_orderdate", "o_orderkey")
     return star.table(spark, sf_dir, "orders").select(
         "o_orderkey", date_key(parse_date(text)).alias("date_key")
@@ -232,14 +235,14 @@ def order_date_key(spark, sf_dir):
 def left_join(spark, sf_dir):
     lines = star.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n_lines"))
     orders = star.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").drop("l_orderkey")
+    return join_dimension(orders, lines, "o_orderkey", "l_orderkey", "left").drop("l_orderkey")
 
 
 def _orders_and_debtors(spark, sf_dir, how):
     """Orders that are still open and customers in debt: both sides have rows without a match."""
     orders = star.table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'")
     debtors = star.table(spark, sf_dir, "customer").filter("c_acctbal < 0")
-    return orders.join(debtors, orders.o_custkey == debtors.c_custkey, how).select(
+    return join_dimension(orders, debtors, "o_custkey", "c_custkey", how).select(
         "o_orderkey", "o_custkey", "c_custkey", "c_name", "c_acctbal"
     )
 
@@ -294,12 +297,16 @@ def city_revenue(spark, sf_dir):
 
 
 @query
-def local_table(spark, sf_dir):
+def local_sales(spark, sf_dir):
     names = spark.createDataFrame(
         [("F", "paid"), ("P", "pending"), ("O", "failed")], ["status", "payment_status"]
     )
-    per_status = star.table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(F.count("*").alias("orders"))
-    return per_status.join(names, F.col("o_orderstatus") == F.col("status")).select("payment_status", "orders")
+    revenue = star.table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(
+        F.expr("round(sum(o_totalprice), 2) as total_revenue")
+    )
+    return revenue.join(names, F.col("o_orderstatus") == F.col("status")).select(
+        "payment_status", "total_revenue"
+    )
 
 
 @query
@@ -402,7 +409,7 @@ def union_all(spark, sf_dir):
 
 
 @query
-def intersect_keys(spark, sf_dir):
+def intersect_(spark, sf_dir):
     buyers = star.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"))
     suppliers = star.table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("key"))
     return intersect(buyers, suppliers)
@@ -426,7 +433,7 @@ def word_pairs(spark, sf_dir):
 
 
 @query
-def reconcile_refunds(spark, sf_dir):
+def reconcile_(spark, sf_dir):
     exact = sales.refunds_per_order(star.refunds(spark, sf_dir))
     altered = exact.withColumn(
         "refunds_eur",
@@ -519,7 +526,7 @@ def sink_table_fallback(spark, sf_dir):
 
 
 @query
-def metrics_row(spark, sf_dir):
+def run_metrics_(spark, sf_dir):
     customers = star.raw_customers(spark, sf_dir)
     refunds = star.raw_shipment_refunds(spark, sf_dir)
     per_order = stage(nested_sales(spark, sf_dir).per_order, "per_order")

@@ -3,6 +3,7 @@
 from .compare import reconcile
 from .dedup import keep_first
 from .groups import group_values
+from .join import join_dimension
 from .nested import explode_items
 from .order import number_sorted, top_k
 from .route import route_rejects
@@ -13,6 +14,7 @@ __all__ = [
     "explode_items",
     "group_values",
     "intersect",
+    "join_dimension",
     "keep_first",
     "number_sorted",
     "reconcile",

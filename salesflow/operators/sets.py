@@ -1,9 +1,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def intersect(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows found on both sides, once each. Both sides lose their copies before the join,
-    inside each task first, so a value with very many copies does not skew the shuffle."""
-    return left.distinct().intersect(right.distinct())
+    """Rows found on both sides, once each. Both sides are counted together in one aggregation,
+    which drops copies inside each task before the only shuffle; a join would first have to
+    bring all copies of a value together."""
+    if left.columns != right.columns:
+        raise ValueError(f"different columns: {left.columns} and {right.columns}")
+    in_left = left.select("*", F.lit(True).alias("_left"), F.lit(False).alias("_right"))
+    in_right = right.select("*", F.lit(False).alias("_left"), F.lit(True).alias("_right"))
+    return (
+        in_left.union(in_right)
+        .groupBy(*left.columns)
+        .agg(F.bool_or("_left").alias("_left"), F.bool_or("_right").alias("_right"))
+        .filter("_left and _right")
+        .select(*left.columns)
+    )

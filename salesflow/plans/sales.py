@@ -98,8 +98,10 @@ def per_order(lines: DataFrame) -> DataFrame:
 
 def first_line_per_order(lines: DataFrame) -> DataFrame:
     """The same columns from each order's first line. One line per order is left, so there is
-    nothing to sum and no second aggregation."""
-    return keep_first(lines, ["order_id"], ["created_at", "pos"]).select(
+    nothing to sum and no second aggregation. Only the columns of the result are compared and
+    shuffled: lines that tie on all of them give the same result."""
+    needed = lines.select(*ORDER_KEYS, "pos", "item_qty_d", "item_unit_price_d")
+    return keep_first(needed, ["order_id"], ["created_at", "pos"]).select(
         *ORDER_KEYS,
         F.col("item_qty_d").cast("long").alias("items_sold"),
         _line_gross().alias("gross_revenue_eur"),

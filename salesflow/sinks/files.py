@@ -61,12 +61,16 @@ def write_partitioned_csv(
     float_format: str | None = "%.2f",
 ) -> None:
     """One folder ``date_key=YYYYMMDD`` per date, all dates in one job. The rows keep their
-    date column. Rows are gathered by date; a date that is too large for one task is split
-    over several files (Spark's rebalance), every one of them sorted."""
-    out = df.withColumn("date_key", date_key(date)).hint("rebalance", F.col("date_key"))
+    date column. Rows are spread by ranges of (date, sort_by, other columns): tasks write
+    different dates side by side, and a date too large for one task is cut by the other
+    columns into several files, every one of them sorted."""
+    out = df.withColumn("date_key", date_key(date))
+    keys = ["date_key", *sort_by]
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = out.repartitionByRange(tasks, *keys, *[c for c in df.columns if c not in keys])
     (
         format_numbers(out, float_format)
-        .sortWithinPartitions("date_key", *sort_by)
+        .sortWithinPartitions(*keys)
         .write.mode("overwrite")
         .option("header", True)
         .option("sep", sep)

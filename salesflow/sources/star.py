@@ -13,8 +13,25 @@ from pyspark.sql import functions as F
 from salesflow.sources.files import clean_customers, clean_refunds
 
 
+# declared, so that opening a table starts no job to read file footers
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,12 +92,18 @@ def _order_columns():
     }
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _orders(spark: SparkSession, sf_dir: str, status: str | None) -> DataFrame:
+    """Orders, or only those with one status code, which the parquet reader then skips by."""
+    orders = table(spark, sf_dir, "orders")
+    return orders if status is None else orders.filter(F.col("o_orderstatus") == status)
+
+
+def order_lines(spark: SparkSession, sf_dir: str, status: str | None = None) -> DataFrame:
     # every 50th order is delivered twice; made row by row, so orders are read only once
     deliveries = F.when(F.col("o_orderkey") % 50 == 0, F.array(F.lit(1), F.lit(2))).otherwise(
         F.array(F.lit(1))
     )
-    orders = table(spark, sf_dir, "orders").withColumn("delivery", F.explode(deliveries))
+    orders = _orders(spark, sf_dir, status).withColumn("delivery", F.explode(deliveries))
     lines = table(spark, sf_dir, "lineitem")
     price = F.col("l_extendedprice")
     return orders.join(lines, orders.o_orderkey == lines.l_orderkey).select(
@@ -98,7 +121,7 @@ def shipment_id():
     return F.concat_ws("-", "l_orderkey", "l_linenumber")
 
 
-def nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def nested_orders(spark: SparkSession, sf_dir: str, status: str | None = None) -> DataFrame:
     """Each line item as an order of its own, ``items`` = the goods and a handling fee. The
     arrays come from single rows, so no group is ever gathered to build them."""
     price = F.col("l_extendedprice")
@@ -122,7 +145,7 @@ def nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linenumber") == 7, F.array().cast("array<struct<qty:string,sku:string,unit_price:string>>")
     )
     columns = _order_columns()
-    orders = table(spark, sf_dir, "orders")
+    orders = _orders(spark, sf_dir, status)
     lines = table(spark, sf_dir, "lineitem")
     return orders.join(lines, orders.o_orderkey == lines.l_orderkey).select(
         columns["channel"].alias("channel"),
