@@ -31,17 +31,16 @@ def group_values(
     ).withColumn("copies", F.least(F.lit(max_values), F.col("copies") - F.col("piece") * max_values))
     spread = F.xxhash64("value") if spread is None else spread
     # No broadcast hint: Spark measures ``large`` at run time, broadcasts it when it is small
-    # and otherwise splits the skewed side of the join.
+    # and otherwise splits the skewed side of the join. The explicit repartition lets it do so:
+    # without it the groups would be built on the partitions of the join, all of a key in one.
     chunk = F.pmod(F.pmod(spread, F.col("chunks")) + F.col("piece"), F.col("chunks"))
+    chunked = pieces.join(large, F.col("key").eqNullSafe(F.col("large_key")), "left").select(
+        "key", F.coalesce(chunk, F.lit(0)).cast("long").alias("chunk"), "value", "copies"
+    )
+    copy = lambda run: F.array_repeat(run["value"], run["copies"].cast("int"))
     return (
-        pieces.join(large, F.col("key").eqNullSafe(F.col("large_key")), "left")
-        .groupBy("key", F.coalesce(chunk, F.lit(0)).cast("long").alias("chunk"))
+        chunked.repartition("key", "chunk")
+        .groupBy("key", "chunk")
         .agg(F.sort_array(F.collect_list(F.struct("value", "copies"))).alias("runs"))
-        .select(
-            "key",
-            "chunk",
-            F.flatten(
-                F.transform("runs", lambda run: F.array_repeat(run["value"], run["copies"].cast("int")))
-            ).alias("values"),
-        )
+        .select("key", "chunk", F.flatten(F.transform("runs", copy)).alias("values"))
     )

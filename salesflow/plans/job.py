@@ -13,7 +13,7 @@ from salesflow.plans import metrics, sales
 from salesflow.plans.sales import SalesOptions
 from salesflow.sinks import save_table, write_csv, write_lines, write_partitioned_csv
 from salesflow.sources import clean_refunds, read_customers, read_orders, read_refunds
-from salesflow.staging import stage
+from salesflow.staging import staging
 
 
 def run_sales_job(
@@ -32,62 +32,53 @@ def run_sales_job(
 ) -> DataFrame:
     """Run everything and return the one-row report, which is also written as JSON.
 
-    Text input is parsed once and staged as parquet, and the per-order table is staged after
-    the large shuffles, so counters, rejects and both result tables never start over from the
-    JSON files. The daily table is small and read by several sinks, so it is persisted.
+    The order files are parsed once and staged as parquet, and the per-order table is staged
+    after the large shuffles, so counters, rejects and both result tables never start over from
+    the JSON files. The daily table is small and read by several sinks, so it is persisted.
 
-    Output folders: db/orders_clean, db/daily_city_sales (only without ``jdbc``),
+    Output folders: db/orders_clean and db/daily_city_sales (unless written over JDBC),
     out/daily_summary (by date), out/daily_summary_all, rejects/rejects_items, logs/run_report,
     logs/orders_files."""
     started, clock = datetime.now(UTC), time.monotonic()
+    csv = {"sep": sep, "float_format": float_format}
     customers = read_customers(spark, customers_path, infer=infer)
     raw_refunds = read_refunds(spark, refunds_path, infer=infer, raw=True)
     source = read_orders(spark, orders_path, infer=infer, multiline=multiline)
     order_files = sorted(source.inputFiles())
-    orders = stage(source, "orders")
 
-    tables = sales.build_daily_sales(customers, clean_refunds(raw_refunds), orders, options)
-    per_order = stage(tables.per_order, "per_order")
-    orders_clean, daily = sales.tables_from_totals(customers, per_order, options)
-    daily = daily.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        input_counts = metrics.run_metrics(
+    with staging(spark, "job") as stage:
+        orders = stage(source, "orders")
+        tables = sales.build_daily_sales(customers, clean_refunds(raw_refunds), orders, options)
+        per_order = stage(tables.per_order, "per_order")
+        orders_clean, daily = sales.tables_from_totals(customers, per_order, options)
+        daily = daily.persist(StorageLevel.MEMORY_AND_DISK)
+        counts = metrics.run_metrics(
             metrics.customer_counts(customers),
             metrics.refund_counts(raw_refunds),
             metrics.order_counts(orders),
+            metrics.row_count(orders_clean, "orders_clean_rows"),
+            metrics.row_count(daily, "daily_city_sales_rows"),
         ).first()
-        if input_counts["rejected_negative_price_rows"]:
-            write_csv(
-                tables.rejects, f"{output_dir}/rejects/rejects_items", sep=sep, float_format=None
-            )
+
+        if counts["rejected_negative_price_rows"]:
+            write_csv(tables.rejects, f"{output_dir}/rejects/rejects_items", sep=sep, float_format=None)
         formats = [
-            _save(df, name, output_dir, jdbc, sep, float_format)
+            _save(df, name, f"{output_dir}/db/{name}", jdbc, csv)
             for df, name in ((orders_clean, "orders_clean"), (daily, "daily_city_sales"))
         ]
         write_csv(
             daily,
             f"{output_dir}/out/daily_summary_all",
-            sep=sep,
             sort_by=["date", "city", "channel"],
-            float_format=float_format,
             single_file=True,
+            **csv,
         )
         write_partitioned_csv(
-            daily,
-            f"{output_dir}/out/daily_summary",
-            sort_by=["city", "channel"],
-            sep=sep,
-            float_format=float_format,
+            daily, f"{output_dir}/out/daily_summary", sort_by=["city", "channel"], **csv
         )
-        output_counts = metrics.run_metrics(
-            metrics.row_count(orders_clean, "orders_clean_rows"),
-            metrics.row_count(daily, "daily_city_sales_rows"),
-        ).first()
-    finally:
         daily.unpersist()
 
-    counts = input_counts.asDict() | output_counts.asDict()
-    row = spark.range(1).select(
+    report = spark.range(0, 1, 1, 1).select(
         F.lit("OK").alias("status"),
         F.lit(started.isoformat()).alias("started_at"),
         F.lit(datetime.now(UTC).isoformat()).alias("finished_at"),
@@ -98,15 +89,14 @@ def run_sales_job(
         F.lit(formats == ["jdbc", "jdbc"]).alias("jdbc_written"),
         F.lit(output_dir).alias("output_dir"),
     )
-    row.write.mode("overwrite").json(f"{output_dir}/logs/run_report")
+    report.write.mode("overwrite").json(f"{output_dir}/logs/run_report")
     files = spark.createDataFrame([(f,) for f in order_files], "value string")
     write_lines(files, f"{output_dir}/logs/orders_files")
-    return row
+    return report
 
 
-def _save(df, name, output_dir, jdbc, sep, float_format) -> str:
-    path = f"{output_dir}/db/{name}"
+def _save(df: DataFrame, name: str, path: str, jdbc: dict[str, str] | None, csv: dict) -> str:
     if jdbc:
         return save_table(df, name, format="jdbc", fallback_format="csv", fallback_path=path, **jdbc)
-    write_csv(df, path, sep=sep, float_format=float_format)
+    write_csv(df, path, **csv)
     return "csv"

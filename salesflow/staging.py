@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,10 +26,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/salesflow/{label}-{uuid.uuid4().hex}"
 
 
+def _write_and_read(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as parquet and read it back: later steps start from the files, neither
-    repeating the work before them nor depending on executors that may be lost."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    repeating the work before them nor depending on executors that may be lost. The files stay,
+    as the returned table is read later."""
+    return _write_and_read(df, scratch_path(df.sparkSession, label))
+
+
+@contextmanager
+def staging(spark: SparkSession, label: str) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """``stage`` for the length of a with block; the files are deleted at its end."""
+    folder = scratch_path(spark, label)
+    try:
+        yield lambda df, name: _write_and_read(df, f"{folder}/{name}")
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
