@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesflow.functions import parse_date, safe_double
@@ -88,11 +88,16 @@ def _line_gross():
     return F.col("item_qty_d") * F.col("item_unit_price_d")
 
 
-def per_order(lines: DataFrame) -> DataFrame:
+def _sum_money(amount: Column, money: str) -> Column:
+    """A sum as double; exact in between if money is "decimal"."""
+    return F.sum(amount.cast("decimal(38,6)") if money == "decimal" else amount).cast("double")
+
+
+def per_order(lines: DataFrame, money: str = "double") -> DataFrame:
     """Items and gross revenue per order, summed over all its lines."""
     return lines.groupBy(*ORDER_KEYS).agg(
         F.sum("item_qty_d").cast("long").alias("items_sold"),
-        F.sum(_line_gross()).alias("gross_revenue_eur"),
+        _sum_money(_line_gross(), money).alias("gross_revenue_eur"),
     )
 
 
@@ -108,14 +113,15 @@ def first_line_per_order(lines: DataFrame) -> DataFrame:
     )
 
 
-def refunds_per_order(refunds: DataFrame) -> DataFrame:
-    return refunds.groupBy("order_id").agg(F.sum("amount").alias("refunds_eur"))
+def refunds_per_order(refunds: DataFrame, money: str = "double") -> DataFrame:
+    total = _sum_money(F.col("amount"), money)
+    return refunds.groupBy("order_id").agg(total.alias("refunds_eur"))
 
 
-def with_refunds(orders: DataFrame, refunds: DataFrame) -> DataFrame:
+def with_refunds(orders: DataFrame, refunds: DataFrame, money: str = "double") -> DataFrame:
     """Add the refunds of each order, 0.0 where there are none. Refunds of other orders are
     dropped. Both sides are already grouped by order_id, so the join itself shuffles nothing."""
-    return orders.join(refunds_per_order(refunds), "order_id", "left").withColumn(
+    return orders.join(refunds_per_order(refunds, money), "order_id", "left").withColumn(
         "refunds_eur", F.coalesce("refunds_eur", F.lit(0.0))
     )
 
@@ -213,7 +219,7 @@ def build_daily_sales(
     else:
         first = keep_first(paid, ["order_id"], ["created_at"])
         kept, _ = split_lines(explode_items(first, keep_empty=options.keep_empty))
-        totals = per_order(kept)
+        totals = per_order(kept, options.money)
     return _tables(customers, refunds, totals, kept, rejects, options)
 
 
@@ -229,6 +235,6 @@ def tables_from_totals(
 
 
 def _tables(customers, refunds, totals, kept, rejects, options) -> SalesTables:
-    orders = with_refunds(totals, refunds)
+    orders = with_refunds(totals, refunds, options.money)
     clean, daily = tables_from_totals(customers, orders, options)
     return SalesTables(kept, rejects.drop("pos"), orders, clean, daily)

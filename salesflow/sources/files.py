@@ -22,14 +22,11 @@ def _load(reader, method: str, path: Paths) -> DataFrame:
     return df
 
 
-def _read_csv(spark: SparkSession, path: Paths, schema: str, infer: bool, sep: str) -> DataFrame:
-    reader = spark.read.option("header", True).option("sep", sep)
-    if infer:
-        reader = reader.option("inferSchema", True)
-    else:
-        # columns are matched by header name, so extra columns or another order do no harm
-        reader = reader.schema(schema).option("enforceSchema", False)
-    return _load(reader, "csv", path)
+def _read_csv(spark: SparkSession, path: Paths, infer: bool, sep: str) -> DataFrame:
+    """All columns of the header, as text unless inferred. Only the first line of one file is
+    read for that; files whose header differs are an error instead of being read askew."""
+    reader = spark.read.option("header", True).option("sep", sep).option("enforceSchema", False)
+    return _load(reader.option("inferSchema", infer), "csv", path)
 
 
 def clean_customers(df: DataFrame, trim: bool = False) -> DataFrame:
@@ -57,7 +54,7 @@ def clean_refunds(df: DataFrame) -> DataFrame:
 def read_customers(
     spark: SparkSession, path: Paths, *, infer: bool = False, sep: str = ",", raw: bool = False
 ) -> DataFrame:
-    df = _read_csv(spark, path, schemas.CUSTOMERS, infer, sep)
+    df = _read_csv(spark, path, infer, sep)
     return df if raw else clean_customers(df)
 
 
@@ -65,21 +62,27 @@ def read_refunds(
     spark: SparkSession, path: Paths, *, infer: bool = False, sep: str = ",", raw: bool = False
 ) -> DataFrame:
     """``raw=True`` keeps the amount text, for counting bad amounts."""
-    df = _read_csv(spark, path, schemas.REFUNDS, infer, sep)
+    df = _read_csv(spark, path, infer, sep)
     return df if raw else clean_refunds(df)
 
 
 def read_orders(
-    spark: SparkSession, path: Paths, *, infer: bool = False, multiline: bool = True
+    spark: SparkSession,
+    path: Paths,
+    *,
+    schema: str = schemas.ORDERS,
+    infer: bool = False,
+    multiline: bool = True,
 ) -> DataFrame:
     """Nested orders from JSON. ``path`` may hold globs (``orders_2025-03-*.json``).
 
     multiline=True reads files that hold one array of orders; such a file is read by one task.
     multiline=False reads one order per line and splits large files over many tasks.
-    infer=True takes the types found in the data, at the price of one more pass."""
+    Fields outside ``schema`` are not read; infer=True takes all fields and types found in the
+    data, at the price of one more pass."""
     reader = spark.read.option("multiLine", multiline).option("mode", "PERMISSIVE")
     if not infer:
-        reader = reader.schema(schemas.ORDERS)
+        reader = reader.schema(schema)
     df = _load(reader, "json", path)
     if not df.inputFiles():  # a folder without files
         raise FileNotFoundError(f"no input file: {path}")

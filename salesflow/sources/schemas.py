@@ -1,5 +1,5 @@
-"""Declared input schemas. Everything arrives as text; the cleaners decide what is valid.
-Declaring them saves the extra pass over the data that inference needs."""
+"""Columns the sales plan needs. Everything arrives as text; the cleaners decide what is valid.
+Declaring the orders saves the extra pass over the JSON that inference needs."""
 
 CUSTOMERS = "customer_id string, city string, is_active string"
 REFUNDS = "order_id string, amount string, created_at string"

@@ -48,10 +48,21 @@ def test_missing_files_are_errors(spark, tmp_path):
             read(spark, str(tmp_path / path))
 
 
-def test_customers_columns_go_by_name(spark, tmp_path):
-    path = write(tmp_path / "c.csv", "city,is_active,customer_id\nParis,YES,007\nLyon,,8\n")
+def test_csv_columns_go_by_name(spark, tmp_path):
+    one = write(tmp_path / "1.csv", "city,vip,is_active,customer_id\nParis,x,YES,007\n")
+    assert rows(read_customers(spark, one)) == [("Paris", "x", True, "007")]
+    two = write(tmp_path / "2.csv", "customer_id,city,is_active,vip\n8,Lyon,1,y\n")
     with pytest.raises(Exception, match="(?i)header"):
-        read_customers(spark, path).collect()
+        read_customers(spark, [one, two]).collect()
+
+
+def test_order_fields_outside_the_schema(spark, tmp_path):
+    path = write(tmp_path / "o.json", '{"order_id":"A","note":"n","items":[{"qty":1,"unit_price":2,"size":"L"}]}')
+    assert "note" not in read_orders(spark, path).columns
+    lines = explode_items(read_orders(spark, path, infer=True))
+    assert rows(lines, "note", "item_size", "item_qty") == [("n", "L", 1)]
+    own = read_orders(spark, path, schema="order_id string, note string")
+    assert rows(own) == [("A", "n")]
 
 
 def test_customers(spark, tmp_path):
