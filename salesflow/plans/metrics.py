@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesflow.functions import is_non_numeric, parse_date, safe_double
+from salesflow.operators import explode_items
 from salesflow.plans.sales import PAID
 
 COUNTERS = [
@@ -50,21 +51,19 @@ def refund_counts(raw_refunds: DataFrame) -> DataFrame:
 
 
 def order_counts(orders: DataFrame) -> DataFrame:
-    """Counts over nested orders; items are counted inside their arrays, without exploding."""
+    """Counts over nested orders and their items in one pass. Every order gives at least one row,
+    and orders that are not paid exactly one, so orders are counted by their first row."""
     paid = F.col("payment_status") == PAID
-
-    def items_where(condition) -> Column:
-        return _total(F.when(paid, F.size(F.filter("items", condition))))
-
-    return orders.agg(
-        F.count("*").alias("orders_rows_raw"),
-        F.count_if(paid).alias("orders_rows_paid"),
-        F.count_if(paid & F.col("created_at").isNotNull() & parse_date("created_at").isNull()).alias(
-            "orders_bad_date"
-        ),
-        items_where(lambda i: is_non_numeric(i["qty"])).alias("items_qty_non_numeric"),
-        items_where(lambda i: is_non_numeric(i["unit_price"])).alias("items_unit_price_non_numeric"),
-        items_where(lambda i: safe_double(i["unit_price"]) < 0).alias("rejected_negative_price_rows"),
+    items = orders.select("payment_status", "created_at", F.when(paid, F.col("items")).alias("items"))
+    first = F.coalesce("pos", F.lit(0)) == 0
+    bad_date = F.col("created_at").isNotNull() & parse_date("created_at").isNull()
+    return explode_items(items, keep_empty=True).agg(
+        F.count_if(first).alias("orders_rows_raw"),
+        F.count_if(first & paid).alias("orders_rows_paid"),
+        F.count_if(first & paid & bad_date).alias("orders_bad_date"),
+        F.count_if(is_non_numeric("item_qty")).alias("items_qty_non_numeric"),
+        F.count_if(is_non_numeric("item_unit_price")).alias("items_unit_price_non_numeric"),
+        F.count_if(safe_double("item_unit_price") < 0).alias("rejected_negative_price_rows"),
     )
 
 

@@ -32,10 +32,12 @@ def write_csv(
     float_format: str | None = "%.2f",
     single_file: bool = False,
     single_file_max_rows: int = 1_000_000,
+    **options: str,
 ) -> None:
     """A folder of CSV part files, replaced if it exists. With sort_by the parts, read in the
     order of their names, are globally sorted. single_file=True gives one part file if the
-    table has at most single_file_max_rows rows; a larger one is written in parallel as usual."""
+    table has at most single_file_max_rows rows; a larger one is written in parallel as usual.
+    Further options (encoding, compression, ...) go to Spark's CSV writer."""
     out = df
     if single_file and _single_file_allowed(df, single_file_max_rows):
         out = df.repartition(1)
@@ -45,8 +47,7 @@ def write_csv(
     (
         format_numbers(out, float_format)
         .write.mode("overwrite")
-        .option("header", header)
-        .option("sep", sep)
+        .options(header=header, sep=sep, **options)
         .csv(path)
     )
 
@@ -59,6 +60,7 @@ def write_partitioned_csv(
     sort_by: list[str] = (),
     sep: str = ";",
     float_format: str | None = "%.2f",
+    **options: str,
 ) -> None:
     """One folder ``date_key=YYYYMMDD`` per date, all dates in one job. The rows keep their
     date column. Rows are spread by ranges of (date, sort_by, other columns): tasks write
@@ -72,8 +74,7 @@ def write_partitioned_csv(
         format_numbers(out, float_format)
         .sortWithinPartitions(*keys)
         .write.mode("overwrite")
-        .option("header", True)
-        .option("sep", sep)
+        .options(header=True, sep=sep, **options)
         .partitionBy("date_key")
         .csv(path)
     )

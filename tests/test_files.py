@@ -157,6 +157,8 @@ def test_csv_options(spark, tmp_path):
     path = f"{tmp_path}/out"
     write_csv(daily(spark), path, sep="|", header=False, float_format=None, single_file=True)
     assert "2025-03-01|Paris|2|1.23456789125E8" in read_text(parts(path)[0])
+    write_csv(daily(spark), path, compression="gzip")
+    assert glob(f"{path}/part-*.csv.gz")
 
 
 def test_one_folder_per_date(spark, tmp_path):
