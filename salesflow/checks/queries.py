@@ -494,9 +494,8 @@ def sink_csv(spark, sf_dir):
 @query
 def sink_partitioned(spark, sf_dir):
     path = scratch_path(spark, "daily")
-    write_partitioned_csv(
-        star_sales(spark, sf_dir).daily_city_sales, path, sort_by=["city", "channel"]
-    )
+    daily = stage(star_sales(spark, sf_dir).daily_city_sales, "daily")
+    write_partitioned_csv(daily, path, sort_by=["city", "channel"])
     reader = spark.read.schema(DAILY_SCHEMA + ", date_key string").option("header", True)
     # the folders of one year; the other dates are not even listed
     return reader.option("basePath", path).csv(f"{path}/date_key=1997*", sep=";")

@@ -32,16 +32,17 @@ def run_sales_job(
 ) -> DataFrame:
     """Run everything and return the one-row report, which is also written as JSON.
 
-    The order files are parsed once and staged as parquet, and the per-order table is staged
-    after the large shuffles, so counters, rejects and both result tables never start over from
-    the JSON files. The daily table is small and read by several sinks, so it is persisted.
+    The order files are parsed once and staged as parquet, and the per-order and daily tables are
+    staged after their shuffles, so that neither counters nor sinks start over from the JSON
+    files. The customers, read by several steps without a shuffle, are persisted.
 
     Output folders: db/orders_clean and db/daily_city_sales (unless written over JDBC),
     out/daily_summary (by date), out/daily_summary_all, rejects/rejects_items, logs/run_report,
     logs/orders_files."""
     started, clock = datetime.now(UTC), time.monotonic()
     csv = {"sep": sep, "float_format": float_format}
-    customers = read_customers(spark, customers_path, infer=infer)
+    by_group = ["date", "city", "channel"]
+    customers = read_customers(spark, customers_path, infer=infer).persist(StorageLevel.MEMORY_AND_DISK)
     raw_refunds = read_refunds(spark, refunds_path, infer=infer, raw=True)
     source = read_orders(spark, orders_path, infer=infer, multiline=multiline)
     order_files = sorted(source.inputFiles())
@@ -51,7 +52,7 @@ def run_sales_job(
         tables = sales.build_daily_sales(customers, clean_refunds(raw_refunds), orders, options)
         per_order = stage(tables.per_order, "per_order")
         orders_clean, daily = sales.tables_from_totals(customers, per_order, options)
-        daily = daily.persist(StorageLevel.MEMORY_AND_DISK)
+        daily = stage(daily, "daily")
         counts = metrics.run_metrics(
             metrics.customer_counts(customers),
             metrics.refund_counts(raw_refunds),
@@ -64,19 +65,13 @@ def run_sales_job(
             write_csv(tables.rejects, f"{output_dir}/rejects/rejects_items", sep=sep, float_format=None)
         formats = [
             _save(df, name, f"{output_dir}/db/{name}", jdbc, csv)
-            for df, name in ((orders_clean, "orders_clean"), (daily, "daily_city_sales"))
+            for df, name in ((orders_clean, "orders_clean"), (daily.orderBy(by_group), "daily_city_sales"))
         ]
         write_csv(
-            daily,
-            f"{output_dir}/out/daily_summary_all",
-            sort_by=["date", "city", "channel"],
-            single_file=True,
-            **csv,
+            daily, f"{output_dir}/out/daily_summary_all", sort_by=by_group, single_file=True, **csv
         )
-        write_partitioned_csv(
-            daily, f"{output_dir}/out/daily_summary", sort_by=["city", "channel"], **csv
-        )
-        daily.unpersist()
+        write_partitioned_csv(daily, f"{output_dir}/out/daily_summary", sort_by=by_group[1:], **csv)
+        customers.unpersist()
 
     report = spark.range(0, 1, 1, 1).select(
         F.lit("OK").alias("status"),

@@ -60,19 +60,30 @@ def write_partitioned_csv(
     sort_by: list[str] = (),
     sep: str = ";",
     float_format: str | None = "%.2f",
+    max_rows_per_file: int = 1_000_000,
     **options: str,
 ) -> None:
     """One folder ``date_key=YYYYMMDD`` per date, all dates in one job. The rows keep their
-    date column. Rows are spread by ranges of (date, sort_by, other columns): tasks write
-    different dates side by side, and a date too large for one task is cut by the other
-    columns into several files, every one of them sorted."""
-    out = df.withColumn("date_key", date_key(date))
-    keys = ["date_key", *sort_by]
+    date column. A date gets one sorted file, or, if it has more than max_rows_per_file rows,
+    several. ``df`` is read twice, to count and to write, so pass a staged or cached table."""
+    key = date_key(date)
+    files = df.groupBy(key.alias("_key")).agg(
+        F.ceil(F.count("*") / max_rows_per_file).alias("_files")
+    )
+    # The task number spreads copies of a row too, and is the same when a task runs again.
+    rows = df.withColumns({"date_key": key, "_task": F.spark_partition_id()})
+    file = F.pmod(F.xxhash64("_task", *df.columns), F.col("_files"))
+    # As many tasks as a shuffle has, even for few rows: small files cost time, not memory.
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = out.repartitionByRange(tasks, *keys, *[c for c in df.columns if c not in keys])
+    out = (
+        rows.join(files, F.col("date_key").eqNullSafe(F.col("_key")))
+        .select(*df.columns, "date_key", file.alias("_file"))
+        .repartition(tasks, "date_key", "_file")
+        .sortWithinPartitions("date_key", *sort_by)
+        .drop("_file")
+    )
     (
         format_numbers(out, float_format)
-        .sortWithinPartitions(*keys)
         .write.mode("overwrite")
         .options(header=True, sep=sep, **options)
         .partitionBy("date_key")

@@ -164,6 +164,7 @@ def test_csv_options(spark, tmp_path):
 def test_one_folder_per_date(spark, tmp_path):
     path = f"{tmp_path}/out"
     write_partitioned_csv(daily(spark), path, sort_by=["city"])
+    assert len(glob(f"{path}/date_key=*/part-*")) == 2
     assert sorted(os.path.basename(p) for p in glob(f"{path}/date_key=*")) == [
         "date_key=20250301", "date_key=20250302",
     ]
@@ -176,10 +177,15 @@ def test_one_folder_per_date(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(date_key" in one._jdf.queryExecution().executedPlan().toString()
 
 
-def test_a_large_date_is_written_by_several_tasks(spark, tmp_path):
+def test_a_large_date_gets_several_files(spark, tmp_path):
     df = spark.range(2000).selectExpr("'2025-03-01' as date", "cast(id as string) as city", "id as n")
-    write_partitioned_csv(df, f"{tmp_path}/out", sort_by=["city"])
-    assert len(parts(f"{tmp_path}/out/date_key=20250301")) == 4
+    df = df.unionByName(spark.createDataFrame([(None, "x", 1)], "date string, city string, n long"))
+    write_partitioned_csv(df, f"{tmp_path}/out", sort_by=["city"], max_rows_per_file=500)
+    lines = [read_text(p)[1:] for p in parts(f"{tmp_path}/out/date_key=20250301")]
+    assert len(lines) > 1 and sum(map(len, lines)) == 2000
+    assert all(x == sorted(x, key=lambda line: line.split(";")[1]) for x in lines)
+    back = spark.read.option("header", True).csv(f"{tmp_path}/out", sep=";")
+    assert back.count() == 2001 and back.filter("date_key is null").count() == 1
 
 
 def test_save_table_replaces(spark, tmp_path):
