@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 
 from salesflow.functions import date_key, money_text
 
+_BROADCAST_ROWS = 10_000  # of (date, number of files); more than that are joined by shuffle
+
 
 def format_numbers(df: DataFrame, pattern: str | None) -> DataFrame:
     """Fractional columns as fixed-point text; Spark would write 1.2E8 for large doubles."""
@@ -66,22 +68,28 @@ def write_partitioned_csv(
     """One folder ``date_key=YYYYMMDD`` per date, all dates in one job. The rows keep their
     date column. A date gets one sorted file, or, if it has more than max_rows_per_file rows,
     several. ``df`` is read twice, to count and to write, so pass a staged or cached table."""
-    key = date_key(date)
-    files = df.groupBy(key.alias("_key")).agg(
-        F.ceil(F.count("*") / max_rows_per_file).alias("_files")
+    out = df.withColumn("date_key", date_key(date))
+    large = (
+        out.groupBy(F.col("date_key").alias("_key"))
+        .agg(F.ceil(F.count("*") / max_rows_per_file).alias("_files"))
+        .filter("_files > 1")
     )
-    # The task number spreads copies of a row too, and is the same when a task runs again.
-    rows = df.withColumns({"date_key": key, "_task": F.spark_partition_id()})
-    file = F.pmod(F.xxhash64("_task", *df.columns), F.col("_files"))
+    n_large = large.limit(_BROADCAST_ROWS + 1).count()
+    shuffle_keys = ["date_key"]
+    if n_large:
+        if n_large <= _BROADCAST_ROWS:
+            large = F.broadcast(large)
+        # The task number spreads copies of a row too, and is the same when a task runs again.
+        file = F.pmod(F.xxhash64("_task", *df.columns), F.col("_files"))
+        out = (
+            out.withColumn("_task", F.spark_partition_id())
+            .join(large, F.col("date_key").eqNullSafe(F.col("_key")), "left")
+            .select(*out.columns, F.coalesce(file, F.lit(0)).alias("_file"))
+        )
+        shuffle_keys.append("_file")
     # As many tasks as a shuffle has, even for few rows: small files cost time, not memory.
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = (
-        rows.join(files, F.col("date_key").eqNullSafe(F.col("_key")))
-        .select(*df.columns, "date_key", file.alias("_file"))
-        .repartition(tasks, "date_key", "_file")
-        .sortWithinPartitions("date_key", *sort_by)
-        .drop("_file")
-    )
+    out = out.repartition(tasks, *shuffle_keys).sortWithinPartitions("date_key", *sort_by).drop("_file")
     (
         format_numbers(out, float_format)
         .write.mode("overwrite")
