@@ -278,6 +278,7 @@ SELECT order_id, refunds_eur, 'right' side, count(*) copies FROM (FROM b EXCEPT
     "src_csv_infer": "SELECT * FROM customer",
     "src_csv_refunds": _refunds(ORDER_ID),
     "src_json_nested": EXPLODED,
+    "src_json_arrays": EXPLODED,
     "src_text": "SELECT unnest(string_split(text, chr(10))) AS value FROM documents",
     "sink_csv": STAR_DAILY,
     "sink_partitioned": f"""{STAR}

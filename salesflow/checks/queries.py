@@ -477,6 +477,22 @@ def src_json_nested(spark, sf_dir):
     return explode_items(read_orders(spark, f"{path}/*.json", multiline=False))
 
 
+@query
+def src_json_arrays(spark, sf_dir):
+    """Files that hold one array over many lines, at most 10,000 orders each: such a file is read
+    by one task, so its size is what has to be bounded."""
+    path = scratch_path(spark, "orders")
+    orders = stage(star.nested_orders(spark, sf_dir), "orders")
+    block = F.floor(F.monotonically_increasing_id() / 10_000)
+    arrays = (
+        orders.select(block.alias("block"), F.struct("*").alias("order"))
+        .groupBy("block")
+        .agg(F.to_json(F.collect_list("order"), {"pretty": "true"}).alias("value"))
+    )
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return explode_items(read_orders(spark, f"{path}/part-*"))
+
+
 @query
 def src_text(spark, sf_dir):
     path = scratch_path(spark, "lines")
