@@ -120,7 +120,8 @@ def refunds_per_order(refunds: DataFrame, money: str = "double") -> DataFrame:
 
 def with_refunds(orders: DataFrame, refunds: DataFrame, money: str = "double") -> DataFrame:
     """Add the refunds of each order, 0.0 where there are none. Refunds of other orders are
-    dropped. Both sides are already grouped by order_id, so the join itself shuffles nothing."""
+    dropped. After the dedup both sides are partitioned by order_id, so the join itself shuffles
+    nothing."""
     return orders.join(refunds_per_order(refunds, money), "order_id", "left").withColumn(
         "refunds_eur", F.coalesce("refunds_eur", F.lit(0.0))
     )
