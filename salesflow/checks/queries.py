@@ -545,14 +545,14 @@ def sink_table_fallback(spark, sf_dir):
 def run_metrics_(spark, sf_dir):
     customers = star.raw_customers(spark, sf_dir)
     refunds = star.raw_shipment_refunds(spark, sf_dir)
-    per_order = stage(nested_sales(spark, sf_dir).per_order, "per_order")
-    clean, daily = sales.tables_from_totals(star.customers(spark, sf_dir), per_order)
+    tables = nested_sales(spark, sf_dir)
+    tables = tables.on_staged(stage(tables.per_order, "per_order"))
     return run_metrics(
         metrics.customer_counts(customers),
         metrics.refund_counts(refunds),
         metrics.order_counts(star.nested_orders(spark, sf_dir)),
-        metrics.row_count(clean, "orders_clean_rows"),
-        metrics.row_count(daily, "daily_city_sales_rows"),
+        metrics.row_count(tables.orders_clean, "orders_clean_rows"),
+        metrics.row_count(tables.daily_city_sales, "daily_city_sales_rows"),
     )
 
 

@@ -50,9 +50,9 @@ def run_sales_job(
     with staging(spark, "job") as stage:
         orders = stage(source, "orders")
         tables = sales.build_daily_sales(customers, clean_refunds(raw_refunds), orders, options)
-        per_order = stage(tables.per_order, "per_order")
-        orders_clean, daily = sales.tables_from_totals(customers, per_order, options)
-        daily = stage(daily, "daily")
+        tables = tables.on_staged(stage(tables.per_order, "per_order"))
+        orders_clean = tables.orders_clean
+        daily = stage(tables.daily_city_sales, "daily")
         counts = metrics.run_metrics(
             metrics.customer_counts(customers),
             metrics.refund_counts(raw_refunds),

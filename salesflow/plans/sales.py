@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,15 +55,43 @@ class SalesOptions:
             raise ValueError(f"dedup must be 'line' or 'order', not {self.dedup!r}")
         if self.money not in ("double", "decimal"):
             raise ValueError(f"money must be 'double' or 'decimal', not {self.money!r}")
+        if self.on_bad_date not in ("null", "error"):
+            raise ValueError(f"on_bad_date must be 'null' or 'error', not {self.on_bad_date!r}")
 
 
 @dataclass(frozen=True)
 class SalesTables:
+    """The tables of the sales plan; the later ones are planned when they are first asked for."""
+
+    customers: DataFrame
+    refunds: DataFrame
     kept: DataFrame
     rejects: DataFrame
-    per_order: DataFrame
-    orders_clean: DataFrame
-    daily_city_sales: DataFrame
+    order_totals: DataFrame
+    options: SalesOptions
+    staged_per_order: DataFrame | None = None
+
+    @cached_property
+    def per_order(self) -> DataFrame:
+        if self.staged_per_order is not None:
+            return self.staged_per_order
+        return with_refunds(self.order_totals, self.refunds, self.options.money)
+
+    @cached_property
+    def active_customers(self) -> DataFrame:
+        return active_customers(self.customers, self.options.dedup_customers)
+
+    @cached_property
+    def orders_clean(self) -> DataFrame:
+        return orders_clean(self.per_order, self.active_customers, self.options.on_bad_date)
+
+    @cached_property
+    def daily_city_sales(self) -> DataFrame:
+        return daily_city_sales(self.per_order, self.active_customers, self.options)
+
+    def on_staged(self, per_order: DataFrame) -> SalesTables:
+        """The same tables with ``per_order``, written and read back, as their new start."""
+        return replace(self, staged_per_order=per_order)
 
 
 def paid_orders(orders: DataFrame) -> DataFrame:
@@ -202,7 +231,8 @@ def sales_from_lines(
     if options.dedup != "line":
         raise ValueError("flat lines can only be deduplicated by line")
     kept, rejects = split_lines(paid_orders(lines))
-    return _tables(customers, refunds, first_line_per_order(kept), kept, rejects, options)
+    totals = first_line_per_order(kept)
+    return SalesTables(customers, refunds, kept, rejects.drop("pos"), totals, options)
 
 
 def build_daily_sales(
@@ -221,21 +251,4 @@ def build_daily_sales(
         first = keep_first(paid, ["order_id"], ["created_at"])
         kept, _ = split_lines(explode_items(first, keep_empty=options.keep_empty))
         totals = per_order(kept, options.money)
-    return _tables(customers, refunds, totals, kept, rejects, options)
-
-
-def tables_from_totals(
-    customers: DataFrame, orders: DataFrame, options: SalesOptions = SalesOptions()
-) -> tuple[DataFrame, DataFrame]:
-    """(orders_clean, daily_city_sales) from one row per order with its refunds."""
-    active = active_customers(customers, options.dedup_customers)
-    return (
-        orders_clean(orders, active, options.on_bad_date),
-        daily_city_sales(orders, active, options),
-    )
-
-
-def _tables(customers, refunds, totals, kept, rejects, options) -> SalesTables:
-    orders = with_refunds(totals, refunds, options.money)
-    clean, daily = tables_from_totals(customers, orders, options)
-    return SalesTables(kept, rejects.drop("pos"), orders, clean, daily)
+    return SalesTables(customers, refunds, kept, rejects.drop("pos"), totals, options)
