@@ -1,29 +1,51 @@
-"""Tables written once and read many times, in the folder the cluster names."""
+"""Tables written once and read many times, in the folder the cluster names.
+
+All of an application's tables lie in one folder below ``spark.checkpoint.dir`` (a session that
+does not set it, such as a test's, uses its warehouse folder, which executors share as well).
+``staging`` deletes its tables at the end of a with block. Tables behind a DataFrame that is
+returned unread have to outlive the call: ``cleanup`` deletes them, at the latest when the
+application ends."""
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-_local_folder: str | None = None
+_registered: set[str] = set()
+
+
+def _application_folder(spark: SparkSession) -> str:
+    base = spark.conf.get(_SETTING, None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    return f"{base.rstrip('/')}/salesflow/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below ``spark.checkpoint.dir``. Only a local session without that setting
-    (a test) gets a temporary folder; a cluster must name a folder all executors share."""
-    base = spark.conf.get(_SETTING, None)
-    if not base:
-        global _local_folder
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {_SETTING} to a folder shared by all executors")
-        _local_folder = _local_folder or tempfile.mkdtemp(prefix="salesflow-")
-        base = _local_folder
-    return f"{base.rstrip('/')}/salesflow/{label}-{uuid.uuid4().hex}"
+    """A new path in the application's scratch folder."""
+    folder = _application_folder(spark)
+    if folder not in _registered:
+        _registered.add(folder)
+        atexit.register(_delete_quietly, spark, folder)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+def delete_path(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _delete_quietly(spark: SparkSession, folder: str) -> None:
+    with suppress(Exception):  # the JVM may be gone already
+        delete_path(spark, folder)
+
+
+def cleanup(spark: SparkSession) -> None:
+    """Delete all staged tables of this application. DataFrames that read them end with it."""
+    delete_path(spark, _application_folder(spark))
 
 
 def _write_and_read(df: DataFrame, path: str) -> DataFrame:
@@ -33,8 +55,8 @@ def _write_and_read(df: DataFrame, path: str) -> DataFrame:
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as parquet and read it back: later steps start from the files, neither
-    repeating the work before them nor depending on executors that may be lost. The files stay,
-    as the returned table is read later."""
+    repeating the work before them nor depending on executors that may be lost. The files stay
+    until ``cleanup``, as the returned table is read later."""
     return _write_and_read(df, scratch_path(df.sparkSession, label))
 
 
@@ -45,5 +67,4 @@ def staging(spark: SparkSession, label: str) -> Iterator[Callable[[DataFrame, st
     try:
         yield lambda df, name: _write_and_read(df, f"{folder}/{name}")
     finally:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_path(spark, folder)
