@@ -18,7 +18,7 @@ shard links are contracted to one row per fingerprint, so no pairs of a group ar
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -88,37 +88,39 @@ def bk_tree(values: np.ndarray) -> list[tuple[int, dict[int, int]]]:
 
 def bk_search(
     values: np.ndarray, nodes: list[tuple[int, dict[int, int]]], queries: np.ndarray, radius: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """``(query positions, value positions)`` of all pairs within the radius. All queries walk the
-    tree together; those that follow an edge of key k are those at a distance within k ± radius."""
-    found_queries, found_values = [], []
+) -> Iterator[tuple[int, np.ndarray]]:
+    """``(value position, positions of the queries within the radius of it)``, each value that has
+    any once. All queries walk the tree together; those that follow an edge of key k are those at
+    a distance within k ± radius."""
     todo = [(0, np.arange(len(queries)))] if nodes else []
     while todo:
         node, here = todo.pop()
         position, children = nodes[node]
         apart = distances(queries[here], values[position])
         near = here[apart <= radius]
-        found_queries.append(near)
-        found_values.append(np.full(len(near), position))
+        if len(near):
+            yield position, near
         for key, child in children.items():
             follow = here[np.abs(apart - key) <= radius]
             if len(follow):
                 todo.append((child, follow))
-    join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
-    return join(found_queries), join(found_values)
 
 
-def smallest_linked(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For each of n positions the smallest one reachable over the links a-b."""
-    label = np.arange(n)
-    while True:
-        new = label.copy()
-        np.minimum.at(new, a, label[b])
-        np.minimum.at(new, b, label[a])
-        new = new[new]
-        if np.array_equal(new, label):
-            return label
-        label = new
+def smallest_linked(n: int, stars: Iterable[tuple[int, np.ndarray]]) -> np.ndarray:
+    """For each of n positions the smallest one reachable over links, given as stars: a position
+    and those linked to it. Holds n numbers, however many links there are."""
+    parent = np.arange(n)
+
+    def roots(of: np.ndarray) -> np.ndarray:
+        found = parent[of]
+        while (parent[found] != found).any():
+            found = parent[found]
+        return found
+
+    for centre, linked in stars:
+        together = roots(np.append(linked, centre))
+        parent[together] = together.min()
+    return roots(np.arange(n))
 
 
 def _split(mask: int, radius: int) -> list[int]:
@@ -139,7 +141,7 @@ def _links_in_shards(radius: int):
     def shard(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         prints = np.unique(prints)  # also sorts them
         values = prints.view(np.uint64)
-        low = smallest_linked(len(values), *bk_search(values, bk_tree(values), values, radius))
+        low = smallest_linked(len(values), bk_search(values, bk_tree(values), values, radius))
         moved = low != np.arange(len(low))
         return prints[moved], prints[low[moved]]
 
