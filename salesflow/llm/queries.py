@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from salesflow.llm import simhash
+from salesflow.llm import decontaminate, mixing, pii, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +24,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+PII_KEY = "example key: a job passes its own"
+TARGETS = {"clean": 0.9, "junk": 0.08, "toxic": 0.02}
+
+
+def label_domain():
+    """Domain of a row of ``labels``."""
+    return F.when(F.col("quality") == 0, "junk").when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "clean")
+
+
+def held_out(id_col: str = "doc_id"):
+    """The third of the documents whose labels are for testing only."""
+    return F.crc32(F.col(id_col).cast("string")) % 3 == 1
+
+
+@query
+def op1_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY)
+
+
+@query
+def op3_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
+
+
+@query
+def op7_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(~held_out())
+    scored = toxicity.score_documents(docs, toxicity.fit(labels, docs), threshold=0.7)
+    return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query
+def op10_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return mixing.mix(docs, labels, label_domain(), TARGETS)
