@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesflow.llm.shipping import shipped
+
 _WORD = re.compile(r"\w+")
 _HITS = "array<struct<item:int,passage:int,score:double,question_overlap:double,answer_overlap:double>>"
 
@@ -245,7 +247,7 @@ def build_indexes(
 
 
 def _hits(index: Bm25Index, docs: DataFrame, text: Column) -> Column:
-    sent = docs.sparkSession.sparkContext.broadcast(index)
+    held = shipped(docs.sparkSession, index)
 
     @F.pandas_udf(_HITS)
     def searched(texts: pd.Series) -> pd.Series:
@@ -256,13 +258,23 @@ def _hits(index: Bm25Index, docs: DataFrame, text: Column) -> Column:
             todo.append(text)
             chars += len(text or "")
             if chars >= 4_000_000:
-                found += sent.value.search(todo)
+                found += held().search(todo)
                 todo, chars = [], 0
-        return pd.Series([*found, *(sent.value.search(todo) if todo else [])])
+        return pd.Series([*found, *(held().search(todo) if todo else [])])
 
     return searched(text.cast("string"))
 
 
+def _item_ids(docs: DataFrame, ids: list, kind):
+    held = shipped(docs.sparkSession, ids)
+
+    @F.pandas_udf(kind)
+    def item_id(numbers: pd.Series) -> pd.Series:
+        return pd.Series([held()[n] for n in numbers], dtype=object)
+
+    return item_id
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -285,16 +297,10 @@ def contaminated(
     for index, ids in build_indexes(
         benchmark, options, id_col=item_col, question_col=question_col, answer_col=answer_col
     ):
-        names = docs.sparkSession.sparkContext.broadcast(ids)
-
-        @F.pandas_udf(benchmark.schema[item_col].dataType)
-        def item_id(numbers: pd.Series, names=names) -> pd.Series:
-            return pd.Series([names.value[n] for n in numbers], dtype=object)
-
         hits = keys.select("_id", F.explode(_hits(index, docs, F.col("_text"))).alias("hit"))
         part = hits.select(
             F.col("_id").alias(id_col),
-            item_id("hit.item").alias(item_col),
+            _item_ids(docs, ids, benchmark.schema[item_col].dataType)("hit.item").alias(item_col),
             *[F.col(f"hit.{c}").alias(c) for c in ("passage", "score", "question_overlap", "answer_overlap")],
         )
         out = part if out is None else out.unionByName(part)

@@ -33,15 +33,18 @@ _SPLIT = r"[\s.,;:!?()|\"']+"
 @dataclass(frozen=True)
 class MixingOptions:
     """``evidence``: how many of a document's words count at most; a longer one's evidence is scaled
-    down to that many, so that posteriors stay soft. ``tolerance``: of a domain's share."""
+    down to that many, so that posteriors stay soft. ``tolerance``: distance from the targets, as
+    a share of all tokens."""
 
     buckets: int = 4096
     max_labelled: int = 16_384
     smoothing: float = 0.5
     evidence: int = 64
     precision: int = 2
-    max_steps: int = 300
-    tolerance: float = 1e-7
+    max_steps: int = 400
+    steps_at_once: int = 25
+    patience: int = 40
+    tolerance: float = 1e-5
 
 
 def words_of(text: Column) -> Column:
@@ -145,7 +148,8 @@ def fit_rates(cells: DataFrame, targets: list[float], options: MixingOptions) ->
     the targets, over nonnegative rates, starting from using every document once. In the metric
     in which a cell weighs its share of the tokens, the gradient of a cell's rate is its posterior
     times the residual; the step is one over the largest eigenvalue of the domains' K x K matrix
-    of second moments. Momentum restarts when the error rises."""
+    of second moments. The steps since the table was last written are applied to its rows anew
+    in each aggregation, and written after every ``steps_at_once``."""
     k = len(targets)
     total = cells.agg(F.sum("tokens").alias("n")).first()["n"]
     if not total:
@@ -156,39 +160,43 @@ def fit_rates(cells: DataFrame, targets: list[float], options: MixingOptions) ->
     # the largest absolute row sum bounds the largest eigenvalue
     step = 1 / max(sum(abs(moments[i * k + j]) for j in range(k)) for i in range(k))
 
-    history: list[list[float]] = []  # per step: step * residual of each domain, momentum
+    cells = cells.withColumns({"x": F.lit(1.0), "y": F.lit(1.0)})
+    history: list[list[float]] = []  # since x and y: per step, step * residual of each domain, momentum
 
-    def rates(name: str) -> Column:
-        state = F.struct(F.lit(1.0).alias("x"), F.lit(1.0).alias("y"))
+    def now(name: str) -> Column:
         if not history:
-            return state[name]
+            return F.col(name)
 
         def advance(s: Column, h: Column) -> Column:
-            slope = F.aggregate(
-                F.zip_with(F.col("posterior"), F.slice(h, 1, k), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b
-            )
+            products = F.zip_with(F.col("posterior"), F.slice(h, 1, k), lambda a, b: a * b)
+            slope = F.aggregate(products, F.lit(0.0), lambda a, b: a + b)
             new = F.greatest(F.lit(0.0), s["y"] - slope)
             return F.struct(new.alias("x"), (new + h[k] * (new - s["x"])).alias("y"))
 
         folded = F.from_json(F.lit(json.dumps(history)), "array<array<double>>")
-        return F.aggregate(folded, state, advance)[name]
+        return F.aggregate(folded, F.struct("x", "y"), advance)[name]
 
     def shares(name: str) -> list[float]:
-        found = cells.select("posterior", "weight", rates(name).alias("rate"))
+        found = cells.select("posterior", "weight", now(name).alias("rate"))
         return list(found.agg(*[F.sum(F.col("weight") * F.col("rate") * x) for x in p]).first())
 
-    momentum, error = 1.0, math.inf
-    for _ in range(options.max_steps):
+    momentum, best, best_at = 1.0, math.inf, 0
+    for at in range(options.max_steps):
         residual = [a - b for a, b in zip(shares("y"), targets, strict=True)]
-        now = sum(r * r for r in residual)
-        if math.sqrt(now) < options.tolerance or abs(error - now) < options.tolerance**2:
-            break
-        if now > error:
-            momentum = 1.0
-        error, grown = now, (1 + math.sqrt(1 + 4 * momentum * momentum)) / 2
+        error = math.sqrt(sum(r * r for r in residual))
+        if error < 0.99 * best:
+            best, best_at = error, at
+        if error < options.tolerance or at - best_at > options.patience:
+            break  # on target, or as near to targets out of reach as it gets
+        grown = (1 + math.sqrt(1 + 4 * momentum * momentum)) / 2
         history.append([*(step * r for r in residual), (momentum - 1) / grown])
         momentum = grown
-    return cells.drop("weight").withColumn("rate", rates("x")), shares("x")
+        if len(history) == options.steps_at_once:
+            cells = stage(cells.withColumns({"x": now("x"), "y": now("y")}), "rates")
+            history.clear()
+    cells = stage(cells.withColumns({"x": now("x"), "y": now("y")}), "rates")
+    history.clear()
+    return cells.select("posterior", "tokens", F.col("x").alias("rate")), shares("x")
 
 
 def mix(

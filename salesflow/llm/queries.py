@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.llm import decontaminate, mixing, pii, simhash, toxicity
+from salesflow.llm import decontaminate, embeddings, html, mixing, pii, quality, secrets, simhash, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,16 +43,107 @@ def op1_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY)
 
 
+@query
+def op2_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op3_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+# fixed values: the rules of the contract
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
+
+@query
+def op4_url_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = urls.judge(pages, urls.rule_table(spark, URL_RULES))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLES["op4_url_digests"] = f"""
+with rules(rule_host, rule_path, rule_verdict) as (values {", ".join(str(r) for r in URL_RULES)}),
+split as (
+    select page_id,
+        case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest
+    from pages
+),
+parts as (
+    select page_id,
+        translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+    from split
+),
+fits as (
+    select page_id, host, path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) as rule,
+        arg_max(rule_verdict, length(rule_host || rule_path)) as rule_verdict
+    from parts left join rules
+        on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+    group by all
+)
+select page_id, host, path, rule, coalesce(rule_verdict, 'allow') as verdict from fits
+"""
+
+
 @query
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+@query
+def op6_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    findings, base = F.col("findings"), [r.kind for r in secrets.BASE_RULES]
+    return found.select(
+        "doc_id",
+        *[secrets.count_of(findings, kind).alias(f"n_{kind}") for kind in base],
+        F.sha2(secrets.digest(findings, base), 256).alias("base_sha256"),
+        secrets.digest(findings).alias("spans"),
+    )
+
+
+def _spans_sql() -> str:
+    """Per document the list of (start, order of the kind, end) over all rules, in DuckDB. The text
+    is split at a rule's matches; the lengths before a match add up to its start."""
+    lists = []
+    for i, rule in enumerate(secrets.RULES):
+        pattern = rule.pattern.replace("'", "''").replace("(?<![A-Za-z0-9_-])", "")
+        checked = f"regexp_extract_all(t, '{pattern}', {rule.group})"
+        lists.append(f"""list_filter(list_transform(
+            range(1, len(regexp_extract_all(t, '{pattern}')) + 1),
+            lambda k: struct_pack(
+                s := coalesce(list_sum(list_transform(string_split_regex(t, '{pattern}')[1:k], lambda x: length(x))), 0)
+                    + coalesce(list_sum(list_transform(regexp_extract_all(t, '{pattern}')[1:k-1], lambda x: length(x))), 0),
+                o := {i},
+                e := length(regexp_extract_all(t, '{pattern}')[k]),
+                ok := length({checked}[k]) >= {rule.min_length})),
+            lambda f: f.ok)""")
+    return "list_sort(list_concat(" + ", ".join(lists) + "))"
+
+
+_KINDS_SQL = "[" + ", ".join(f"'{r.kind}'" for r in secrets.RULES) + "]"
+_JOINED_SQL = f"lambda f: {_KINDS_SQL}[f.o + 1] || ':' || cast(f.s as bigint) || ':' || cast(f.s + f.e as bigint)"
+ORACLES["op6_blob_ledger"] = f"""
+with texts as (select doc_id, coalesce(text, '') as t from documents),
+spans as (select doc_id, {_spans_sql()} as found from texts)
+select doc_id,
+    len(list_filter(found, lambda f: f.o = 0)) as n_assign,
+    len(list_filter(found, lambda f: f.o = 1)) as n_access,
+    len(list_filter(found, lambda f: f.o = 2)) as n_hex,
+    sha256(array_to_string(list_transform(list_filter(found, lambda f: f.o < 3), {_JOINED_SQL}), ',')) as base_sha256,
+    array_to_string(list_transform(found, {_JOINED_SQL}), ',') as spans
+from spans
+"""
+
+
 @query
 def op7_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -61,6 +152,20 @@ def op7_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+@query
+def op8_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = html.extract_text(table(spark, sf_dir, "pages"))
+    return text.select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op9_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(~held_out())
+    scored = quality.score_documents(docs, quality.fit(labels, docs))
+    return scored.select("doc_id", "p_content", "p_layout", "score", "kept")
+
+
 @query
 def op10_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")

@@ -23,6 +23,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesflow.llm.shipping import shipped
+
 _WORD = re.compile(r"[^\W_]+")
 _STEMS = (4, 5)  # leading characters: inflected forms of a word share them
 
@@ -186,16 +188,16 @@ def logit(text: str | None, dense: np.ndarray, bits: int, intercept: float) -> f
 
 def score(model: ToxicityModel, spark: SparkSession, text: Column) -> Column:
     """Probability of label 1 as a column; null and empty texts have that of the intercept."""
-    sent = spark.sparkContext.broadcast(model)
-    held: dict[str, np.ndarray] = {}
+    held = shipped(spark, model)
+    dense: list[np.ndarray] = []
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
-        fitted = sent.value
-        if not held:
-            held["dense"] = np.zeros(1 << fitted.bits, dtype=np.float32)
-            held["dense"][fitted.features] = fitted.weights
-        logits = np.array([logit(t, held["dense"], fitted.bits, fitted.intercept) for t in texts], dtype=np.float64)
+        fitted = held()
+        if not dense:
+            dense.append(np.zeros(1 << fitted.bits, dtype=np.float32))
+            dense[0][fitted.features] = fitted.weights
+        logits = np.array([logit(t, dense[0], fitted.bits, fitted.intercept) for t in texts], dtype=np.float64)
         return pd.Series(1 / (1 + np.exp(-np.clip(logits, -35, 35))))
 
     return scored(text.cast("string"))

@@ -1,0 +1,15 @@
+import os
+
+import pytest
+
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return SF
+
+
+@pytest.fixture(scope="session")
+def documents(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
