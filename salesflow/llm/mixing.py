@@ -176,27 +176,28 @@ def fit_rates(cells: DataFrame, targets: list[float], options: MixingOptions) ->
         folded = F.from_json(F.lit(json.dumps(history)), "array<array<double>>")
         return F.aggregate(folded, F.struct("x", "y"), advance)[name]
 
-    def shares(name: str) -> list[float]:
-        found = cells.select("posterior", "weight", now(name).alias("rate"))
-        return list(found.agg(*[F.sum(F.col("weight") * F.col("rate") * x) for x in p]).first())
+    def shares() -> tuple[list[float], list[float]]:
+        found = cells.select("posterior", "weight", now("x").alias("x"), now("y").alias("y"))
+        row = found.agg(*[F.sum(F.col("weight") * F.col(c) * d) for c in ("x", "y") for d in p]).first()
+        return list(row[:k]), list(row[k:])
 
     momentum, best, best_at = 1.0, math.inf, 0
     for at in range(options.max_steps):
-        residual = [a - b for a, b in zip(shares("y"), targets, strict=True)]
-        error = math.sqrt(sum(r * r for r in residual))
+        reached, ahead = shares()
+        error = math.dist(reached, targets)
         if error < 0.99 * best:
             best, best_at = error, at
         if error < options.tolerance or at - best_at > options.patience:
             break  # on target, or as near to targets out of reach as it gets
         grown = (1 + math.sqrt(1 + 4 * momentum * momentum)) / 2
-        history.append([*(step * r for r in residual), (momentum - 1) / grown])
+        history.append([*(step * (a - b) for a, b in zip(ahead, targets, strict=True)), (momentum - 1) / grown])
         momentum = grown
         if len(history) == options.steps_at_once:
             cells = stage(cells.withColumns({"x": now("x"), "y": now("y")}), "rates")
             history.clear()
     cells = stage(cells.withColumns({"x": now("x"), "y": now("y")}), "rates")
     history.clear()
-    return cells.select("posterior", "tokens", F.col("x").alias("rate")), shares("x")
+    return cells.select("posterior", "tokens", F.col("x").alias("rate")), shares()[0]
 
 
 def mix(
