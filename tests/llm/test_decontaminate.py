@@ -1,0 +1,115 @@
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from salesflow.llm import decontaminate
+from salesflow.llm.decontaminate import Bm25Index, Bm25Options, shingles, split_item, words_of
+
+
+def brute(docs, items, size=5, least=0.8):
+    """(document, item) whose question and answer shingles the document holds, anywhere."""
+    found = set()
+    for d, text in docs:
+        words = words_of(text)
+        for i, item in items:
+            parts = split_item(words_of(item), size)
+            shares = [
+                len(shingles(p, min(size, len(p))) & shingles(words, min(size, len(p)))) / len(shingles(p, min(size, len(p))))
+                if p else 0.0
+                for p in parts
+            ]
+            if min(shares) >= least:
+                found.add((d, i))
+    return found
+
+
+def made_up(seed, n_items=60, n_docs=120):
+    rng = random.Random(seed)
+    common, rare = [f"c{i}" for i in range(12)], [f"r{i}" for i in range(3000)]
+    text = lambda n: [rng.choice(common if rng.random() < 0.6 else rare) for _ in range(n)]
+    items = [(i, " ".join(text(rng.randint(3, 60)))) for i in range(n_items)]
+    docs = []
+    for d in range(n_docs):
+        words = text(rng.randint(0, 900))
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            copy = rng.choice(items)[1].split()
+            if rng.random() < 0.3:
+                copy[rng.randrange(len(copy))] = "changed"
+            at = rng.randint(0, len(words))
+            words[at:at] = copy
+        docs.append((d, " ".join(words)))
+    return docs, items
+
+
+def test_given_tables_match_brute_force(spark, documents, sf_dir):
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(documents, items).collect()}
+    want = brute([(r["doc_id"], r["text"]) for r in documents.collect()], [(r["item_id"], r["text"]) for r in items.collect()])
+    assert got == want and want
+
+
+@pytest.mark.parametrize("chars", [16_000_000, 4000])
+def test_made_up_tables_match_brute_force(spark, chars):
+    docs, items = made_up(1)
+    got = decontaminate.contaminated(
+        spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3),
+        spark.createDataFrame(items, "item_id bigint, text string"),
+        Bm25Options(max_index_chars=chars),
+    )
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == brute(docs, items)
+
+
+def test_block_maxima_lose_nothing():
+    """All pairs of a passage and an item at the threshold are in an opened block."""
+    docs, items = made_up(2)
+    split = [split_item(words_of(t), 5) for _, t in items]
+    frequencies = Counter(w for q, a in split for w in {*q, *a})
+    index = Bm25Index(split, frequencies, len(items), 30.0, Bm25Options(threshold=0.3))
+    names = list(index.terms)
+    for _, text in docs:
+        have = {index.terms[w] for w in words_of(text) if w in index.terms}
+        essential = np.array(sorted(t for t in have if index.essential[t]), dtype=np.int64)
+        opened = set(index.candidates(np.zeros(len(essential), dtype=np.int64), essential)[1].tolist())
+        for i, (terms, impacts) in enumerate(zip(index.item_terms, index.item_impacts, strict=True)):
+            score = sum(w for t, w in zip(terms.tolist(), impacts.tolist(), strict=True) if t in have)
+            assert score < 0.3 or i // index.options.block in opened, names
+
+
+def test_scores_are_bm25_shares():
+    items = [(["a", "b", "b"], ["c"] * 5), (["a"] * 5, ["d"] * 5)]
+    index = Bm25Index(items, Counter({"a": 2, "b": 1, "c": 1, "d": 1}), 2, 9.0, Bm25Options(block=1))
+    idf = {t: np.log(1 + (2 - n + 0.5) / (n + 0.5)) for t, n in {"a": 2, "b": 1, "c": 1}.items()}
+    norm = 1.2 * (0.25 + 0.75 * 8 / 9)
+    raw = {t: idf[t] * f * 2.2 / (f + norm) for t, f in {"a": 1, "b": 2, "c": 5}.items()}
+    got = {list(index.terms)[t]: w for t, w in zip(index.item_terms[0], index.item_impacts[0], strict=True)}
+    assert got == {t: pytest.approx(w / sum(raw.values())) for t, w in raw.items()}
+
+
+def test_answer_column_and_odd_rows(spark):
+    q, a = "what is the name of the tallest hill in the north", "it is called the old grey man"
+    items = spark.createDataFrame([(1, q, a), (2, None, None), (3, "", ""), (None, q, a)], "item_id bigint, q string, a string")
+    long = "filler words " * 60_000
+    rows = [
+        (1, f"{q}? {a}!", 1, 5), (2, q, 1, 5), (3, None, 1, 5), (4, "", 1, 5), (None, f"{q} {a}", 1, None),
+        (6, long + q + " " + a + " " + long, 1, 5), (6, f"{q.upper()} {a}", 1, 5),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, item_id int, hit int")
+    options = {"question_col": "q", "answer_col": "a"}
+    got = decontaminate.contaminated(docs, items, **options).collect()
+    assert sorted(((r["doc_id"], r["item_id"]) for r in got), key=str) == sorted(
+        [(d, i) for d in (1, None, 6, 6) for i in (1, None)], key=str
+    )
+    kept = decontaminate.drop_contaminated(docs, items, **options)
+    assert kept.columns == docs.columns and [r["doc_id"] for r in kept.collect()] == [2, 3, 4]
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "some words here")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, "some words here")], "item_id string, text string")
+    assert decontaminate.contaminated(docs, items.limit(0)).count() == 0
+    assert decontaminate.contaminated(docs.limit(0), items).count() == 0
+    assert decontaminate.drop_contaminated(docs, items.limit(0)).count() == 1
+    only = decontaminate.contaminated(docs, items).first()  # fewer words than a shingle: a run
+    assert (only["doc_id"], only["item_id"]) == (1, "1") or only["item_id"] == 1

@@ -1,0 +1,115 @@
+import datetime
+import re
+
+import pytest
+
+from salesflow.llm import pii
+
+
+def luhn(digits):
+    doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
+    return sum(d - 9 * (d > 9) for d in doubled) % 10 == 0
+
+
+def mod97(iban):
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
+def masked(spark, texts, key="k"):
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    return [r["text"] for r in pii.pseudonymise(rows, key).orderBy("doc_id").collect()]
+
+
+VALID = [
+    "4111111111111111", "5500-0000-0000-0004", "4012 8888 8888 1881", "378282246310005", "2024-02-29", "01/12/1999",
+    "31.10.2050", "97.51.17.173", "0.0.0.0", "255.255.255.255", "+1 (017) 555-7713", "+49 30 1234567", "(212) 555-0199",
+    "212-555-0199", "123-45-6789", "DE89370400440532013000", "GB82WEST12345698765432", "jo.doe+x@mail7.example.com",
+    "é.b9@x.org", "Ab.55@mail1.example.com",
+]
+INVALID = [
+    "4111111111111112", "12345678901234567890", "2023-02-29", "31/04/2020", "1899-12-31", "2100-01-01", "256.1.1.1",
+    "1.2.3.4.5", "666-45-6789", "123-00-6789", "987-65-4321", "DE89370400440532013001", "a@b", "12-34", "1999", "@home",
+]
+
+
+def shape(value):
+    return re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub("[0-9]", "9", value)))
+
+
+def test_valid_values_change_within_their_format(spark):
+    for old, new in zip(VALID, masked(spark, VALID), strict=True):
+        assert new != old
+        if re.fullmatch(r"\d+(\.\d+){3}", old):
+            assert re.fullmatch(r"\d+(\.\d+){3}", new) and all(int(x) < 256 for x in new.split("."))
+            continue
+        if "é" not in old:
+            assert shape(new) == shape(old), (old, new)
+        digits = re.sub("[^0-9]", "", old)
+        if len(digits) >= 15 and luhn(digits) and "@" not in old and not old[0].isalpha():
+            assert luhn(re.sub("[^0-9]", "", new))
+        if re.fullmatch(r"\d{4}-\d\d-\d\d", old):
+            assert 1900 <= datetime.date.fromisoformat(new).year <= 2099
+        if re.match("[A-Z]{2}[0-9]{2}", old):
+            assert mod97(old) == mod97(new) == 1 and new[:2] == old[:2]
+        if "@" in old:
+            assert new.split("@")[1] == old.split("@")[1]
+
+
+def test_invalid_values_stay(spark):
+    assert masked(spark, INVALID) == INVALID
+
+
+def test_equal_values_stay_linked_and_keys_differ(spark):
+    text = "card 4111111111111111, again 4111111111111111; mail a.b@x.org (a.b@x.org)"
+    one, two = masked(spark, [text, "4111111111111111"])
+    cards = re.findall(r"\d{16}", one)
+    assert cards[0] == cards[1] == two and len(set(re.findall(r"[a-z.]+@x.org", one))) == 1
+    assert masked(spark, [text], key="other")[0] != one
+    assert one == masked(spark, [text])[0]
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [f"10.0.{i}.{j}" for i in range(20) for j in range(20)],
+        [str(datetime.date(1990, 1, 1) + datetime.timedelta(i)) for i in range(400)],
+        [f"{i:03d}-45-{j:04d}" for i in range(1, 21) for j in range(1, 21)],
+        [f"+1 (212) 555-{i:04d}" for i in range(400)],
+        [f"{a}{b}@x.org" for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrst"],
+    ],
+)
+def test_different_values_get_different_pseudonyms(spark, values):
+    new = masked(spark, [" ".join(values)])[0].split()
+    if values[0].startswith("+"):
+        new = re.findall(r"\+1 \(\d{3}\) \d{3}-\d{4}", " ".join(new))
+    assert len(set(new)) == len(values)
+
+
+def test_dates_are_permuted(spark):
+    """Every day of the domain is some day's pseudonym."""
+    first = datetime.date(1900, 1, 1)
+    days = [str(first + datetime.timedelta(i)) for i in range(73049)]
+    assert days[-1] == "2099-12-31"
+    texts = [" ".join(days[i : i + 2000]) for i in range(0, len(days), 2000)]
+    assert sorted(" ".join(masked(spark, texts)).split()) == days
+
+
+def test_text_around_stays_and_counts(spark):
+    text = "Von 4111111111111111.\n(4111111111111112) é 97.51.17.173, x 2024-02-29"
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    row = pii.pseudonymise(docs, "k").first()
+    assert re.fullmatch(r"Von \d{16}\.\n\(4111111111111112\) é \d+\.\d+\.\d+\.\d+, x \d{4}-\d\d-\d\d", row["text"])
+    assert [row[f"n_{k}"] for k in pii.KINDS] == [0, 0, 1, 1, 0, 0, 1]
+
+
+def test_odd_rows(spark):
+    long = "nothing here " * 80_000 + "4111111111111111"
+    rows = [(1, None, 5, "p"), (2, "", 5, "p"), (None, "4111111111111111", None, None), (None, "4111111111111111", None, None), (3, long, 0, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_card int, _pii string")
+    got = pii.pseudonymise(docs, "k").collect()
+    assert [r["text"] for r in got[:2]] == [None, ""] and got[2] == got[3]
+    assert [r["n_card"] for r in got] == [0, 0, 1, 1, 1] and got[0]["_pii"] == "p"
+    assert got[4]["text"][:-16] == long[:-16] and got[4]["text"][-16:] == got[2]["text"]
+    assert pii.pseudonymise(docs.limit(0), "k").count() == 0
+    with pytest.raises(ValueError):
+        pii.pseudonymise(docs, "")
