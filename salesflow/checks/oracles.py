@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# Fixed value: what counts as a number, as in functions/clean.py.
 NUMBER = r"'^\s*[-+]?(?:\d+(?:\.\d+)?|\.\d+)\s*$'"
 
 
@@ -158,19 +159,37 @@ DIRTY = """
 
 def _debtors(how: str) -> str:
     return f"""
-SELECT o_orderkey, o_custkey, c_custkey, c_name, c_acctbal
-FROM (SELECT * FROM orders WHERE o_orderstatus = 'P') {how} JOIN
-     (SELECT * FROM customer WHERE c_acctbal < 0) ON o_custkey = c_custkey"""
+SELECT o_orderkey, o_custkey, debtor, c_custkey, c_name, c_acctbal
+FROM (SELECT *, CASE WHEN o_orderstatus = 'P' THEN o_custkey END debtor FROM orders) {how} JOIN
+     (SELECT *, CASE WHEN c_acctbal < 0 THEN c_custkey END in_debt FROM customer) ON debtor = in_debt"""
 
 
-def _groups(table: str, key: str, value: str, spread: str) -> str:
+def _groups(table: str, key: str, value: str) -> str:
     return f"""
 SELECT key, chunk, CAST(count(*) AS INTEGER) n, string_agg(CAST(value AS VARCHAR), ',' ORDER BY value) AS values
-FROM (SELECT key, value, CASE WHEN total > 1000 THEN {spread} % CAST(ceil(total / 1000.0) AS BIGINT) ELSE 0 END chunk
-      FROM (SELECT {key} AS key, {value} AS value, count(*) OVER (PARTITION BY {key}) total FROM {table}))
+FROM (SELECT {key} AS key, {value} AS value,
+             (row_number() OVER (PARTITION BY {key} ORDER BY {value}) - 1) // 1000 chunk FROM {table})
 GROUP BY key, chunk"""
 
 
+SUBCENT = f"""
+WITH cust AS ({CUSTOMERS}),
+refunds_sum AS (SELECT order_id, sum(CAST(amount AS DECIMAL(18, 4))) refund FROM ({_refunds(ORDER_ID)}) GROUP BY order_id),
+first_lines AS (
+  SELECT * FROM ({_kept(LINES.replace("l_quantity item_qty", "l_discount item_qty"), NATIVE_CLEAN)})
+  QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY created_at, pos, customer_id, channel,
+                             item_qty_d, item_unit_price_d) = 1),
+exact AS (
+  SELECT left(created_at, 10) AS date, city, channel, t.order_id, t.customer_id, CAST(trunc(item_qty_d) AS BIGINT) sold,
+         CAST(item_qty_d AS DECIMAL(9, 4)) * CAST(item_unit_price_d AS DECIMAL(18, 4)) gross,
+         coalesce(refund, 0) refund
+  FROM first_lines t JOIN cust USING (customer_id) LEFT JOIN refunds_sum r ON t.order_id = r.order_id WHERE is_active)
+SELECT date, city, channel, count(DISTINCT order_id) orders_count, count(DISTINCT customer_id) unique_customers,
+       CAST(sum(sold) AS BIGINT) items_sold, CAST(round(sum(gross), 2) AS DOUBLE) gross_revenue_eur,
+       CAST(round(sum(refund), 2) AS DOUBLE) refunds_eur, CAST(round(sum(gross) + sum(refund), 2) AS DOUBLE) net_revenue_eur
+FROM exact GROUP BY date, city, channel"""
+
+
 WORDS = r"""
 SELECT word, count(*) count
 FROM (SELECT unnest(regexp_split_to_array(lower(regexp_replace(text, '[^\w\s]', ' ', 'g')), '\s+')) word FROM documents)
@@ -195,6 +214,7 @@ LINE_COLUMNS = "order_id, created_at, customer_id, channel, payment_status, pos,
 ORACLES = {
     "daily_city_sales": STAR_DAILY,
     "daily_decimal": STAR_DAILY,
+    "daily_decimal_subcent": SUBCENT,
     "daily_nested": SHIPMENTS_DAILY,
     "daily_dedup_order": f"{_sales(ORDER_TOTALS, SHIPMENT_ID)} SELECT * FROM daily",
     "orders_clean": f"""{STAR}
@@ -246,18 +266,22 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey =
 SELECT payment_status, round(sum(o_totalprice), 2) total_revenue
 FROM orders JOIN (VALUES ('F', 'paid'), ('P', 'pending'), ('O', 'failed')) t(status, payment_status)
   ON o_orderstatus = status GROUP BY payment_status""",
-    "filter_gt": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity > 6",
+    "filter_gt": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity > 23",
     "filter_even": "SELECT l_partkey FROM lineitem WHERE l_partkey % 2 = 0",
-    "map_double": "SELECT o_orderkey * 2 doubled FROM orders WHERE o_orderkey * 2 > 5",
+    "map_double": """
+SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) cents FROM orders WHERE round(o_totalprice * 100) > 9999""",
     "upper_lines": "SELECT upper(c_mktsegment) AS value FROM customer",
     "flat_map_words": "SELECT p_partkey, unnest(string_split(p_name, ' ')) word FROM part",
     "reduce_by_key": "SELECT event_type, round(sum(value), 2) total FROM events GROUP BY event_type",
-    "group_by_key": _groups("events", "event_type", "event_id", "value"),
-    "group_by_expr": _groups("orders", "o_orderkey % 2", "o_orderkey", "(value // 2)"),
+    "group_by_key": _groups("events", "event_type", "event_id"),
+    "group_by_expr": _groups("orders", "o_orderkey % 2", "o_orderkey"),
     "global_reduce": "SELECT sum(l_quantity) total, count(*) AS rows FROM lineitem",
     "distinct": "SELECT DISTINCT user_id, event_type FROM events",
     "distinct_counts": """
 SELECT o_orderstatus, count(DISTINCT o_orderkey) orders, count(DISTINCT o_custkey) customers
+FROM orders GROUP BY o_orderstatus""",
+    "distinct_estimate": """
+SELECT o_orderstatus, count(DISTINCT o_custkey) customers, true orders_near, true customers_near
 FROM orders GROUP BY o_orderstatus""",
     "sort_values": """
 SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS position FROM orders""",
@@ -279,13 +303,30 @@ SELECT order_id, refunds_eur, 'right' side, count(*) copies FROM (FROM b EXCEPT
     "src_csv_refunds": _refunds(ORDER_ID),
     "src_json_nested": EXPLODED,
     "src_json_arrays": EXPLODED,
+    "src_json_numbers": """
+SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) order_id,
+       CASE l_linenumber WHEN 1 THEN 100 * CAST(l_quantity AS INTEGER) WHEN 2 THEN 1000000 * CAST(l_quantity AS INTEGER)
+                         WHEN 3 THEN 0 ELSE l_quantity END + 0.0 item_qty_d,
+       l_extendedprice item_unit_price_d, l_linenumber = 3 OR l_quantity = 0 bad
+FROM lineitem""",
+    "src_json_bad_counts": """
+SELECT count(*) orders_rows_paid, count(*) FILTER (l_linenumber <> 1) items_qty_non_numeric,
+       CAST(0 AS BIGINT) items_unit_price_non_numeric
+FROM lineitem""",
     "src_text": "SELECT unnest(string_split(text, chr(10))) AS value FROM documents",
     "sink_csv": STAR_DAILY,
-    "sink_partitioned": f"""{STAR}
+    "sink_csv_order": f"""{STAR}
+SELECT date, city, channel, row_number() OVER (ORDER BY date, city, channel) AS position FROM daily""",
+    "sink_partitioned": f"{STAR} SELECT *, replace(date, '-', '') date_key FROM daily",
+    "sink_partitioned_filter": f"""{STAR}
 SELECT *, replace(date, '-', '') date_key FROM daily WHERE date BETWEEN '1997-01-01' AND '1997-12-31'""",
     "sink_table": STAR_DAILY,
     "sink_table_fallback": STAR_DAILY,
     "run_metrics": COUNTERS,
     "job_daily": SHIPMENTS_DAILY,
+    "job_fallback": SHIPMENTS_DAILY,
+    "job_rejects": f"""
+SELECT {HEAD}, item_qty, item_sku, item_unit_price, item_qty_d, item_unit_price_d
+FROM (SELECT *, {TEXT_CLEAN} FROM ({EXPLODED}) WHERE payment_status = 'paid') WHERE item_unit_price_d < 0""",
     "run_report": COUNTERS.replace("SELECT (SELECT count(*) FROM cust)", "SELECT 'OK' status, (SELECT count(*) FROM cust)"),
 }

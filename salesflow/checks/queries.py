@@ -45,13 +45,17 @@ from salesflow.sources import (
 from salesflow.staging import scratch_path, stage
 
 QUERIES = {}
-PAID_CODE = "F"  # the sales plan looks at paid orders only, so only these are read
 
 DAILY_SCHEMA = (
     "date string, city string, channel string, orders_count long, unique_customers long, "
     "items_sold long, gross_revenue_eur double, refunds_eur double, net_revenue_eur double"
 )
 
+REJECTS_SCHEMA = (
+    "channel string, created_at string, customer_id string, order_id string, payment_status string, "
+    "item_qty string, item_sku string, item_unit_price string, item_qty_d double, item_unit_price_d double"
+)
+
 
 def query(function):
     """Register under the function's name; a final underscore keeps it apart from an operator."""
@@ -71,7 +75,7 @@ def star_sales(spark: SparkSession, sf_dir: str, options: SalesOptions = SalesOp
     return sales_from_lines(
         star.customers(spark, sf_dir),
         star.refunds(spark, sf_dir),
-        star.order_lines(spark, sf_dir, PAID_CODE),
+        star.order_lines(spark, sf_dir),
         options,
     )
 
@@ -80,7 +84,7 @@ def nested_sales(spark: SparkSession, sf_dir: str, options: SalesOptions = Sales
     return build_daily_sales(
         star.customers(spark, sf_dir),
         clean_refunds(star.raw_shipment_refunds(spark, sf_dir)),
-        star.nested_orders(spark, sf_dir, PAID_CODE),
+        star.nested_orders(spark, sf_dir),
         options,
     )
 
@@ -98,6 +102,14 @@ def daily_decimal(spark, sf_dir):
     return star_sales(spark, sf_dir, SalesOptions(money="decimal")).daily_city_sales
 
 
+@query
+def daily_decimal_subcent(spark, sf_dir):
+    """Quantities below one give amounts with four decimals: only the daily sums are rounded."""
+    lines = star.order_lines(spark, sf_dir, qty="l_discount")
+    tables = (star.customers(spark, sf_dir), star.refunds(spark, sf_dir), lines)
+    return sales_from_lines(*tables, SalesOptions(money="decimal")).daily_city_sales
+
+
 @query
 def daily_nested(spark, sf_dir):
     return rounded_daily(nested_sales(spark, sf_dir).daily_city_sales)
@@ -108,13 +120,6 @@ def daily_dedup_order(spark, sf_dir):
     return rounded_daily(nested_sales(spark, sf_dir, SalesOptions(dedup="order")).daily_city_sales)
 
 
-@query
-def daily_approx(spark, sf_dir):
-    """Everything but the estimated customer count is exact."""
-    daily = star_sales(spark, sf_dir, SalesOptions(approx_distinct=True)).daily_city_sales
-    return rounded_daily(daily)
-
-
 @query
 def orders_clean(spark, sf_dir):
     return rounded(star_sales(spark, sf_dir).orders_clean, "gross_revenue_eur")
@@ -132,8 +137,8 @@ def kept_lines(spark, sf_dir):
 
 @query
 def paid_orders(spark, sf_dir):
-    orders = star.table(spark, sf_dir, "orders")
-    return orders.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey", "o_totalprice")
+    orders = sales.paid_orders(star.orders(spark, sf_dir))
+    return orders.select("o_orderkey", "o_custkey", "o_totalprice")
 
 
 @query
@@ -154,7 +159,7 @@ def dedup_first(spark, sf_dir):
 
 @query
 def per_order(spark, sf_dir):
-    kept, _ = sales.split_lines(sales.paid_orders(star.order_lines(spark, sf_dir, PAID_CODE)))
+    kept, _ = sales.split_lines(sales.paid_orders(star.order_lines(spark, sf_dir)))
     return rounded(sales.per_order(kept), "gross_revenue_eur")
 
 
@@ -238,28 +243,33 @@ def left_join(spark, sf_dir):
     return join_dimension(orders, lines, "o_orderkey", "l_orderkey", "left").drop("l_orderkey")
 
 
-def _orders_and_debtors(spark, sf_dir, how):
-    """Orders that are still open and customers in debt: both sides have rows without a match."""
-    orders = star.table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'")
-    debtors = star.table(spark, sf_dir, "customer").filter("c_acctbal < 0")
-    return join_dimension(orders, debtors, "o_custkey", "c_custkey", how).select(
-        "o_orderkey", "o_custkey", "c_custkey", "c_name", "c_acctbal"
+def _open_orders_of_debtors(spark, sf_dir, how):
+    """All orders and all customers, matched where the order is open and the customer in debt: the
+    key is null in the other rows, so both sides have rows without a match."""
+    orders = star.table(spark, sf_dir, "orders").withColumn(
+        "debtor", F.when(F.col("o_orderstatus") == "P", F.col("o_custkey"))
+    )
+    customers = star.table(spark, sf_dir, "customer").withColumn(
+        "in_debt", F.when(F.col("c_acctbal") < 0, F.col("c_custkey"))
+    )
+    return join_dimension(orders, customers, "debtor", "in_debt", how).select(
+        "o_orderkey", "o_custkey", "debtor", "c_custkey", "c_name", "c_acctbal"
     )
 
 
 @query
 def join_inner(spark, sf_dir):
-    return _orders_and_debtors(spark, sf_dir, "inner")
+    return _open_orders_of_debtors(spark, sf_dir, "inner")
 
 
 @query
 def join_right(spark, sf_dir):
-    return _orders_and_debtors(spark, sf_dir, "right")
+    return _open_orders_of_debtors(spark, sf_dir, "right")
 
 
 @query
 def join_full(spark, sf_dir):
-    return _orders_and_debtors(spark, sf_dir, "full")
+    return _open_orders_of_debtors(spark, sf_dir, "full")
 
 
 # --- projections, filters, aggregates ---------------------------------------------------
@@ -312,7 +322,7 @@ def local_sales(spark, sf_dir):
 @query
 def filter_gt(spark, sf_dir):
     lines = star.table(spark, sf_dir, "lineitem")
-    return lines.filter(F.col("l_quantity") > 6).select("l_orderkey", "l_linenumber", "l_quantity")
+    return lines.filter(F.col("l_quantity") > 23).select("l_orderkey", "l_linenumber", "l_quantity")
 
 
 @query
@@ -322,8 +332,8 @@ def filter_even(spark, sf_dir):
 
 @query
 def map_double(spark, sf_dir):
-    doubled = star.table(spark, sf_dir, "orders").select((F.col("o_orderkey") * 2).alias("doubled"))
-    return doubled.filter(F.col("doubled") > 5)
+    cents = F.round(F.col("o_totalprice") * 100).cast("long")
+    return star.table(spark, sf_dir, "orders").select("o_orderkey", cents.alias("cents")).filter("cents > 9999")
 
 
 @query
@@ -350,15 +360,13 @@ def _as_text(groups: DataFrame) -> DataFrame:
 @query
 def group_by_key(spark, sf_dir):
     events = star.table(spark, sf_dir, "events")
-    groups = group_values(events, F.col("event_type"), F.col("event_id"), 1000, spread=F.col("value"))
-    return _as_text(groups)
+    return _as_text(group_values(events, F.col("event_type"), F.col("event_id"), 1000))
 
 
 @query
 def group_by_expr(spark, sf_dir):
     orders = star.table(spark, sf_dir, "orders")
-    halves = F.floor(F.col("value") / 2)
-    return _as_text(group_values(orders, F.col("o_orderkey") % 2, F.col("o_orderkey"), 1000, spread=halves))
+    return _as_text(group_values(orders, F.col("o_orderkey") % 2, F.col("o_orderkey"), 1000))
 
 
 @query
@@ -380,6 +388,19 @@ def distinct_counts(spark, sf_dir):
     )
 
 
+@query
+def distinct_estimate(spark, sf_dir):
+    """Estimated beside exact counts: whether each estimate is within five of its standard errors."""
+    error = 0.02
+    orders = star.table(spark, sf_dir, "orders")
+    near = lambda c: F.abs(F.approx_count_distinct(c, error) - F.count_distinct(c)) <= 5 * error * F.count_distinct(c)
+    return orders.groupBy("o_orderstatus").agg(
+        F.count_distinct("o_custkey").alias("customers"),
+        near("o_orderkey").alias("orders_near"),
+        near("o_custkey").alias("customers_near"),
+    )
+
+
 # --- order, sets, words -----------------------------------------------------------------
 
 
@@ -493,6 +514,42 @@ def src_json_arrays(spark, sf_dir):
     return explode_items(read_orders(spark, f"{path}/part-*"))
 
 
+@query
+def src_json_numbers(spark, sf_dir):
+    """Quantities as numbers, some with an exponent and some above ten million, and as text."""
+    path = scratch_path(spark, "orders")
+    lines = star.table(spark, sf_dir, "lineitem")
+    qty = (
+        F.when(F.col("l_linenumber") == 1, F.concat(F.col("l_quantity").cast("int"), F.lit("e2")))
+        .when(F.col("l_linenumber") == 2, F.concat(F.col("l_quantity").cast("int"), F.lit("000000")))
+        .when(F.col("l_linenumber") == 3, F.concat(F.lit('"'), F.col("l_quantity").cast("int"), F.lit('e2"')))
+        .otherwise(F.concat(F.lit('"'), F.replace(F.col("l_quantity").cast("string"), F.lit("."), F.lit(",")), F.lit('"')))
+    )
+    price = F.format_string("%.2f", "l_extendedprice")
+    order = F.concat(
+        F.lit('{"order_id":"'), "l_orderkey", F.lit("-"), "l_linenumber", F.lit('","items":[{"qty":'), qty,
+        F.lit(',"unit_price":'), price, F.lit("}]}"),
+    )
+    write_lines(lines.select(order.alias("value")), path)
+    items = explode_items(read_orders(spark, path, multiline=False))
+    cleaned = sales.clean_lines(items).select("order_id", "item_qty_d", "item_unit_price_d")
+    return cleaned.withColumn("bad", F.col("item_qty_d") == 0)
+
+
+@query
+def src_json_bad_counts(spark, sf_dir):
+    """What ``src_json_numbers`` reads, counted by the metrics: only exponents in text are bad."""
+    path = scratch_path(spark, "orders")
+    lines = star.table(spark, sf_dir, "lineitem")
+    number = F.concat(F.col("l_quantity").cast("int"), F.lit("E1"))
+    qty = F.when(F.col("l_linenumber") == 1, number).otherwise(F.concat(F.lit('"'), number, F.lit('"')))
+    order = F.concat(F.lit('{"payment_status":"paid","items":[{"qty":'), qty, F.lit(',"unit_price":1E0}]}'))
+    write_lines(lines.select(order.alias("value")), path)
+    return metrics.order_counts(read_orders(spark, path, multiline=False)).select(
+        "orders_rows_paid", "items_qty_non_numeric", "items_unit_price_non_numeric"
+    )
+
+
 @query
 def src_text(spark, sf_dir):
     path = scratch_path(spark, "lines")
@@ -508,13 +565,33 @@ def sink_csv(spark, sf_dir):
 
 
 @query
-def sink_partitioned(spark, sf_dir):
+def sink_csv_order(spark, sf_dir):
+    """Where each row stands in the sorted CSV: by the names of the parts, then by line."""
     path = scratch_path(spark, "daily")
-    daily = stage(star_sales(spark, sf_dir).daily_city_sales, "daily")
-    write_partitioned_csv(daily, path, sort_by=["city", "channel"])
+    write_csv(star_sales(spark, sf_dir).daily_unsorted, path, sort_by=["date", "city", "channel"])
+    back = spark.read.schema(DAILY_SCHEMA).option("header", True).csv(path, sep=";")
+    file, block = F.col("_metadata.file_name"), F.col("_metadata.file_block_start")
+    rows = back.select("date", "city", "channel", file.alias("file"), block.alias("block"))
+    rows = rows.withColumn("line", F.monotonically_increasing_id())  # rises within a block
+    return number_sorted(rows, F.col("file"), F.col("block"), F.col("line")).drop("file", "block", "line")
+
+
+def _daily_by_date(spark, sf_dir):
+    path = scratch_path(spark, "daily")
+    write_partitioned_csv(stage(star_sales(spark, sf_dir).daily_unsorted, "daily"), path, sort_by=["city", "channel"])
     reader = spark.read.schema(DAILY_SCHEMA + ", date_key string").option("header", True)
-    # the folders of one year; the other dates are not even listed
-    return reader.option("basePath", path).csv(f"{path}/date_key=1997*", sep=";")
+    return reader.csv(path, sep=";")
+
+
+@query
+def sink_partitioned(spark, sf_dir):
+    return _daily_by_date(spark, sf_dir)
+
+
+@query
+def sink_partitioned_filter(spark, sf_dir):
+    """One year of the dates: the other folders are not read."""
+    return _daily_by_date(spark, sf_dir).filter(F.col("date_key").between("19970101", "19971231"))
 
 
 @query
@@ -556,7 +633,7 @@ def run_metrics_(spark, sf_dir):
     )
 
 
-def _run_job(spark, sf_dir) -> tuple[str, DataFrame]:
+def _run_job(spark, sf_dir, **options) -> tuple[str, DataFrame]:
     source, out = scratch_path(spark, "input"), scratch_path(spark, "output")
     write_csv(star.raw_customers(spark, sf_dir), f"{source}/customers", sep=",")
     write_csv(star.raw_shipment_refunds(spark, sf_dir), f"{source}/refunds", sep=",")
@@ -568,6 +645,7 @@ def _run_job(spark, sf_dir) -> tuple[str, DataFrame]:
         f"{source}/orders/*.json",
         out,
         multiline=False,
+        **options,
     )
     return out, report
 
@@ -580,6 +658,24 @@ def job_daily(spark, sf_dir):
     return spark.read.schema(DAILY_SCHEMA).option("header", True).csv(path, sep=";")
 
 
+@query
+def job_fallback(spark, sf_dir):
+    """The whole job without the driver of its database: the daily table as CSV instead, in the
+    format of the job's other files."""
+    jdbc = {"url": "jdbc:none:daily", "driver": "none.Driver"}
+    out, _ = _run_job(spark, sf_dir, jdbc=jdbc, sep=",", float_format=None)
+    path = f"{out}/db/daily_city_sales"
+    return rounded_daily(spark.read.schema(DAILY_SCHEMA).option("header", True).csv(path, sep=","))
+
+
+@query
+def job_rejects(spark, sf_dir):
+    """The rejects that the whole job writes, read back."""
+    out, _ = _run_job(spark, sf_dir)
+    reader = spark.read.schema(REJECTS_SCHEMA).option("header", True)
+    return reader.csv(f"{out}/rejects/rejects_items", sep=";")
+
+
 @query
 def run_report(spark, sf_dir):
     """The whole job from files to files; the counters of its report."""

@@ -34,14 +34,14 @@ def _is_finite(number: Column) -> Column:
 
 def safe_double(c: Column | str) -> Column:
     """Number held as text to double. A decimal comma is read as a point; whatever is not a
-    plain decimal number, and null, becomes 0.0. Columns that already hold numbers are taken
-    as they are, so 1.0E7 is not mistaken for bad text."""
+    plain decimal number, and null, becomes 0.0, and so do numbers beyond a double. Columns that
+    already hold numbers are taken as they are, so 1.0E7 is not mistaken for bad text."""
     c = _column(c)
     native = c.try_cast("double")
     text = _with_point(c)
     return (
         F.when(_has_number_type(c), F.when(_is_finite(native), native).otherwise(0.0))
-        .when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+        .when(text.rlike(NUMBER_PATTERN) & _is_finite(text.try_cast("double")), text.try_cast("double"))
         .otherwise(0.0)
     )
 
@@ -49,9 +49,9 @@ def safe_double(c: Column | str) -> Column:
 def is_non_numeric(c: Column | str) -> Column:
     """True where ``safe_double`` replaces a bad value by 0.0; null stays null (not bad)."""
     c = _column(c)
-    return F.when(_has_number_type(c), ~_is_finite(c.try_cast("double"))).otherwise(
-        ~_with_point(c).rlike(NUMBER_PATTERN)
-    )
+    text = _with_point(c)
+    number = text.rlike(NUMBER_PATTERN) & _is_finite(F.coalesce(text.try_cast("double"), F.lit(0.0)))
+    return F.when(_has_number_type(c), ~_is_finite(c.try_cast("double"))).otherwise(~number)
 
 
 def normalise_bool(c: Column | str, trim: bool = False) -> Column:

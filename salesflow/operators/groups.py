@@ -3,44 +3,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesflow.operators.order import number_sorted
+from salesflow.staging import stage
 
-def group_values(
-    df: DataFrame,
-    key: Column,
-    value: Column,
-    max_values: int = 10_000,
-    spread: Column | None = None,
-) -> DataFrame:
-    """All values per key as sorted arrays: rows ``(key, chunk, values)``.
 
-    A key with at most ``max_values`` values gives one row, chunk 0. A larger key is spread over
-    ceil(count / max_values) chunks, so no array and no task ever holds an unbounded group.
-    ``spread`` (default: a hash of the value) says how values are dealt to the chunks; it may
-    refer to the column ``value``. Copies of one value travel as a count, and a value with
-    more copies than fit is cut into pieces that are dealt separately."""
-    copies = df.groupBy(key.alias("key"), value.alias("value")).agg(F.count("*").alias("copies"))
-    large = (
-        copies.groupBy(F.col("key").alias("large_key"))
-        .agg(F.sum("copies").alias("total"))
-        .filter(F.col("total") > max_values)
-        .select("large_key", F.ceil(F.col("total") / max_values).alias("chunks"))
-    )
-    last_piece = F.floor((F.col("copies") - 1) / max_values)
-    pieces = copies.select(
-        "key", "value", "copies", F.explode(F.sequence(F.lit(0).cast("long"), last_piece)).alias("piece")
-    ).withColumn("copies", F.least(F.lit(max_values), F.col("copies") - F.col("piece") * max_values))
-    spread = F.xxhash64("value") if spread is None else spread
-    # No broadcast hint: Spark measures ``large`` at run time, broadcasts it when it is small
-    # and otherwise splits the skewed side of the join. The explicit repartition lets it do so:
-    # without it the groups would be built on the partitions of the join, all of a key in one.
-    chunk = F.pmod(F.pmod(spread, F.col("chunks")) + F.col("piece"), F.col("chunks"))
-    chunked = pieces.join(large, F.col("key").eqNullSafe(F.col("large_key")), "left").select(
-        "key", F.coalesce(chunk, F.lit(0)).cast("long").alias("chunk"), "value", "copies"
-    )
-    copy = lambda run: F.array_repeat(run["value"], run["copies"].cast("int"))
+def group_values(df: DataFrame, key: Column, value: Column, max_values: int = 10_000) -> DataFrame:
+    """All values per key as sorted arrays of at most ``max_values``: rows ``(key, chunk, values)``,
+    whatever the sizes. Chunk 0 of a key holds its first values, chunk 1 the next, and so on.
+
+    The rows are numbered by a distributed sort, so a value's place within its key is its number
+    less that of the key's first row, and neither a large key nor many copies of one value ever
+    meet in one task."""
+    rows = df.select(key.alias("key"), value.alias("value"), F.monotonically_increasing_id().alias("_row"))
+    numbered = number_sorted(rows, F.col("key"), F.col("value"), F.col("_row"), name="_number")
+    first = numbered.groupBy(F.col("key").alias("_key")).agg(F.min("_number").alias("_first"))
+    chunk = F.floor((F.col("_number") - F.col("_first")) / max_values)
+    # No broadcast hint: Spark measures ``first`` at run time, broadcasts it when it is small and
+    # otherwise splits a large key in the join. Reading ``first`` from files and the explicit
+    # repartition let it do so.
     return (
-        chunked.repartition("key", "chunk")
+        numbered.join(stage(first, "first"), F.col("key").eqNullSafe(F.col("_key")))
+        .select("key", chunk.cast("long").alias("chunk"), "_number", "value")
+        .repartition("key", "chunk")
         .groupBy("key", "chunk")
-        .agg(F.sort_array(F.collect_list(F.struct("value", "copies"))).alias("runs"))
-        .select("key", "chunk", F.flatten(F.transform("runs", copy)).alias("values"))
+        .agg(F.sort_array(F.collect_list(F.struct("_number", "value"))).alias("_sorted"))
+        .select("key", "chunk", F.transform("_sorted", lambda v: v["value"]).alias("values"))
     )

@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def join_dimension(
@@ -11,13 +10,17 @@ def join_dimension(
 
     Inner and left joins go to Spark as they are: a small dimension is broadcast, and a hot key
     on the fact side is split at run time. Spark can do neither for right and full joins, so
-    these take the inner or left join and add the dimension rows that no fact refers to."""
-    matching = F.col(fact_key) == F.col(dimension_key)
+    these take the inner or left join and add the dimension rows that no fact refers to. All
+    columns of both sides are in the result, in their order; equal names stay apart by position."""
     if how not in ("inner", "left", "right", "full"):
         raise ValueError(f"how must be inner, left, right or full, not {how!r}")
+    left = facts.toDF(*[f"f{i}" for i in range(len(facts.columns))])
+    right = dimension.toDF(*[f"d{i}" for i in range(len(dimension.columns))])
+    a, b = f"f{facts.columns.index(fact_key)}", f"d{dimension.columns.index(dimension_key)}"
+    names = [*facts.columns, *dimension.columns]
     if how in ("inner", "left"):
-        return facts.join(dimension, matching, how)
-    matched = facts.join(dimension, matching, "inner" if how == "right" else "left")
-    used = facts.select(fact_key).distinct()
-    unused = dimension.join(used, matching, "left_anti")
-    return matched.unionByName(unused, allowMissingColumns=True)
+        return left.join(right, left[a] == right[b], how).toDF(*names)
+    matched = left.join(right, left[a] == right[b], "inner" if how == "right" else "left")
+    used = left.select(left[a].alias("used")).distinct()
+    unused = right.join(used, right[b] == used["used"], "left_anti")
+    return matched.unionByName(unused, allowMissingColumns=True).toDF(*names)

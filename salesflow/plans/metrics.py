@@ -12,6 +12,7 @@ from salesflow.functions import is_non_numeric, parse_date, safe_double
 from salesflow.operators import explode_items
 from salesflow.plans.sales import PAID
 
+# The keys of the run report.
 COUNTERS = [
     "customers_rows_raw",
     "dup_customers",

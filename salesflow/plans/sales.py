@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from salesflow.functions import parse_date, safe_double
 from salesflow.operators import explode_items, keep_first, route_rejects
 
+# The status that counts, and the columns of the results in their order.
 PAID = "paid"
 ORDER_KEYS = ["order_id", "customer_id", "channel", "created_at"]
 ORDERS_CLEAN = [
@@ -22,10 +23,9 @@ ORDERS_CLEAN = [
     "items_sold",
     "gross_revenue_eur",
 ]
+DAILY_GROUPS = ["date", "city", "channel"]
 DAILY_CITY_SALES = [
-    "date",
-    "city",
-    "channel",
+    *DAILY_GROUPS,
     "orders_count",
     "unique_customers",
     "items_sold",
@@ -39,15 +39,14 @@ DAILY_CITY_SALES = [
 class SalesOptions:
     """dedup: "line" keeps the first surviving line of each order; "order" drops repeated
     orders and keeps all lines of the first one. on_bad_date: "null" or "error".
-    money: "double", or "decimal" for sums that do not depend on the order of addition.
-    approx_distinct: estimate the unique customers, which saves the shuffle by customer.
+    money: "double", or "decimal" for exact sums: quantities and prices are taken to four decimals,
+    their products added as they are, and only the daily sums are rounded to cents, once.
     dedup_customers: keep one city per customer instead of one result row per duplicate."""
 
     dedup: str = "line"
     keep_empty: bool = False
     on_bad_date: str = "null"
     money: str = "double"
-    approx_distinct: bool = False
     dedup_customers: bool = False
 
     def __post_init__(self):
@@ -86,9 +85,13 @@ class SalesTables:
         return orders_clean(self.per_order, self.active_customers, self.options.on_bad_date)
 
     @cached_property
-    def daily_city_sales(self) -> DataFrame:
+    def daily_unsorted(self) -> DataFrame:
         return daily_city_sales(self.per_order, self.active_customers, self.options)
 
+    @cached_property
+    def daily_city_sales(self) -> DataFrame:
+        return self.daily_unsorted.orderBy(*DAILY_GROUPS)
+
     def on_staged(self, per_order: DataFrame) -> SalesTables:
         """The same tables with ``per_order``, written and read back, as their new start."""
         return replace(self, staged_per_order=per_order)
@@ -113,24 +116,28 @@ def split_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return route_rejects(clean_lines(lines), F.col("item_unit_price_d") < 0)
 
 
-def _line_gross():
+FACTOR, AMOUNT = "decimal(13,4)", "decimal(27,8)"  # the product of two factors is an amount
+
+
+def _line_gross(money: str) -> Column:
+    if money == "decimal":
+        return (F.col("item_qty_d").cast(FACTOR) * F.col("item_unit_price_d").cast(FACTOR)).cast(AMOUNT)
     return F.col("item_qty_d") * F.col("item_unit_price_d")
 
 
 def _sum_money(amount: Column, money: str) -> Column:
-    """A sum as double; exact in between if money is "decimal"."""
-    return F.sum(amount.cast("decimal(38,6)") if money == "decimal" else amount).cast("double")
+    return F.sum(amount).cast(AMOUNT) if money == "decimal" else F.sum(amount)
 
 
 def per_order(lines: DataFrame, money: str = "double") -> DataFrame:
     """Items and gross revenue per order, summed over all its lines."""
     return lines.groupBy(*ORDER_KEYS).agg(
         F.sum("item_qty_d").cast("long").alias("items_sold"),
-        _sum_money(_line_gross(), money).alias("gross_revenue_eur"),
+        _sum_money(_line_gross(money), money).alias("gross_revenue_eur"),
     )
 
 
-def first_line_per_order(lines: DataFrame) -> DataFrame:
+def first_line_per_order(lines: DataFrame, money: str = "double") -> DataFrame:
     """The same columns from each order's first line. One line per order is left, so there is
     nothing to sum and no second aggregation. Only the columns of the result are compared and
     shuffled: lines that tie on all of them give the same result."""
@@ -138,12 +145,13 @@ def first_line_per_order(lines: DataFrame) -> DataFrame:
     return keep_first(needed, ["order_id"], ["created_at", "pos"]).select(
         *ORDER_KEYS,
         F.col("item_qty_d").cast("long").alias("items_sold"),
-        _line_gross().alias("gross_revenue_eur"),
+        _line_gross(money).alias("gross_revenue_eur"),
     )
 
 
 def refunds_per_order(refunds: DataFrame, money: str = "double") -> DataFrame:
-    total = _sum_money(F.col("amount"), money)
+    amount = F.col("amount").cast(FACTOR).cast(AMOUNT) if money == "decimal" else F.col("amount")
+    total = _sum_money(amount, money)
     return refunds.groupBy("order_id").agg(total.alias("refunds_eur"))
 
 
@@ -152,7 +160,7 @@ def with_refunds(orders: DataFrame, refunds: DataFrame, money: str = "double") -
     dropped. After the dedup both sides are partitioned by order_id, so the join itself shuffles
     nothing."""
     return orders.join(refunds_per_order(refunds, money), "order_id", "left").withColumn(
-        "refunds_eur", F.coalesce("refunds_eur", F.lit(0.0))
+        "refunds_eur", F.coalesce("refunds_eur", F.lit(0).cast(AMOUNT if money == "decimal" else "double"))
     )
 
 
@@ -171,6 +179,7 @@ def orders_clean(orders: DataFrame, active: DataFrame, on_bad_date: str = "null"
     return (
         with_city(orders, active)
         .withColumn("order_date", parse_date("created_at", on_bad_date))
+        .withColumn("gross_revenue_eur", F.col("gross_revenue_eur").cast("double"))
         .select(*ORDERS_CLEAN)
     )
 
@@ -178,7 +187,7 @@ def orders_clean(orders: DataFrame, active: DataFrame, on_bad_date: str = "null"
 def daily_city_sales(
     orders: DataFrame, active: DataFrame, options: SalesOptions = SalesOptions()
 ) -> DataFrame:
-    """Sales per date, city and channel.
+    """Sales per date, city and channel, unsorted.
 
     Orders are summed per date, channel and customer before customers are joined: a customer
     with a third of all orders shrinks to a few rows first. As ``orders`` holds each order once,
@@ -187,38 +196,33 @@ def daily_city_sales(
     A customer listed twice in one city counts double in the sums, but once in the counts."""
     date = parse_date("created_at", options.on_bad_date).alias("date")
     money = ["gross_revenue_eur", "refunds_eur"]
-    if options.money == "decimal":
-        orders = orders.withColumns({c: F.round(F.col(c).cast("decimal(38,6)"), 2) for c in money})
-    cities = active.groupBy("customer_id", "city").agg(F.count("*").alias("listed"))
-    groups = ["date", "city", "channel"]
-    totals = ["items_sold", *money]
-    if options.approx_distinct:
-        counted = F.col("order_id").isNotNull().cast("long").alias("orders_count")
-        parts = orders.select(date, "channel", "customer_id", counted, *totals)
-        unique_customers = F.approx_count_distinct("customer_id")
-    else:
-        parts = orders.groupBy(date, "channel", "customer_id").agg(
-            F.count("order_id").alias("orders_count"), *[F.sum(c).alias(c) for c in totals]
-        )
-        unique_customers = F.count("customer_id")
+    cities = active.groupBy("customer_id", "city").agg(F.count("*").cast("int").alias("listed"))
+    parts = orders.groupBy(date, "channel", "customer_id").agg(
+        F.count("order_id").alias("orders_count"),
+        F.sum("items_sold").alias("items_sold"),
+        *[_sum_money(F.col(c), options.money).alias(c) for c in money],
+    )
     daily = (
         parts.join(cities, "customer_id")
-        .groupBy(*groups)
+        .groupBy(*DAILY_GROUPS)
         .agg(
             F.sum("orders_count").alias("orders_count"),
-            unique_customers.alias("unique_customers"),
-            *[F.sum(F.col(c) * F.col("listed")).alias(c) for c in totals],
+            F.count("customer_id").alias("unique_customers"),
+            F.sum(F.col("items_sold") * F.col("listed")).alias("items_sold"),
+            *[F.sum(F.col(c) * F.col("listed")).alias(c) for c in money],
         )
     )
     net = F.col("gross_revenue_eur") + F.col("refunds_eur")
+    amounts = {**{c: F.col(c) for c in money}, "net_revenue_eur": net}
+    if options.money == "decimal":
+        amounts = {name: F.round(amount, 2) for name, amount in amounts.items()}
     return daily.select(
-        *groups,
+        *DAILY_GROUPS,
         "orders_count",
         "unique_customers",
         "items_sold",
-        *[F.col(c).cast("double") for c in money],
-        net.cast("double").alias("net_revenue_eur"),
-    ).orderBy(*groups)
+        *[amount.cast("double").alias(name) for name, amount in amounts.items()],
+    )
 
 
 def sales_from_lines(
@@ -231,7 +235,7 @@ def sales_from_lines(
     if options.dedup != "line":
         raise ValueError("flat lines can only be deduplicated by line")
     kept, rejects = split_lines(paid_orders(lines))
-    totals = first_line_per_order(kept)
+    totals = first_line_per_order(kept, options.money)
     return SalesTables(customers, refunds, kept, rejects.drop("pos"), totals, options)
 
 
@@ -246,7 +250,7 @@ def build_daily_sales(
     paid = paid_orders(orders)
     kept, rejects = split_lines(explode_items(paid, keep_empty=options.keep_empty))
     if options.dedup == "line":
-        totals = first_line_per_order(kept)
+        totals = first_line_per_order(kept, options.money)
     else:
         first = keep_first(paid, ["order_id"], ["created_at"])
         kept, _ = split_lines(explode_items(first, keep_empty=options.keep_empty))

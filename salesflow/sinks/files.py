@@ -9,8 +9,6 @@ from pyspark.sql import types as T
 
 from salesflow.functions import date_key, money_text
 
-_BROADCAST_ROWS = 10_000  # of (date, number of files); more than that are joined by shuffle
-
 
 def format_numbers(df: DataFrame, pattern: str | None) -> DataFrame:
     """Fractional columns as fixed-point text; Spark would write 1.2E8 for large doubles."""
@@ -20,10 +18,6 @@ def format_numbers(df: DataFrame, pattern: str | None) -> DataFrame:
     return df.withColumns({c: money_text(c, pattern) for c in fractional})
 
 
-def _single_file_allowed(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def write_csv(
     df: DataFrame,
     path: str,
@@ -32,20 +26,12 @@ def write_csv(
     header: bool = True,
     sort_by: list[str] | None = None,
     float_format: str | None = "%.2f",
-    single_file: bool = False,
-    single_file_max_rows: int = 1_000_000,
     **options: str,
 ) -> None:
     """A folder of CSV part files, replaced if it exists. With sort_by the parts, read in the
-    order of their names, are globally sorted. single_file=True gives one part file if the
-    table has at most single_file_max_rows rows; a larger one is written in parallel as usual.
-    Further options (encoding, compression, ...) go to Spark's CSV writer."""
-    out = df
-    if single_file and _single_file_allowed(df, single_file_max_rows):
-        out = df.repartition(1)
-        out = out.sortWithinPartitions(*sort_by) if sort_by else out
-    elif sort_by:
-        out = df.orderBy(*sort_by)
+    order of their names, are globally sorted. Further options (encoding, compression, ...) go to
+    Spark's CSV writer."""
+    out = df.orderBy(*sort_by) if sort_by else df
     (
         format_numbers(out, float_format)
         .write.mode("overwrite")
@@ -67,29 +53,25 @@ def write_partitioned_csv(
 ) -> None:
     """One folder ``date_key=YYYYMMDD`` per date, all dates in one job. The rows keep their
     date column. A date gets one sorted file, or, if it has more than max_rows_per_file rows,
-    several. ``df`` is read twice, to count and to write, so pass a staged or cached table."""
+    several. ``df`` is read twice, to count and to write, so pass a staged or cached table; its
+    order does not matter."""
     out = df.withColumn("date_key", date_key(date))
     large = (
         out.groupBy(F.col("date_key").alias("_key"))
         .agg(F.ceil(F.count("*") / max_rows_per_file).alias("_files"))
         .filter("_files > 1")
     )
-    n_large = large.limit(_BROADCAST_ROWS + 1).count()
-    shuffle_keys = ["date_key"]
-    if n_large:
-        if n_large <= _BROADCAST_ROWS:
-            large = F.broadcast(large)
-        # The task number spreads copies of a row too, and is the same when a task runs again.
-        file = F.pmod(F.xxhash64("_task", *df.columns), F.col("_files"))
-        out = (
-            out.withColumn("_task", F.spark_partition_id())
-            .join(large, F.col("date_key").eqNullSafe(F.col("_key")), "left")
-            .select(*out.columns, F.coalesce(file, F.lit(0)).alias("_file"))
-        )
-        shuffle_keys.append("_file")
+    # The task number spreads copies of a row too, and is the same when a task runs again. Spark
+    # broadcasts ``large`` by its measured size, or splits the large dates in the join.
+    file = F.pmod(F.xxhash64("_task", *df.columns), F.col("_files"))
+    out = (
+        out.withColumn("_task", F.spark_partition_id())
+        .join(large, F.col("date_key").eqNullSafe(F.col("_key")), "left")
+        .select(*out.columns, F.coalesce(file, F.lit(0)).alias("_file"))
+    )
     # As many tasks as a shuffle has, even for few rows: small files cost time, not memory.
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = out.repartition(tasks, *shuffle_keys).sortWithinPartitions("date_key", *sort_by).drop("_file")
+    out = out.repartition(tasks, "date_key", "_file").sortWithinPartitions("date_key", *sort_by).drop("_file")
     (
         format_numbers(out, float_format)
         .write.mode("overwrite")
@@ -112,14 +94,15 @@ def save_table(
     path: str | None = None,
     fallback_format: str | None = None,
     fallback_path: str | None = None,
+    fallback_options: dict | None = None,
     **options: str,
 ) -> str:
     """Replace a table and return the format that was written.
 
     format="jdbc" writes to a database (options: url, driver, numPartitions, ...); any other
     format writes a catalog table, at ``path`` if given. If the JDBC driver is not on the class
-    path and fallback_format is given, the same rows are written to fallback_path instead. Any
-    other failure is raised, so that a half-written table is never taken for a success."""
+    path and fallback_format is given, the same rows are written to fallback_path instead, a CSV
+    with fallback_options as ``write_csv`` takes them. Any other failure is raised, so that a half-written table is never taken for a success."""
     if format != "jdbc":
         writer = df.write.mode("overwrite").format(format).options(**options)
         (writer.option("path", path) if path else writer).saveAsTable(name)
@@ -131,9 +114,9 @@ def save_table(
         if not (fallback_format and fallback_path and _driver_is_missing(error)):
             raise
     if fallback_format == "csv":
-        write_csv(df, fallback_path)
+        write_csv(df, fallback_path, **(fallback_options or {}))
     else:
-        df.write.mode("overwrite").format(fallback_format).save(fallback_path)
+        df.write.mode("overwrite").format(fallback_format).options(**(fallback_options or {})).save(fallback_path)
     return fallback_format
 
 

@@ -3,6 +3,7 @@
 from .files import (
     clean_customers,
     clean_refunds,
+    list_files,
     read_customers,
     read_lines,
     read_orders,
@@ -12,6 +13,7 @@ from .files import (
 __all__ = [
     "clean_customers",
     "clean_refunds",
+    "list_files",
     "read_customers",
     "read_lines",
     "read_orders",

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesflow.functions import normalise_bool, safe_double
 from salesflow.sources import schemas
@@ -22,10 +23,11 @@ def _load(reader, method: str, path: Paths) -> DataFrame:
     return df
 
 
-def _read_csv(spark: SparkSession, path: Paths, infer: bool, sep: str) -> DataFrame:
+def _read_csv(spark: SparkSession, path: Paths, infer: bool, sep: str, encoding: str) -> DataFrame:
     """All columns of the header, as text unless inferred. Only the first line of one file is
     read for that; files whose header differs are an error instead of being read askew."""
     reader = spark.read.option("header", True).option("sep", sep).option("enforceSchema", False)
+    reader = reader.option("encoding", encoding)
     return _load(reader.option("inferSchema", infer), "csv", path)
 
 
@@ -52,20 +54,81 @@ def clean_refunds(df: DataFrame) -> DataFrame:
 
 
 def read_customers(
-    spark: SparkSession, path: Paths, *, infer: bool = False, sep: str = ",", raw: bool = False
+    spark: SparkSession,
+    path: Paths,
+    *,
+    infer: bool = False,
+    sep: str = ",",
+    encoding: str = "UTF-8",
+    trim: bool = False,
+    raw: bool = False,
 ) -> DataFrame:
-    df = _read_csv(spark, path, infer, sep)
-    return df if raw else clean_customers(df)
+    """``trim=True`` takes " yes " for yes."""
+    df = _read_csv(spark, path, infer, sep, encoding)
+    return df if raw else clean_customers(df, trim)
 
 
 def read_refunds(
-    spark: SparkSession, path: Paths, *, infer: bool = False, sep: str = ",", raw: bool = False
+    spark: SparkSession,
+    path: Paths,
+    *,
+    infer: bool = False,
+    sep: str = ",",
+    encoding: str = "UTF-8",
+    raw: bool = False,
 ) -> DataFrame:
     """``raw=True`` keeps the amount text, for counting bad amounts."""
-    df = _read_csv(spark, path, infer, sep)
+    df = _read_csv(spark, path, infer, sep, encoding)
     return df if raw else clean_refunds(df)
 
 
+def list_files(spark: SparkSession, path: Paths, ignore_missing: bool = False) -> DataFrame:
+    """One row ``value`` per file, listed by Spark; the files are not read. ``path`` may hold globs.
+    With ignore_missing, paths of a list that match nothing are left out."""
+    paths = [path] if isinstance(path, str) else path
+    found = None
+    for one in paths:
+        try:
+            files = _load(spark.read.format("binaryFile"), "load", one).select(F.col("path").alias("value"))
+        except FileNotFoundError:
+            if not ignore_missing:
+                raise
+            continue
+        found = files if found is None else found.unionByName(files)
+    return spark.createDataFrame([], "value string") if found is None else found
+
+
+def _plain_text(value: Column) -> Column:
+    """A variant as text: text as it is, a number in digits without an exponent (values are the
+    same; digits beyond the 20th decimal are cut), anything else as JSON."""
+    kind = F.schema_of_variant(value)
+    number = F.try_variant_get(value, "$", "double")
+    text = F.try_variant_get(value, "$", "string")
+    is_number = kind.rlike("^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$")
+    digits = F.when(text.rlike("[eE]"), F.format_string("%.20f", number)).otherwise(text)
+    return F.when(is_number, digits).otherwise(text)
+
+
+def _variants_as_text(df: DataFrame) -> DataFrame:
+    """Variant fields of arrays of structs as text."""
+    for field in df.schema.fields:
+        kind = field.dataType
+        if not (isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType)):
+            continue
+        fields = kind.elementType.fields
+        if any(isinstance(f.dataType, T.VariantType) for f in fields):
+
+            def text(item: Column, fields=tuple(fields)) -> Column:
+                values = [
+                    (_plain_text(item[f.name]) if isinstance(f.dataType, T.VariantType) else item[f.name]).alias(f.name)
+                    for f in fields
+                ]
+                return F.when(item.isNotNull(), F.struct(*values))
+
+            df = df.withColumn(field.name, F.transform(field.name, lambda item: text(item)))
+    return df
+
+
 def read_orders(
     spark: SparkSession,
     path: Paths,
@@ -73,20 +136,27 @@ def read_orders(
     schema: str = schemas.ORDERS,
     infer: bool = False,
     multiline: bool = True,
+    ignore_missing: bool = False,
 ) -> DataFrame:
     """Nested orders from JSON. ``path`` may hold globs (``orders_2025-03-*.json``).
 
     multiline=True reads files that hold one array of orders; such a file is read by one task.
     multiline=False reads one order per line and splits large files over many tasks.
     Fields outside ``schema`` are not read; infer=True takes all fields and types found in the
-    data, at the price of one more pass."""
+    data, at the price of one more pass. A quantity or price may be a JSON number in any notation,
+    or text, which is left to the cleaners as it is. With ignore_missing, paths of a list that
+    match nothing (days without a file) are left out, as long as one is left."""
+    if ignore_missing and not isinstance(path, str):
+        path = [p for p in path if list_files(spark, [p], True).head(1)]
+        if not path:
+            raise FileNotFoundError("no input file: none of the paths has any")
     reader = spark.read.option("multiLine", multiline).option("mode", "PERMISSIVE")
     if not infer:
         reader = reader.schema(schema)
     df = _load(reader, "json", path)
-    if not df.inputFiles():  # a folder without files
+    if not list_files(spark, path).head(1):  # a folder without files
         raise FileNotFoundError(f"no input file: {path}")
-    return df
+    return _variants_as_text(df)
 
 
 def read_lines(spark: SparkSession, path: Paths) -> DataFrame:

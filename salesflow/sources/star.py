@@ -92,18 +92,17 @@ def _order_columns():
     }
 
 
-def _orders(spark: SparkSession, sf_dir: str, status: str | None) -> DataFrame:
-    """Orders, or only those with one status code, which the parquet reader then skips by."""
-    orders = table(spark, sf_dir, "orders")
-    return orders if status is None else orders.filter(F.col("o_orderstatus") == status)
+def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the job's columns beside their own."""
+    return table(spark, sf_dir, "orders").withColumns(_order_columns())
 
 
-def order_lines(spark: SparkSession, sf_dir: str, status: str | None = None) -> DataFrame:
+def order_lines(spark: SparkSession, sf_dir: str, qty: str = "l_quantity") -> DataFrame:
     # every 50th order is delivered twice; made row by row, so orders are read only once
     deliveries = F.when(F.col("o_orderkey") % 50 == 0, F.array(F.lit(1), F.lit(2))).otherwise(
         F.array(F.lit(1))
     )
-    orders = _orders(spark, sf_dir, status).withColumn("delivery", F.explode(deliveries))
+    orders = table(spark, sf_dir, "orders").withColumn("delivery", F.explode(deliveries))
     lines = table(spark, sf_dir, "lineitem")
     price = F.col("l_extendedprice")
     return orders.join(lines, orders.o_orderkey == lines.l_orderkey).select(
@@ -111,7 +110,7 @@ def order_lines(spark: SparkSession, sf_dir: str, status: str | None = None) ->
         created_at("o_orderdate", "o_orderkey").alias("created_at"),
         *[c.alias(name) for name, c in _order_columns().items()],
         F.col("l_linenumber").alias("pos"),
-        F.col("l_quantity").alias("item_qty"),
+        F.col(qty).alias("item_qty"),
         F.col("l_partkey").cast("string").alias("item_sku"),
         F.when(F.col("l_discount") == 0, -price).otherwise(price).alias("item_unit_price"),
     )
@@ -121,7 +120,7 @@ def shipment_id():
     return F.concat_ws("-", "l_orderkey", "l_linenumber")
 
 
-def nested_orders(spark: SparkSession, sf_dir: str, status: str | None = None) -> DataFrame:
+def nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each line item as an order of its own, ``items`` = the goods and a handling fee. The
     arrays come from single rows, so no group is ever gathered to build them."""
     price = F.col("l_extendedprice")
@@ -145,7 +144,7 @@ def nested_orders(spark: SparkSession, sf_dir: str, status: str | None = None) -
         F.col("l_linenumber") == 7, F.array().cast("array<struct<qty:string,sku:string,unit_price:string>>")
     )
     columns = _order_columns()
-    orders = _orders(spark, sf_dir, status)
+    orders = table(spark, sf_dir, "orders")
     lines = table(spark, sf_dir, "lineitem")
     return orders.join(lines, orders.o_orderkey == lines.l_orderkey).select(
         columns["channel"].alias("channel"),

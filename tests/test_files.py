@@ -1,3 +1,4 @@
+import csv
 import json
 import os
 import re
@@ -6,14 +7,15 @@ from glob import glob
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
-from test_sales import CUSTOMERS, ORDERS, REFUNDS
+from test_sales import CUSTOMERS, ORDERS, REFUNDS, order
 
-from salesflow.operators import explode_items
-from salesflow.plans import SalesOptions, run_sales_job
+from salesflow.functions import is_non_numeric, safe_double
+from salesflow.operators import explode_items, number_sorted
+from salesflow.plans import SalesOptions, job, run_sales_job
 from salesflow.sinks import files as sink_files
 from salesflow.sinks import save_table, write_csv, write_lines, write_partitioned_csv
-from salesflow.sources import read_customers, read_lines, read_orders, read_refunds
-from salesflow.staging import scratch_path, stage, staging
+from salesflow.sources import list_files, read_customers, read_lines, read_orders, read_refunds
+from salesflow.staging import cleanup, scratch_path, stage, staging
 
 ORDER_FIELDS = ("channel", "created_at", "customer_id", "items", "order_id", "payment_status")
 
@@ -24,15 +26,24 @@ def write(path, text):
     return str(path)
 
 
+def json_value(text):
+    """A number where the text is one, text otherwise: files hold both."""
+    return text if "," in text else float(text)
+
+
 def write_inputs(folder, orders=ORDERS):
-    csv = lambda header, data: "\n".join([header, *[",".join(r) for r in data]])
-    write(folder / "customers.csv", csv("customer_id,city,is_active", CUSTOMERS))
-    write(folder / "refunds.csv", csv("order_id,amount,created_at", REFUNDS))
-    for i, day in enumerate((orders[:2], orders[2:])):
-        records = [dict(zip(ORDER_FIELDS, o, strict=True)) for o in day]
+    def table(name, header, data):
+        folder.mkdir(parents=True, exist_ok=True)
+        with open(folder / name, "w", encoding="utf-8", newline="") as f:
+            csv.writer(f).writerows([header, *data])
+
+    table("customers.csv", ["customer_id", "city", "is_active"], CUSTOMERS)
+    table("refunds.csv", ["order_id", "amount", "created_at"], REFUNDS)
+    for week, some in enumerate((orders[:3], orders[3:])):
+        records = [dict(zip(ORDER_FIELDS, o, strict=True)) for o in some]
         for r in records:
-            r["items"] = [{"qty": float(q), "unit_price": float(p)} for q, _, p in r["items"]]
-        write(folder / f"orders_2025-03-0{i + 1}.json", json.dumps(records, indent=1))
+            r["items"] = [{"qty": json_value(q), "unit_price": json_value(p)} for q, _, p in r["items"]]
+        write(folder / f"sales_w{week}.json", json.dumps(records, indent=1))
 
 
 # --- sources ----------------------------------------------------------------------------
@@ -42,7 +53,7 @@ def test_missing_files_are_errors(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     for read, path in [
         (read_customers, "none.csv"), (read_refunds, "none.csv"), (read_lines, "none.txt"),
-        (read_orders, "orders_2025-03-*.json"), (read_orders, "empty"),
+        (read_orders, "sales_w*.json"), (read_orders, "empty"),
     ]:
         with pytest.raises(FileNotFoundError):
             read(spark, str(tmp_path / path))
@@ -84,18 +95,52 @@ def test_refunds(spark, tmp_path):
 @pytest.mark.parametrize("infer", [False, True])
 def test_orders_from_arrays_over_many_lines(spark, tmp_path, infer):
     write_inputs(tmp_path)
-    write(tmp_path / "orders_2025-04-01.json", "[]")
-    orders = read_orders(spark, f"{tmp_path}/orders_2025-03-*.json", infer=infer)
-    assert len(orders.inputFiles()) == 2
-    assert rows(orders, "order_id") == [("O1",), ("O2",), ("O3",)]
-    lines = explode_items(orders).select("order_id", "pos", F.col("item_unit_price").cast("double"))
-    assert rows(lines) == [("O1", 0, 10.0), ("O1", 1, -5.0), ("O2", 0, 7.0), ("O3", 0, 4.0)]
+    write(tmp_path / "other.json", "[]")
+    orders = read_orders(spark, f"{tmp_path}/sales_w*.json", infer=infer)
+    assert list_files(spark, f"{tmp_path}/sales_w*.json").count() == 2
+    assert rows(orders, "order_id") == [("A-1",), ("A-2",), ("A-3",), ("A-4",), ("A-5",)]
+    lines = explode_items(orders).select("order_id", "pos", safe_double("item_unit_price"))
+    assert rows(lines) == [
+        ("A-1", 0, 2.5), ("A-1", 1, 99.0), ("A-2", 0, 3.0), ("A-3", 0, -1.0), ("A-3", 1, 1.5), ("A-4", 0, 0.75), ("A-5", 0, 1.0),
+    ]
 
 
 def test_several_paths_are_one_table(spark, tmp_path):
     write_inputs(tmp_path)
-    paths = sorted(glob(f"{tmp_path}/orders_*.json"))
-    assert read_orders(spark, paths).count() == 3
+    paths = sorted(glob(f"{tmp_path}/sales_w*.json"))
+    assert read_orders(spark, paths).count() == 5
+
+
+def test_days_without_a_file(spark, tmp_path):
+    write_inputs(tmp_path)
+    paths = [f"{tmp_path}/sales_w{i}.json" for i in range(4)]
+    assert read_orders(spark, paths, ignore_missing=True).count() == 5
+    assert list_files(spark, paths, ignore_missing=True).count() == 2
+    with pytest.raises(FileNotFoundError):
+        read_orders(spark, paths).count()
+    with pytest.raises(FileNotFoundError):
+        read_orders(spark, paths[2:], ignore_missing=True)
+
+
+def test_numbers_keep_their_type(spark, tmp_path):
+    """Numbers count in any notation, text with an exponent does not."""
+    values = ["1e2", "1E3", "12345678.9", "3.0e-5", "-0.5", "7", '"1e2"', '" 2,5 "', "null", "true", '"x"', "1e400"]
+    lines = "".join('{"order_id":"%d","items":[{"qty":%s,"unit_price":%s}]}\n' % (i, v, v) for i, v in enumerate(values))
+    path = write(tmp_path / "o.json", lines)
+    items = explode_items(read_orders(spark, path, multiline=False))
+    found = items.select(F.col("order_id").cast("int"), safe_double("item_qty"), is_non_numeric("item_unit_price"))
+    assert [tuple(r)[1:] for r in found.orderBy("order_id").collect()] == [
+        (100.0, False), (1000.0, False), (12345678.9, False), (3.0e-5, False), (-0.5, False), (7.0, False),
+        (0.0, True), (2.5, False), (0.0, None), (0.0, True), (0.0, True), (0.0, True),
+    ]
+
+
+def test_trim_and_encoding(spark, tmp_path):
+    path = tmp_path / "c.csv"
+    path.write_bytes("customer_id,city,is_active\n1,Liège, yes \n".encode("latin-1"))
+    read = read_customers(spark, str(path), encoding="ISO-8859-1", trim=True)
+    assert rows(read, "city", "is_active") == [("Liège", True)]
+    assert rows(read_customers(spark, str(path)), "is_active") == [(False,)]
 
 
 def test_broken_order_fields_become_null(spark, tmp_path):
@@ -106,9 +151,9 @@ def test_broken_order_fields_become_null(spark, tmp_path):
 
 def test_lines_and_folders_of_part_files(spark, tmp_path):
     path = f"{tmp_path}/lines"
-    df = spark.createDataFrame([("ligne 1",), ("ligne 2",), ("",)], "value string").repartition(3)
+    df = spark.createDataFrame([("rust in the hinge",), ("4 bolts",), ("",)], "value string").repartition(3)
     write_lines(df, path)
-    assert rows(read_lines(spark, path)) == [("",), ("ligne 1",), ("ligne 2",)]
+    assert rows(read_lines(spark, path)) == [("",), ("4 bolts",), ("rust in the hinge",)]
     assert os.path.exists(f"{path}/_SUCCESS")
 
 
@@ -144,18 +189,9 @@ def test_csv_is_sorted_over_its_parts(spark, tmp_path):
     assert [x for x in lines if x != "date;city;n;eur"] == SORTED
 
 
-def test_single_file_only_for_small_tables(spark, tmp_path):
-    path = f"{tmp_path}/out"
-    write_csv(daily(spark), path, sort_by=["date", "city"], single_file=True)
-    assert [read_text(p) for p in parts(path)] == [["date;city;n;eur", *SORTED]]
-    write_csv(daily(spark), path, single_file=True, single_file_max_rows=3, header=False)
-    assert len(parts(path)) > 1
-    assert sorted(line for p in parts(path) for line in read_text(p)) == SORTED
-
-
 def test_csv_options(spark, tmp_path):
     path = f"{tmp_path}/out"
-    write_csv(daily(spark), path, sep="|", header=False, float_format=None, single_file=True)
+    write_csv(daily(spark).coalesce(1), path, sep="|", header=False, float_format=None)
     assert "2025-03-01|Paris|2|1.23456789125E8" in read_text(parts(path)[0])
     write_csv(daily(spark), path, compression="gzip")
     assert glob(f"{path}/part-*.csv.gz")
@@ -238,6 +274,16 @@ def test_staging_cleans_up(spark):
     assert not os.path.exists(os.path.dirname(folder))
 
 
+def test_nothing_is_left_after_cleanup(spark):
+    """Tables behind returned DataFrames are deleted with the application's scratch folder."""
+    numbered = number_sorted(daily(spark), F.col("n"))
+    assert numbered.count() == 4
+    folder = re.sub("^file:/*", "/", os.path.dirname(scratch_path(spark, "x")))
+    assert os.listdir(folder)
+    cleanup(spark)
+    assert not os.path.exists(folder)
+
+
 # --- the whole job ----------------------------------------------------------------------
 
 
@@ -246,12 +292,20 @@ def run(spark, folder, **options):
         spark,
         f"{folder}/in/customers.csv",
         f"{folder}/in/refunds.csv",
-        f"{folder}/in/orders_2025-03-*.json",
+        f"{folder}/in/sales_w*.json",
         f"{folder}/out",
         **options,
     )
 
 
+HEADER = "date;city;channel;orders_count;unique_customers;items_sold;gross_revenue_eur;refunds_eur;net_revenue_eur"
+DAYS = ["2024-06-30;Gent;app;2;2;10;19.00;-5.00;14.00", "2024-07-01;Gent;app;1;1;10;7.50;0.00;7.50"]
+
+
+def body(path, header):
+    return [x for p in parts(path) for x in read_text(p) if not x.startswith(header)]
+
+
 def test_job(spark, tmp_path):
     write_inputs(tmp_path / "in")
     for _ in range(2):  # a second run replaces the outputs of the first
@@ -259,46 +313,49 @@ def test_job(spark, tmp_path):
     out = tmp_path / "out"
     counters = {k: v for k, v in report.items() if isinstance(v, int) and not isinstance(v, bool)}
     assert counters == {
-        "orders_files": 2, "customers_rows_raw": 2, "dup_customers": 0, "refunds_rows": 2,
-        "refunds_amount_non_numeric": 1, "orders_rows_raw": 3, "orders_rows_paid": 2, "orders_bad_date": 0,
+        "orders_files": 2, "customers_rows_raw": 3, "dup_customers": 0, "refunds_rows": 4,
+        "refunds_amount_non_numeric": 1, "orders_rows_raw": 5, "orders_rows_paid": 4, "orders_bad_date": 0,
         "items_qty_non_numeric": 0, "items_unit_price_non_numeric": 0, "rejected_negative_price_rows": 1,
-        "orders_clean_rows": 2, "daily_city_sales_rows": 2,
+        "orders_clean_rows": 3, "daily_city_sales_rows": 2,
     }
     assert report["status"] == "OK" and report["jdbc_written"] is False and report["duration_sec"] > 0
-    header = "date;city;channel;orders_count;unique_customers;items_sold;gross_revenue_eur;refunds_eur;net_revenue_eur"
-    first = "2025-03-01;Paris;web;1;1;1;10.00;2.50;12.50"
-    second = "2025-03-02;Paris;web;1;1;3;12.00;0.00;12.00"
-    assert [read_text(p) for p in parts(out / "out/daily_summary_all")] == [[header, first, second]]
-    assert [read_text(p) for p in parts(out / "out/daily_summary/date_key=20250302")] == [[header, second]]
-    table = [x for p in parts(out / "db/daily_city_sales") for x in read_text(p)]
-    assert [x for x in table if x != header] == [first, second]
-    clean = [x for p in parts(out / "db/orders_clean") for x in read_text(p)]
-    assert sorted(x for x in clean if not x.startswith("order_id")) == [
-        "O1;C1;Paris;web;2025-03-01;1;10.00", "O3;C1;Paris;web;2025-03-02;3;12.00",
+    assert body(out / "out/daily_summary_all", "date") == DAYS  # sorted over the parts
+    assert [read_text(p) for p in parts(out / "out/daily_summary/date_key=20240701")] == [[HEADER, DAYS[1]]]
+    assert sorted(body(out / "db/daily_city_sales", "date")) == DAYS
+    assert sorted(body(out / "db/orders_clean", "order_id")) == [
+        "A-1;17;Gent;app;2024-06-30;4;10.00", "A-3;19;Gent;app;2024-06-30;6;9.00", "A-4;19;Gent;app;2024-07-01;10;7.50",
     ]
-    rejects = [x for p in parts(out / "rejects/rejects_items") for x in read_text(p)]
-    assert rejects == [
-        "channel;created_at;customer_id;order_id;payment_status;item_qty;item_sku;item_unit_price;item_qty_d;item_unit_price_d",
-        "web;2025-03-01 10:00:00;C1;O1;paid;2.0;;-5.0;2.0;-5.0",
-    ]
+    rejected = body(out / "rejects/rejects_items", "channel")
+    assert [x.split(";")[:4] + x.split(";")[-2:] for x in rejected] == [["app", "2024-06-30", "19", "A-3", "2.0", "-1.0"]]
     saved = json.loads(read_text(glob(f"{out}/logs/run_report/part-*.json")[0])[0])
     assert saved["daily_city_sales_rows"] == 2
     files = [x for p in glob(f"{out}/logs/orders_files/part-*.txt") for x in read_text(p)]
-    assert sorted(re.sub(".*/", "", f) for f in files) == ["orders_2025-03-01.json", "orders_2025-03-02.json"]
+    assert sorted(re.sub(".*/", "", f) for f in files) == ["sales_w0.json", "sales_w1.json"]
 
 
 def test_job_without_rejects_writes_none(spark, tmp_path):
-    write_inputs(tmp_path / "in", [ORDERS[2], ORDERS[1]])
+    write_inputs(tmp_path / "in", [ORDERS[3], ORDERS[4], ORDERS[1], ORDERS[0]])
     report = run(spark, tmp_path, infer=True, options=SalesOptions(dedup="order")).first()
-    assert report.rejected_negative_price_rows == 0 and report.orders_clean_rows == 1
+    assert report.rejected_negative_price_rows == 0 and report.orders_clean_rows == 2
     assert not (tmp_path / "out/rejects").exists()
 
 
-def test_job_falls_back_to_csv_without_a_driver(spark, tmp_path):
-    write_inputs(tmp_path / "in")
-    report = run(spark, tmp_path, jdbc={"url": "jdbc:none:x", "driver": "none.Driver"}).first()
+def test_job_falls_back_to_csv_in_its_own_format(spark, tmp_path):
+    orders = [order("B", "2024-06-30", [("1", "1234567.891")])]
+    write_inputs(tmp_path / "in", orders)
+    jdbc = {"url": "jdbc:none:x", "driver": "none.Driver"}
+    report = run(spark, tmp_path, jdbc=jdbc, sep=",", float_format=None).first()
     assert report.jdbc_written is False
-    assert parts(tmp_path / "out/db/orders_clean")
+    assert body(tmp_path / "out/db/orders_clean", "order_id") == ["B,17,Gent,app,2024-06-30,1,1234567.891"]
+
+
+def test_job_releases_what_it_held_when_it_fails(spark, tmp_path, monkeypatch):
+    write_inputs(tmp_path / "in")
+    monkeypatch.setattr(job, "write_partitioned_csv", lambda *a, **k: 1 / 0)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    with pytest.raises(ZeroDivisionError):
+        run(spark, tmp_path)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
 
 
 def test_job_needs_its_inputs(spark, tmp_path):

@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -56,29 +57,21 @@ def test_keep_first_cuts_each_key_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
 
 
-def grouped(df):
-    out = defaultdict(list)
-    for r in df.collect():
-        assert r["values"] == sorted(r["values"], key=lambda v: (v is not None, v))
-        out[r["key"]].extend(r["values"])
-    return {k: Counter(v) for k, v in out.items()}
-
-
-def test_group_values_keeps_everything_in_bounded_arrays(spark):
+def test_group_values_has_one_shape_and_bounded_arrays(spark):
     rng = random.Random(2)
     data = [("hot", rng.randrange(10_000)) for _ in range(3000)]
     data += [("copies", 7)] * 1500 + [("small", v) for v in (3, 1, 2, 2, None)] + [(None, 4), (None, 5)]
-    expected = defaultdict(Counter)
-    for k, v in data:
-        expected[k][v] += 1
+    data += [("steps", 100 * v) for v in range(1000)]  # multiples of the bound
+    expected = defaultdict(list)
+    for k, v in sorted(data, key=lambda r: (r[1] is not None, r[1])):
+        expected[k].append(v)
     rng.shuffle(data)
     df = spark.createDataFrame(data, "k string, v int")
-    result = group_values(df, F.col("k"), F.col("v"), max_values=100).cache()
-    assert grouped(result) == expected
-    chunks = Counter(r["key"] for r in result.collect())
-    assert chunks["small"] == 1 and chunks[None] == 1 and chunks["hot"] > 10 and chunks["copies"] == 15
-    assert max(len(r["values"]) for r in result.collect()) < 200
-    assert grouped(group_values(df, F.col("k"), F.col("v"))) == expected
+    for bound in (100, 10_000):
+        result = group_values(df, F.col("k"), F.col("v"), max_values=bound).collect()
+        found = {(r["key"], r["chunk"]): r["values"] for r in result}
+        want = {(k, i // bound): v[i : i + bound] for k, v in expected.items() for i in range(0, len(v), bound)}
+        assert found == want and len(result) == len(want)
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
@@ -154,56 +147,56 @@ def test_raw_words_split_where_python_does(spark):
     assert words(spark, text, normalise=False) == text.split()
 
 
-def test_normalised_words_equal_replace_and_split(spark):
+def plain_words(text):
+    """Words by Python's re, as ASCII classes: marks become spaces, then split."""
+    return re.sub(r"[^a-zA-Z0-9_\s]", " ", text, flags=re.A).lower().split()
+
+
+def test_word_counts_equal_python(spark):
     rng = random.Random(4)
-    alphabet = "aB9_é,.-' \t\nİK "
-    data = [("".join(rng.choice(alphabet) for _ in range(rng.randrange(60))),) for _ in range(300)]
-    df = spark.createDataFrame(data, "value string")
-    by_steps = (
-        df.select(F.lower(F.regexp_replace("value", r"[^\w\s]", " ")).alias("line"))
-        .select(F.explode(F.split("line", r"\s+")).alias("word"))
-        .filter("word <> ''")
-        .groupBy("word")
-        .count()
-    )
-    assert rows(word_count(df)) == rows(by_steps)
-
-
-# small cases whose results can be checked by eye
-
-
-def test_small_numbers(spark):
-    numbers = spark.createDataFrame([(x,) for x in range(1, 6)], ["value"])
-    doubled = numbers.select((F.col("value") * 2).alias("value"))
-    assert rows(doubled) == [(2,), (4,), (6,), (8,), (10,)]
-    assert rows(doubled.filter("value > 5")) == [(6,), (8,), (10,)]
-    assert rows(numbers.filter("value % 2 = 0")) == [(2,), (4,)]
-    assert numbers.count() == 5 and numbers.agg(F.sum("value")).first()[0] == 15
-    assert rows(top_k(numbers, 3, F.col("value"))) == [(1,), (2,), (3,)]
-    parity = group_values(numbers, F.col("value") % 2, F.col("value"))
-    assert rows(parity, "key", "values") == [(0, [2, 4]), (1, [1, 3, 5])]
-
-
-def test_small_pairs_and_sets(spark):
-    pairs = spark.createDataFrame([("a", 1), ("b", 1), ("a", 2)], ["k", "v"])
-    assert rows(group_values(pairs, F.col("k"), F.col("v")), "key", "values") == [("a", [1, 2]), ("b", [1])]
-    assert rows(pairs.groupBy("k").agg(F.sum("v"))) == [("a", 3), ("b", 1)]
-    one = lambda values: spark.createDataFrame([(v,) for v in values], ["value"])
-    assert rows(one([1, 2, 2, 3, 4, 4]).distinct()) == [(1,), (2,), (3,), (4,)]
-    assert rows(one([1, 2, 3]).unionByName(one([4, 5, 6]))) == [(v,) for v in range(1, 7)]
-    assert rows(intersect(one(range(1, 6)), one(range(3, 8)))) == [(3,), (4,), (5,)]
-    assert [r.value for r in one([5, 2, 8, 1]).orderBy("value").collect()] == [1, 2, 5, 8]
-    assert words(spark, "bonjour scala", normalise=False) == ["bonjour", "scala"]
-
-
-def test_small_sales(spark):
-    people = spark.createDataFrame([{"id": 1, "name": "Alice", "age": 25}, {"id": 2, "name": "Bob", "age": 30}])
-    assert people.columns == ["age", "id", "name"] and people.count() == 2
-    data = [(1, "Paris", "A", 10, 100.0), (2, "Lyon", "A", 5, 100.0), (3, "Paris", "B", 8, 80.0)]
-    sales = spark.createDataFrame(data, ["id", "city", "product", "quantity", "unit_price"])
-    assert rows(sales.filter(F.col("quantity") > 6).select("id")) == [(1,), (3,)]
-    revenue = sales.withColumn("revenue", F.col("quantity") * F.col("unit_price"))
-    per_city = revenue.groupBy("city").agg(F.expr("sum(revenue) as total_revenue"))
-    assert [tuple(r) for r in per_city.orderBy(F.col("total_revenue").desc()).collect()] == [
-        ("Paris", 1640.0), ("Lyon", 500.0),
-    ]
+    alphabet = "aB9_é,.-' \t\nK "
+    data = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(300)]
+    df = spark.createDataFrame([(t,) for t in data], "value string")
+    expected = Counter(w for t in data for w in plain_words(t))
+    assert dict(rows(word_count(df))) == expected
+
+
+# the operators of the tables, on data that can be checked by eye
+
+STOCK = [("bolt", "north", 40, 0.25), ("nut", "north", 75, 0.1), ("hinge", "south", 12, 3.5), ("bolt", "south", 9, 0.3), ("saw", "east", 2, 18.0)]
+
+
+@pytest.fixture
+def stock(spark):
+    return spark.createDataFrame(STOCK, "part string, depot string, pieces int, price double")
+
+
+def test_filters_and_sums(stock):
+    assert rows(stock.filter("pieces > 11").select("part")) == [("bolt",), ("hinge",), ("nut",)]
+    worth = stock.select("depot", F.round(F.col("pieces") * F.col("price"), 2).alias("worth"))
+    assert rows(worth.groupBy("depot").agg(F.sum("worth"))) == [("east", 36.0), ("north", 17.5), ("south", 44.7)]
+    assert rows(top_k(worth, 2, F.col("worth").desc())) == [("east", 36.0), ("south", 42.0)]
+
+
+def test_groups_by_a_key_and_by_an_expression(stock):
+    assert rows(group_values(stock, F.col("part"), F.col("depot")), "key", "values") == [
+        ("bolt", ["north", "south"]), ("hinge", ["south"]), ("nut", ["north"]), ("saw", ["east"]),
+    ]
+    tens = group_values(stock, F.floor(F.col("pieces") / 10), F.col("pieces"))
+    assert rows(tens, "key", "values") == [(0, [2, 9]), (1, [12]), (4, [40]), (7, [75])]
+
+
+def test_sets(stock):
+    parts, depots = stock.select("part"), stock.select("depot")
+    assert rows(parts.distinct()) == [("bolt",), ("hinge",), ("nut",), ("saw",)]
+    assert parts.unionByName(depots.withColumnRenamed("depot", "part")).count() == 10
+    cheap, many = stock.filter("price < 1").select("part"), stock.filter("pieces > 20").select("part")
+    assert rows(intersect(cheap, many)) == [("bolt",), ("nut",)]
+
+
+def test_join_of_equal_names(stock, spark):
+    depots = spark.createDataFrame([("north", 1), ("west", 2)], "depot string, pieces int")
+    joined = join_dimension(stock, depots, "depot", "depot", "full")
+    assert joined.columns == ["part", "depot", "pieces", "price", "depot", "pieces"]
+    matched = {(r[0], r[4], r[5]) for r in joined.collect() if r[4]}
+    assert matched == {("bolt", "north", 1), ("nut", "north", 1), (None, "west", 2)} and joined.count() == 6
