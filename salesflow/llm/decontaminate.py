@@ -13,8 +13,9 @@ block maxima added up once; the other terms' block maxima are summed per passage
 which the two sums reach the threshold are opened and scored exactly. Nothing that would reach the
 threshold is skipped.
 
-What is retrieved is verified: of both the question and the answer, the passage must hold at least
-``min_overlap`` of the distinct word shingles."""
+What is retrieved is verified: the passage must hold at least ``min_similarity`` of the distinct word
+shingles of the question and the answer together, and of the distinct words of each of the two at
+least ``min_overlap``, so that a question without its answer is no leak."""
 
 from __future__ import annotations
 
@@ -32,7 +33,8 @@ from pyspark.sql import functions as F
 from salesflow.llm.shipping import shipped
 
 _WORD = re.compile(r"\w+")
-_HITS = "array<struct<item:int,passage:int,score:double,question_overlap:double,answer_overlap:double>>"
+_FOUND = {"passage": "int", "score": "double", "similarity": "double", "question_overlap": "double", "answer_overlap": "double"}
+_HITS = f"array<struct<item:int,{','.join(f'{c}:{t}' for c, t in _FOUND.items())}>>"
 
 
 @dataclass(frozen=True)
@@ -40,6 +42,7 @@ class Bm25Options:
     """``threshold``: least share of an item's own score. ``block``: items per block."""
 
     threshold: float = 0.5
+    min_similarity: float = 0.8
     min_overlap: float = 0.8
     shingle: int = 5
     k1: float = 1.2
@@ -68,14 +71,16 @@ def shingles(words: list[str], size: int) -> set[tuple[str, ...]]:
     return set(zip(*(words[i:] for i in range(size)), strict=False))
 
 
-def overlap(part: set, passage: set, words: list[str], size: int) -> float:
-    """Share of a part's shingles that the passage has; a part shorter than a shingle must appear
-    in it as a run."""
-    if not part:
-        return 0.0
-    if len(part) == 1 and len(only := next(iter(part))) < size:
-        return float(only in shingles(words, len(only)))
-    return len(part & passage) / len(part)
+def overlaps(item: tuple[list[str], list[str]], passage: list[str], size: int) -> tuple[float, float, float]:
+    """Shares of an item that a passage has: of all shingles of question and answer (one shorter
+    than a shingle counts as a run of its length), of the question's distinct words, and of the
+    answer's. A part without words has nothing to share: 0."""
+    wanted = {(len(run), run) for part in item for run in shingles(part, size)}
+    having = {n: shingles(passage, n) for n in {n for n, _ in wanted}}
+    words = set(passage)
+    held = sum(run in having[n] for n, run in wanted)
+    shares = [len(set(part) & words) / len(set(part)) if part else 0.0 for part in item]
+    return (held / len(wanted) if wanted else 0.0, *shares)
 
 
 class Bm25Index:
@@ -93,7 +98,7 @@ class Bm25Index:
         options: Bm25Options,
     ) -> None:
         self.options = options
-        self.parts = [tuple(shingles(part, options.shingle) for part in item) for item in items]
+        self.parts = items
         whole = [q + a if q is not a else q for q, a in items]
         self.stride = max(1, math.ceil(1.25 * max(map(len, whole), default=1)))
         self.terms = {t: i for i, t in enumerate(sorted({w for item in whole for w in item}))}
@@ -184,14 +189,13 @@ class Bm25Index:
             scores = [x for x in scores if x[1] >= self.options.threshold]
             if not scores:
                 continue
-            having = shingles(run, self.options.shingle)
             for item, score in scores:
-                shares = [overlap(part, having, run, self.options.shingle) for part in self.parts[item]]
-                hit = dict(
-                    item=item, passage=passage, score=score, question_overlap=shares[0], answer_overlap=shares[1]
-                )
-                rank = lambda h: (min(h["question_overlap"], h["answer_overlap"]), h["score"], -h["passage"])
-                if min(shares) >= self.options.min_overlap and ((t, item) not in best or rank(hit) > rank(best[t, item])):
+                similarity, *shares = overlaps(self.parts[item], run, self.options.shingle)
+                if similarity < self.options.min_similarity or min(shares) < self.options.min_overlap:
+                    continue
+                hit = dict(zip(("item", *_FOUND), (item, passage, score, similarity, *shares), strict=True))
+                rank = lambda h: (h["similarity"], h["score"], -h["passage"])
+                if (t, item) not in best or rank(hit) > rank(best[t, item]):
                     best[t, item] = hit
         found: list[list[dict]] = [[] for _ in texts]
         for (t, _), hit in sorted(best.items()):
@@ -287,7 +291,8 @@ def contaminated(
     answer_col: str | None = None,
 ) -> DataFrame:
     """One row per document and test item it holds: both ids, ``passage`` (number of its best
-    window), ``score`` (share of the item's BM25 weight), ``question_overlap``, ``answer_overlap``.
+    window), ``score`` (share of the item's BM25 weight), ``similarity`` (share of its shingles),
+    ``question_overlap``, ``answer_overlap`` (shares of their words).
 
     Null and empty texts and items hold and match nothing. Repeated rows of either side give
     repeated result rows; rows with a null id are searched too. An empty side gives no rows. Of
@@ -301,11 +306,11 @@ def contaminated(
         part = hits.select(
             F.col("_id").alias(id_col),
             _item_ids(docs, ids, benchmark.schema[item_col].dataType)("hit.item").alias(item_col),
-            *[F.col(f"hit.{c}").alias(c) for c in ("passage", "score", "question_overlap", "answer_overlap")],
+            *[F.col(f"hit.{c}").alias(c) for c in _FOUND],
         )
         out = part if out is None else out.unionByName(part)
     if out is None:
-        empty = "passage int, score double, question_overlap double, answer_overlap double"
+        empty = ", ".join(f"{c} {t}" for c, t in _FOUND.items())
         id_type, item_type = (d.schema[c].dataType.simpleString() for d, c in ((docs, id_col), (benchmark, item_col)))
         out = docs.sparkSession.createDataFrame([], f"`{id_col}` {id_type}, `{item_col}` {item_type}, {empty}")
     return out

@@ -1,3 +1,4 @@
+import math
 import random
 from collections import Counter
 
@@ -5,23 +6,25 @@ import numpy as np
 import pytest
 
 from salesflow.llm import decontaminate
-from salesflow.llm.decontaminate import Bm25Index, Bm25Options, shingles, split_item, words_of
+from salesflow.llm.decontaminate import Bm25Index, Bm25Options, split_item, words_of
 
 
 def brute(docs, items, size=5, least=0.8):
-    """(document, item) whose question and answer shingles the document holds, anywhere."""
+    """(document, item) where some stretch of the document, as long as passages are, holds most of the
+    item's shingles and most words of its question and its answer."""
+    split = [(i, split_item(words_of(text), size)) for i, text in items]
+    stride = math.ceil(1.25 * max(len(set(q) and q) + (len(a) if a is not q else 0) for _, (q, a) in split))
     found = set()
     for d, text in docs:
         words = words_of(text)
-        for i, item in items:
-            parts = split_item(words_of(item), size)
-            shares = [
-                len(shingles(p, min(size, len(p))) & shingles(words, min(size, len(p)))) / len(shingles(p, min(size, len(p))))
-                if p else 0.0
-                for p in parts
-            ]
-            if min(shares) >= least:
-                found.add((d, i))
+        for start in range(0, max(len(words), 1), stride):
+            run = words[start : start + 2 * stride]
+            runs = {n: {tuple(run[k : k + n]) for k in range(len(run) - n + 1)} for n in range(1, size + 1)}
+            for i, parts in split:
+                wanted = {tuple(p[k : k + min(size, len(p))]) for p in parts if p for k in range(max(len(p) - size, 0) + 1)}
+                held = sum(w in runs[len(w)] for w in wanted)
+                if wanted and held >= least * len(wanted) and all(len(set(p) & set(run)) >= least * len(set(p)) for p in parts):
+                    found.add((d, i))
     return found
 
 
@@ -113,3 +116,19 @@ def test_empty_tables(spark):
     assert decontaminate.drop_contaminated(docs, items.limit(0)).count() == 1
     only = decontaminate.contaminated(docs, items).first()  # fewer words than a shingle: a run
     assert (only["doc_id"], only["item_id"]) == (1, "1") or only["item_id"] == 1
+
+
+def test_near_copies_and_parts(spark):
+    rng = random.Random(9)
+    item = [f"word{i}" for i in range(40)]
+    other = " ".join(f"x{rng.randrange(900)}" for _ in range(300))
+    copy = lambda *changed: " ".join("changed" if i in changed else w for i, w in enumerate(item))
+    rows = [
+        (1, f"{other} {copy()} {other}"), (2, f"{other} {copy(12)}"), (3, copy(37).upper().replace(" ", " -- ")),
+        (4, f"{other} {copy(*range(30, 40))}"), (5, f"{copy(*range(0, 15))} {other}"), (6, other),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, copy())], "item_id bigint, text string")
+    got = {r["doc_id"]: r for r in decontaminate.contaminated(docs, items).collect()}
+    assert set(got) == {1, 2, 3}  # not the question alone, not the answer alone
+    assert got[1]["similarity"] == 1.0 > got[3]["similarity"] >= 0.8 and got[3]["answer_overlap"] == 0.9
