@@ -19,12 +19,14 @@ KINDS = ("email", "iban", "date", "ip", "ssn", "phone", "card")
 
 _EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
 _IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])"
-_DATE = r"(?<![0-9])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9])"
+_DATE = (
+    r"(?<![0-9])(?:[0-9]{4}(?<y>[-/.])[0-9]{2}\k<y>[0-9]{2}|[0-9]{2}(?<d>[-/.])[0-9]{2}\k<d>[0-9]{4})(?![0-9])"
+)
 _IP = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])"
 _SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 _PHONE = (
     r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,3}"
-    r"|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4})(?![0-9])"
+    r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}(?<p>[ .-])[0-9]{3}\k<p>[0-9]{4})(?![0-9])"
 )
 _CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?<sep>[ -])[0-9]{4}\k<sep>[0-9]{4}\k<sep>[0-9]{1,7})(?![0-9])"
 _PATTERNS = dict(zip(KINDS, (_EMAIL, _IBAN, _DATE, _IP, _SSN, _PHONE, _CARD), strict=True))
@@ -129,21 +131,26 @@ def _iban(key: str, value: Column) -> Column:
 
 
 def _date(key: str, value: Column) -> Column:
-    parts = F.when(value.rlike("-"), value).otherwise(
-        F.concat_ws("-", F.substring(value, 7, 4), F.substring(value, 4, 2), F.substring(value, 1, 2))
-    )
-    day = F.datediff(F.try_to_timestamp(parts, F.lit("yyyy-MM-dd")).cast("date"), F.lit(_FIRST_DAY).cast("date"))
+    """Year, month and day in one of three orders; day first where both that and month first fit."""
+    year_first = value.rlike("^[0-9]{4}")
+    part = lambda at, n: F.substring(value, at, n)
+    orders = {
+        "yyyy-MM-dd": (year_first, ((1, 4), (6, 2), (9, 2))),
+        "dd-MM-yyyy": (~year_first, ((7, 4), (4, 2), (1, 2))),
+        "MM-dd-yyyy": (~year_first, ((7, 4), (1, 2), (4, 2))),
+    }
     a, b = _DAYS
-    pair = _feistel(key, F.lit("date"), F.floor(day / b), F.pmod(day, F.lit(b)), F.lit(a), F.lit(b))
-    new = F.transform(
-        F.array(pair), lambda p: F.date_add(F.lit(_FIRST_DAY).cast("date"), (p["a"] * b + p["b"]).cast("int"))
-    )[0]
-    written = (
-        F.when(value.rlike("-"), F.date_format(new, "yyyy-MM-dd"))
-        .when(value.rlike("/"), F.date_format(new, "dd/MM/yyyy"))
-        .otherwise(F.date_format(new, "dd.MM.yyyy"))
-    )
-    return F.when(day.between(0, a * b - 1), written).otherwise(value)
+    first = F.lit(_FIRST_DAY).cast("date")
+    out = value
+    for written, (fits, places) in reversed(orders.items()):
+        iso = F.when(fits, F.concat_ws("-", *[part(*place) for place in places]))
+        day = F.datediff(F.try_to_timestamp(iso, F.lit("yyyy-MM-dd")).cast("date"), first)
+        pair = _feistel(key, F.lit("date"), F.floor(day / b), F.pmod(day, F.lit(b)), F.lit(a), F.lit(b))
+        new = F.transform(F.array(pair), lambda p: F.date_add(first, (p["a"] * b + p["b"]).cast("int")))[0]
+        mark = F.regexp_extract(value, "[-/.]", 0)
+        text = F.replace(F.date_format(new, written), F.lit("-"), mark)
+        out = F.when(day.between(0, a * b - 1), text).otherwise(out)
+    return out
 
 
 def _ip(key: str, value: Column) -> Column:
