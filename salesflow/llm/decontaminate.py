@@ -229,22 +229,12 @@ def build_indexes(
         for row in rows:
             question, answer_words = words_of(row["q"]), words_of(row["a"])
             split.append((question, answer_words) if answer_words else split_item(question, options.shingle))
-        vocabulary = sorted({w for q, a in split for w in (*q, *a)})
-        spark = benchmark.sparkSession
-        wanted = spark.createDataFrame([(w,) for w in vocabulary], "term string")
-        counted = (
-            words.select(F.explode(F.array_distinct("words")).alias("term"))
-            .groupBy("term")
-            .count()
-            .join(wanted, "term", "left_semi")
-            .collect()
-            if parts > 1
-            else None
-        )
-        if counted is None:
-            frequencies = Counter(w for q, a in split for w in {*q, *a})
-        else:
-            frequencies = dict.fromkeys(vocabulary, 1) | {r["term"]: r["count"] for r in counted}
+        frequencies = Counter(w for q, a in split for w in {*q, *a})
+        if parts > 1:  # the part's own counts, raised to those over all items
+            wanted = benchmark.sparkSession.createDataFrame([(w,) for w in frequencies], "term string")
+            terms = words.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").count()
+            counted = terms.join(wanted, "term", "left_semi").collect()
+            frequencies |= Counter({r["term"]: r["count"] for r in counted})
         index = Bm25Index(split, frequencies, chars["items"], (totals or 0) / chars["items"], options)
         built.append((index, [r["id"] for r in rows]))
     return built

@@ -278,11 +278,11 @@ def extract_text(
     count as one. Null and empty html give an empty text. A null url, or one without a host, belongs to the host "". Repeated rows are
     extracted one by one. Columns named like a new one are replaced, all others kept."""
     names = {}
-    for name in ("page", "host", "version", "parsed"):
+    for name in ("page", "host", "version", "parsed", "of", "deleted"):
         names[name] = f"_{name}"
         while names[name] in pages.columns:
             names[name] = f"_{names[name]}"
-    page, host, version, parsed = names.values()
+    page, host, version, parsed, of, gone = names.values()
     read = pages.withColumns(
         {host: host_of(F.col(url_col).cast("string")), parsed: _read(F.col(html_col))}
     ).drop(html_col)
@@ -298,16 +298,16 @@ def extract_text(
     least = F.when(F.col("hash") % 2 == 0, min_share).otherwise(min_share_main) * F.col("pages")
     template = counted.join(sizes, F.col("host") == F.col("of")).filter(F.col("n") >= least)
     template = stage(template.select(F.col("host").alias("t_host"), "hash"), "templates")
-    placed = read.filter(mixed).select(F.col(host).alias("host"), F.col(page).alias("of_page"), F.explode(hashes).alias("h"))
+    placed = read.filter(mixed).select(F.col(host).alias("host"), F.col(page).alias(of), F.explode(hashes).alias("h"))
     deleted = (
         placed.join(template, (F.col("host") == F.col("t_host")) & (F.col("h") == F.col("hash")))
-        .groupBy("of_page")
-        .agg(F.collect_list("hash").alias("deleted"))  # at most the subtrees of one page
+        .groupBy(of)
+        .agg(F.collect_list("hash").alias(gone))  # at most the subtrees of one page
     )
     blocks = F.arrays_zip(F.col(parsed)["texts"].alias("text"), F.col(parsed)["around"].alias("around"))
-    kept = F.filter(blocks, lambda b: ~F.coalesce(F.arrays_overlap(b["around"], F.col("deleted")), F.lit(False)))
+    kept = F.filter(blocks, lambda b: ~F.coalesce(F.arrays_overlap(b["around"], F.col(gone)), F.lit(False)))
     whole = read.filter(~mixed).withColumn("text", F.array_join(F.col(parsed)["texts"], " "))
-    cut = read.filter(mixed).join(stage(deleted, "deleted"), F.col(page) == F.col("of_page"), "left")
-    cut = cut.withColumn("text", F.array_join(F.transform(kept, lambda b: b["text"]), " ")).drop("of_page", "deleted")
+    cut = read.filter(mixed).join(stage(deleted, "deleted"), F.col(page) == F.col(of), "left")
+    cut = cut.withColumn("text", F.array_join(F.transform(kept, lambda b: b["text"]), " ")).drop(of, gone)
     out = whole.unionByName(cut).drop(host, version, parsed, page)
     return out.withColumn("n_chars", F.length("text").cast("long"))

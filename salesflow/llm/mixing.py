@@ -227,7 +227,7 @@ def mix(
         out = out.withColumns({n: F.lit(None).cast("double") for n in names})
         return out.withColumns({"rate": F.lit(1.0), "copies": F.lit(1).cast("long")})
     hidden = "_mixing"
-    while hidden in docs.columns:
+    while any(c.startswith(hidden) for c in docs.columns):
         hidden = f"_{hidden}"
     words = f"{hidden}_words"
     read = docs.withColumn(words, words_of(F.col(text_col).cast("string")))
@@ -236,11 +236,11 @@ def mix(
     cells = stage(read.groupBy(F.col(hidden).alias("posterior")).agg(F.sum("n_tokens").alias("tokens")), "cells")
     wanted = [targets.get(d, 0.0) for d in model.domains]
     rated, _ = fit_rates(cells, wanted, options)
-    rated = stage(rated.select("posterior", F.col("rate").alias(f"{hidden}_rate")), "rates")
-    out = read.join(rated, read[hidden] == rated.posterior).drop("posterior")
+    rated = stage(rated.select(F.col("posterior").alias(f"{hidden}_of"), F.col("rate").alias(f"{hidden}_rate")), "rates")
+    out = read.join(rated, F.col(hidden) == F.col(f"{hidden}_of"))
     place = {d: i for i, d in enumerate(model.domains)}
     known = lambda d: F.col(hidden)[place[d]] if d in place else F.lit(0.0)
     out = out.withColumns({f"p_{d}": known(d) for d in targets} | {"rate": F.col(f"{hidden}_rate")})
     chance = F.pmod(F.xxhash64(F.lit("mixing"), F.col(id_col)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     copies = F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")
-    return out.withColumn("copies", copies).drop(hidden, f"{hidden}_rate")
+    return out.withColumn("copies", copies).drop(hidden, f"{hidden}_of", f"{hidden}_rate")

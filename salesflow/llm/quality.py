@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesflow.llm.shipping import shipped
@@ -220,9 +220,10 @@ def fit(
     )
     order = [F.xxhash64("id"), F.col("id")]
     known = marked.orderBy(*order).limit(options.max_labelled)
-    read = _inputs(docs).withColumn("id", F.col(id_col)).filter("id is not null")
-    free = docs.select(F.col(id_col).alias("id")).filter("id is not null").join(labels.select(F.col(id_col).alias("id")), "id", "left_anti")
-    pool = free.distinct().orderBy(*order).limit(options.max_pool).withColumn("label", F.lit(-1))
+    read = docs.select(F.col(id_col).alias("id"), *_inputs(docs)).filter("id is not null")
+    ids = lambda table: table.select(F.col(id_col).alias("id")).filter("id is not null").distinct()
+    pool = ids(docs).join(ids(labels), "id", "left_anti")
+    pool = pool.orderBy(*order).limit(options.max_pool).withColumn("label", F.lit(-1))
     # at most max_labelled + max_pool rows of an id and a label
     sample = F.broadcast(known.union(pool))
     first = F.min(F.struct("text", "lang", "source", "n_chars")).alias("doc")
@@ -253,13 +254,12 @@ def fit(
     return shares.get(1, 0) / sum(shares.values()) if shares else 0.5
 
 
-def _inputs(docs: DataFrame) -> DataFrame:
+def _inputs(docs: DataFrame) -> list[Column]:
     """The columns that the views read; those a table lacks are null."""
     kinds = {"text": "string", "lang": "string", "source": "string", "n_chars": "double"}
-    have = {c: F.col(c).try_cast(t) if c in docs.columns else F.lit(None).cast(t) for c, t in kinds.items()}
-    return docs.select("*", F.struct(*[v.alias(c) for c, v in have.items()]).alias("_in")).select(
-        *[F.col(f"`{c}`") for c in docs.columns if c not in kinds], *[F.col(f"_in.{c}").alias(c) for c in kinds]
-    )
+    return [
+        (F.col(c).try_cast(t) if c in docs.columns else F.lit(None).cast(t)).alias(c) for c, t in kinds.items()
+    ]
 
 
 def score_documents(docs: DataFrame, model: bytes | float, *, threshold: float = 0.5) -> DataFrame:
@@ -280,11 +280,9 @@ def score_documents(docs: DataFrame, model: bytes | float, *, threshold: float =
             out.append(fitted.probabilities(features(rows.iloc[at : at + 256], fitted.options)))
         return pd.DataFrame(np.concatenate(out) if out else np.zeros((0, 3)), columns=list(names))
 
-    kinds = {"text": "string", "lang": "string", "source": "string", "n_chars": "double"}
-    have = [F.col(c).try_cast(t) if c in docs.columns else F.lit(None).cast(t) for c, t in kinds.items()]
     found = "_quality"
     while found in docs.columns:
         found = f"_{found}"
-    out = docs.withColumn(found, scored(*have))
+    out = docs.withColumn(found, scored(*_inputs(docs)))
     out = out.withColumns({n: F.col(found)[n] for n in names})
     return out.withColumn("kept", F.col("score") >= threshold).drop(found)

@@ -66,8 +66,9 @@ def test_recurring_subtrees_go(spark):
 def test_odd_rows(spark):
     rows = [(1, None, None, "t", 1), (None, "http://a.org", "<p>x</p>", "t", 1), (None, "http://a.org", "<p>x</p>", "t", 1), (2, "", "", None, None)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string, _host int")
+    pages = pages.selectExpr("*", "1 as deleted", "2 as host", "3 as hash")
     got = html.extract_text(pages)
-    assert sorted(got.columns) == ["_host", "n_chars", "page_id", "text", "url"]
+    assert sorted(got.columns) == ["_host", "deleted", "hash", "host", "n_chars", "page_id", "text", "url"]
     assert sorted((str(r["page_id"]), r["text"], r["n_chars"]) for r in got.collect()) == [
         ("1", "", 0), ("2", "", 0), ("None", "x", 1), ("None", "x", 1),
     ]

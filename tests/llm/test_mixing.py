@@ -85,12 +85,13 @@ def test_odd_rows(spark):
     docs, labels = corpus(spark, 60)
     odd = [(900, None), (901, ""), (None, "apple pear"), (None, "apple pear"), (902, "apple " * 100_000)]
     docs = docs.union(spark.createDataFrame(odd, docs.schema))
-    docs = docs.withColumns({"rate": F.lit("x"), "_mixing": F.lit(1), "p_a": F.lit(2)})
+    docs = docs.withColumns({"rate": F.lit("x"), "_mixing": F.lit(1), "p_a": F.lit(2), "posterior": F.lit(3)})
     labels = labels.union(spark.createDataFrame([(None, "a"), (3, None), (1, "b"), (777, "c")], labels.schema))
     got = mixing.mix(docs, labels, F.col("topic"), {"a": 0.5, "zzz": 0.1})
     rows = {r["doc_id"]: r for r in got.collect()}
     assert got.count() == 65 and rows[902]["n_tokens"] == 100_000 and rows[900]["n_tokens"] == rows[901]["n_tokens"] == 0
     assert rows[900]["p_a"] == rows[901]["p_a"] and rows[900]["p_zzz"] == 0.0 and rows[900]["_mixing"] == 1
+    assert rows[3]["posterior"] == 3
 
 
 def test_no_labels_and_empty_table(spark):

@@ -71,7 +71,7 @@ def test_logistic_is_a_minimum():
 def test_odd_rows_and_missing_columns(spark):
     rows, labels = made_up(200)
     rows += [(900, None, None, None, None), (901, "", "", "", 0), (None, "river", "en", "x", 5), (902, "river " * 100_000, "en", "x", None)]
-    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "'k' as score", "1 as _quality")
+    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "'k' as score", "1 as _quality", "2 as id", "3 as label")
     marked = spark.createDataFrame([*labels, (None, 1), (5, None), (5, 1)], "doc_id bigint, quality int")
     model = quality.fit(marked, docs, CoTraining(bits=10))
     got = quality.score_documents(docs, model)
