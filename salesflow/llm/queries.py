@@ -48,6 +48,27 @@ def op2_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+ORACLES["op2_rotation_codes"] = """
+with recursive vectors as (
+    select vec_id, label, cast(embedding as double[]) as v from embeddings
+    where label is not null and len(list_filter(embedding, lambda x: x <> 0)) > 0
+        and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+),
+links as (
+    select a.vec_id as a, b.vec_id as b from vectors a join vectors b
+        on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+    where list_cosine_similarity(a.v, b.v) >= 0.93
+),
+reach(id, other) as (
+    select vec_id, vec_id from embeddings
+    union select reach.id, links.b from reach join links on reach.other = links.a
+),
+components as (select id, min(other) as component_id from reach group by id)
+select vec_id, (select count(*) from links where a = vec_id) as n_links, component_id, vec_id = component_id as kept
+from embeddings join components on id = vec_id
+"""
+
+
 @query
 def op3_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -158,6 +179,20 @@ def op8_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.select("page_id", "url", "text", "n_chars")
 
 
+# For pages as those of the table, which mark their article and know few character references.
+ORACLES["op8_site_templates"] = r"""
+with inner_html as (
+    select page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|<footer|$)', 1) as body from pages
+),
+plain as (
+    select page_id, url, regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+        body, '<[^>]*>', ' ', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g') as text
+    from inner_html
+)
+select page_id, url, trim(text) as text, length(trim(text)) as n_chars from plain
+"""
+
+
 @query
 def op9_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
