@@ -37,6 +37,7 @@ from salesflow.staging import stage
 _WORD = 64
 _QUERY_BITS = 4
 _SAFE = 1e-9  # more than the rounding of sums of doubles
+_SINGLE = 1e-5  # and of singles
 
 
 @dataclass(frozen=True)
@@ -89,13 +90,16 @@ class Codes:
 
     def products(self, rows: slice, other: Codes) -> np.ndarray:
         """Inner products of the rounded queries ``rows`` with the other's codes as unit vectors."""
-        weighted = np.zeros((len(self.low[rows]), len(other.code)))
+        weighted = np.zeros((len(self.low[rows]), len(other.code)), dtype=np.uint32)
         for i, plane in enumerate(self.planes):
             for word in range(plane.shape[1]):
                 common = np.bitwise_count(plane[rows, word][:, None] & other.code[:, word][None, :])
-                weighted += common * float(1 << i)
-        signed = self.low[rows, None] * other.ones[None, :] + self.width[rows, None] * weighted
-        return (2 * signed - self.total[rows, None]) / self.root
+                weighted += np.left_shift(common, i, dtype=np.uint32)
+        single = lambda x: x.astype(np.float32)
+        sums = single(weighted) * single(2 * self.width[rows] / self.root)[:, None]
+        sums += single(2 * self.low[rows] / self.root)[:, None] * single(other.ones)[None, :]
+        sums -= single(self.total[rows] / self.root)[:, None]
+        return sums
 
 
 def bounds(s: np.ndarray, error: np.ndarray, factor: np.ndarray, size: int, confidence: float):
@@ -114,24 +118,38 @@ def bounds(s: np.ndarray, error: np.ndarray, factor: np.ndarray, size: int, conf
     return np.minimum(side(low, -1), side(high, -1)), upper
 
 
+def least_product(factor: np.ndarray, size: int, options: CodeOptions) -> np.ndarray:
+    """The smallest inner product with a code at which the upper bound can reach the threshold."""
+    always = np.cos(np.minimum(np.arccos(factor) + np.arccos(options.threshold), np.pi))
+    off = np.sqrt(1 - factor * factor)
+    likely = factor * options.threshold - options.confidence * off / np.sqrt(max(size - 1, 1))
+    return np.maximum(always, likely)
+
+
 def linked(queries: Codes, others: Codes, options: CodeOptions) -> Iterator[tuple[int, np.ndarray]]:
     """For each query with any, the positions of the others at a cosine of the threshold or more."""
+    size = int(others.root**2 + 0.5)
+    least = least_product(others.factor, size, options)
     for start in range(0, len(queries.code), options.rows):
         rows = slice(start, min(start + options.rows, len(queries.code)))
         s = queries.products(rows, others)
-        low, high = bounds(s, queries.error[rows, None], others.factor[None, :], int(others.root**2), options.confidence)
+        error = queries.error[rows] + _SINGLE
+        i, j = np.nonzero(s >= (least[None, :] - error[:, None] - _SINGLE).astype(np.float32))
+        low, high = bounds(s[i, j].astype(np.float64), error[i], others.factor[j], size, options.confidence)
         sure = low >= options.threshold + _SAFE
-        i, j = np.nonzero((high >= options.threshold - _SAFE) & ~sure)
-        if len(i) > sure.size // 16:  # most of the block: one product is less work than many rows
+        open_ = np.flatnonzero((high >= options.threshold - _SAFE) & ~sure)
+        if len(open_) > s.size // 16:  # most of the block: one product is less work than many rows
             cosine = queries.unit[rows] @ others.unit.T
-            sure[i, j] = cosine[i, j] >= options.threshold
+            sure[open_] = cosine[i[open_], j[open_]] >= options.threshold
         else:
-            for at in range(0, len(i), 1 << 14):
-                a, b = i[at : at + (1 << 14)], j[at : at + (1 << 14)]
-                cosine = np.einsum("ij,ij->i", queries.unit[start + a], others.unit[b])
-                sure[a, b] = cosine >= options.threshold
-        for row in np.flatnonzero(sure.any(axis=1)):
-            yield start + int(row), np.flatnonzero(sure[row])
+            for at in range(0, len(open_), 1 << 14):
+                some = open_[at : at + (1 << 14)]
+                cosine = np.einsum("ij,ij->i", queries.unit[start + i[some]], others.unit[j[some]])
+                sure[some] = cosine >= options.threshold
+        i, j = i[sure], j[sure]
+        found, first = np.unique(i, return_index=True)
+        for row, near in zip(found, np.split(j, first[1:]), strict=True) if len(found) else ():
+            yield start + int(row), near
 
 
 def _valid(vector: Column) -> Column:

@@ -67,7 +67,9 @@ def test_bounds_hold_and_estimates_are_unbiased():
         codes = Codes(vectors, turn)
         s = codes.products(slice(0, 5), codes)
         cosine = codes.unit[:5] @ codes.unit.T
-        low, high = bounds(s, codes.error[:5, None], codes.factor[None, :], 64, 6.5)
+        low, high = bounds(s.astype(float), codes.error[:5, None] + 1e-5, codes.factor[None, :], 64, 6.5)
+        least = embeddings.least_product(codes.factor, 64, CodeOptions())
+        assert (s + codes.error[:5, None] + 1e-5 >= least)[high >= 0.93].all()
         assert (low <= cosine + 1e-9).all() and (cosine <= high + 1e-9).all()
         estimates.append(s / codes.factor[None, :])
     assert np.abs(np.mean(estimates, axis=0) - cosine).max() < 0.12
