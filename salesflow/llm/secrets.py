@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.staging import scratch_path
+from salesflow.staging import scratch_path, stage
 
 FINDING = "array<struct<start:int,kind_order:int,kind:string,end:int>>"
 
@@ -132,7 +132,8 @@ def scan(
     known = ledger.read(spark, version)
     unseen = blobs if known is None else blobs.join(known.select("blob"), "blob", "left_anti")
     ledger.add(unseen.select("blob", scan_text(F.col("text"), rules).alias("findings")), version)
-    known = ledger.read(spark, version)
+    # read from files, so that Spark can split the join at a blob that very many paths hold
+    known = stage(ledger.read(spark, version), "findings")
     return files.withColumn("blob", blob_id(text)).drop(text_col, "findings").join(known, "blob")
 
 
