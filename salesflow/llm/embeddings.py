@@ -225,9 +225,8 @@ def near_duplicates(
     )
     # a number of its own for each distinct vector, as ids may repeat or be null
     distinct = stage(distinct.withColumn("node", F.monotonically_increasing_id()), "distinct")
-    sizes = distinct.groupBy(F.col("label").alias("of")).agg(
-        F.ceil(F.count("*") / options.tile).cast("int").alias("tiles")
-    )
+    sizes = distinct.groupBy(F.col("label").alias("of")).agg(F.count("*").alias("n")).filter("n > 1")
+    sizes = sizes.select("of", F.ceil(F.col("n") / options.tile).cast("int").alias("tiles"))
     tiled = distinct.join(stage(sizes, "tiles"), F.col("label") == F.col("of")).select(
         "label",
         F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int").alias("tile"),
