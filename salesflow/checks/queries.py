@@ -622,14 +622,15 @@ def sink_table_fallback(spark, sf_dir):
 def run_metrics_(spark, sf_dir):
     customers = star.raw_customers(spark, sf_dir)
     refunds = star.raw_shipment_refunds(spark, sf_dir)
-    tables = nested_sales(spark, sf_dir)
+    orders = stage(star.nested_orders(spark, sf_dir), "orders")
+    tables = build_daily_sales(star.customers(spark, sf_dir), clean_refunds(refunds), orders)
     tables = tables.on_staged(stage(tables.per_order, "per_order"))
     return run_metrics(
         metrics.customer_counts(customers),
         metrics.refund_counts(refunds),
-        metrics.order_counts(star.nested_orders(spark, sf_dir)),
+        metrics.order_counts(orders),
         metrics.row_count(tables.orders_clean, "orders_clean_rows"),
-        metrics.row_count(tables.daily_city_sales, "daily_city_sales_rows"),
+        metrics.row_count(tables.daily_unsorted, "daily_city_sales_rows"),
     )
 
 
