@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 KINDS = ("email", "iban", "date", "ip", "ssn", "phone", "card")
 
-_EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
+_EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,9}[A-Za-z]{2,63}"
 _IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])"
 _DATE = (
     r"(?<![0-9])(?:[0-9]{4}(?<y>[-/.])[0-9]{2}\k<y>[0-9]{2}|[0-9]{2}(?<d>[-/.])[0-9]{2}\k<d>[0-9]{4})(?![0-9])"
