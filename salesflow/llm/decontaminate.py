@@ -194,7 +194,7 @@ class Bm25Index:
                 if similarity < self.options.min_similarity or min(shares) < self.options.min_overlap:
                     continue
                 hit = dict(zip(("item", *_FOUND), (item, passage, score, similarity, *shares), strict=True))
-                rank = lambda h: (h["similarity"], h["score"], -h["passage"])
+                rank = lambda h: (h["similarity"], round(h["score"], 9), -h["passage"])
                 if (t, item) not in best or rank(hit) > rank(best[t, item]):
                     best[t, item] = hit
         found: list[list[dict]] = [[] for _ in texts]

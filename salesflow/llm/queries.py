@@ -71,7 +71,58 @@ from embeddings join components on id = vec_id
 
 @query
 def op3_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumns({c: F.round(c, 6) for c in ("score", "similarity", "question_overlap", "answer_overlap")})
+
+
+# All passages against all items, without an index.
+ORACLES["op3_bm25_decontamination"] = r"""
+with words as (
+    select item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') as w from benchmark
+),
+items as (
+    select item_id, w, len(w) as n,
+        case when len(w) < 10 then w else w[:len(w) - greatest(5, len(w) // 4)] end as q,
+        case when len(w) < 10 then w else w[len(w) - greatest(5, len(w) // 4) + 1:] end as a
+    from words
+),
+runs as (
+    select *, list_distinct(list_concat(
+        list_transform(range(1, greatest(len(q) - 5, 0) + 2), lambda i: array_to_string(q[i:i + 4], ' ')),
+        list_transform(range(1, greatest(len(a) - 5, 0) + 2), lambda i: array_to_string(a[i:i + 4], ' ')))) as shingles
+    from items
+),
+size as (select count(*) as items, avg(n) as mean, cast(ceil(1.25 * max(n)) as int) as stride from items),
+tf as (select item_id, n, term, count(*) as f from (select item_id, n, unnest(w) as term from items) group by all),
+df as (select term, count(*) as d from tf group by term),
+weights as (
+    select item_id, term,
+        ln(1 + (items - d + 0.5) / (d + 0.5)) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * n / mean)) as weight
+    from tf join df using (term), size
+),
+impacts as (select item_id, term, weight / sum(weight) over (partition by item_id) as share from weights),
+docs as (select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') as w from documents),
+chunks as (select doc_id, w, stride, unnest(range(0, cast(ceil(len(w) / stride) as int))) as passage from docs, size),
+passages as (select doc_id, cast(passage as int) as passage, w[passage * stride + 1:(passage + 2) * stride] as run from chunks),
+terms as (select distinct doc_id, passage, unnest(run) as term from passages),
+scores as (
+    select doc_id, passage, item_id, sum(share) as score from terms join impacts using (term)
+    group by all having sum(share) >= 0.5
+),
+shares as (
+    select doc_id, passage, item_id, score,
+        len(list_filter(shingles, lambda s: contains(' ' || array_to_string(run, ' ') || ' ', ' ' || s || ' ')))
+            / len(shingles) as similarity,
+        len(list_intersect(list_distinct(q), run)) / len(list_distinct(q)) as question_overlap,
+        len(list_intersect(list_distinct(a), run)) / len(list_distinct(a)) as answer_overlap
+    from scores join passages using (doc_id, passage) join runs using (item_id)
+)
+select doc_id, item_id, passage, round(score, 6) as score, round(similarity, 6) as similarity,
+    round(question_overlap, 6) as question_overlap, round(answer_overlap, 6) as answer_overlap
+from shares where similarity >= 0.8 and question_overlap >= 0.8 and answer_overlap >= 0.8
+qualify row_number() over (
+    partition by doc_id, item_id order by similarity desc, round(score, 9) desc, passage) = 1
+"""
 
 
 # fixed values: the rules of the contract
