@@ -68,6 +68,7 @@ _P_ENDS = frozenset(
     "hr main menu nav ol p pre section table ul".split()
 )
 _BOXES = frozenset("div section ul ol dl table figure details fieldset center".split())
+_DEPTH = 100  # levels of subtrees around a block that recurrence may delete, from the outside
 _STOPS = frozenset(("table", "ul", "ol", "dl", "article", "section", "div", "body", "main", "td", "th", "select"))
 
 
@@ -190,7 +191,7 @@ def _hashes(top: Element, in_main: bool) -> dict[int, int]:
 
 def blocks_of(page: str | None) -> list[tuple[str, list[int]]]:
     """Blocks of text in page order, each with the hashes of the subtrees around it that recurrence
-    may delete."""
+    may delete; on pages nested deeper than any real one, of the outer ones only."""
     root = parse(page or "")
     out: list[tuple[str, list[int]]] = []
     words: list[str] = []
@@ -217,8 +218,10 @@ def blocks_of(page: str | None) -> list[tuple[str, list[int]]]:
                 if id(node) in hashes:
                     around.pop()
             elif node.tag not in _VOID and not node.is_dropped(in_main):
-                if id(node) in hashes:
+                if id(node) in hashes and len(around) < _DEPTH:
                     around.append(hashes[id(node)])
+                else:
+                    hashes.pop(id(node), None)
                 todo.append((False, node))
                 todo += [(True, c) for c in reversed(node.children)]
         flush()

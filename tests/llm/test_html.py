@@ -38,6 +38,8 @@ def test_malformed_pages():
     assert text_of("<article><p title='a > b'>q</p><p data-x=\"1>2\">r</p></article> after") == "q r"
     assert text_of("<article>cut <p>text <im") == "cut text"
     assert text_of("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
+    nested = blocks_of("<div>a" * 20_000)
+    assert len(nested) == 20_000 and max(len(around) for _, around in nested) == 100
     assert len(text_of("<article>" + "<p>word</p>" * 50_000)) == 5 * 50_000 - 1
 
 
