@@ -11,6 +11,7 @@ split at a rule's matches, and the lengths of the pieces and matches before one
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -50,6 +51,7 @@ EXTRA_RULES = (
 )
 RULES = BASE_RULES + EXTRA_RULES
 RULE_VERSION = "1"
+_AT_ONCE = 256
 
 
 def _findings(text: Column, rule: Rule, order: int) -> Column:
@@ -73,10 +75,30 @@ def _findings(text: Column, rule: Rule, order: int) -> Column:
         more = F.when(step["counts"], F.concat(state["found"], F.array(found))).otherwise(state["found"])
         return F.struct((start + step["long"]).alias("at"), more.alias("found"))
 
-    nothing = F.lit(None).cast(FINDING)
-    nothing = F.coalesce(nothing, F.array().cast(FINDING))
-    start = F.struct(F.lit(0).alias("at"), nothing.alias("found"))
-    return F.when(text.rlike(rule.pattern), F.aggregate(steps, start, add, lambda s: s["found"])).otherwise(nothing)
+    nothing = F.coalesce(F.lit(None).cast(FINDING), F.array().cast(FINDING))
+    none_yet = F.coalesce(F.lit(None).cast(f"array<{FINDING}>"), F.array().cast(f"array<{FINDING}>"))
+
+    def gather(steps: Column) -> Column:
+        # An array grows by copying it: matches are added to short arrays, and those to an array of
+        # them, so that a text with very many matches takes time in proportion.
+        def add_some(state: Column, part: Column) -> Column:
+            some = F.slice(steps, part * _AT_ONCE + 1, _AT_ONCE)
+            done = F.aggregate(some, F.struct(state["at"].alias("at"), nothing.alias("found")), add)
+            return _with(
+                done,
+                lambda d: F.struct(d["at"].alias("at"), F.concat(state["found"], F.array(d["found"])).alias("found")),
+            )
+
+        parts = F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / _AT_ONCE).cast("int"))
+        start = F.struct(F.lit(0).alias("at"), none_yet.alias("found"))
+        return F.flatten(F.aggregate(parts, start, add_some, lambda state: state["found"]))
+
+    return F.when(text.rlike(rule.pattern), _with(steps, gather)).otherwise(nothing)
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
 
 
 def scan_text(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
