@@ -13,8 +13,10 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager, suppress
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+ROWS_PER_FILE = 500_000
 _SETTING = "spark.checkpoint.dir"
 _registered: set[str] = set()
 
@@ -53,11 +55,23 @@ def _write_and_read(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def _write_compact(df: DataFrame, path: str) -> DataFrame:
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _write_and_read(held.coalesce(-(-held.count() // ROWS_PER_FILE) or 1), path)
+    finally:
+        held.unpersist()
+
+
+def stage(df: DataFrame, label: str, *, compact: bool = False) -> DataFrame:
     """Write ``df`` as parquet and read it back: later steps start from the files, neither
     repeating the work before them nor depending on executors that may be lost. The files stay
-    until ``cleanup``, as the returned table is read later."""
-    return _write_and_read(df, scratch_path(df.sparkSession, label))
+    until ``cleanup``, as the returned table is read later.
+
+    ``compact`` is for narrow tables that may be small, such as aggregates: they get one file per
+    ROWS_PER_FILE rows instead of one per task, of which a shuffle may have thousands."""
+    write = _write_compact if compact else _write_and_read
+    return write(df, scratch_path(df.sparkSession, label))
 
 
 @contextmanager
@@ -65,6 +79,6 @@ def staging(spark: SparkSession, label: str) -> Iterator[Callable[[DataFrame, st
     """``stage`` for the length of a with block; the files are deleted at its end."""
     folder = scratch_path(spark, label)
     try:
-        yield lambda df, name: _write_and_read(df, f"{folder}/{name}")
+        yield lambda df, name, compact=False: (_write_compact if compact else _write_and_read)(df, f"{folder}/{name}")
     finally:
         delete_path(spark, folder)
