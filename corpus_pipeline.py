@@ -7,11 +7,14 @@ memberships, ``rate`` and ``copies`` (how often to use a document) and keeps eve
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salesflow.llm import decontaminate, mixing, pii, simhash, toxicity
-from salesflow.llm.queries import PII_KEY, TARGETS, held_out, label_domain, table
+from salesflow.llm.queries import PII_KEY, held_out, table
 from salesflow.staging import stage
 
+TARGETS = {"clean": 0.92, "junk": 0.08}
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go. Labels kept for testing are not learned from."""
@@ -35,8 +38,10 @@ def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rates that bring the domains' tokens to their targets."""
-    return mixing.mix(docs, table(spark, sf_dir, "labels"), label_domain(), TARGETS)
+    """Rates that bring the tokens of good and of poor documents to their targets. Toxic ones are
+    gone, so there is no domain for the few that were not found."""
+    domain = F.when(F.col("quality") == 1, "clean").when(F.col("quality") == 0, "junk")
+    return mixing.mix(docs, table(spark, sf_dir, "labels"), domain, TARGETS)
 
 
 STAGES = [
