@@ -4,8 +4,9 @@ from test_simhash import brute_components, brute_print
 
 import __spark_entry__ as contract
 import corpus_pipeline
+from corpus_pipeline import TARGETS
 from salesflow.llm import pii, toxicity
-from salesflow.llm.queries import PII_KEY, TARGETS, held_out
+from salesflow.llm.queries import PII_KEY, held_out
 
 
 @pytest.fixture(scope="module")
