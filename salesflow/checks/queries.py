@@ -393,7 +393,11 @@ def distinct_estimate(spark, sf_dir):
     """Estimated beside exact counts: whether each estimate is within five of its standard errors."""
     error = 0.02
     orders = star.table(spark, sf_dir, "orders")
-    near = lambda c: F.abs(F.approx_count_distinct(c, error) - F.count_distinct(c)) <= 5 * error * F.count_distinct(c)
+
+    def near(c):
+        exact = F.count_distinct(c)
+        return F.abs(F.approx_count_distinct(c, error) - exact) <= 5 * error * exact
+
     return orders.groupBy("o_orderstatus").agg(
         F.count_distinct("o_custkey").alias("customers"),
         near("o_orderkey").alias("orders_near"),

@@ -102,7 +102,8 @@ def save_table(
     format="jdbc" writes to a database (options: url, driver, numPartitions, ...); any other
     format writes a catalog table, at ``path`` if given. If the JDBC driver is not on the class
     path and fallback_format is given, the same rows are written to fallback_path instead, a CSV
-    with fallback_options as ``write_csv`` takes them. Any other failure is raised, so that a half-written table is never taken for a success."""
+    with fallback_options as ``write_csv`` takes them. Any other failure is raised, so that a
+    half-written table is never taken for a success."""
     if format != "jdbc":
         writer = df.write.mode("overwrite").format(format).options(**options)
         (writer.option("path", path) if path else writer).saveAsTable(name)
