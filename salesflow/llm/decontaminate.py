@@ -29,12 +29,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesflow.llm.shipping import shipped
 
 _WORD = re.compile(r"\w+")
-_FOUND = {"passage": "int", "score": "double", "similarity": "double", "question_overlap": "double", "answer_overlap": "double"}
-_HITS = f"array<struct<item:int,{','.join(f'{c}:{t}' for c, t in _FOUND.items())}>>"
+_SHARES = ("score", "similarity", "question_overlap", "answer_overlap")
+_FOUND = {"passage": T.IntegerType(), **dict.fromkeys(_SHARES, T.DoubleType())}
 
 
 @dataclass(frozen=True)
@@ -240,35 +241,32 @@ def build_indexes(
     return built
 
 
-def _hits(index: Bm25Index, docs: DataFrame, text: Column) -> Column:
-    held = shipped(docs.sparkSession, index)
+_AT_ONCE = 1_000_000  # characters searched together, however long the texts
 
-    @F.pandas_udf(_HITS)
+
+def _hits(index: Bm25Index, ids: list, id_type: T.DataType, docs: DataFrame, text: Column) -> Column:
+    """Array of the items found in a text, with their ids as ``item``."""
+    held = shipped(docs.sparkSession, (index, ids))
+    fields = [T.StructField("item", id_type), *(T.StructField(c, t) for c, t in _FOUND.items())]
+
+    @F.pandas_udf(T.ArrayType(T.StructType(fields)))
     def searched(texts: pd.Series) -> pd.Series:
+        index, ids = held()
         found: list[list[dict]] = []
         todo: list[str | None] = []
         chars = 0
-        for text in texts:  # some megabytes at a time, however long the texts
+        for text in texts:
             todo.append(text)
             chars += len(text or "")
-            if chars >= 4_000_000:
-                found += held().search(todo)
+            if chars >= _AT_ONCE:
+                found += index.search(todo)
                 todo, chars = [], 0
-        return pd.Series([*found, *(held().search(todo) if todo else [])])
+        found += index.search(todo) if todo else []
+        return pd.Series([[hit | {"item": ids[hit["item"]]} for hit in hits] for hits in found])
 
     return searched(text.cast("string"))
 
 
-def _item_ids(docs: DataFrame, ids: list, kind):
-    held = shipped(docs.sparkSession, ids)
-
-    @F.pandas_udf(kind)
-    def item_id(numbers: pd.Series) -> pd.Series:
-        return pd.Series([held()[n] for n in numbers], dtype=object)
-
-    return item_id
-
-
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -288,21 +286,18 @@ def contaminated(
     repeated result rows; rows with a null id are searched too. An empty side gives no rows. Of
     ``docs`` only the two named columns are read."""
     keys = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    id_type, item_type = docs.schema[id_col].dataType, benchmark.schema[item_col].dataType
+    indexes = build_indexes(benchmark, options, id_col=item_col, question_col=question_col, answer_col=answer_col)
     out = None
-    for index, ids in build_indexes(
-        benchmark, options, id_col=item_col, question_col=question_col, answer_col=answer_col
-    ):
-        hits = keys.select("_id", F.explode(_hits(index, docs, F.col("_text"))).alias("hit"))
-        part = hits.select(
-            F.col("_id").alias(id_col),
-            _item_ids(docs, ids, benchmark.schema[item_col].dataType)("hit.item").alias(item_col),
-            *[F.col(f"hit.{c}").alias(c) for c in _FOUND],
-        )
+    for index, ids in indexes:
+        hits = keys.select("_id", F.explode(_hits(index, ids, item_type, docs, F.col("_text"))).alias("hit"))
+        names = {"item": item_col, **{c: c for c in _FOUND}}
+        part = hits.select(F.col("_id").alias(id_col), *[F.col(f"hit.{c}").alias(name) for c, name in names.items()])
         out = part if out is None else out.unionByName(part)
     if out is None:
-        empty = ", ".join(f"{c} {t}" for c, t in _FOUND.items())
-        id_type, item_type = (d.schema[c].dataType.simpleString() for d, c in ((docs, id_col), (benchmark, item_col)))
-        out = docs.sparkSession.createDataFrame([], f"`{id_col}` {id_type}, `{item_col}` {item_type}, {empty}")
+        fields = {id_col: id_type, item_col: item_type, **_FOUND}
+        schema = T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+        out = docs.sparkSession.createDataFrame([], schema)
     return out
 
 
@@ -311,6 +306,7 @@ def drop_contaminated(
 ) -> DataFrame:
     """The rows of ``docs`` that hold no test item, all columns as they are; null and empty texts
     stay. A filter per part of the benchmark: no shuffle."""
-    for index, _ in build_indexes(benchmark, options, **items):
-        docs = docs.filter(F.size(_hits(index, docs, F.col(text_col))) == 0)
+    item_type = benchmark.schema[items.get("id_col", "item_id")].dataType
+    for index, ids in build_indexes(benchmark, options, **items):
+        docs = docs.filter(F.size(_hits(index, ids, item_type, docs, F.col(text_col))) == 0)
     return docs

@@ -72,7 +72,8 @@ from embeddings join components on id = vec_id
 @query
 def op3_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.withColumns({c: F.round(c, 6) for c in ("score", "similarity", "question_overlap", "answer_overlap")})
+    shares = ("score", "similarity", "question_overlap", "answer_overlap")
+    return found.withColumns({c: F.round(c, 6) for c in shares})
 
 
 # All passages against all items, without an index.
