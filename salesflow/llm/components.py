@@ -23,22 +23,24 @@ def connected_components(edges: DataFrame) -> DataFrame:
         stars = keep(
             edges.filter(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct(),
             "edges",
+            compact=True,
         )
         before, at = _signature(stars), 0
         while before[0]:
             at += 1
             both = stars.union(stars.select("b", "a"))
-            low = keep(both.groupBy("a").agg(F.least("a", F.min("b")).alias("low")), f"low{at}")
-            large = keep(both.filter(b > a).join(low, "a").select(b.alias("a"), F.col("low").alias("b")), f"large{at}")
-            low = keep(large.groupBy("a").agg(F.min("b").alias("low")), f"least{at}")
+            low = keep(both.groupBy("a").agg(F.least("a", F.min("b")).alias("low")), f"low{at}", compact=True)
+            large = both.filter(b > a).join(low, "a").select(b.alias("a"), F.col("low").alias("b"))
+            large = keep(large, f"large{at}", compact=True)
+            low = keep(large.groupBy("a").agg(F.min("b").alias("low")), f"least{at}", compact=True)
             moved = large.join(low, "a").filter(b != F.col("low")).select(b.alias("a"), F.col("low").alias("b"))
-            stars = keep(moved.union(low.select("a", F.col("low").alias("b"))).distinct(), f"stars{at}")
+            stars = keep(moved.union(low.select("a", F.col("low").alias("b"))).distinct(), f"stars{at}", compact=True)
             after = _signature(stars)
             if after == before:
                 break
             before = after
         found = stars.select(a.alias("node"), b.alias("root"))
-        return stage(found.union(stars.select(b.alias("node"), b.alias("root"))).distinct(), "roots")
+        return stage(found.union(stars.select(b.alias("node"), b.alias("root"))).distinct(), "roots", compact=True)
 
 
 def _signature(edges: DataFrame) -> tuple:

@@ -185,11 +185,13 @@ def links(prints: DataFrame, radius: int = 2, max_shard: int = 2048) -> DataFram
         shards = shards.select("print", F.explode(options[F.col("mask")]).alias("mask"))
         shards = shards.select("mask", F.col("mask").bitwiseAND(F.col("print")).alias("bits"), "print")
         shards = stage(shards, "shards")
-        large = stage(shards.groupBy("mask", "bits").count().filter(F.col("count") > max_shard), "large")
+        large = shards.groupBy("mask", "bits").count().filter(F.col("count") > max_shard)
+        large = stage(large, "large", compact=True)
         some_large = bool(large.head(1))
         small = shards.join(large, ["mask", "bits"], "left_anti") if some_large else shards
         small = small.repartition("mask", "bits").sortWithinPartitions("mask", "bits")
-        level = stage(small.mapInArrow(_links_in_shards(radius), "a bigint, b bigint"), "links")
+        level = small.mapInArrow(_links_in_shards(radius), "a bigint, b bigint")
+        level = stage(level, "links", compact=True)
         found = level if found is None else found.union(level)
         if not some_large:
             return found
@@ -245,20 +247,21 @@ def drop_near_duplicates(
         .agg(F.min_by(F.struct("print", "low_id"), "print").alias("keeper"))
         .select("keeper.*")
     )
-    keepers = stage(keepers, "keepers")
+    keepers = stage(keepers, "keepers", compact=True)
     same = marked[print_col].eqNullSafe(keepers.print) & marked[id_col].eqNullSafe(keepers.low_id)
     return marked.join(keepers, same, "left_semi").dropDuplicates([print_col, id_col]).drop(print_col)
 
 
 def _groups(prints: DataFrame, radius: int, max_shard: int) -> DataFrame:
     """``(print, low_id, root, component_id)`` per distinct fingerprint of ``(id, print)``."""
-    distinct = stage(prints.groupBy("print").agg(F.min("id").alias("low_id")), "distinct")
+    distinct = stage(prints.groupBy("print").agg(F.min("id").alias("low_id")), "distinct", compact=True)
     roots = connected_components(links(distinct.select("print"), radius, max_shard))
     rooted = stage(
         distinct.join(roots, distinct.print == roots.node, "left").select(
             "print", "low_id", F.coalesce("root", "print").alias("root")
         ),
         "rooted",
+        compact=True,
     )
-    lowest = stage(rooted.groupBy("root").agg(F.min("low_id").alias("component_id")), "lowest")
-    return stage(rooted.join(lowest, "root"), "groups")
+    lowest = rooted.groupBy("root").agg(F.min("low_id").alias("component_id"))
+    return stage(rooted.join(stage(lowest, "lowest", compact=True), "root"), "groups", compact=True)
