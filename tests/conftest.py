@@ -26,6 +26,16 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(scope="session")
+def sf_dir():
+    return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="session")
+def documents(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
 def rows(df, *columns):
     """All rows as sorted tuples; nulls first."""
     data = [tuple(r) for r in (df.select(*columns) if columns else df).collect()]
