@@ -193,9 +193,9 @@ def fit_rates(cells: DataFrame, targets: list[float], options: MixingOptions) ->
         history.append([*(step * (a - b) for a, b in zip(ahead, targets, strict=True)), (momentum - 1) / grown])
         momentum = grown
         if len(history) == options.steps_at_once:
-            cells = stage(cells.withColumns({"x": now("x"), "y": now("y")}), "rates")
+            cells = stage(cells.withColumns({"x": now("x"), "y": now("y")}), "rates", compact=True)
             history.clear()
-    cells = stage(cells.withColumns({"x": now("x"), "y": now("y")}), "rates")
+    cells = stage(cells.withColumns({"x": now("x"), "y": now("y")}), "rates", compact=True)
     history.clear()
     return cells.select("posterior", "tokens", F.col("x").alias("rate")), shares()[0]
 
@@ -233,10 +233,10 @@ def mix(
     read = docs.withColumn(words, words_of(F.col(text_col).cast("string")))
     read = read.withColumns({"n_tokens": F.size(words), hidden: model.posterior(F.col(words))}).drop(words)
     read = stage(read, "mixing")
-    cells = stage(read.groupBy(F.col(hidden).alias("posterior")).agg(F.sum("n_tokens").alias("tokens")), "cells")
+    cells = stage(read.groupBy(F.col(hidden).alias("posterior")).agg(F.sum("n_tokens").alias("tokens")), "cells", compact=True)
     wanted = [targets.get(d, 0.0) for d in model.domains]
     rated, _ = fit_rates(cells, wanted, options)
-    rated = stage(rated.select(F.col("posterior").alias(f"{hidden}_of"), F.col("rate").alias(f"{hidden}_rate")), "rates")
+    rated = stage(rated.select(F.col("posterior").alias(f"{hidden}_of"), F.col("rate").alias(f"{hidden}_rate")), "rates", compact=True)
     out = read.join(rated, F.col(hidden) == F.col(f"{hidden}_of"))
     place = {d: i for i, d in enumerate(model.domains)}
     known = lambda d: F.col(hidden)[place[d]] if d in place else F.lit(0.0)
