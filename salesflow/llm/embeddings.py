@@ -227,7 +227,7 @@ def near_duplicates(
     distinct = stage(distinct.withColumn("node", F.monotonically_increasing_id()), "distinct")
     sizes = distinct.groupBy(F.col("label").alias("of")).agg(F.count("*").alias("n")).filter("n > 1")
     sizes = sizes.select("of", F.ceil(F.col("n") / options.tile).cast("int").alias("tiles"))
-    tiled = distinct.join(stage(sizes, "tiles"), F.col("label") == F.col("of")).select(
+    tiled = distinct.join(stage(sizes, "tiles", compact=True), F.col("label") == F.col("of")).select(
         "label",
         F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int").alias("tile"),
         F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"),
@@ -242,7 +242,7 @@ def near_duplicates(
         .groupBy("label", "low", "high")
         .applyInPandas(_compare(options), "id bigint, links bigint, reach bigint")
     )
-    compared = stage(compared, "compared")
+    compared = stage(compared, "compared", compact=True)
     links = compared.groupBy(F.col("id").alias("linked")).agg(F.sum("links").alias("links"))
     roots = connected_components(compared.select(F.col("id").alias("a"), F.col("reach").alias("b")))
     nodes = distinct.join(links, F.col("node") == F.col("linked"), "left")
@@ -255,7 +255,8 @@ def near_duplicates(
         ),
         "nodes",
     )
-    lowest = stage(nodes.groupBy("root").agg(F.min("low_id").alias("component_id")), "lowest")
+    lowest = nodes.groupBy("root").agg(F.min("low_id").alias("component_id"))
+    lowest = stage(lowest, "lowest", compact=True)
     nodes = stage(nodes.join(lowest, "root").select("label", "vector", "n_links", "component_id"), "groups")
     nodes = nodes.withColumnsRenamed({"label": "node_label", "vector": "node_vector"})
     same = (F.col("label") == F.col("node_label")) & (F.col("vector") == F.col("node_vector"))
