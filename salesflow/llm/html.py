@@ -278,8 +278,9 @@ def extract_text(
 
     A subtree is deleted if it stands on at least ``min_pages`` pages of its host, and on
     ``min_share`` of them (a box in marked main content: ``min_share_main``); pages of equal text
-    count as one. Null and empty html give an empty text. A null url, or one without a host, belongs to the host "". Repeated rows are
-    extracted one by one. Columns named like a new one are replaced, all others kept."""
+    count as one. Null and empty html give an empty text. A null url, or one without a host, belongs
+    to the host "". Repeated rows are extracted one by one. Columns named like a new one are
+    replaced, all others kept."""
     names = {}
     for name in ("page", "host", "version", "parsed", "of", "deleted"):
         names[name] = f"_{name}"
@@ -293,15 +294,19 @@ def extract_text(
     read = stage(read, "parsed")
     hashes = F.array_distinct(F.flatten(F.col(parsed)["around"]))
     mixed = F.size(F.col(parsed)["around"]) > 0
-    found = read.filter(mixed).select(F.col(host).alias("host"), F.col(version).alias("version"), F.explode(hashes).alias("hash"))
-    counted = found.groupBy("host", "hash", "version").agg(F.lit(1).alias("one")).groupBy("host", "hash").agg(F.count("*").alias("n"))
-    sizes = read.groupBy(F.col(host).alias("of"), F.col(version).alias("v")).agg(F.lit(1).alias("one"))
-    sizes = stage(sizes.groupBy("of").agg(F.count("*").alias("pages")), "hosts")
-    counted = stage(counted.filter(F.col("n") >= min_pages), "counted")
+    found = read.filter(mixed).select(
+        F.col(host).alias("host"), F.col(version).alias("version"), F.explode(hashes).alias("hash")
+    )
+    counted = found.distinct().groupBy("host", "hash").agg(F.count("*").alias("n"))
+    sizes = read.select(F.col(host).alias("of"), version).distinct()
+    sizes = stage(sizes.groupBy("of").agg(F.count("*").alias("pages")), "hosts", compact=True)
+    counted = stage(counted.filter(F.col("n") >= min_pages), "counted", compact=True)
     least = F.when(F.col("hash") % 2 == 0, min_share).otherwise(min_share_main) * F.col("pages")
     template = counted.join(sizes, F.col("host") == F.col("of")).filter(F.col("n") >= least)
-    template = stage(template.select(F.col("host").alias("t_host"), "hash"), "templates")
-    placed = read.filter(mixed).select(F.col(host).alias("host"), F.col(page).alias(of), F.explode(hashes).alias("h"))
+    template = stage(template.select(F.col("host").alias("t_host"), "hash"), "templates", compact=True)
+    placed = read.filter(mixed).select(
+        F.col(host).alias("host"), F.col(page).alias(of), F.explode(hashes).alias("h")
+    )
     deleted = (
         placed.join(template, (F.col("host") == F.col("t_host")) & (F.col("h") == F.col("hash")))
         .groupBy(of)
@@ -310,7 +315,7 @@ def extract_text(
     blocks = F.arrays_zip(F.col(parsed)["texts"].alias("text"), F.col(parsed)["around"].alias("around"))
     kept = F.filter(blocks, lambda b: ~F.coalesce(F.arrays_overlap(b["around"], F.col(gone)), F.lit(False)))
     whole = read.filter(~mixed).withColumn("text", F.array_join(F.col(parsed)["texts"], " "))
-    cut = read.filter(mixed).join(stage(deleted, "deleted"), F.col(page) == F.col(of), "left")
+    cut = read.filter(mixed).join(stage(deleted, "deleted", compact=True), F.col(page) == F.col(of), "left")
     cut = cut.withColumn("text", F.array_join(F.transform(kept, lambda b: b["text"]), " ")).drop(of, gone)
     out = whole.unionByName(cut).drop(host, version, parsed, page)
     return out.withColumn("n_chars", F.length("text").cast("long"))
