@@ -1,8 +1,8 @@
 """Main text of web pages by removing site templates.
 
 A page is parsed once into a tree. The hashes of its element subtrees (tag, attributes, text,
-children) are counted per host by Spark, once per page, and subtrees that recur on many pages of a
-host are template parts: they are deleted. So are elements whose role is not the article's: by tag
+children), of the whole page whatever it marks, are counted per host by Spark, once per page, and
+subtrees that recur on many pages of a host are template parts: they are deleted. So are elements whose role is not the article's: by tag
 (nav, header, footer, aside, form, script, style, ...), by ARIA role, or by a word of their class or
 id (menu, advert, cookie, comments, ...). Where a page marks its main content (article, main,
 ``role=main``), the text is what lies inside; only boxes in it (div, section, list, table, ... with
@@ -11,8 +11,8 @@ paragraphs, so pages that share passages and copies of a page keep their article
 count once. A header inside an article is its heading, and stays.
 
 Each page is one row all along: parsed to its blocks of text, each with the hashes of the subtrees it
-stands in, written once; the counts read the hashes only, and only pages with a subtree to
-judge take part in a join."""
+stands in and the hashes of all its subtrees, written once; the counts read the hashes only, and
+only pages whose main text has a subtree to judge take part in a join."""
 
 from __future__ import annotations
 
@@ -160,39 +160,51 @@ def _end_implied(stack: list[Element], tag: str) -> None:
                 break
 
 
-def _hashes(top: Element, in_main: bool) -> dict[int, int]:
-    """Hashes of the subtrees below ``top`` that recurrence may delete, by the element's identity:
-    all block elements, or the boxes of main content. The lowest bit tells main content's."""
-    digests: dict[int, int] = {}
-    letters: dict[int, int] = {}
-    found: dict[int, int] = {}
-    elements: list[Element] = []
-    todo = [top]
-    while todo:
-        node = todo.pop()
-        elements.append(node)
-        todo += [c for c in node.children if isinstance(c, Element)]
-    if in_main and not any(e.tag in _BOXES for e in elements[1:]):
-        return found
-    for node in reversed(elements):  # children before their parents
-        parts, n = [node.tag, *(f"{k}={v}" for k, v in sorted(node.attributes.items()))], 0
-        for child in node.children:
-            text = str(digests[id(child)]) if isinstance(child, Element) else _SPACE.sub(" ", child).strip()
-            n += letters[id(child)] if isinstance(child, Element) else len(text)
-            parts.append(text)
-        digests[id(node)] = xxhash.xxh64_intdigest("\x00".join(parts).encode("utf-8", "surrogatepass"))
-        letters[id(node)] = n
-    for node in elements[1:]:
-        counts = node.tag in _BOXES and 2 * letters[id(node)] < letters[id(top)] if in_main else node.tag not in _INLINE
-        if counts:
-            found[id(node)] = (digests[id(node)] & ~1 | in_main) - (1 << 63)
-    return found
+class Subtrees:
+    """Hashes and letters of the element subtrees of a whole page, by the element's identity."""
+
+    def __init__(self, root: Element) -> None:
+        self.hashes: dict[int, int] = {}
+        self.letters: dict[int, int] = {}
+        elements: list[Element] = []
+        todo = [root]
+        while todo:
+            node = todo.pop()
+            elements.append(node)
+            todo += [c for c in node.children if isinstance(c, Element)]
+        for node in reversed(elements):  # children before their parents
+            parts, n = [node.tag, *(f"{k}={v}" for k, v in sorted(node.attributes.items()))], 0
+            for child in node.children:
+                text = str(self.hashes[id(child)]) if isinstance(child, Element) else _SPACE.sub(" ", child).strip()
+                n += self.letters[id(child)] if isinstance(child, Element) else len(text)
+                parts.append(text)
+            digest = xxhash.xxh64_intdigest("\x00".join(parts).encode("utf-8", "surrogatepass"))
+            self.hashes[id(node)] = digest - (1 << 63)
+            self.letters[id(node)] = n
+        #: of the blocks that hold text, which are counted per host wherever on the page they stand
+        self.counted = sorted(
+            {self.hashes[id(e)] for e in elements if e is not root and e.tag not in _INLINE and self.letters[id(e)]}
+        )
+
+    def judged(self, node: Element, top: Element, in_main: bool) -> bool:
+        """Whether recurrence may delete ``node``: any block, in main content only boxes with less
+        than half of its text."""
+        if node is top or not in_main:
+            return node is not top and node.tag not in _INLINE
+        return node.tag in _BOXES and 2 * self.letters[id(node)] < self.letters[id(top)]
 
 
 def blocks_of(page: str | None) -> list[tuple[str, list[int]]]:
     """Blocks of text in page order, each with the hashes of the subtrees around it that recurrence
     may delete; on pages nested deeper than any real one, of the outer ones only."""
+    return read_page(page)[0]
+
+
+def read_page(page: str | None) -> tuple[list[tuple[str, list[int]]], list[int], bool]:
+    """``blocks_of`` a page, the hashes of all subtrees of the whole page that hold text, and
+    whether the page marks its main content."""
     root = parse(page or "")
+    subtrees = Subtrees(root)
     out: list[tuple[str, list[int]]] = []
     words: list[str] = []
     around: list[int] = []
@@ -204,7 +216,7 @@ def blocks_of(page: str | None) -> list[tuple[str, list[int]]]:
             out.append((text, list(around)))
 
     def walk(top: Element, in_main: bool) -> None:
-        hashes = _hashes(top, in_main)
+        opened: set[int] = set()
         todo: list[tuple[bool, Element | str]] = [(True, top)]
         while todo:
             opens, node = todo.pop()
@@ -215,13 +227,12 @@ def blocks_of(page: str | None) -> list[tuple[str, list[int]]]:
             if not inline or node.tag in _VOID:
                 flush()
             if not opens:
-                if id(node) in hashes:
+                if id(node) in opened:
                     around.pop()
             elif node.tag not in _VOID and not node.is_dropped(in_main):
-                if id(node) in hashes and len(around) < _DEPTH:
-                    around.append(hashes[id(node)])
-                else:
-                    hashes.pop(id(node), None)
+                if len(around) < _DEPTH and subtrees.judged(node, top, in_main):
+                    around.append(subtrees.hashes[id(node)])
+                    opened.add(id(node))
                 todo.append((False, node))
                 todo += [(True, c) for c in reversed(node.children)]
         flush()
@@ -229,7 +240,7 @@ def blocks_of(page: str | None) -> list[tuple[str, list[int]]]:
     mains = _mains(root)
     for top in mains or [root]:
         walk(top, bool(mains))
-    return out
+    return out, subtrees.counted, bool(mains)
 
 
 def _mains(root: Element) -> list[Element]:
@@ -253,13 +264,13 @@ def _mains(root: Element) -> list[Element]:
 
 
 def _read(pages: Column) -> Column:
-    @F.pandas_udf("struct<texts:array<string>,around:array<array<bigint>>>")
+    @F.pandas_udf("struct<texts:array<string>,around:array<array<bigint>>,counted:array<bigint>,marked:boolean>")
     def parsed(batch: pd.Series) -> pd.DataFrame:
-        rows = [blocks_of(page) for page in batch]
+        rows, counted, marked = zip(*map(read_page, batch), strict=True) if len(batch) else ((), (), ())
         texts = [[t for t, _ in row] for row in rows]
         # hashes are written only where there are any: most marked main content has none
         around = [[h for _, h in row] if any(h for _, h in row) else [] for row in rows]
-        return pd.DataFrame({"texts": texts, "around": around})
+        return pd.DataFrame({"texts": texts, "around": around, "counted": counted, "marked": marked})
 
     return parsed(pages.cast("string"))
 
@@ -294,21 +305,24 @@ def extract_text(
     read = stage(read, "parsed")
     hashes = F.array_distinct(F.flatten(F.col(parsed)["around"]))
     mixed = F.size(F.col(parsed)["around"]) > 0
-    found = read.filter(mixed).select(
-        F.col(host).alias("host"), F.col(version).alias("version"), F.explode(hashes).alias("hash")
+    found = read.select(
+        F.col(host).alias("host"), F.col(version).alias("version"), F.explode(F.col(parsed)["counted"]).alias("hash")
     )
     counted = found.distinct().groupBy("host", "hash").agg(F.count("*").alias("n"))
     sizes = read.select(F.col(host).alias("of"), version).distinct()
     sizes = stage(sizes.groupBy("of").agg(F.count("*").alias("pages")), "hosts", compact=True)
     counted = stage(counted.filter(F.col("n") >= min_pages), "counted", compact=True)
-    least = F.when(F.col("hash") % 2 == 0, min_share).otherwise(min_share_main) * F.col("pages")
-    template = counted.join(sizes, F.col("host") == F.col("of")).filter(F.col("n") >= least)
-    template = stage(template.select(F.col("host").alias("t_host"), "hash"), "templates", compact=True)
+    share = F.col("n") / F.col("pages")
+    template = counted.join(sizes, F.col("host") == F.col("of")).withColumn("share", share)
+    template = template.filter(F.col("share") >= min(min_share, min_share_main))
+    template = stage(template.select(F.col("host").alias("t_host"), "hash", "share"), "templates", compact=True)
+    least = F.when(F.col(parsed)["marked"], min_share_main).otherwise(min_share)
     placed = read.filter(mixed).select(
-        F.col(host).alias("host"), F.col(page).alias(of), F.explode(hashes).alias("h")
+        F.col(host).alias("host"), F.col(page).alias(of), least.alias("least"), F.explode(hashes).alias("h")
     )
     deleted = (
         placed.join(template, (F.col("host") == F.col("t_host")) & (F.col("h") == F.col("hash")))
+        .filter(F.col("share") >= F.col("least"))
         .groupBy(of)
         .agg(F.collect_list("hash").alias(gone))  # at most the subtrees of one page
     )

@@ -75,3 +75,15 @@ def test_odd_rows(spark):
         ("1", "", 0), ("2", "", 0), ("None", "x", 1), ("None", "x", 1),
     ]
     assert html.extract_text(pages.limit(0)).count() == 0
+
+
+def test_whole_pages_are_counted(spark):
+    """A box in few articles that stands beside the article on the host's other pages."""
+    box = "<div>Read our letter</div>"
+    pages = [
+        f"<body><article><p>own {i}</p>{box}<p>and more of page {i}</p></article></body>" if i < 3 else f"<body>{box}<article><p>own {i}</p></article></body>"
+        for i in range(10)
+    ]
+    rows = [(i, "http://news.org/", page) for i, page in enumerate(pages)]
+    got = html.extract_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {i: f"own {i} and more of page {i}" if i < 3 else f"own {i}" for i in range(10)}
