@@ -3,8 +3,8 @@
 A page is parsed once into a tree. The hashes of its element subtrees (tag, attributes, text,
 children), of the whole page whatever it marks, are counted per host by Spark, once per page, and
 subtrees that recur on many pages of a host are template parts: they are deleted. So are elements whose role is not the article's: by tag
-(nav, header, footer, aside, form, script, style, ...), by ARIA role, or by a word of their class or
-id (menu, advert, cookie, comments, ...). Where a page marks its main content (article, main,
+(nav, header, footer, aside, form, script, style, ...), by ARIA role, or by a whole word of their class
+or id (menu, advert, cookie, comments, ...), unless they hold main content or most of the page's text. Where a page marks its main content (article, main,
 ``role=main``), the text is what lies inside; only boxes in it (div, section, list, table, ... with
 less than half of its text) that recur on most pages of the host are deleted there, never
 paragraphs, so pages that share passages and copies of a page keep their article: pages of equal text
@@ -52,10 +52,10 @@ _ROLES = frozenset(
     "status".split()
 )
 _NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed)?|promo(?:tion)?s?|banner|cookies?|consent|gdpr"
+    r"ads?|adverts?|advertisements?|advertising|sponsor(?:ed)?|promo(?:tion)?s?|banner|cookies?|consent|gdpr"
     r"|notices?|nav|navbar|navigation|menus?|breadcrumbs?|sidebars?|side-bar|footer|site-header|page-header|masthead"
     r"|comments?|commentlist|replies|disqus|share|sharing|social|related|recommended|newsletter|subscribe|subscription"
-    r"|signup|sign-up|login|popup|modal|overlay|widgets?|pagination|pager|toolbar|skip-link)(?:$|[\s_-])",
+    r"|signup|sign-up|login|popup|modal|overlay|widgets?|pagination|pager|toolbar|skip-link",
     re.I,
 )
 # an open element that a new one of these ends, as HTML lets end tags be left out
@@ -83,14 +83,22 @@ class Element:
         return self.tag in _MAIN or self.attributes.get("role", "").lower() == "main"
 
     def is_dropped(self, in_main: bool) -> bool:
+        """By its tag or role, whatever it holds."""
         if self.tag in _DROP or (self.tag == "header" and not in_main):
             return True
         if not self.attributes or self.tag in ("html", "body"):
             return False
-        if self.attributes.get("role", "").lower() in _ROLES or "hidden" in self.attributes:
-            return True
-        names = f"{self.attributes.get('class', '')} {self.attributes.get('id', '')}"
-        return not self.is_main() and _NAMES.search(names) is not None
+        return self.attributes.get("role", "").lower() in _ROLES or "hidden" in self.attributes
+
+    def is_named(self) -> bool:
+        """Whether a whole word of class or id names another part than the article: ``cookie-notice``
+        does, of two such words, but ``has-sidebar`` and ``comments-open`` tell about the page."""
+        if not self.attributes or self.tag in ("html", "body") or self.is_main():
+            return False
+        names = f"{self.attributes.get('class', '')} {self.attributes.get('id', '')}".split()
+        return any(
+            _NAMES.fullmatch(name) or all(map(_NAMES.fullmatch, re.split("[_-]+", name.strip("_-")))) for name in names
+        )
 
 
 def parse(page: str) -> Element:
@@ -166,6 +174,8 @@ class Subtrees:
     def __init__(self, root: Element) -> None:
         self.hashes: dict[int, int] = {}
         self.letters: dict[int, int] = {}
+        self.shown: dict[int, int] = {}  # letters without those of elements dropped by tag or role
+        self.root = root
         elements: list[Element] = []
         todo = [root]
         while todo:
@@ -181,11 +191,19 @@ class Subtrees:
             digest = xxhash.xxh64_intdigest("\x00".join(parts).encode("utf-8", "surrogatepass"))
             self.hashes[id(node)] = digest - (1 << 63)
             self.letters[id(node)] = n
+            shown = (
+                self.shown[id(c)] if isinstance(c, Element) else len("".join(c.split())) for c in node.children
+            )
+            self.shown[id(node)] = 0 if node.is_dropped(True) else sum(shown)
         #: of the blocks that hold text, which are counted per host wherever on the page they stand
         self.counted = sorted(
             {self.hashes[id(e)] for e in elements if e is not root and e.tag not in _INLINE and self.letters[id(e)]}
         )
 
+    def is_most(self, node: Element) -> bool:
+        """Whether ``node`` holds most of the page's text."""
+        return 2 * self.shown[id(node)] > self.shown[id(self.root)]
+
     def judged(self, node: Element, top: Element, in_main: bool) -> bool:
         """Whether recurrence may delete ``node``: any block, in main content only boxes with less
         than half of its text."""
@@ -229,7 +247,7 @@ def read_page(page: str | None) -> tuple[list[tuple[str, list[int]]], list[int],
             if not opens:
                 if id(node) in opened:
                     around.pop()
-            elif node.tag not in _VOID and not node.is_dropped(in_main):
+            elif node.tag not in _VOID and not node.is_dropped(in_main) and (not node.is_named() or subtrees.is_most(node)):
                 if len(around) < _DEPTH and subtrees.judged(node, top, in_main):
                     around.append(subtrees.hashes[id(node)])
                     opened.add(id(node))
@@ -237,30 +255,33 @@ def read_page(page: str | None) -> tuple[list[tuple[str, list[int]]], list[int],
                 todo += [(True, c) for c in reversed(node.children)]
         flush()
 
-    mains = _mains(root)
+    mains = _mains([root], subtrees)
     for top in mains or [root]:
         walk(top, bool(mains))
     return out, subtrees.counted, bool(mains)
 
 
-def _mains(root: Element) -> list[Element]:
+def _mains(tops: list[Element | str], subtrees: Subtrees) -> list[Element]:
     """Outermost elements of main content that are not inside a part that is dropped; articles in a
-    ``main`` stand for it, so that what is beside them goes."""
-    found: list[Element] = []
-    todo = [root]
+    ``main`` stand for it, so that what is beside them goes. Below an element whose class or id names
+    another part, articles are teasers and the like, unless it holds most of the page's text or there
+    is no main content elsewhere; a ``main`` always counts."""
+    found: list[tuple[bool, Element]] = []  # in page order; whether it may be a teaser
+    todo = [(False, e) for e in reversed(tops) if isinstance(e, Element)]
     while todo:
-        node = todo.pop()
+        aside, node = todo.pop()
         if node.is_main():
             if node.tag != "article":
-                inner = [e for child in node.children if isinstance(child, Element) for e in _mains(child)]
-                found += inner or [node]
+                found += [(False, e) for e in _mains(node.children, subtrees) or [node]]
             else:
-                found.append(node)
+                found.append((aside, node))
             continue
-        if node is not root and node.is_dropped(False):
+        if node.is_dropped(False):
             continue
-        todo += [c for c in reversed(node.children) if isinstance(c, Element)]
-    return found
+        if node.is_named():
+            aside = aside or not subtrees.is_most(node)
+        todo += [(aside, c) for c in reversed(node.children) if isinstance(c, Element)]
+    return [e for aside, e in found if not aside] or [e for _, e in found]
 
 
 def _read(pages: Column) -> Column:

@@ -87,3 +87,16 @@ def test_whole_pages_are_counted(spark):
     rows = [(i, "http://news.org/", page) for i, page in enumerate(pages)]
     got = html.extract_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
     assert {r["page_id"]: r["text"] for r in got} == {i: f"own {i} and more of page {i}" if i < 3 else f"own {i}" for i in range(10)}
+
+
+def test_wrappers_with_common_class_words():
+    for names in ("site has-sidebar", "post comments-open", "social", "widget", "no-share"):
+        for tag in ("article", "main", "p"):
+            page = f'<body><nav>N</nav><div class="{names}"><div><{tag}>the text itself</{tag}></div></div><div class="ad">AD</div></body>'
+            assert text_of(page) == "the text itself", page
+    teaser = '<div class="sidebar"><article>teaser</article></div>'
+    assert text_of(f"<body>{teaser}<article>the longer text</article></body>") == "the longer text"
+    assert text_of(f"<body>{teaser}<div class='widget'><main>the main text</main></div></body>") == "the main text"
+    assert text_of(f"<main><div>{teaser}</div><article>the longer text</article></main>") == "the longer text"
+    assert text_of(f"<body><div class='social'>{teaser}<article>the longer text</article></div></body>") == "the longer text"
+    assert text_of('<body><p>a long own text</p><div class="cookie-notice">C</div><div id="share">S</div></body>') == "a long own text"
