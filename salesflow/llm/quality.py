@@ -3,19 +3,21 @@
 One classifier sees what a text says: naive Bayes over hashed tokens (words in their case, runs of
 marks, immediate repetitions). The other sees only the metadata and layout of a document (language,
 source, declared length, lines, shares of capitals, marks and distinct words): a logistic
-regression. Each round, either view labels the unlabelled documents it is surest of, in the classes'
-proportion, for the other to learn from. Then both are calibrated on labelled documents that neither
-was fitted on, and a logistic regression over the two calibrated log odds combines them.
+regression. Each round, both views score all unlabelled documents, and either labels those it is sure
+of for the other to learn from. Then both are calibrated on labelled documents that neither was
+fitted on, and a logistic regression over the two calibrated log odds combines them.
 
-Fitting reads bounded samples, whole texts: ``max_labelled`` labelled and ``max_pool`` unlabelled
-documents, those with the smallest hashes of their ids. It runs in one task, which returns a model of
-a fixed size; scoring is a map over all documents."""
+Fitting reads a bounded sample of labelled documents, whole texts: ``max_labelled``, those with the
+smallest hashes of their ids; their features lie on the driver. The unlabelled side has no bound: the
+features of all other documents are written once, scored in maps, and reach the driver only as sums
+of a fixed size: token counts per class for naive Bayes, gradient and second derivatives for each
+Newton step of the logistic regression. Scoring is a map over all documents."""
 
 from __future__ import annotations
 
 import pickle
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesflow.llm.shipping import shipped
+from salesflow.staging import staging
 
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 _REPEAT = "\x01repeat"
@@ -33,15 +36,13 @@ _REPEAT = "\x01repeat"
 
 @dataclass(frozen=True)
 class CoTraining:
-    """``confident``: least probability of a pseudo-label; ``per_round``: most of them a view gives
-    away in a round; ``groups``: hashed values of a metadata column."""
+    """``confident``: least probability of a pseudo-label; ``groups``: hashed values of a metadata
+    column."""
 
     bits: int = 18
     rounds: int = 4
     confident: float = 0.97
-    per_round: int = 1024
     max_labelled: int = 8192
-    max_pool: int = 8192
     groups: int = 16
     ridge: float = 1.0
     smoothing: float = 1.0
@@ -119,13 +120,23 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 30) -> np.
     return w
 
 
+def newton_sums(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Gradient and, below it, second derivatives of the logistic loss; the intercept is last."""
+    x = np.column_stack([x, np.ones(len(x))])
+    p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+    return np.vstack([x.T @ (p - y), (x * (p * (1 - p) + 1e-9)[:, None]).T @ x])
+
+
+def add_counts(counts: np.ndarray, rows: list, y: np.ndarray) -> None:
+    for (at, weight), label in zip(rows, y, strict=True):
+        counts[int(label)][at] += weight
+
+
 class ContentView:
-    """Naive Bayes log odds over token features."""
+    """Naive Bayes log odds over token features, of the counts of either class."""
 
-    def __init__(self, rows: list, y: np.ndarray, options: CoTraining) -> None:
-        counts = np.full((2, 1 << options.bits), options.smoothing)
-        for (at, weight), label in zip(rows, y, strict=True):
-            counts[int(label)][at] += weight
+    def __init__(self, counts: np.ndarray, options: CoTraining) -> None:
+        counts = counts + options.smoothing
         logs = np.log(counts / counts.sum(axis=1, keepdims=True))
         self.weights = (logs[1] - logs[0]).astype(np.float32)
 
@@ -135,14 +146,162 @@ class ContentView:
 
 
 class LayoutView:
-    def __init__(self, rows: list, y: np.ndarray, options: CoTraining) -> None:
-        x = np.array(rows)
-        self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-6
-        self.weights = logistic((x - self.mean) / self.scale, y, options.ridge)
+    """Logistic regression on standardised layouts; ``sums`` are the ``newton_sums`` of its rows."""
+
+    def __init__(self, mean: np.ndarray, scale: np.ndarray, weights: np.ndarray) -> None:
+        self.mean, self.scale, self.weights = mean, scale, weights
+
+    @classmethod
+    def fitted(cls, mean: np.ndarray, scale: np.ndarray, sums: Callable, ridge: float, steps: int = 30) -> LayoutView:
+        view = cls(mean, scale, np.zeros(len(mean) + 1))
+        shrink = np.full(len(mean) + 1, ridge)
+        shrink[-1] = 1e-6
+        for _ in range(steps):
+            found = sums(view)
+            step = np.linalg.solve(found[1:] + np.diag(shrink), found[0] + shrink * view.weights)
+            view = cls(mean, scale, view.weights - step)
+            if np.abs(step).max() < 1e-4:
+                break
+        return view
+
+    def standard(self, rows: list) -> np.ndarray:
+        return (np.array(rows, dtype=np.float64).reshape(-1, len(self.mean)) - self.mean) / self.scale
+
+    def sums(self, rows: list, y: np.ndarray) -> np.ndarray:
+        return newton_sums(self.standard(rows), y, self.weights)
 
     def odds(self, rows: list) -> np.ndarray:
-        x = (np.array(rows).reshape(-1, len(self.mean)) - self.mean) / self.scale
-        return x @ self.weights[:-1] + self.weights[-1]
+        return self.standard(rows) @ self.weights[:-1] + self.weights[-1]
+
+
+def pseudo_labels(view: ContentView | LayoutView, line: np.ndarray, rows: list, confident: float) -> np.ndarray:
+    """1 or 0 where the calibrated view is sure, -1 elsewhere."""
+    if not len(rows):
+        return np.zeros(0, dtype=np.int64)
+    p = 1 / (1 + np.exp(-np.clip(line[0] * view.odds(rows) + line[1], -30, 30)))
+    return np.where(p >= confident, 1, np.where(1 - p >= confident, 0, -1))
+
+
+class LocalPool:
+    """Unlabelled rows in memory."""
+
+    def __init__(self, rows: tuple[list, list], options: CoTraining) -> None:
+        self.rows, self.options = rows, options
+
+    def moments(self) -> np.ndarray:
+        """Rows: how many, sums and sums of squares of the layouts."""
+        return moments(self.rows[1])
+
+    def token_counts(self, view: LayoutView, line: np.ndarray) -> np.ndarray:
+        """Token counts of either class as the layout view labels the rows."""
+        counts = np.zeros((2, 1 << self.options.bits))
+        y = pseudo_labels(view, line, self.rows[1], self.options.confident)
+        add_counts(counts, [self.rows[0][i] for i in np.flatnonzero(y >= 0)], y[y >= 0])
+        return counts
+
+    def layout_sums(self, view: ContentView, line: np.ndarray) -> Callable[[LayoutView], np.ndarray]:
+        """``newton_sums`` of the rows that the content view labels, at a layout view's weights."""
+        y = pseudo_labels(view, line, self.rows[0], self.options.confident)
+        rows = [self.rows[1][i] for i in np.flatnonzero(y >= 0)]
+        return lambda at: at.sums(rows, y[y >= 0])
+
+
+def moments(rows: list) -> np.ndarray:
+    x = np.array(rows, dtype=np.float64)
+    return np.vstack([np.full(x.shape[1], float(len(x))), x.sum(axis=0), (x * x).sum(axis=0)]) if len(x) else np.zeros((3, 1))
+
+
+def packed(values: np.ndarray, kind: str) -> bytes:
+    """Four-byte numbers, first bytes first, which compresses well."""
+    return np.ascontiguousarray(values, dtype=kind).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(data: bytes, kind: str) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(4, -1).T).view(kind).ravel()
+
+
+def unpacked_tokens(batch: pd.DataFrame) -> list:
+    return [
+        (unpacked(at, "<u4"), unpacked(weight, "<f4").astype(np.float64))
+        for at, weight in zip(batch["at"], batch["weight"], strict=True)
+    ]
+
+
+def unpacked_layouts(batch: pd.DataFrame) -> list:
+    return [unpacked(x, "<f4") for x in batch["layout"]]
+
+
+class SparkPool:
+    """All unlabelled rows, as the table of all rows' features and bitmaps of the free ones. Every
+    method is a map in which tasks sum up their rows; what reaches the driver does not grow with them."""
+
+    def __init__(
+        self, table: DataFrame, bitmaps: dict[int, bytes], options: CoTraining, write: Callable[[DataFrame, str], DataFrame]
+    ) -> None:
+        self.table, self.options, self.write, self.written = table, options, write, 0
+        self.bitmaps = shipped(table.sparkSession, bitmaps)
+
+    @staticmethod
+    def _summed(table: DataFrame, sums_of: Callable[[pd.DataFrame], np.ndarray]) -> np.ndarray | None:
+        def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = None
+            for batch in batches:
+                if len(batch):
+                    total = sums_of(batch) + (0 if total is None else total)
+            if total is not None:
+                yield pd.DataFrame({"sums": [pickle.dumps(total)]})
+
+        parts = table.mapInPandas(summed, "sums binary").collect()  # one small matrix a task
+        # in an order that does not depend on the tasks' times
+        parts = sorted(bytes(r["sums"]) for r in parts)
+        return sum(map(pickle.loads, parts)) if parts else None
+
+    def moments(self) -> np.ndarray:
+        bitmaps = self.bitmaps
+
+        def free(batch: pd.DataFrame) -> np.ndarray | float:
+            batch = batch[is_free(bitmaps(), batch["row"].to_numpy())]
+            return moments(unpacked_layouts(batch)) if len(batch) else 0.0
+
+        found = self._summed(self.table.select("layout", "row"), free)
+        return np.zeros((3, 1)) if found is None or np.ndim(found) == 0 else found
+
+    def token_counts(self, view: LayoutView, line: np.ndarray) -> np.ndarray:
+        held, bitmaps, options = shipped(self.table.sparkSession, (view, line)), self.bitmaps, self.options
+
+        def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            counts = np.zeros((2, 1 << options.bits))
+            for batch in batches:
+                batch = batch[is_free(bitmaps(), batch["row"].to_numpy())]
+                y = pseudo_labels(*held(), unpacked_layouts(batch), options.confident)
+                add_counts(counts, unpacked_tokens(batch[y >= 0]), y[y >= 0])
+            flat = counts.ravel()
+            slots = np.flatnonzero(flat)
+            yield pd.DataFrame({"slot": slots.astype(np.int32), "n": flat[slots]})
+
+        found = self.table.mapInPandas(counted, "slot int, n double").groupBy("slot").agg(F.sum("n").alias("n"))
+        found = found.toArrow()  # at most a row for each feature and class
+        counts = np.zeros(2 << options.bits)
+        counts[found["slot"].to_numpy()] = found["n"].to_numpy()
+        return counts.reshape(2, -1)
+
+    def layout_sums(self, view: ContentView, line: np.ndarray) -> Callable[[LayoutView], np.ndarray]:
+        held, bitmaps, options = shipped(self.table.sparkSession, (view, line)), self.bitmaps, self.options
+
+        def labelled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                batch = batch[is_free(bitmaps(), batch["row"].to_numpy())]
+                y = pseudo_labels(*held(), unpacked_tokens(batch), options.confident)
+                yield pd.DataFrame({"layout": batch["layout"][y >= 0], "y": y[y >= 0]})
+
+        self.written += 1
+        rows = self.write(self.table.mapInPandas(labelled, "layout binary, y int"), f"given-{self.written}")
+
+        def sums(at: LayoutView) -> np.ndarray:
+            found = self._summed(rows, lambda batch: at.sums(unpacked_layouts(batch), batch["y"].to_numpy(np.float64)))
+            return np.zeros((len(at.weights) + 1, len(at.weights))) if found is None else found
+
+        return sums
 
 
 class QualityModel:
@@ -171,34 +330,34 @@ def features(rows: pd.DataFrame, options: CoTraining) -> tuple[list, list]:
     return first, second
 
 
-def co_train(rows: tuple[list, list], label: np.ndarray, options: CoTraining) -> QualityModel:
-    """``label``: 1, 0, or -1 for the unlabelled pool. Every fifth labelled row only calibrates."""
+def co_train(rows: tuple[list, list], label: np.ndarray, options: CoTraining, pool=None) -> QualityModel:
+    """``label``: 1, 0, or -1 for unlabelled rows, which are the pool unless one is given. Every fifth
+    labelled row only calibrates."""
     known = np.flatnonzero(label >= 0)
     test = np.concatenate([known[label[known] == k][::5] for k in (0, 1)])
-    base, pool = np.setdiff1d(known, test), np.flatnonzero(label < 0)
-    share = label[base].mean()
-    given: list[dict[int, int]] = [{}, {}]  # to either view: pool row -> pseudo-label
-
-    def fitted(view: int):
-        extra = np.array(list(given[view]), dtype=np.int64)
-        at = np.concatenate([base, extra])
-        y = np.concatenate([label[base], [given[view][i] for i in extra]]).astype(np.float64)
-        model = (ContentView, LayoutView)[view]([rows[view][i] for i in at], y, options)
-        odds = model.odds([rows[view][i] for i in test])
-        return model, logistic(odds[:, None], label[test].astype(np.float64), 1e-3)
-
-    models = [fitted(0), fitted(1)]
-    for _ in range(options.rounds if len(pool) else 0):
-        for view, (model, line) in enumerate(models):
-            p = 1 / (1 + np.exp(-np.clip(line[0] * model.odds([rows[view][i] for i in pool]) + line[1], -30, 30)))
-            for k, sure, part in ((1, p, share), (0, 1 - p, 1 - share)):
-                order = np.argsort(-sure, kind="stable")
-                free = [i for i in order if sure[i] >= options.confident and pool[i] not in given[1 - view]]
-                for i in free[: max(1, round(options.per_round * part))]:
-                    given[1 - view][int(pool[i])] = k
-        models = [fitted(0), fitted(1)]
-    odds = [line[0] * m.odds([rows[v][i] for i in test]) + line[1] for v, (m, line) in enumerate(models)]
-    combine = logistic(np.column_stack(odds), label[test].astype(np.float64), 1e-2)
+    base, free = np.setdiff1d(known, test), np.flatnonzero(label < 0)
+    if pool is None:
+        pool = LocalPool(tuple([mine[i] for i in free] for mine in rows), options)
+    picked = lambda view, at: [rows[view][i] for i in at]
+    y, truth = label[base].astype(np.float64), label[test].astype(np.float64)
+    counts = np.zeros((2, 1 << options.bits))
+    add_counts(counts, picked(0, base), y)
+    n, total, squares = moments(picked(1, base)) + pool.moments()
+    mean = total / n
+    scale = np.sqrt(np.maximum(squares / n - mean**2, 0)) + 1e-6
+    own = picked(1, base)
+
+    def fitted(more_counts: np.ndarray | float, more_sums: Callable[[LayoutView], np.ndarray] | None) -> list:
+        content_view = ContentView(counts + more_counts, options)
+        sums = lambda at: at.sums(own, y) + (more_sums(at) if more_sums else 0)
+        views = [content_view, LayoutView.fitted(mean, scale, sums, options.ridge)]
+        return [(m, logistic(m.odds(picked(v, test))[:, None], truth, 1e-3)) for v, m in enumerate(views)]
+
+    models = fitted(0.0, None)
+    for _ in range(options.rounds):
+        models = fitted(pool.token_counts(*models[1]), pool.layout_sums(*models[0]))
+    odds = [line[0] * m.odds(picked(v, test)) + line[1] for v, (m, line) in enumerate(models)]
+    combine = logistic(np.column_stack(odds), truth, 1e-2)
     return QualityModel([m for m, _ in models], [line for _, line in models], combine, options)
 
 
@@ -209,10 +368,12 @@ def fit(
     *,
     label_col: str = "quality",
     id_col: str = "doc_id",
+    features_col: str | None = None,
 ) -> bytes | float:
-    """The fitted model, serialised. Null labels, null ids and ids without a document are not used; of
-    an id with several labels the highest counts, of one with several texts the smallest. With less
-    than ten labels of either class there is no model but the share of label 1 (0.5 without any)."""
+    """The fitted model, serialised. All documents with an id that ``labels`` lacks are the pool. Null labels, null ids and ids without a document are not used; of
+    an id with several labels the highest counts, of one with several texts the one with the smallest
+    features. With less than ten labels of either class there is no model but the share of label 1
+    (0.5 without any). ``features_col``: where ``docs`` has what ``encode`` found, staged."""
     marked = (
         labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
         .groupBy(F.col(id_col).alias("id"))
@@ -220,38 +381,72 @@ def fit(
     )
     order = [F.xxhash64("id"), F.col("id")]
     known = marked.orderBy(*order).limit(options.max_labelled)
-    read = docs.select(F.col(id_col).alias("id"), *_inputs(docs)).filter("id is not null")
-    ids = lambda table: table.select(F.col(id_col).alias("id")).filter("id is not null").distinct()
-    pool = ids(docs).join(ids(labels), "id", "left_anti")
-    pool = pool.orderBy(*order).limit(options.max_pool).withColumn("label", F.lit(-1))
-    # at most max_labelled + max_pool rows of an id and a label
-    sample = F.broadcast(known.union(pool))
-    first = F.min(F.struct("text", "lang", "source", "n_chars")).alias("doc")
-    rows = (
-        read.join(sample, "id")
-        .groupBy("id", "label")
-        .agg(first)
-        .select("id", "label", "doc.*")
-        .repartition(1)
-        .sortWithinPartitions(F.xxhash64("id", F.lit(1)), "id")
+    with staging(docs.sparkSession, "co_training") as write:
+        if features_col:
+            read = docs.select(F.col(id_col).alias("id"), F.col(features_col).alias("f"))
+        else:
+            read = docs.select(F.col(id_col).alias("id"), *_inputs(docs))
+            read = write(encode(read, options, features_col="f").select("id", "f"), "features")
+        # at most max_labelled rows
+        rows = read.join(F.broadcast(known), "id").groupBy("id", "label").agg(F.min("f").alias("f"))
+        base = rows.orderBy(F.xxhash64("id", F.lit(1)), "id").select("label", "f.*").toArrow().to_pandas()
+        marks = base["label"].to_numpy(np.int64)
+        if min((marks == 0).sum(), (marks == 1).sum()) < 10:
+            shares = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
+            return shares.get(1, 0) / sum(shares.values()) if shares else 0.5
+        pool = SparkPool(read.select("f.*"), _free_rows(read, labels, id_col), options, write)
+        model = co_train((unpacked_tokens(base), unpacked_layouts(base)), marks, options, pool)
+    return cloudpickle.dumps(model)
+
+
+def encode(
+    docs: DataFrame, options: CoTraining = CoTraining(), *, features_col: str = "features"
+) -> DataFrame:
+    """``docs`` with both views' features of each row and its number, to be staged before use."""
+    out = docs.withColumn(features_col, _encoder(options)(*_inputs(docs)))
+    row = F.monotonically_increasing_id().alias("row")
+    return out.withColumn(features_col, F.struct(f"{features_col}.*", row))
+
+
+def _free_rows(read: DataFrame, labels: DataFrame, id_col: str) -> dict[int, bytes]:
+    """Bitmaps of the numbers of rows whose id ``labels`` lacks, by their bucket: a bit for each row,
+    so that only ids are joined and the features stay where they are."""
+    given = labels.select(F.col(id_col).alias("id")).filter("id is not null").distinct()
+    rows = read.filter("id is not null").select("id", (F.col("f")["row"] + 1).alias("at"))
+    bits = (
+        rows.join(given, "id", "left_anti")
+        .groupBy(F.bitmap_bucket_number("at").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
     )
+    return {r["bucket"]: bytes(r["bits"]) for r in bits.collect()}
+
 
-    def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        label: list[int] = []
-        views: tuple[list, list] = ([], [])
-        for batch in batches:
-            label += batch.label.tolist()
-            for mine, new in zip(views, features(batch, options), strict=True):
-                mine += new
-        marks = np.array(label, dtype=np.int64)
-        if min((marks == 0).sum(), (marks == 1).sum()) >= 10:
-            yield pd.DataFrame({"model": [cloudpickle.dumps(co_train(views, marks, options))]})
+def is_free(bitmaps: dict[int, bytes], row: np.ndarray) -> np.ndarray:
+    bucket, bit = 1 + row // 32_768, row % 32_768
+    free = np.zeros(len(row), dtype=bool)
+    for b in np.unique(bucket):
+        if b in bitmaps:
+            here = bucket == b
+            bytes_of = np.frombuffer(bitmaps[b], dtype=np.uint8)
+            free[here] = bytes_of[bit[here] >> 3] >> (bit[here] & 7) & 1
+    return free
 
-    fitted = rows.mapInPandas(train, "model binary").collect()  # one row of a fixed size
-    if fitted:
-        return bytes(fitted[0]["model"])
-    shares = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
-    return shares.get(1, 0) / sum(shares.values()) if shares else 0.5
+
+def _encoder(options: CoTraining) -> Callable[..., Column]:
+    """A function of the columns that the views read: both views' features."""
+
+    @F.pandas_udf("struct<at:binary,weight:binary,layout:binary>")
+    def encoded(text: pd.Series, lang: pd.Series, source: pd.Series, n_chars: pd.Series) -> pd.DataFrame:
+        rows = pd.DataFrame({"text": text, "lang": lang, "source": source, "n_chars": n_chars})
+        out: dict[str, list] = {"at": [], "weight": [], "layout": []}
+        for start in range(0, len(rows), 256):  # features of a few hundred texts at a time
+            first, second = features(rows.iloc[start : start + 256], options)
+            out["at"] += [packed(at, "<u4") for at, _ in first]
+            out["weight"] += [packed(weight, "<f4") for _, weight in first]
+            out["layout"] += [packed(x, "<f4") for x in second]
+        return pd.DataFrame(out)
+
+    return encoded
 
 
 def _inputs(docs: DataFrame) -> list[Column]:
@@ -262,11 +457,13 @@ def _inputs(docs: DataFrame) -> list[Column]:
     ]
 
 
-def score_documents(docs: DataFrame, model: bytes | float, *, threshold: float = 0.5) -> DataFrame:
+def score_documents(
+    docs: DataFrame, model: bytes | float, *, threshold: float = 0.5, features_col: str | None = None
+) -> DataFrame:
     """``docs`` with ``p_content`` and ``p_layout``, the views' calibrated probabilities of quality
     1, ``score``, the combined one, and ``kept`` (score >= threshold). Null and empty texts, languages
     and sources are values like others. Every row is scored by itself on its whole text; columns
-    named like a new one are replaced, all others kept."""
+    named like a new one are replaced, all others kept. ``features_col``: as for ``fit``."""
     names = ("p_content", "p_layout", "score")
     if isinstance(model, float):
         return docs.withColumns({n: F.lit(model) for n in names} | {"kept": F.lit(model >= threshold)})
@@ -280,9 +477,18 @@ def score_documents(docs: DataFrame, model: bytes | float, *, threshold: float =
             out.append(fitted.probabilities(features(rows.iloc[at : at + 256], fitted.options)))
         return pd.DataFrame(np.concatenate(out) if out else np.zeros((0, 3)), columns=list(names))
 
+    @F.pandas_udf("struct<p_content:double,p_layout:double,score:double>")
+    def scored_features(at: pd.Series, weight: pd.Series, layouts: pd.Series) -> pd.DataFrame:
+        rows = pd.DataFrame({"at": at, "weight": weight, "layout": layouts})
+        found = held().probabilities((unpacked_tokens(rows), unpacked_layouts(rows)))
+        return pd.DataFrame(found, columns=list(names))
+
     found = "_quality"
     while found in docs.columns:
         found = f"_{found}"
-    out = docs.withColumn(found, scored(*_inputs(docs)))
+    if features_col:
+        out = docs.withColumn(found, scored_features(*[F.col(features_col)[c] for c in ("at", "weight", "layout")]))
+    else:
+        out = docs.withColumn(found, scored(*_inputs(docs)))
     out = out.withColumns({n: F.col(found)[n] for n in names})
     return out.withColumn("kept", F.col("score") >= threshold).drop(found)

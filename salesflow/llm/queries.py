@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesflow.llm import decontaminate, embeddings, html, mixing, pii, quality, secrets, simhash, toxicity, urls
+from salesflow.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -249,7 +250,10 @@ select page_id, url, trim(text) as text, length(trim(text)) as n_chars from plai
 def op9_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").filter(~held_out())
-    scored = quality.score_documents(docs, quality.fit(labels, docs))
+    # texts are read once: the model is fitted on their features and scores them
+    docs = stage(quality.encode(docs).select("doc_id", "features"), "features")
+    model = quality.fit(labels, docs, features_col="features")
+    scored = quality.score_documents(docs, model, features_col="features")
     return scored.select("doc_id", "p_content", "p_layout", "score", "kept")
 
 

@@ -1,10 +1,13 @@
+import pickle
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from salesflow.llm import quality
 from salesflow.llm.quality import CoTraining
+from salesflow.staging import stage
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -86,3 +89,45 @@ def test_labels_that_allow_no_model(spark):
     score = lambda rows: quality.score_documents(docs, quality.fit(spark.createDataFrame(rows, "doc_id bigint, quality int"), docs)).first()["score"]
     assert score([]) == 0.5
     assert score([(1, 1), (2, 1), (3, 0), (4, 1)]) == pytest.approx(0.75)
+
+
+def test_all_unlabelled_documents_take_part(spark):
+    """Words in few of 20,000 unlabelled documents, and in no labelled one, are learned; the sums of
+    the Spark pool are those of the rows in memory."""
+    rows, labels = made_up(400)
+    rng = random.Random(3)
+    for i in range(400, 20_400):
+        good = i % 2
+        text = " ".join(rng.choice(["river", "stone", "walk"] if good else ["BUY", "now", "click"]) for _ in range(12))
+        rows.append((i, text, "en", "good.org" if good else "spam.biz", len(text)))
+    rows += [(30_000 + i, ("Fjord " if i % 2 else "XYZZY!!! ") + rows[400 + i][1], *rows[400 + i][2:]) for i in range(1, 61)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    options = CoTraining(bits=12, rounds=2, confident=0.9)
+    model = pickle.loads(quality.fit(spark.createDataFrame(labels, "doc_id bigint, quality int"), docs, options))
+    weight = lambda word: model.views[0].weights[quality.content([word], 12)[0][0]]
+    untouched = quality.co_train(
+        quality.features(pd.DataFrame(rows[:400], columns=SCHEMA.replace(" bigint", "").replace(" string", "").split(", ")), options),
+        np.array([k for _, k in labels]), options,
+    )
+    start = lambda word: untouched.views[0].weights[quality.content([word], 12)[0][0]]
+    assert weight("Fjord") > weight("XYZZY") + 1 and abs(start("Fjord") - start("XYZZY")) < 1
+    table = pd.DataFrame(rows, columns=["doc_id", "text", "lang", "source", "n_chars"])
+    plain = quality.co_train(quality.features(table, options), np.array([k for _, k in labels] + [-1] * (len(rows) - 400)), options)
+    assert weight("Fjord") == pytest.approx(plain.views[0].weights[quality.content(["Fjord"], 12)[0][0]], abs=0.3)
+
+
+def test_features_found_before_give_the_same(spark):
+    rows, labels = made_up(300)
+    docs = spark.createDataFrame([*rows, (None, "river", "en", "x", 5), (5, "other text", "en", "x", 1)], SCHEMA)
+    some = spark.createDataFrame([x for x in labels if x[0] % 3], "doc_id bigint, quality int")
+    options = CoTraining(bits=10)
+    ready = stage(quality.encode(docs, options).select("doc_id", "features"), "features")
+    bitmaps = quality._free_rows(ready.selectExpr("doc_id as id", "features as f"), some, "doc_id")
+    numbers = {r["row"]: r["doc_id"] for r in ready.select("doc_id", "features.row").collect()}
+    free = quality.is_free(bitmaps, np.array(list(numbers)))
+    known = {r["doc_id"] for r in some.collect()}
+    assert free.tolist() == [i is not None and i not in known for i in numbers.values()] and free.sum() == 100
+    got = quality.score_documents(ready, quality.fit(some, ready, options, features_col="features"), features_col="features")
+    want = quality.score_documents(docs, quality.fit(some, docs, options))
+    scores = [sorted((r["doc_id"] or -1, r["score"]) for r in t.collect()) for t in (got, want)]
+    assert len(scores[0]) == 302 and np.allclose(*scores, atol=1e-4)
