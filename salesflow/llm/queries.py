@@ -5,10 +5,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.llm import decontaminate, embeddings, html, mixing, pii, quality, secrets, simhash, toxicity, urls
+from salesflow.llm import (
+    decontaminate,
+    embeddings,
+    html,
+    mixing,
+    pieces,
+    pii,
+    quality,
+    search,
+    secrets,
+    simhash,
+    spelling,
+    toxicity,
+    urls,
+)
 from salesflow.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -261,3 +276,135 @@ def op9_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return mixing.mix(docs, labels, label_domain(), TARGETS)
+
+
+@query
+def op11_range_maxima(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# All documents against all items.
+ORACLES["op11_range_maxima"] = r"""
+with doc_words as (
+    select row_number() over () as row, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9A-Za-z\x{80}-\x{10FFFF}]+') as words
+    from documents
+),
+item_terms as (
+    select row, item_id, unnest(list_distinct(regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9A-Za-z\x{80}-\x{10FFFF}]+'))) as term
+    from (select row_number() over () as row, * from benchmark)
+),
+size as (
+    select count(*) filter (len(words) > 0) as n_docs, cast(sum(len(words)) as bigint) as n_words from doc_words
+),
+tf as (
+    select row, term, count(*) as tf from (select row, unnest(words) as term from doc_words) group by all
+),
+weights as (
+    select term, cast(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) as bigint) as w
+    from tf, size group by term, n_docs
+),
+lengths as (
+    select row, doc_id, 100 - 50 + (50 * len(words) * n_docs) // n_words as m from doc_words, size where len(words) > 0
+),
+impacts as (
+    select row, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * m)) as impact
+    from tf join weights using (term) join lengths using (row)
+),
+scores as (
+    select i.row, item_id, d.row as doc_row, doc_id, cast(sum(impact) as bigint) as score
+    from item_terms i join impacts d using (term) group by all having sum(impact) > 0
+)
+select item_id, cast(row_number() over (partition by row order by score desc, doc_id, doc_row) as int) as rank, doc_id, score
+from scores qualify rank <= 50
+"""
+
+
+SLIP_EVERY, MIN_LETTERS, MIN_COUNT = 97, 5, 3  # fixed values: the words of the contract
+
+
+@query
+def op12_q_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling.runs_of_letters(table(spark, sf_dir, "documents"), MIN_LETTERS)
+    words = runs.select(spelling.slip(F.col("run"), F.col("doc"), SLIP_EVERY).alias("word"))
+    return spelling.variants(spelling.count_words(words, MIN_LETTERS, MIN_COUNT))
+
+
+def _crc_table() -> list[int]:
+    """CRC-32 of the 256 bytes, by the reflected polynomial."""
+    table = list(range(256))
+    for _ in range(8):
+        table = [(c >> 1) ^ (0xEDB88320 * (c & 1)) for c in table]
+    return table
+
+
+# Words are near if they are equal without the character at one place: of both, or of the longer one.
+ORACLES["op12_q_chunks"] = f"""
+with recursive runs as (
+    select coalesce(cast(doc_id as varchar), '') as doc, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) as run
+    from documents
+),
+lower_runs as (
+    select doc, run, hex(encode(doc || ':' || run)) as h, count(*) as n
+    from (select doc, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run from runs)
+    where length(run) >= 5 group by all
+),
+bytes as (
+    select run, n, list_transform(range(0, length(h) // 2), lambda i:
+        16 * (strpos('0123456789ABCDEF', substr(h, cast(2 * i + 1 as int), 1)) - 1)
+        + strpos('0123456789ABCDEF', substr(h, cast(2 * i + 2 as int), 1)) - 1) as b
+    from lower_runs
+),
+hashed as (
+    select run, n, xor(list_reduce(list_concat([4294967295::bigint], b), lambda c, x:
+        xor(c >> 8, ({_crc_table()}::bigint[])[1 + (xor(c, x) & 255)])), 4294967295) as h
+    from bytes
+),
+slipped as (
+    select n, case when h % 97 = 0
+        then substr(run, 1, cast(h % length(run) as int)) || substr(run, cast(h % length(run) as int) + 2) else run end as word
+    from hashed
+),
+words as (
+    select word, cast(sum(n) as bigint) as n from slipped where length(word) >= 5 group by word having sum(n) >= 3
+),
+without as (
+    select word, n, i, substr(word, 1, i) || substr(word, i + 2) as rest
+    from (select word, n, unnest(range(0, length(word))) as i from words)
+),
+edits as (
+    select a.word, a.n, b.word as near, b.n as near_n from without a join without b using (i, rest) where a.word <> b.word
+    union select a.word, a.n, b.word, b.n from words a join without b on a.word = b.rest
+    union select b.word, b.n, a.word, a.n from words a join without b on a.word = b.rest
+),
+best as (
+    select word, count(*) as n_near, first(near order by near_n desc, near) as near, max(near_n) as near_n
+    from edits group by word
+),
+forms as (
+    select words.word, words.n, coalesce(n_near, 0) as n_near,
+        case when near_n >= 2 * words.n then near end as form, case when near_n >= 2 * words.n then near_n end as form_n
+    from words left join best using (word)
+),
+steps(word, reached, form) as (
+    select word, word, form from forms
+    union all select steps.word, forms.word, forms.form from steps join forms on steps.form = forms.word
+)
+select word, forms.form, reached as root, n, n_near, form_n from forms join steps using (word) where steps.form is null
+"""
+
+
+@query
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = pieces.load(spark, public_tokenizers.path("piece_bpe_32k.model"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = docs.withColumn("ids", pieces.encode("text", tokenizer))
+    decoded = encoded.withColumn("decoded", pieces.decode("ids", tokenizer))
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(pieces.packed("ids"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        pieces.same_as_library("text", "ids", "decoded", tokenizer).alias("as_library"),
+    )

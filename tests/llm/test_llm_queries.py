@@ -16,6 +16,9 @@ COLUMNS = {
     "op6_blob_ledger": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
     "op7_ftrl_toxicity": ["doc_id", "held_out", "score", "predicted"],
     "op8_site_templates": ["page_id", "url", "text", "n_chars"],
+    "op11_range_maxima": ["item_id", "rank", "doc_id", "score"],
+    "op12_q_chunks": ["word", "form", "root", "n", "n_near", "form_n"],
+    "op13_sentencepiece": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
 }
 
 

@@ -1,0 +1,124 @@
+"""Ranked search against scores of all documents, counted in plain Python."""
+
+import math
+import random
+import re
+from collections import Counter
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from salesflow.llm.search import Block, Found, SearchOptions, search, search_block, terms_of
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def plain_terms(text):
+    return TERM.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def plain_search(docs, items, k):
+    counts = [(doc_id, Counter(plain_terms(text))) for doc_id, text in docs]
+    n_docs = sum(bool(c) for _, c in counts)
+    n_words = sum(sum(c.values()) for _, c in counts)
+    df = Counter(t for _, c in counts for t in c)
+    rows = []
+    for item_id, text in items:
+        scores = []
+        for doc_id, c in counts:
+            n = sum(c.values())
+            score = 0
+            for term in set(plain_terms(text)) & set(c):
+                weight = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[term] + 1)))
+                m = 100 - 50 + (50 * n * n_docs) // n_words
+                score += weight * ((1000000000 * c[term]) // (1000 * c[term] + 20 * m))
+            if score > 0:
+                scores.append((-score, doc_id is None, doc_id or 0, doc_id))
+        for rank, (score, _, _, doc_id) in enumerate(sorted(scores)[:k], 1):
+            rows.append((item_id, rank, doc_id, -score))
+    return sorted(rows, key=str)
+
+
+def found_rows(df):
+    assert df.columns == ["item_id", "rank", "doc_id", "score"]
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def random_tables(seed, n_docs=300):
+    pick = random.Random(seed)
+    words = [f"w{i}" for i in range(60)] + ["Été", "été", "ÉTÉ", "x-y", "A1", "a1", "日本"]
+    text = lambda most: " ".join(pick.choices(words, range(len(words), 0, -1), k=pick.randrange(most)))
+    docs = [(i, text(40)) for i in range(n_docs)]
+    docs += [(i, docs[i % 7][1]) for i in range(n_docs, n_docs + 80)]  # copies: equal scores
+    docs += [(5000, None), (5001, ""), (5002, "... --"), (None, "w1 w2 w3"), (17, docs[17][1]), (5003, "w0 " * 5000)]
+    pick.shuffle(docs)
+    items = [(i, text(15)) for i in range(12)] + [(50, None), (51, ""), (52, "nowhere"), (3, "w1 w2"), (None, "w5 w5")]
+    return docs, items
+
+
+@pytest.mark.parametrize("k", [5, 1000])
+def test_equals_plain_search(spark, k):
+    docs, items = random_tables(k)
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    i = spark.createDataFrame(items, "item_id long, text string")
+    wanted = plain_search(docs, items, k)
+    for options in (SearchOptions(k), SearchOptions(k, block_postings=50, max_query_chars=250)):
+        assert found_rows(search(d, i, options)) == wanted
+
+
+def test_terms_are_those_of_the_pattern():
+    texts = ["".join(map(chr, range(0x250))), "ẞß İI ſK", "a\x00b\x7fc", "😀x", None, "", "Aé_b"]
+    assert [[t.decode() for t in terms_of(t)] for t in texts] == [plain_terms(t) for t in texts]
+
+
+def test_range_maxima_and_order_of_splits():
+    pick = np.random.default_rng(4)
+    doc = np.concatenate([np.sort(pick.choice(200, size, replace=False)) for size in (1, 7, 64, 200)])
+    term = np.repeat([0, 2, 3, 4], [1, 7, 64, 200])
+    impact = pick.integers(1, 30, len(doc))
+    by_doc = np.lexsort((term, doc))
+    block = Block(np.arange(200) * 3, doc[by_doc], term[by_doc], impact[by_doc], 6)
+    for _ in range(500):
+        start = block.starts[pick.choice([0, 2, 3, 4])]
+        end = block.starts[np.searchsorted(block.starts, start, side="right")]
+        a, b = np.sort(pick.integers(start, end + 1, 2))
+        value, at = block.maxima(np.array([[a]]), np.array([[b]]))
+        inside = block.impact[a:b]
+        assert value[0, 0] == inside.max(initial=0)
+        assert a == b or at[0, 0] == a + inside.argmax()
+    scores = np.bincount(doc, impact, 200).astype(int)
+    best = Found(10)
+    search_block(block, np.array([0, 1, 2, 3, 4, 5]), best)
+    order = np.lexsort((np.arange(200), -scores))[:10]
+    assert best.ids.tolist() == (order * 3).tolist() and best.scores.tolist() == scores[order].tolist()
+
+
+def test_most_documents_are_not_scored(monkeypatch):
+    """A clear winner closes all intervals: few documents are looked at."""
+    n = 4000
+    impact = np.ones(n, dtype=np.int64)
+    impact[1234] = 10**6
+    block = Block(np.arange(n), np.arange(n), np.zeros(n, dtype=np.int64), impact, 1)
+    scored = []
+    add = Found.add
+    monkeypatch.setattr(Found, "add", lambda self, scores, ids: (scored.extend(ids), add(self, scores, ids)))
+    best = Found(1)
+    search_block(block, np.array([0]), best)
+    assert best.ids.tolist() == [1234] and len(scored) == 1
+
+
+def test_empty_tables_and_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "a b", 7, "x")], "doc_id long, text string, score long, query string")
+    items = spark.createDataFrame([("q", "b", 1, 2)], "item_id string, text string, rank int, doc_id int")
+    assert found_rows(search(docs, items)) == [("q", 1, 1, 287 * (10**9 // (1000 + 20 * 100)))]
+    assert found_rows(search(docs.limit(0), items)) == []
+    assert search(docs, items.limit(0)).dtypes == search(docs, items).dtypes
+    assert search(docs, items.limit(0)).count() == 0
+
+
+def test_weight_is_the_floor_of_the_logarithm():
+    from salesflow.llm.search import term_weight
+
+    for n, df in ((1, 1), (1000, 3), (256410, 256410), (10**11, 17)):
+        assert term_weight(n, df) == math.floor(1000 * math.log(float(Fraction(2 * n + 2, 2 * df + 1))))
