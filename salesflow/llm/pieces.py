@@ -10,8 +10,11 @@ spans them, so a text is divided there, and parts that were merged before are lo
 that of one agenda over the whole text. Spaces are such places (no piece goes on with a space after
 another character), and a text is first divided at them.
 
-Texts are whole, of any length: time grows with n log n in the longest part, memory with one text and a
-bounded cache. A null text counts as empty; an empty text has the begin and end ids only. Rows are
+With ``verify`` the sentencepiece library encodes, batch by batch, every part that was merged, too, and a
+difference fails the job; ``same_as_library`` compares whole texts.
+
+Texts are whole, of any length: time grows with n log n in the longest part, memory with a few texts and
+a bounded cache. A null text counts as empty; an empty text has the begin and end ids only. Rows are
 handled one by one, so repeated rows, empty tables and extra columns need no care; a column with the
 name of a result is replaced."""
 
@@ -32,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
-from salesflow.llm.shipping import shipped
+from salesflow.llm.shipping import resident
 
 # Fixed values of the model format: field numbers, piece types, the mark that stands for a space.
 _PIECES, _TRAINER, _NORMALIZER = 1, 2, 3
@@ -42,10 +45,12 @@ _CHAR_MAP, _DUMMY_PREFIX, _REMOVE_SPACES, _ESCAPE_SPACES = 2, 3, 4, 5
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
 _BEGIN, _END = "<s>", "</s>"
 _SPACE = "▁"
+_NO_PREFIX = bytes([_NORMALIZER << 3 | 2, 2, _DUMMY_PREFIX << 3, 0])  # read after the rest of a model
 
 _MAX_MODEL_BYTES = 64 << 20
-_CACHE_PARTS = 1 << 19
+_CACHE_PARTS = 1 << 19  # in either of two generations
 _CACHED_LENGTH = 64
+_ROWS = 256  # rows handled at once, of an Arrow batch
 
 
 def _fields(message: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -138,35 +143,66 @@ class Tokenizer:
         lone = "".join(c for c in "\t\n\r" if not any(c in pair for pair in self._adjacent))
         self._parts = re.compile(f"{_SPACE}*[^{_SPACE}{lone}]+|{_SPACE}+" + (f"|[{lone}]" if lone else "") if ends else "(?s).+")
         self._cache: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
+        self._unchecked: dict[str, tuple[int, ...]] | None = None
+        self._library: SentencePieceProcessor | None = None
 
     def encode(self, text: str | None) -> list[int]:
         """Ids with begin and end."""
         ids = [self.begin]
+        self._age()
         if text:
-            cached, encode = self._cache.get, self._encode_part
+            get, encode = self._cache.get, self._encode_part
             for part in self._parts.findall(self._prefix + text.replace(" ", _SPACE)):
-                ids += cached(part) or encode(part)
+                ids += get(part) or encode(part)
         ids.append(self.end)
         return ids
 
     def _encode_part(self, part: str) -> tuple[int, ...]:
+        known = self._older.get(part)
+        if known is not None:
+            return self._keep(part, known)
+        ids = self._divided(part)
+        if self._unchecked is not None:
+            self._unchecked[part] = ids
+        return self._keep(part, ids)
+
+    def _divided(self, part: str) -> tuple[int, ...]:
         adjacent = self._adjacent
         cuts = [at for at, pair in enumerate(map(add, part, part[1:]), 1) if pair not in adjacent]
         if not cuts:
-            return self._keep(part, self._merged(part))
+            return self._merged(part)
         ids: list[int] = []
         for start, stop in pairwise((0, *cuts, len(part))):
             piece = part[start:stop]
-            ids += self._cache.get(piece) or self._keep(piece, self._merged(piece))
-        return self._keep(part, tuple(ids))
+            ids += self._cache.get(piece) or self._older.get(piece) or self._keep(piece, self._merged(piece))
+        return tuple(ids)
 
     def _keep(self, part: str, ids: tuple[int, ...]) -> tuple[int, ...]:
         if len(part) <= _CACHED_LENGTH:
-            if len(self._cache) >= _CACHE_PARTS:
-                self._cache.clear()
             self._cache[part] = ids
         return ids
 
+    def encode_checked(self, texts: list[str | None]) -> list[list[int]]:
+        """Ids of texts; the parts that were not looked up are encoded by the library as well."""
+        self._unchecked = parts = {}
+        found = [self.encode(text) for text in texts]
+        self._unchecked = None
+        if self._library is None:
+            self._library = SentencePieceProcessor(model_proto=self.data + _NO_PREFIX)
+        for (part, ids), wanted in zip(parts.items(), self._library.encode(list(parts), num_threads=1), strict=True):
+            if list(ids) != wanted:
+                raise RuntimeError(f"not encoded as by the library: {part!r}")
+        return found
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_library": None}
+
+    def _age(self) -> None:
+        """Between texts: what has not been looked up for a generation is forgotten."""
+        if len(self._cache) >= _CACHE_PARTS:
+            self._older, self._cache = self._cache, {}
+
     def _merged(self, part: str) -> tuple[int, ...]:
         """The ids of the symbols that are left when no adjacent pair makes a piece."""
         order, n = self._order, len(part)
@@ -233,25 +269,58 @@ def load(spark: SparkSession, path: str) -> Callable[[], Tokenizer]:
         data = bytes(files.filter(F.col("length") <= _MAX_MODEL_BYTES).select("content").first()["content"])
     if len(data) > _MAX_MODEL_BYTES:
         raise ValueError(f"model file above {_MAX_MODEL_BYTES} bytes: {path}")
-    return shipped(spark, Tokenizer(data))
-
-
-def encode(text: Column | str, tokenizer: Callable[[], Tokenizer]) -> Column:
-    """Ids of a text, begin and end included, as array<int>."""
-
-    @F.arrow_udf("array<int>")
-    def ids(texts: pa.Array) -> pa.Array:
-        encode_one = tokenizer().encode
-        lists = [np.array(encode_one(t.as_py()), dtype=np.int32) for t in texts]
-        offsets = np.cumsum([0, *map(len, lists)], dtype=np.int32)
-        values = np.concatenate([*lists, np.zeros(0, dtype=np.int32)])
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-
-    return ids(text)
+    return resident(spark, Tokenizer(data))
+
+
+def _lists(lists: list[list[int]]) -> pa.ListArray:
+    arrays = [np.array(one, dtype=np.int32) for one in lists]
+    offsets = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*arrays, np.zeros(0, dtype=np.int32)])))
+
+
+# What can be computed of a batch's texts and their ids.
+_OUTPUTS: dict[str, tuple[str, Callable[[Tokenizer, list[list[int]]], pa.Array]]] = {
+    "ids": ("array<int>", lambda tokenizer, ids: _lists(ids)),
+    "packed": ("binary", lambda tokenizer, ids: pa.array([np.array(i, "<u4").tobytes() for i in ids], pa.binary())),
+    "n_tokens": ("long", lambda tokenizer, ids: pa.array(list(map(len, ids)), pa.int64())),
+    "decoded": ("string", lambda tokenizer, ids: pa.array(list(map(tokenizer.decode, ids)), pa.string())),
+}
+
+
+def encode(
+    docs: DataFrame,
+    tokenizer: Callable[[], Tokenizer],
+    outputs: tuple[str, ...] = ("ids",),
+    *,
+    text_col: str = "text",
+    verify: bool = True,
+) -> DataFrame:
+    """``docs`` with the chosen columns: ``ids`` with begin and end, array<int>; ``packed``, the ids as
+    unsigned 32-bit integers, the low byte first, as training files hold them; ``n_tokens``; ``decoded``,
+    the text that the ids give. A text column is read as a string."""
+    kept = [c for c in docs.columns if c not in outputs and c != text_col]
+    keep_text = text_col not in outputs
+    text = F.col(text_col).cast("string").alias("_text")
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in kept or (keep_text and f.name == text_col)]
+    kinds += [f"{name} {_OUTPUTS[name][0]}" for name in outputs]
+
+    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ours = tokenizer()
+        for batch in batches:
+            for start in range(0, batch.num_rows, _ROWS):
+                rows = batch.slice(start, _ROWS)
+                texts = rows["_text"].to_pylist()
+                ids = ours.encode_checked(texts) if verify else list(map(ours.encode, texts))
+                columns = {name: rows[name] for name in rows.schema.names if name != "_text"}
+                columns |= {name: _OUTPUTS[name][1](ours, ids) for name in outputs}
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    wanted = [c for c in docs.columns if c in kept or (keep_text and c == text_col)]
+    return docs.select(*wanted, text).mapInArrow(of_task, ", ".join(kinds))
 
 
 def decode(ids: Column | str, tokenizer: Callable[[], Tokenizer]) -> Column:
-    """The text of an array of ids; null stays null."""
+    """The text of an array of any ids; null stays null."""
 
     @F.arrow_udf("string")
     def text(lists: pa.Array) -> pa.Array:
@@ -261,16 +330,6 @@ def decode(ids: Column | str, tokenizer: Callable[[], Tokenizer]) -> Column:
     return text(ids)
 
 
-def packed(ids: Column | str) -> Column:
-    """Ids as unsigned 32-bit integers, the low byte first."""
-
-    @F.arrow_udf("binary")
-    def data(lists: pa.Array) -> pa.Array:
-        return pa.array([i.values.to_numpy().astype("<u4").tobytes() if i.is_valid else None for i in lists], pa.binary())
-
-    return data(ids)
-
-
 def same_as_library(
     text: Column | str, ids: Column | str, decoded: Column | str, tokenizer: Callable[[], Tokenizer]
 ) -> Column:
@@ -280,9 +339,13 @@ def same_as_library(
     @F.arrow_udf("boolean")
     def same(texts: pa.Array, lists: pa.Array, decoded: pa.Array) -> pa.Array:
         library = SentencePieceProcessor(model_proto=tokenizer().data)
-        wanted = library.encode([t or "" for t in texts.to_pylist()], add_bos=True, add_eos=True, num_threads=1)
-        back = library.decode(wanted, num_threads=1)
-        found = zip(wanted, lists, back, decoded.to_pylist(), strict=True)
-        return pa.array([np.array_equal(w, f.values.to_numpy()) and b == d for w, f, b, d in found], pa.bool_())
+        found: list[bool] = []
+        for start in range(0, len(texts), _ROWS):
+            some = [t or "" for t in texts.slice(start, _ROWS).to_pylist()]
+            wanted = library.encode(some, add_bos=True, add_eos=True, num_threads=1)
+            back = library.decode(wanted, num_threads=1)
+            rows = zip(wanted, lists.slice(start, _ROWS), back, decoded.slice(start, _ROWS).to_pylist(), strict=True)
+            found += [np.array_equal(w, f.values.to_numpy()) and b == d for w, f, b, d in rows]
+        return pa.array(found, pa.bool_())
 
     return same(text, ids, decoded)

@@ -399,12 +399,10 @@ select word, forms.form, reached as root, n, n_near, form_n from forms join step
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = pieces.load(spark, public_tokenizers.path("piece_bpe_32k.model"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = docs.withColumn("ids", pieces.encode("text", tokenizer))
-    decoded = encoded.withColumn("decoded", pieces.decode("ids", tokenizer))
-    return decoded.select(
+    encoded = pieces.encode(docs, tokenizer, ("n_tokens", "packed", "decoded"))
+    return encoded.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(pieces.packed("ids"), 256).alias("ids_sha256"),
+        "n_tokens",
+        F.sha2("packed", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
-        pieces.same_as_library("text", "ids", "decoded", tokenizer).alias("as_library"),
     )

@@ -24,3 +24,17 @@ def shipped(spark: SparkSession, value: T) -> Callable[[], T]:
         return held[0]
 
     return get
+
+
+def resident(spark: SparkSession, value: T) -> Callable[[], T]:
+    """As ``shipped``, but unpacked once per Python worker and kept there from task to task: for values
+    that fill a cache, whose state never changes a result."""
+    sent = spark.sparkContext.broadcast({"packed": cloudpickle.dumps(value)})
+
+    def get() -> T:
+        holder = sent.value  # one object per worker
+        if "value" not in holder:
+            holder["value"] = pickle.loads(holder["packed"])
+        return holder["value"]
+
+    return get
