@@ -1,5 +1,14 @@
 """Writers for CSV, date-partitioned CSV, tables and text lines."""
 
 from .files import save_table, write_csv, write_lines, write_partitioned_csv
+from .tables import replace_table, save_bucketed, table_location
 
-__all__ = ["save_table", "write_csv", "write_lines", "write_partitioned_csv"]
+__all__ = [
+    "replace_table",
+    "save_bucketed",
+    "save_table",
+    "table_location",
+    "write_csv",
+    "write_lines",
+    "write_partitioned_csv",
+]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesflow.functions import date_key, money_text
+from salesflow.sinks.tables import replace_table
 
 
 def format_numbers(df: DataFrame, pattern: str | None) -> DataFrame:
@@ -49,12 +50,16 @@ def write_partitioned_csv(
     sep: str = ";",
     float_format: str | None = "%.2f",
     max_rows_per_file: int = 1_000_000,
+    replace: str = "dates",
     **options: str,
 ) -> None:
     """One folder ``date_key=YYYYMMDD`` per date, all dates in one job. The rows keep their
-    date column. A date gets one sorted file, or, if it has more than max_rows_per_file rows,
+    date column. A run replaces the dates it has rows for and leaves those of earlier runs;
+    replace="all" leaves nothing but its own. A date gets one sorted file, or, if it has more than max_rows_per_file rows,
     several. ``df`` is read twice, to count and to write, so pass a staged or cached table; its
     order does not matter."""
+    if replace not in ("dates", "all"):
+        raise ValueError(f"replace must be dates or all, not {replace!r}")
     out = df.withColumn("date_key", date_key(date))
     large = (
         out.groupBy(F.col("date_key").alias("_key"))
@@ -76,6 +81,7 @@ def write_partitioned_csv(
         format_numbers(out, float_format)
         .write.mode("overwrite")
         .options(header=True, sep=sep, **options)
+        .option("partitionOverwriteMode", "dynamic" if replace == "dates" else "static")
         .partitionBy("date_key")
         .csv(path)
     )
@@ -100,13 +106,12 @@ def save_table(
     """Replace a table and return the format that was written.
 
     format="jdbc" writes to a database (options: url, driver, numPartitions, ...); any other
-    format writes a catalog table, at ``path`` if given. If the JDBC driver is not on the class
+    format writes a catalog table, at ``path`` if given, by ``replace_table``. If the JDBC driver is not on the class
     path and fallback_format is given, the same rows are written to fallback_path instead, a CSV
     with fallback_options as ``write_csv`` takes them. Any other failure is raised, so that a
     half-written table is never taken for a success."""
     if format != "jdbc":
-        writer = df.write.mode("overwrite").format(format).options(**options)
-        (writer.option("path", path) if path else writer).saveAsTable(name)
+        replace_table(df, name, path=path, format=format, **options)
         return format
     try:
         df.write.mode("overwrite").format("jdbc").options(dbtable=name, **options).save()
