@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from salesflow.plans import metrics, sales
 from salesflow.plans.sales import DAILY_GROUPS, SalesOptions
 from salesflow.sinks import save_table, write_csv, write_lines, write_partitioned_csv
-from salesflow.sources import clean_refunds, list_files, read_customers, read_orders, read_refunds
+from salesflow.sources import clean_refunds, list_files, read_customers, read_orders, read_refunds, split_malformed
 from salesflow.staging import staging
 
+_MALFORMED = "_malformed"
+
 
 def run_sales_job(
     spark: SparkSession,
@@ -40,6 +42,9 @@ def run_sales_job(
     them again, and the daily table is sorted once, for the file that is to be sorted. The customers, read by
     several steps without a shuffle, are persisted.
 
+    Records of the order files that are not whole are counted, and written with their file to
+    rejects/malformed_orders.
+
     Output folders: db/orders_clean and db/daily_city_sales (unless written over JDBC),
     out/daily_summary (by date), out/daily_summary_all, rejects/rejects_items, logs/run_report,
     logs/orders_files. All CSV files, also those in place of a database, have the same format."""
@@ -47,14 +52,16 @@ def run_sales_job(
     csv = {"sep": sep, "float_format": float_format}
     text = {"infer": infer, "encoding": encoding}
     raw_refunds = read_refunds(spark, refunds_path, raw=True, **text)
-    source = read_orders(spark, orders_path, infer=infer, multiline=multiline, ignore_missing=ignore_missing)
+    source = read_orders(
+        spark, orders_path, infer=infer, multiline=multiline, ignore_missing=ignore_missing, malformed=_MALFORMED
+    )
     order_files = list_files(spark, orders_path, ignore_missing)
     customers = read_customers(spark, customers_path, trim=trim, **text)
 
     with staging(spark, "job") as stage:
         customers = customers.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            orders = stage(source, "orders")
+            orders, malformed = split_malformed(stage(source, "orders"), _MALFORMED)
             tables = sales.build_daily_sales(customers, clean_refunds(raw_refunds), orders, options)
             tables = tables.on_staged(stage(tables.per_order, "per_order"))
             orders_clean = stage(tables.orders_clean, "orders_clean")
@@ -66,8 +73,11 @@ def run_sales_job(
                 metrics.row_count(orders_clean, "orders_clean_rows"),
                 metrics.row_count(daily, "daily_city_sales_rows"),
                 metrics.row_count(order_files, "orders_files"),
+                metrics.row_count(malformed, metrics.MALFORMED),
             ).first()
 
+            if counts[metrics.MALFORMED]:
+                malformed.write.mode("overwrite").json(f"{output_dir}/rejects/malformed_orders")
             if counts["rejected_negative_price_rows"]:
                 write_csv(tables.rejects, f"{output_dir}/rejects/rejects_items", sep=sep, float_format=None)
             formats = [
@@ -86,7 +96,7 @@ def run_sales_job(
         F.lit(round(time.monotonic() - clock, 3)).alias("duration_sec"),
         F.lit(counts["orders_files"]).cast("long").alias("orders_files"),
         F.lit(orders_path if isinstance(orders_path, str) else ",".join(orders_path)).alias("orders_path"),
-        *[F.lit(counts[c]).cast("long").alias(c) for c in metrics.COUNTERS],
+        *[F.lit(counts[c]).cast("long").alias(c) for c in [*metrics.COUNTERS, metrics.MALFORMED]],
         F.lit(formats == ["jdbc", "jdbc"]).alias("jdbc_written"),
         F.lit(output_dir).alias("output_dir"),
     )

@@ -27,6 +27,7 @@ COUNTERS = [
     "orders_clean_rows",
     "daily_city_sales_rows",
 ]
+MALFORMED = "orders_malformed"  # a further counter of the job
 
 
 def count_bad_numbers(df: DataFrame, *columns: str, by: list[str] = ()) -> DataFrame:

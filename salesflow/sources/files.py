@@ -137,6 +137,7 @@ def read_orders(
     infer: bool = False,
     multiline: bool = True,
     ignore_missing: bool = False,
+    malformed: str | None = None,
 ) -> DataFrame:
     """Nested orders from JSON. ``path`` may hold globs (``orders_2025-03-*.json``).
 
@@ -145,20 +146,42 @@ def read_orders(
     Fields outside ``schema`` are not read; infer=True takes all fields and types found in the
     data, at the price of one more pass. A quantity or price may be a JSON number in any notation,
     or text, which is left to the cleaners as it is. With ignore_missing, paths of a list that
-    match nothing (days without a file) are left out, as long as one is left."""
+    match nothing (days without a file) are left out, as long as one is left.
+
+    A record that cannot be read, or not in full, is a row with nulls for what is missing.
+    ``malformed`` names a column for the raw text of such a record (of the whole file, if it is one
+    array that breaks off), null in all other rows, and ``<malformed>_file`` for its file: stage the
+    orders, then divide them by ``split_malformed``."""
     if ignore_missing and not isinstance(path, str):
         path = [p for p in path if list_files(spark, [p], True).head(1)]
         if not path:
             raise FileNotFoundError("no input file: none of the paths has any")
     reader = spark.read.option("multiLine", multiline).option("mode", "PERMISSIVE")
+    if malformed:
+        reader = reader.option("columnNameOfCorruptRecord", malformed)
+        schema = f"{schema}, `{malformed}` string"
     if not infer:
         reader = reader.schema(schema)
     df = _load(reader, "json", path)
+    if malformed:
+        if malformed not in df.columns:  # nothing malformed was found while inferring
+            df = df.withColumn(malformed, F.lit(None).cast("string"))
+        file = F.when(F.col(malformed).isNotNull(), F.col("_metadata.file_path"))
+        df = df.withColumn(f"{malformed}_file", file)
     if not list_files(spark, path).head(1):  # a folder without files
         raise FileNotFoundError(f"no input file: {path}")
     return _variants_as_text(df)
 
 
+def split_malformed(orders: DataFrame, malformed: str) -> tuple[DataFrame, DataFrame]:
+    """(orders, quarantine) of what ``read_orders`` read with a column for malformed records. All rows
+    stay among the orders, with whatever could be read of them; the quarantine has the raw text of those
+    that are not whole: ``file``, ``record``. Pass staged orders: Spark does not read raw text alone."""
+    file = f"{malformed}_file"
+    quarantine = orders.filter(F.col(malformed).isNotNull())
+    return orders.drop(malformed, file), quarantine.select(F.col(file).alias("file"), F.col(malformed).alias("record"))
+
+
 def read_lines(spark: SparkSession, path: Paths) -> DataFrame:
     """Text files or folders of part files, one row ``value`` per line."""
     return _load(spark.read, "text", path)
