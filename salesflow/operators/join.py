@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from salesflow.staging import stage
 
 
 def join_dimension(
@@ -24,3 +27,14 @@ def join_dimension(
     used = left.select(left[a].alias("used")).distinct()
     unused = right.join(used, right[b] == used["used"], "left_anti")
     return matched.unionByName(unused, allowMissingColumns=True).toDF(*names)
+
+
+def keep_dates(df: DataFrame, dates: DataFrame, partition: str, date: str) -> DataFrame:
+    """Rows of ``df``, stored in one folder per value of ``partition``, whose value is among those of the
+    column ``date``, text as well. The values never pass through the driver: they are written, as one row per
+    date, and broadcast (the calendar bounds them), and the scan of ``df`` is pruned by that broadcast at run
+    time, so that other folders are not read."""
+    wanted = stage(dates.select(F.col(date).cast("string").alias("_date")).distinct(), "dates", compact=True)
+    # Spark prunes by a side that is filtered; all dates pass this filter, null does not
+    wanted = wanted.filter(F.col("_date") >= "")
+    return df.join(F.broadcast(wanted), F.col(partition) == F.col("_date"), "left_semi")

@@ -1,0 +1,92 @@
+"""Sketches that merge, and merges by the caller's expression."""
+
+import math
+from functools import reduce
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from salesflow.operators import distinct_estimates, distinct_sketches, merge_sketches, merge_values, relative_error
+from salesflow.staging import stage
+
+
+def test_stored_sketches_merge_to_those_of_all_rows(spark, tmp_path):
+    days = spark.range(0, 60_000, 1, 6).selectExpr(
+        "concat('2025-0', id % 3 + 1, '-', lpad(id % 28 + 1, 2, '0')) as day",
+        "if(id % 3 = 0, 0, id % 7) as city",
+        "cast(id % 9000 as long) as customer",
+        "if(id % 5 = 0, null, cast(id as string)) as code",
+    )
+    names = {"customers": "customer", "codes": "code"}
+    distinct_sketches(days, ["day", "city"], names).write.parquet(f"{tmp_path}/sketches")
+    stored = spark.read.parquet(f"{tmp_path}/sketches")
+    month = F.substring("day", 1, 7).alias("month")
+    merged = distinct_estimates(merge_sketches(stored, [month, "city"], list(names)), list(names))
+    direct = days.withColumn("month", month)
+    whole = distinct_estimates(distinct_sketches(direct, ["month", "city"], names), list(names))
+    exact = direct.groupBy("month", "city").agg(F.count_distinct("customer").alias("c"), F.count_distinct("code").alias("d"))
+    found = merged.join(exact, ["month", "city"]).collect()
+    assert len(found) == exact.count() == whole.count()
+    for row in found:
+        assert abs(row["customers"] - row["c"]) <= 5 * relative_error() * row["c"] + 1
+        assert abs(row["codes"] - row["d"]) <= 5 * relative_error() * row["d"] + 1
+    # merging loses nothing: nearly the same as sketches of the rows themselves
+    for a, b in zip(rows(merged), rows(whole), strict=True):
+        assert a[:2] == b[:2] and all(abs(x - y) <= 0.03 * y + 1 for x, y in zip(a[2:], b[2:], strict=True))
+    total = distinct_estimates(merge_sketches(stored, [], ["customers"]), ["customers"]).first()[0]
+    assert abs(total - 9000) <= 5 * relative_error() * 9000
+
+
+def test_larger_sketches_err_less(spark):
+    df = spark.range(50_000).selectExpr("id % 1 as k", "id as v")
+    for size in (8, 16):
+        estimate = distinct_estimates(distinct_sketches(df, ["k"], {"n": "v"}, size), ["n"]).first()["n"]
+        assert abs(estimate - 50_000) <= 5 * relative_error(size) * 50_000
+    assert relative_error(16) < relative_error(8) / 10
+    assert distinct_sketches(df.limit(0), ["k"], {"n": "v"}).count() == 0
+
+
+def earliest(a, b):
+    return F.when(a["t"] <= b["t"], a).otherwise(b)
+
+
+@pytest.mark.parametrize("fan_in", [2, 7, 1000])
+def test_merge_per_key(spark, fan_in):
+    """A third of the rows has one key."""
+    df = stage(spark.range(0, 3000, 1, 6).selectExpr("if(id % 3 = 0, null, id % 40) as k", "hash(id) as t", "id"), "df")
+    found = merge_values(df, F.col("k"), F.struct("t", "id"), earliest, fan_in=fan_in)
+    wanted = df.groupBy("k").agg(F.min_by("id", "t").alias("id"))
+    assert rows(found.select("key", "value.id")) == rows(wanted)
+
+
+@pytest.mark.parametrize("fan_in", [2, 5, 1000])
+def test_merge_keeps_the_order(spark, fan_in):
+    df = spark.range(0, 200, 1, 5).selectExpr("id", "cast(id as string) as s").orderBy(F.rand(1))
+    found = merge_values(df, F.lit(0), F.col("s"), lambda a, b: F.concat(a, F.lit(","), b), order_by=[F.col("id")], fan_in=fan_in)
+    assert rows(found, "value") == [(",".join(map(str, range(200))),)]
+
+
+def test_merge_of_all_rows_with_a_loop_inside(spark):
+    """Greatest common divisor, by a bounded number of Euclid's steps."""
+
+    def gcd(a, b):
+        step = F.reduce(
+            F.sequence(F.lit(1), F.lit(40)),
+            F.struct(F.greatest(a, b).alias("x"), F.least(a, b).alias("y")),
+            lambda p, _: F.when(p["y"] == 0, p).otherwise(F.struct(p["y"].alias("x"), F.pmod(p["x"], p["y"]).alias("y"))),
+        )
+        return step["x"]
+
+    values = [84 * n for n in (3, 5, 10, 15, 25, 7)] + [42 * 9]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v long")
+    found = merge_values(df, F.lit("all"), F.col("v"), gcd, fan_in=3).collect()
+    assert [tuple(r) for r in found] == [("all", reduce(math.gcd, values))]
+
+
+def test_merge_of_nothing(spark):
+    df = spark.createDataFrame([(1, None), (2, 5)], "k int, v long")
+    add = lambda a, b: a + b
+    assert rows(merge_values(df, F.col("k"), F.col("v"), add)) == [(2, 5)]
+    assert merge_values(df.limit(0), F.col("k"), F.col("v"), add).count() == 0
+    assert merge_values(df.filter("v is null"), F.lit(0), F.col("v"), add).count() == 0
