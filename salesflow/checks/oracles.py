@@ -283,6 +283,18 @@ FROM orders GROUP BY o_orderstatus""",
     "distinct_estimate": """
 SELECT o_orderstatus, count(DISTINCT o_custkey) customers, true orders_near, true customers_near
 FROM orders GROUP BY o_orderstatus""",
+    "distinct_sketches": """
+SELECT strftime(o_orderdate, '%Y-%m') AS month, n_name city, count(DISTINCT o_custkey) customers,
+       true orders_near, true customers_near
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL""",
+    "merge_by_key": """
+SELECT event_type, event_id, user_id FROM events
+QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) = 1""",
+    "merge_global": "SELECT bit_xor(l_orderkey * 8 + l_linenumber) AS xor FROM lineitem",
+    "merge_in_order": """
+SELECT o_custkey, string_agg(o_orderstatus, '' ORDER BY o_orderdate, o_orderkey) states
+FROM (SELECT *, lag(o_orderstatus) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) before FROM orders)
+WHERE before IS NULL OR before <> o_orderstatus GROUP BY o_custkey""",
     "sort_values": """
 SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS position FROM orders""",
     "sort_ascending": """
@@ -298,6 +310,13 @@ WITH a AS ({REFUNDS_SUM}), b AS ({ALTERED})
 SELECT order_id, refunds_eur, 'left' side, count(*) copies FROM (FROM a EXCEPT ALL FROM b) GROUP BY ALL
 UNION ALL
 SELECT order_id, refunds_eur, 'right' side, count(*) copies FROM (FROM b EXCEPT ALL FROM a) GROUP BY ALL""",
+    "reconcile_keys": """
+WITH o AS (SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderkey % 50 kind FROM orders)
+SELECT o_orderkey, CAST(0 AS BIGINT) nth, 'o_totalprice' AS column, CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS left,
+       CAST(CAST(o_totalprice + 1 AS DECIMAL(18, 2)) AS VARCHAR) AS right, 1.0::DOUBLE delta FROM o WHERE kind IN (0, 5)
+UNION ALL SELECT o_orderkey, 0, 'o_orderstatus', o_orderstatus, 'X', NULL FROM o WHERE kind = 2
+UNION ALL SELECT o_orderkey, 0, '*', '1', '0', -1.0 FROM o WHERE kind IN (3, 4)
+UNION ALL SELECT -o_orderkey, 0, '*', '0', '1', 1.0 FROM o WHERE kind = 4""",
     "src_csv": CUSTOMERS,
     "src_csv_infer": "SELECT * FROM customer",
     "src_csv_refunds": _refunds(ORDER_ID),
@@ -313,6 +332,16 @@ FROM lineitem""",
 SELECT count(*) orders_rows_paid, count(*) FILTER (l_linenumber <> 1) items_qty_non_numeric,
        CAST(0 AS BIGINT) items_unit_price_non_numeric
 FROM lineitem""",
+    "src_json_malformed": """
+WITH lines AS (
+  SELECT o_orderkey, '{"order_id":"' || CAST(o_orderkey AS VARCHAR) || '","payment_status":"paid"}' line FROM orders)
+SELECT CASE WHEN o_orderkey % 7 = 0 THEN left(line, length(line) - 5) ELSE replace(line, '}', ',"items":"none"}') END record,
+       true has_file, (SELECT count(*) FROM orders WHERE o_orderkey % 7 <> 0) paid
+FROM lines WHERE o_orderkey % 7 = 0 OR o_orderkey % 11 = 0""",
+    "src_csv_drift": """
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR) o_custkey, o_totalprice, NULL o_orderpriority FROM orders WHERE o_orderstatus = 'F'
+UNION ALL SELECT o_orderkey, NULL, floor(o_totalprice), NULL FROM orders WHERE o_orderstatus = 'O'
+UNION ALL SELECT o_orderkey, 'C' || CAST(o_custkey AS VARCHAR), o_totalprice, o_orderpriority FROM orders WHERE o_orderstatus = 'P'""",
     "src_text": "SELECT unnest(string_split(text, chr(10))) AS value FROM documents",
     "sink_csv": STAR_DAILY,
     "sink_csv_order": f"""{STAR}
@@ -320,6 +349,18 @@ SELECT date, city, channel, row_number() OVER (ORDER BY date, city, channel) AS
     "sink_partitioned": f"{STAR} SELECT *, replace(date, '-', '') date_key FROM daily",
     "sink_partitioned_filter": f"""{STAR}
 SELECT *, replace(date, '-', '') date_key FROM daily WHERE date BETWEEN '1997-01-01' AND '1997-12-31'""",
+    "sink_partitioned_rerun": """
+SELECT date, replace(date, '-', '') date_key, o_orderstatus, CASE WHEN date LIKE '1995-%' THEN -total ELSE total END total
+FROM (SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS date, o_orderstatus, round(sum(o_totalprice), 2) total
+      FROM orders GROUP BY ALL)""",
+    "dates_from_table": """
+SELECT l_orderkey, l_linenumber, l_quantity, strftime(l_shipdate, 'm%Y%m') AS month FROM lineitem
+WHERE strftime(l_shipdate, 'm%Y%m') IN (
+  SELECT strftime(o_orderdate, 'm%Y%m') FROM orders WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 490000)""",
+    "sink_table_swap": f"{STAR} SELECT * FROM daily WHERE channel = 'web'",
+    "join_bucketed": """
+SELECT o_orderkey, o_totalprice, quantity
+FROM orders LEFT JOIN (SELECT l_orderkey, sum(l_quantity) quantity FROM lineitem GROUP BY l_orderkey) ON o_orderkey = l_orderkey""",
     "sink_table": STAR_DAILY,
     "sink_table_fallback": STAR_DAILY,
     "run_metrics": COUNTERS,

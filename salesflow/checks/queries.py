@@ -13,13 +13,20 @@ from salesflow.functions import (
     safe_double,
 )
 from salesflow.operators import (
+    diff_by_key,
+    distinct_estimates,
+    distinct_sketches,
     explode_items,
     group_values,
     intersect,
     join_dimension,
+    keep_dates,
     keep_first,
+    merge_sketches,
+    merge_values,
     number_sorted,
     reconcile,
+    relative_error,
     split_words,
     top_k,
     word_count,
@@ -33,13 +40,15 @@ from salesflow.plans import (
     sales,
     sales_from_lines,
 )
-from salesflow.sinks import save_table, write_csv, write_lines, write_partitioned_csv
+from salesflow.sinks import replace_table, save_bucketed, save_table, write_csv, write_lines, write_partitioned_csv
 from salesflow.sources import (
     clean_refunds,
     read_customers,
+    read_drifting_csv,
     read_lines,
     read_orders,
     read_refunds,
+    split_malformed,
     star,
 )
 from salesflow.staging import scratch_path, stage
@@ -405,6 +414,71 @@ def distinct_estimate(spark, sf_dir):
     )
 
 
+@query
+def distinct_sketches_(spark, sf_dir):
+    """Customers and orders per month and city, estimated from stored daily sketches, beside exact counts:
+    whether each estimate is within five standard errors, or half of one."""
+    orders = star.table(spark, sf_dir, "orders").select(
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), "o_orderkey", "o_custkey"
+    )
+    customers = star.table(spark, sf_dir, "customer")
+    nations = star.table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("city"))
+    sold = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    sold = sold.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(*orders.columns, "city")
+    names = {"orders": "o_orderkey", "customers": "o_custkey"}
+    daily = stage(distinct_sketches(sold, ["date", "city"], names), "sketches")
+    month = F.substring("date", 1, 7).alias("month")
+    estimated = distinct_estimates(merge_sketches(daily, [month, "city"], list(names)), list(names))
+    exact = sold.groupBy(month, "city").agg(*[F.count_distinct(c).alias(f"exact_{n}") for n, c in names.items()])
+
+    def near(name):
+        count = F.col(f"exact_{name}")
+        return (F.abs(F.col(name) - count) <= 5 * relative_error() * count + 0.5).alias(f"{name}_near")
+
+    return exact.join(estimated, ["month", "city"]).select(
+        "month", "city", F.col("exact_customers").alias("customers"), *[near(n) for n in names]
+    )
+
+
+@query
+def merge_by_key(spark, sf_dir):
+    """The earliest event of each type, by the caller's own merge."""
+    event = F.struct("ts", "event_id", "user_id")
+    earliest = merge_values(
+        star.table(spark, sf_dir, "events"),
+        F.col("event_type"),
+        event,
+        lambda a, b: F.when((a["ts"] < b["ts"]) | ((a["ts"] == b["ts"]) & (a["event_id"] < b["event_id"])), a).otherwise(b),
+    )
+    return earliest.select(F.col("key").alias("event_type"), "value.event_id", "value.user_id")
+
+
+@query
+def merge_global(spark, sf_dir):
+    """All rows merged into one value: exclusive or of the order keys."""
+    lines = star.table(spark, sf_dir, "lineitem")
+    key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    return merge_values(lines, F.lit(0), key, lambda a, b: a.bitwiseXOR(b)).select(F.col("value").alias("xor"))
+
+
+@query
+def merge_in_order(spark, sf_dir):
+    """Each customer's order states in the order of the dates, joined without repeats in a row: a merge
+    that is associative, but not commutative."""
+    state = F.col("o_orderstatus")
+
+    def joined(a, b):
+        return F.when(F.right(a, F.lit(1)) == F.left(b, F.lit(1)), F.concat(a, F.substring(b, 2, 1 << 30))).otherwise(
+            F.concat(a, b)
+        )
+
+    orders = star.table(spark, sf_dir, "orders")
+    states = merge_values(
+        orders, F.col("o_custkey"), state, joined, order_by=[F.col("o_orderdate"), F.col("o_orderkey")], fan_in=4
+    )
+    return states.select(F.col("key").alias("o_custkey"), F.col("value").alias("states"))
+
+
 # --- order, sets, words -----------------------------------------------------------------
 
 
@@ -469,6 +543,33 @@ def reconcile_(spark, sf_dir):
     return reconcile(exact, altered)
 
 
+@query
+def reconcile_keys(spark, sf_dir):
+    """Orders against a copy with totals altered, some by less than the tolerance, other states, missing
+    and added rows, and orders that are listed three times, one of them altered."""
+    orders = star.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    kind = F.col("o_orderkey") % 50
+    total = F.col("o_totalprice")
+    three = F.when(kind == 5, F.array(F.lit(0), F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    copy = orders.filter(kind != 3).select(
+        F.when(kind == 4, -F.col("o_orderkey")).otherwise(F.col("o_orderkey")).alias("o_orderkey"),
+        F.when(kind == 2, "X").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
+        F.when(kind == 0, total + 1).when(kind == 1, total + 0.001).otherwise(total).alias("o_totalprice"),
+        F.explode(three).alias("more"),
+    )
+    copy = copy.withColumn("o_totalprice", F.col("o_totalprice") + F.col("more")).drop("more")
+    thrice = orders.withColumn("copy", F.explode(F.when(kind == 5, F.array(*map(F.lit, range(3)))).otherwise(F.array(F.lit(0)))))
+    found = diff_by_key(thrice.drop("copy"), copy, ["o_orderkey"], abs_tol=0.01)
+    number = F.col("column") == "o_totalprice"
+    return found.select(
+        "o_orderkey",
+        "nth",
+        "column",
+        *[F.when(number, F.round(F.col(c).cast("double"), 2).cast("decimal(18,2)").cast("string")).otherwise(F.col(c)).alias(c) for c in ("left", "right")],
+        F.round("delta", 2).alias("delta"),
+    )
+
+
 # --- files: written from the tables, then read back -------------------------------------
 
 
@@ -554,6 +655,40 @@ def src_json_bad_counts(spark, sf_dir):
     )
 
 
+@query
+def src_json_malformed(spark, sf_dir):
+    """Every seventh order's line breaks off, every eleventh has a text where the items should be: the raw
+    records that the reader puts aside, beside how many orders it read."""
+    path = scratch_path(spark, "orders")
+    whole = F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("order_id"), F.lit("paid").alias("payment_status")))
+    broken = F.when(F.col("o_orderkey") % 7 == 0, F.expr("left(line, length(line) - 5)"))
+    odd = F.when(F.col("o_orderkey") % 11 == 0, F.replace(F.col("line"), F.lit("}"), F.lit(',"items":"none"}')))
+    lines = star.table(spark, sf_dir, "orders").withColumn("line", whole)
+    write_lines(lines.select(F.coalesce(broken, odd, "line").alias("value")), path)
+    read = stage(read_orders(spark, path, multiline=False, malformed="malformed"), "orders")
+    orders, quarantine = split_malformed(read, "malformed")
+    paid = sales.paid_orders(orders).agg(F.count("*").alias("paid"))
+    records = quarantine.select("record", F.col("file").contains("part-").alias("has_file"))
+    return records.join(F.broadcast(paid))  # one row
+
+
+@query
+def src_csv_drift(spark, sf_dir):
+    """Orders in three sets of files: one has a further column and text for the customer, one whole
+    numbers for the total, no customer, and its columns in another order."""
+    path = scratch_path(spark, "orders")
+    orders = star.table(spark, sf_dir, "orders")
+    total, key = F.col("o_totalprice"), F.col("o_orderkey")
+    sets = {
+        "F": [key, F.col("o_custkey"), total],
+        "O": [F.floor(total).cast("long").alias("o_totalprice"), key],
+        "P": [key, F.concat(F.lit("C"), "o_custkey").alias("o_custkey"), total, F.col("o_orderpriority")],
+    }
+    for status, columns in sets.items():
+        write_csv(orders.filter(F.col("o_orderstatus") == status).select(*columns), f"{path}/{status}", sep=",")
+    return read_drifting_csv(spark, f"{path}/*")
+
+
 @query
 def src_text(spark, sf_dir):
     path = scratch_path(spark, "lines")
@@ -598,10 +733,64 @@ def sink_partitioned_filter(spark, sf_dir):
     return _daily_by_date(spark, sf_dir).filter(F.col("date_key").between("19970101", "19971231"))
 
 
+@query
+def sink_partitioned_rerun(spark, sf_dir):
+    """All months, then 1995 again with other amounts: only its folders are replaced."""
+    path = scratch_path(spark, "monthly")
+    month = F.date_format(F.trunc("o_orderdate", "month"), "yyyy-MM-dd").alias("date")
+    orders = star.table(spark, sf_dir, "orders").groupBy(month, "o_orderstatus")
+    monthly = stage(orders.agg(F.round(F.sum("o_totalprice"), 2).alias("total")), "monthly", compact=True)
+    again = monthly.filter(F.col("date").startswith("1995-")).withColumn("total", -F.col("total"))
+    for run in (monthly, again):
+        write_partitioned_csv(run, path, sort_by=["o_orderstatus"])
+    reader = spark.read.schema("date string, o_orderstatus string, total double, date_key string")
+    return reader.option("header", True).csv(path, sep=";")
+
+
+@query
+def dates_from_table(spark, sf_dir):
+    """Line items of the months in which some order was urgent and cost over 490,000: the months come
+    from a table, and the other folders are not read."""
+    path = scratch_path(spark, "lines")
+    lines = star.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    lines = lines.withColumn("month", F.date_format("l_shipdate", "'m'yyyyMM")).drop("l_shipdate")
+    lines.repartition("month").write.partitionBy("month").parquet(path)
+    orders = star.table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT' and o_totalprice > 490000")
+    months = orders.select(F.date_format("o_orderdate", "'m'yyyyMM").alias("month"))
+    stored = spark.read.schema("l_orderkey long, l_linenumber int, l_quantity double, month string").parquet(path)
+    return keep_dates(stored, months, "month", "month")
+
+
+def _table_name(path: str) -> str:
+    return path.rsplit("/", 1)[1].replace("-", "_")
+
+
+@query
+def sink_table_swap(spark, sf_dir):
+    """A table of all daily sales, replaced by those of the web channel, which are read from the table
+    itself."""
+    path = scratch_path(spark, "daily")
+    name = _table_name(path)
+    replace_table(rounded_daily(star_sales(spark, sf_dir).daily_unsorted), name, path=path)
+    replace_table(spark.table(name).filter("channel = 'web'"), name, path=path)
+    return spark.table(name)
+
+
+@query
+def join_bucketed(spark, sf_dir):
+    """Orders with the sums of their line items, both from tables that are stored by order."""
+    orders, lines = scratch_path(spark, "orders"), scratch_path(spark, "lines")
+    save_bucketed(star.table(spark, sf_dir, "orders"), _table_name(orders), ["o_orderkey"], 8, path=orders)
+    save_bucketed(star.table(spark, sf_dir, "lineitem"), _table_name(lines), ["l_orderkey"], 8, path=lines)
+    sums = spark.table(_table_name(lines)).groupBy("l_orderkey").agg(F.sum("l_quantity").alias("quantity"))
+    stored = spark.table(_table_name(orders)).select("o_orderkey", "o_totalprice")
+    return stored.join(sums, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey")
+
+
 @query
 def sink_table(spark, sf_dir):
     path = scratch_path(spark, "daily")
-    name = path.rsplit("/", 1)[1].replace("-", "_")
+    name = _table_name(path)
     save_table(rounded_daily(star_sales(spark, sf_dir).daily_city_sales), name, path=path)
     return spark.table(name)
 
