@@ -4,8 +4,8 @@ The rules (host, path, verdict) become one file: their 64-bit xxhash keys, sorte
 rules' full strings and verdicts. It is written to the scratch folder that all executors share, and
 Spark hands each executor a copy once, which tasks map into memory: nothing is loaded but the pages a
 search touches, so a list larger than a worker's memory still serves. A task hashes, for a batch of
-urls, every suffix of the host at a dot with every prefix of the path that is as long as some rule's
-path, finds all keys in one vectorised binary search, and compares the stored string of each hit, so
+urls, every suffix of the host at a dot that is as long as some rule's host with every prefix of the
+path that is as long as some rule's path (so a long url costs no more than its length), finds all keys in one vectorised binary search, and compares the stored string of each hit, so
 that two strings with one key are told apart."""
 
 from __future__ import annotations
@@ -39,8 +39,8 @@ def path_of(url: Column) -> Column:
 
 
 def _rule_bytes(rules: Iterator[tuple[int, str, str, int]], n: int) -> Iterator[bytes]:
-    """The file: n and the number of path lengths, those lengths, keys, ends of strings, verdicts,
-    lengths of hosts, strings. ``rules`` are (unsigned key, host, path, verdict) sorted by key."""
+    """The file: n and the numbers of path lengths and of host lengths, those lengths, keys, ends of
+    strings, lengths of hosts, verdicts, strings. ``rules`` are (unsigned key, host, path, verdict) sorted by key."""
     keys, ends, verdicts, hosts, strings = (np.zeros(n, "<u8"), np.zeros(n, "<u8"), bytearray(), np.zeros(n, "<u4"), [])
     lengths: set[int] = set()
     end = 0
@@ -51,8 +51,10 @@ def _rule_bytes(rules: Iterator[tuple[int, str, str, int]], n: int) -> Iterator[
         verdicts.append(verdict)
         strings.append(text)
         lengths.add(len(path))
-    yield struct.pack("<QQ", n, len(lengths))
+    host_lengths = np.unique(hosts)
+    yield struct.pack("<QQQ", n, len(lengths), len(host_lengths))
     yield np.array(sorted(lengths), "<u8").tobytes()
+    yield host_lengths.astype("<u8").tobytes()
     yield keys.tobytes()
     yield ends.tobytes()
     yield hosts.tobytes()
@@ -65,10 +67,12 @@ class DigestArray:
 
     def __init__(self, path: str) -> None:
         data = np.memmap(path, dtype=np.uint8, mode="r")
-        self.n, n_lengths = struct.unpack("<QQ", data[:16].tobytes())
-        at = 16
+        self.n, n_lengths, n_hosts = struct.unpack("<QQQ", data[:24].tobytes())
+        at = 24
         self.lengths = data[at : at + 8 * n_lengths].view("<u8").tolist()
         at += 8 * n_lengths
+        self.host_lengths = frozenset(data[at : at + 8 * n_hosts].view("<u8").tolist())
+        at += 8 * n_hosts
         self.keys = data[at : at + 8 * self.n].view("<u8")
         at += 8 * self.n
         self.ends = data[at : at + 8 * self.n].view("<u8")
@@ -87,6 +91,7 @@ class DigestArray:
         owner, texts = [], []
         for i, (host, path) in enumerate(zip(hosts, paths, strict=True)):
             starts = [0] + [k + 1 for k, c in enumerate(host) if c == "."] if host else []
+            starts = [start for start in starts if len(host) - start in self.host_lengths]
             for start in starts:
                 for length in self.lengths:
                     if length <= len(path):
@@ -164,7 +169,7 @@ def judge(
     """``pages`` with ``host``, ``path``, ``rule`` (host and path of the longest fitting rule, or
     null) and ``verdict`` (the rule's, else ``default``). A rule fits its host and all hosts below
     it if the url's path starts with the rule's. Null urls and urls without ``://`` have an empty
-    host and path and fit no rule. Every row is judged by itself, so repeated rows stay equal;
+    host and path and fit no rule. Urls may be of any length. Every row is judged by itself, so repeated rows stay equal;
     columns named like a new one are replaced, all others kept."""
     name = publish_rules(rules, max_rules=max_rules)
     held: dict[str, DigestArray] = {}

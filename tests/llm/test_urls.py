@@ -52,3 +52,19 @@ def test_empty_tables_and_clashing_names(spark):
     assert (row["rule"], row["_found"], row["host"]) == ("net/", 2, "a.net")
     row = urls.judge(pages, rules.limit(0)).first()
     assert (row["rule"], row["verdict"]) == (None, "allow")
+
+
+def test_long_urls_take_little_memory(tmp_path):
+    import tracemalloc
+
+    rules = [("example.com", "/", 1), ("com", "", 0)]
+    keyed = sorted((urls.xxhash.xxh64_intdigest((h + p).encode(), 42), h, p, v) for h, p, v in rules)
+    with open(tmp_path / "rules", "wb") as file:
+        file.writelines(urls._rule_bytes(iter(keyed), len(keyed)))
+    rules = urls.DigestArray(str(tmp_path / "rules"))
+    host = "a." * 100_000
+    tracemalloc.start()
+    found = rules.lookup([host, host + "example.com", host + "com", host], ["/", "/" + "x." * 100_000, "", "/y"])
+    assert tracemalloc.get_traced_memory()[1] < 50_000_000
+    tracemalloc.stop()
+    assert found == [(None, None), ("example.com/", "block"), ("com", "allow"), (None, None)]
