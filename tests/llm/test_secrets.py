@@ -55,22 +55,54 @@ def test_query_matches_brute_force(spark, sf_dir, documents):
         assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(k == x for k, _, _ in spans) for x in BASE]
 
 
+SCHEMA = "path string, version int, text string"
+
+
+def kinds_of(found):
+    return {(r["path"], r["version"]): [f["kind"] for f in r["findings"]] for r in found.collect()}
+
+
 def test_only_unseen_blobs_are_scanned(spark, tmp_path):
     ledger = BlobLedger(str(tmp_path / "ledger"))
-    first = spark.createDataFrame([("a", 1, "token=abcdefg"), ("b", 1, "clean"), ("c", 1, "clean")], "path string, version int, text string")
+    first = spark.createDataFrame([("a", 1, "token=abcdefg"), ("b", 1, "clean"), ("c", 1, "clean")], SCHEMA)
     assert secrets.scan(first, ledger).count() == 3
-    sizes = lambda v: ledger.read(spark, v).count()
-    assert sizes(secrets.RULE_VERSION) == 2
-    # a marked finding shows that the second scan takes known blobs from the ledger
-    blob = hashlib.sha256(b"token=abcdefg").hexdigest()
-    second = spark.createDataFrame([("a", 2, "token=abcdefg"), ("d", 1, "token=abcdefg"), ("e", 1, "secret=zzzzzzz")], first.schema)
-    rules = (Rule("other", "z{3,}"),)
-    got = {(r["path"], r["version"]): [f["kind"] for f in r["findings"]] for r in secrets.scan(second, ledger, rules).collect()}
-    assert got == {("a", 2): ["assign"], ("d", 1): ["assign"], ("e", 1): ["other"]}
-    assert sizes(secrets.RULE_VERSION) == 3
-    again = {r["path"]: [f["kind"] for f in r["findings"]] for r in secrets.scan(second, ledger, rules, "2").collect()}
-    assert again == {"a": [], "d": [], "e": ["other"]} and sizes("2") == 2
-    assert ledger.read(spark, "2").filter(f"blob = '{blob}'").count() == 1
+    rows = lambda: spark.read.parquet(ledger.path).collect()
+    assert len(rows()) == 2 and all(len(r["rules"]) == len(secrets.RULES) for r in rows())
+    second = spark.createDataFrame([("a", 2, "token=abcdefg"), ("d", 1, "token=abcdefg"), ("e", 1, "secret=zzzzzzz")], SCHEMA)
+    assert kinds_of(secrets.scan(second, ledger)) == {("a", 2): ["assign"], ("d", 1): ["assign"], ("e", 1): ["assign"]}
+    assert len(rows()) == 3  # only the text of e was new
+
+
+def test_new_and_changed_rules_scan_for_themselves(spark, tmp_path):
+    ledger = BlobLedger(str(tmp_path / "ledger"))
+    files = spark.createDataFrame([("a", 1, "token=abcdefg SECRETX1"), ("b", 1, "SECRETX22 zzz")], SCHEMA)
+    assert kinds_of(secrets.scan(files, ledger)) == {("a", 1): ["assign"], ("b", 1): []}
+    mine = Rule("mine", "SECRETX[0-9]+")
+    assert kinds_of(secrets.scan(files, ledger, (mine,))) == {("a", 1): ["mine"], ("b", 1): ["mine"]}
+    added = [r for r in spark.read.parquet(ledger.path).collect() if r["rules"] == [mine.version]]
+    assert len(added) == 2  # scanned for the new rule alone
+    changed = Rule("mine", "SECRETX[0-9]{2,}")
+    assert kinds_of(secrets.scan(files, ledger, (changed,))) == {("a", 1): [], ("b", 1): ["mine"]}
+    both = kinds_of(secrets.scan(files, ledger, (Rule("z", "z{3,}"), mine, *secrets.BASE_RULES)))
+    assert both == {("a", 1): ["assign", "mine"], ("b", 1): ["mine", "z"]}
+    size = spark.read.parquet(ledger.path).count()
+    assert kinds_of(secrets.scan(files, ledger, (mine, *secrets.RULES))) == {("a", 1): ["assign", "mine"], ("b", 1): ["mine"]}
+    assert spark.read.parquet(ledger.path).count() == size  # all known by now
+    spark.read.parquet(ledger.path).write.parquet(str(tmp_path / "copy"))
+    spark.read.parquet(str(tmp_path / "copy")).write.mode("append").parquet(ledger.path)  # as if two had scanned at once
+    assert kinds_of(secrets.scan(files, ledger, (mine,))) == {("a", 1): ["mine"], ("b", 1): ["mine"]}
+    versions = {Rule("k", "p").version, Rule("k", "p", 1).version, Rule("k", "p", 0, 1).version, Rule("j", "p").version}
+    assert len(versions) == 4
+
+
+def test_two_batches_give_what_one_does(spark, documents, tmp_path):
+    """Whole texts; the second batch repeats the blobs of the first, and its ledger knows some rules only."""
+    ledger = BlobLedger(str(tmp_path / "ledger"))
+    secrets.scan(documents.filter("doc_id % 2 = 0"), ledger, secrets.BASE_RULES[::-1]).count()
+    secrets.scan(documents.filter("doc_id % 3 = 0"), ledger).count()
+    told = lambda found: sorted((r["doc_id"], str(r["findings"])) for r in found.select("doc_id", "findings").collect())
+    twice = documents.unionAll(documents)
+    assert told(secrets.scan(twice, ledger)) == told(secrets.scan(twice))
 
 
 def test_odd_rows(spark):
