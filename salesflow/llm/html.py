@@ -4,7 +4,9 @@ A page is parsed once into a tree. The hashes of its element subtrees (tag, attr
 children), of the whole page whatever it marks, are counted per host by Spark, once per page, and
 subtrees that recur on many pages of a host are template parts: they are deleted. So are elements whose role is not the article's: by tag
 (nav, header, footer, aside, form, script, style, ...), by ARIA role, or by a whole word of their class
-or id (menu, advert, cookie, comments, ...), unless they hold main content or most of the page's text. Where a page marks its main content (article, main,
+or id (menu, advert, cookie, comments, ...), unless they hold main content or most of the page's text. Inline
+elements are never judged by name, and in marked main content a name that parts of an article have too
+(related, social, notice, ...) counts only if most of the element's text is links. Where a page marks its main content (article, main,
 ``role=main``), the text is what lies inside; only boxes in it (div, section, list, table, ... with
 less than half of its text) that recur on most pages of the host are deleted there, never
 paragraphs, so pages that share passages and copies of a page keep their article: pages of equal text
@@ -58,6 +60,10 @@ _NAMES = re.compile(
     r"|signup|sign-up|login|popup|modal|overlay|widgets?|pagination|pager|toolbar|skip-link",
     re.I,
 )
+# of these names, those that parts of an article have as well
+_OFTEN_OWN = re.compile(
+    r"promo(?:tion)?s?|banner|notices?|share|sharing|social|related|recommended|widgets?|overlay|modal|popup", re.I
+)
 # an open element that a new one of these ends, as HTML lets end tags be left out
 _ENDS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -93,12 +99,20 @@ class Element:
     def is_named(self) -> bool:
         """Whether a whole word of class or id names another part than the article: ``cookie-notice``
         does, of two such words, but ``has-sidebar`` and ``comments-open`` tell about the page."""
-        if not self.attributes or self.tag in ("html", "body") or self.is_main():
-            return False
-        names = f"{self.attributes.get('class', '')} {self.attributes.get('id', '')}".split()
-        return any(
-            _NAMES.fullmatch(name) or all(map(_NAMES.fullmatch, re.split("[_-]+", name.strip("_-")))) for name in names
-        )
+        return any(True for _ in self._telling_names())
+
+    def is_surely_named(self) -> bool:
+        """Whether some such name is none that parts of an article have."""
+        return any(not _OFTEN_OWN.fullmatch(word) for name in self._telling_names() for word in name)
+
+    def _telling_names(self) -> Iterator[list[str]]:
+        """The words of each class or id that names another part."""
+        if not self.attributes or self.tag in ("html", "body") or self.tag in _INLINE or self.is_main():
+            return
+        for name in f"{self.attributes.get('class', '')} {self.attributes.get('id', '')}".split():
+            words = [name] if _NAMES.fullmatch(name) else re.split("[_-]+", name.strip("_-"))
+            if all(map(_NAMES.fullmatch, words)):
+                yield words
 
 
 def parse(page: str) -> Element:
@@ -175,6 +189,7 @@ class Subtrees:
         self.hashes: dict[int, int] = {}
         self.letters: dict[int, int] = {}
         self.shown: dict[int, int] = {}  # letters without those of elements dropped by tag or role
+        self.links: dict[int, int] = {}  # letters inside links
         self.root = root
         elements: list[Element] = []
         todo = [root]
@@ -194,6 +209,8 @@ class Subtrees:
             shown = (
                 self.shown[id(c)] if isinstance(c, Element) else len("".join(c.split())) for c in node.children
             )
+            inside = sum(self.links[id(c)] for c in node.children if isinstance(c, Element))
+            self.links[id(node)] = n if node.tag == "a" else inside
             self.shown[id(node)] = 0 if node.is_dropped(True) else sum(shown)
         #: of the blocks that hold text, which are counted per host wherever on the page they stand
         self.counted = sorted(
@@ -204,6 +221,13 @@ class Subtrees:
         """Whether ``node`` holds most of the page's text."""
         return 2 * self.shown[id(node)] > self.shown[id(self.root)]
 
+    def is_other_part(self, node: Element, in_main: bool) -> bool:
+        """Whether its class or id, and in main content a second sign, tell that ``node`` is not the
+        article's."""
+        if not node.is_named() or self.is_most(node):
+            return False
+        return not in_main or node.is_surely_named() or 2 * self.links[id(node)] > self.letters[id(node)]
+
     def judged(self, node: Element, top: Element, in_main: bool) -> bool:
         """Whether recurrence may delete ``node``: any block, in main content only boxes with less
         than half of its text."""
@@ -247,7 +271,7 @@ def read_page(page: str | None) -> tuple[list[tuple[str, list[int]]], list[int],
             if not opens:
                 if id(node) in opened:
                     around.pop()
-            elif node.tag not in _VOID and not node.is_dropped(in_main) and (not node.is_named() or subtrees.is_most(node)):
+            elif node.tag not in _VOID and not node.is_dropped(in_main) and not subtrees.is_other_part(node, in_main):
                 if len(around) < _DEPTH and subtrees.judged(node, top, in_main):
                     around.append(subtrees.hashes[id(node)])
                     opened.add(id(node))

@@ -100,3 +100,22 @@ def test_wrappers_with_common_class_words():
     assert text_of(f"<main><div>{teaser}</div><article>the longer text</article></main>") == "the longer text"
     assert text_of(f"<body><div class='social'>{teaser}<article>the longer text</article></div></body>") == "the longer text"
     assert text_of('<body><p>a long own text</p><div class="cookie-notice">C</div><div id="share">S</div></body>') == "a long own text"
+
+
+def test_article_parts_with_telling_names_stay():
+    lead = "<p>" + "a long first paragraph of the article " * 3 + "</p>"
+    text = re.sub("<[^>]*>", "", lead).strip()
+
+    def of(part):
+        return text_of(f"<body><nav>N</nav><article>{lead}{part}</article></body>").removeprefix(text).strip()
+
+    assert of('<pre>x = 1 <span class="token comment"># keep me</span></pre>') == "x = 1 # keep me"
+    assert of('<p>on <a class="share">the shared bike</a> and <em class="related">kin</em></p>') == "on the shared bike and kin"
+    assert of('<section id="related"><h2>Related work</h2><p>Others did so too.</p></section>') == "Related work Others did so too."
+    assert of('<div class="social"><p>What the clubs were like.</p></div>') == "What the clubs were like."
+    # a second sign: links
+    assert of('<div class="related"><ul><li><a href="/1">Next story</a></li><li><a href="/2">Another</a></li></ul></div>') == ""
+    assert of('<div class="share">Share: <a href="/f">Facebook or so</a></div>') == ""
+    # names that no part of an article has
+    assert of('<div class="ad">AD</div><section id="comments"><p>Nice one!</p></section><ul class="breadcrumb"><li>B</li></ul>') == ""
+    assert of('<div class="cookie-notice">C</div>') == ""
