@@ -1,7 +1,8 @@
 """Tables written once and read many times, in the folder the cluster names.
 
 All of an application's tables lie in one folder below ``spark.checkpoint.dir`` (a session that
-does not set it, such as a test's, uses its warehouse folder, which executors share as well).
+does not set it, such as a test's, uses its warehouse folder; on a cluster that is an error if the
+warehouse is on a machine's own disk).
 ``staging`` deletes its tables at the end of a with block. Tables behind a DataFrame that is
 returned unread have to outlive the call: ``cleanup`` deletes them, at the latest when the
 application ends."""
@@ -22,10 +23,19 @@ _registered: set[str] = set()
 
 
 def _application_folder(spark: SparkSession) -> str:
-    base = spark.conf.get(_SETTING, None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    base = spark.conf.get(_SETTING, None)
+    if not base:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if _is_cluster(spark.sparkContext.master) and warehouse.startswith(("file:", "/")):
+            raise ValueError(f"{_SETTING} must name a folder that all executors share: {warehouse} is not one")
+        base = f"{warehouse}/_scratch"
     return f"{base.rstrip('/')}/salesflow/{spark.sparkContext.applicationId}"
 
 
+def _is_cluster(master: str) -> bool:
+    return not (master == "local" or master.startswith("local["))
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the application's scratch folder."""
     folder = _application_folder(spark)

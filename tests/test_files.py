@@ -9,6 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 from test_sales import CUSTOMERS, ORDERS, REFUNDS, order
 
+from salesflow import staging as staging_module
 from salesflow.functions import is_non_numeric, safe_double
 from salesflow.operators import explode_items, number_sorted
 from salesflow.plans import SalesOptions, job, run_sales_job
@@ -265,6 +266,11 @@ def test_stage_uses_the_checkpoint_folder(spark, tmp_path):
     assert staged.schema == daily(spark).schema
 
 
+def test_masters_with_executors_elsewhere():
+    masters = {"local": False, "local[8]": False, "local[*]": False, "local-cluster[3,2,1024]": True, "yarn": True}
+    assert {m: staging_module._is_cluster(m) for m in masters} == masters
+
+
 def test_staging_cleans_up(spark):
     with pytest.raises(RuntimeError), staging(spark, "x") as stage_here:
         staged = stage_here(daily(spark), "daily")
