@@ -26,7 +26,7 @@ def _application_folder(spark: SparkSession) -> str:
     base = spark.conf.get(_SETTING, None)
     if not base:
         warehouse = spark.conf.get("spark.sql.warehouse.dir")
-        if _is_cluster(spark.sparkContext.master) and warehouse.startswith(("file:", "/")):
+        if _is_cluster(spark.sparkContext.master) and warehouse.startswith("file:"):
             raise ValueError(f"{_SETTING} must name a folder that all executors share: {warehouse} is not one")
         base = f"{warehouse}/_scratch"
     return f"{base.rstrip('/')}/salesflow/{spark.sparkContext.applicationId}"
