@@ -1,9 +1,9 @@
 """Benchmark decontamination: a BM25 index of the test items, searched with block maxima.
 
 The test items are the indexed side and are broadcast, in parts of at most ``max_index_chars``
-characters, each part searched by one pass over the documents; a benchmark of any size is handled.
-Every passage of every document is a query: windows of words so long, and so far apart, that a copy
-of the longest item of the part lies whole in one of them.
+characters, each part searched by one pass over the documents; a benchmark of any size is handled, and
+the parts do not show in the result. Every passage of every document is a query: windows of words so
+long, and so far apart, that a copy of the longest item of the benchmark lies whole in one of them.
 
 A BM25 score is divided by the score an item gives its own text, so it says how much of the item's
 weight a passage holds, and one threshold serves all items. Items are numbered in blocks, and each
@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain, repeat
 
@@ -88,7 +89,8 @@ class Bm25Index:
     """Impacts of the terms of some items, with block maxima.
 
     ``items``: (question words, answer words) in the order of their numbers; ``frequencies``: in how
-    many of all ``n_items`` items each term occurs; ``mean_length``: words of all items, on average."""
+    many of all ``n_items`` items each term occurs; ``mean_length``: words of all items, on average;
+    ``longest``: words of the longest of all items (by default, of these)."""
 
     def __init__(
         self,
@@ -97,11 +99,13 @@ class Bm25Index:
         n_items: int,
         mean_length: float,
         options: Bm25Options,
+        longest: int | None = None,
     ) -> None:
         self.options = options
         self.parts = items
         whole = [q + a if q is not a else q for q, a in items]
-        self.stride = max(1, math.ceil(1.25 * max(map(len, whole), default=1)))
+        longest = max(map(len, whole), default=1) if longest is None else longest
+        self.stride = max(1, math.ceil(1.25 * longest))
         self.terms = {t: i for i, t in enumerate(sorted({w for item in whole for w in item}))}
         self.item_terms: list[np.ndarray] = []
         self.item_impacts: list[np.ndarray] = []
@@ -211,19 +215,20 @@ def build_indexes(
     id_col: str = "item_id",
     question_col: str = "text",
     answer_col: str | None = None,
-) -> list[tuple[Bm25Index, list]]:
-    """Indexes of the parts of the benchmark, each with its item ids. Term frequencies are counted
-    over all items by Spark; a part, bounded by its characters, is gathered to be broadcast."""
+) -> Iterator[tuple[Bm25Index, list]]:
+    """Indexes of the parts of the benchmark, each with its item ids, one held at a time. Term
+    frequencies and lengths are taken over all items by Spark; a part, bounded by its characters, is
+    gathered to be broadcast."""
     answer = F.lit(None).cast("string") if answer_col is None else F.col(answer_col).cast("string")
     items = benchmark.select(F.col(id_col).alias("id"), F.col(question_col).cast("string").alias("q"), answer.alias("a"))
     text = F.concat_ws(" ", "q", "a")
     chars = items.agg(F.sum(F.length(text)).alias("n"), F.count("*").alias("items")).first()
     if not chars["items"]:
-        return []
+        return
     parts = -(-(chars["n"] or 0) // (options.max_index_chars // 2)) or 1
     words = items.select(F.regexp_extract_all(F.lower(text), F.lit(r"(?U)\w+"), 0).alias("words"))
-    totals = words.agg(F.sum(F.size("words")).alias("words")).first()["words"]
-    built = []
+    sizes = words.agg(F.sum(F.size("words")).alias("words"), F.max(F.size("words")).alias("longest")).first()
+    totals, longest = sizes["words"], sizes["longest"] or 1
     for part in range(parts):
         rows = items.filter(F.pmod(F.xxhash64("id", "q", "a"), F.lit(parts)) == part).orderBy("id", "q", "a").collect()
         split = []
@@ -236,9 +241,8 @@ def build_indexes(
             terms = words.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").count()
             counted = terms.join(wanted, "term", "left_semi").collect()
             frequencies |= Counter({r["term"]: r["count"] for r in counted})
-        index = Bm25Index(split, frequencies, chars["items"], (totals or 0) / chars["items"], options)
-        built.append((index, [r["id"] for r in rows]))
-    return built
+        index = Bm25Index(split, frequencies, chars["items"], (totals or 0) / chars["items"], options, longest)
+        yield index, [r["id"] for r in rows]
 
 
 _AT_ONCE = 1_000_000  # characters searched together, however long the texts

@@ -64,6 +64,21 @@ def test_made_up_tables_match_brute_force(spark, chars):
     assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == brute(docs, items)
 
 
+def test_parts_do_not_show_in_the_result(spark):
+    """Items of very different lengths: the windows of the short one are those of the longest."""
+    rng = random.Random(3)
+    words = lambda n: " ".join(f"x{rng.randrange(500)}" for _ in range(n))
+    short, long = words(20), words(400)
+    docs = [(i, f"{words(70 * i)} {short} {words(300)} {long if i % 2 else ''}") for i in range(8)]
+    docs = spark.createDataFrame(docs, "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, short), (2, long), (3, words(30))], "item_id bigint, text string")
+    found = []
+    for chars in (16_000_000, 200):
+        rows = decontaminate.contaminated(docs, items, Bm25Options(max_index_chars=chars)).collect()
+        found.append(sorted((*r[:3], *(round(x, 9) for x in r[3:])) for r in rows))
+    assert found[0] == found[1] and len(found[0]) == 12
+
+
 def test_block_maxima_lose_nothing():
     """All pairs of a passage and an item at the threshold are in an opened block."""
     docs, items = made_up(2)
