@@ -139,13 +139,14 @@ def linked(queries: Codes, others: Codes, options: CodeOptions) -> Iterator[tupl
         sure = low >= options.threshold + _SAFE
         open_ = np.flatnonzero((high >= options.threshold - _SAFE) & ~sure)
         if len(open_) > s.size // 16:  # most of the block: one product is less work than many rows
-            cosine = queries.unit[rows] @ others.unit.T
-            sure[open_] = cosine[i[open_], j[open_]] >= options.threshold
-        else:
-            for at in range(0, len(open_), 1 << 14):
-                some = open_[at : at + (1 << 14)]
-                cosine = np.einsum("ij,ij->i", queries.unit[start + i[some]], others.unit[j[some]])
-                sure[some] = cosine >= options.threshold
+            cosine = (queries.unit[rows] @ others.unit.T)[i[open_], j[open_]]
+            sure[open_] = cosine >= options.threshold
+            # near the threshold the order of the sum could tell: one sum decides, whatever the way here
+            open_ = open_[np.abs(cosine - options.threshold) < _SAFE]
+        for at in range(0, len(open_), 1 << 14):
+            some = open_[at : at + (1 << 14)]
+            cosine = np.einsum("ij,ij->i", queries.unit[start + i[some]], others.unit[j[some]])
+            sure[some] = cosine >= options.threshold
         i, j = i[sure], j[sure]
         found, first = np.unique(i, return_index=True)
         for row, near in zip(found, np.split(j, first[1:]), strict=True) if len(found) else ():

@@ -95,3 +95,18 @@ def test_odd_rows(spark):
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")
     assert embeddings.near_duplicates(frame).count() == 0
+
+
+def test_pairs_at_the_threshold_do_not_depend_on_their_block():
+    """The same pairs, alone and among many open ones, at a threshold that many of them meet exactly."""
+    rng = np.random.default_rng(11)
+    vectors = near_vectors(11, 120, 64)
+    turn = rotation(64, 1)
+    codes = Codes(vectors, turn)
+    pairs = rng.integers(0, 120, (60, 2))
+    for a, b in pairs:
+        cosine = float(np.einsum("ij,ij->i", codes.unit[[a]], codes.unit[[b]])[0])
+        options = CodeOptions(threshold=cosine)
+        alone = [n.tolist() for _, n in embeddings.linked(codes.take(np.array([a])), codes.take(np.array([b])), options)]
+        whole = dict((i, n.tolist()) for i, n in embeddings.linked(codes, codes, options))
+        assert alone == [[0]] and b in whole[a]
