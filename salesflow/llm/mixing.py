@@ -7,10 +7,12 @@ posterior)``, come as near to the targets as nonnegative rates allow: least squa
 projected gradient.
 
 The gradient of a document's rate depends on its posterior only, so documents with equal posteriors
-have equal rates in every step. Posteriors are rounded to ``precision`` digits, and the descent runs
-on the table of distinct posteriors with their token totals, which Spark aggregates once: each step
-is one aggregation of as many sums as there are domains, and its residual is all that reaches the
-driver. No step reads the documents again.
+have equal rates in every step. Documents whose posteriors agree to ``precision`` digits share a rate:
+they are a cell, and the descent runs on the table of cells, which Spark aggregates once. A cell holds
+its tokens and the exact sums of tokens times unrounded posterior, so the totals that the descent
+brings to the targets are those of the unrounded posteriors. Each step is one aggregation of as many
+sums as there are domains, and its residual is all that reaches the driver. No step reads the
+documents again.
 
 Words are hashed and counted by SQL functions; nothing runs Python on the executors. Fitting reads
 at most ``max_labelled`` labelled documents (those with the smallest hashes of their ids), whole
@@ -33,8 +35,8 @@ _SPLIT = r"[\s.,;:!?()|\"']+"
 @dataclass(frozen=True)
 class MixingOptions:
     """``evidence``: how many of a document's words count at most; a longer one's evidence is scaled
-    down to that many, so that posteriors stay soft. ``tolerance``: distance from the targets, as
-    a share of all tokens."""
+    down to that many, so that posteriors stay soft. ``precision``: digits to which posteriors agree
+    that share a rate. ``tolerance``: distance from the targets, as a share of all tokens."""
 
     buckets: int = 4096
     max_labelled: int = 16_384
@@ -71,7 +73,7 @@ class DomainModel:
     options: MixingOptions
 
     def posterior(self, words: Column) -> Column:
-        """Array of posteriors, rounded, in the order of the domains. Without words: the priors."""
+        """Array of posteriors in the order of the domains. Without words: the priors."""
         n, options = F.size(words), self.options
         numbers = F.transform(words, lambda w: bucket_of(w, options.buckets))
         odds = []
@@ -81,21 +83,36 @@ class DomainModel:
             scale = F.least(F.lit(1.0), F.lit(float(options.evidence)) / F.greatest(n, F.lit(1)))
             odds.append(F.lit(prior) + total * scale)
         odds.append(F.lit(0.0))
-        return _softmax(F.array(*odds), options.precision)
+        return _softmax(F.array(*odds))
 
 
 def _sum_of(numbers: Column, table: Column) -> Column:
     return F.aggregate(numbers, F.lit(0.0), lambda acc, b: acc + F.get(table, b))
 
 
-def _softmax(odds: Column, precision: int) -> Column:
+def _softmax(odds: Column) -> Column:
     powers = F.transform(F.array(odds), lambda o: F.transform(o, lambda x: F.exp(x - F.array_max(o))))[0]
     return F.transform(
         F.array(powers),
-        lambda p: F.transform(p, lambda x: F.round(x / F.aggregate(p, F.lit(0.0), lambda a, b: a + b), precision)),
+        lambda p: F.transform(p, lambda x: x / F.aggregate(p, F.lit(0.0), lambda a, b: a + b)),
     )[0]
 
 
+def cell_of(posterior: Column, precision: int) -> Column:
+    """Cell of a posterior: its digits up to ``precision``."""
+    return F.transform(posterior, lambda x: F.round(x, precision))
+
+
+def cells_of(docs: DataFrame, posterior: str, tokens: str, cell: str, domains: int) -> DataFrame:
+    """One row per cell: ``cell``, ``tokens`` and ``posterior``, the mean of its documents' posteriors
+    by token. Sums are decimal, so they do not depend on the order of the rows. A cell without tokens
+    has itself as posterior; it weighs nothing."""
+    sums = [F.sum((F.col(tokens) * F.col(posterior)[i]).cast("decimal(28,12)")).alias(f"m{i}") for i in range(domains)]
+    grouped = docs.groupBy(F.col(cell).alias("cell")).agg(F.sum(tokens).alias("tokens"), *sums)
+    mean = F.array(*[F.col(f"m{i}").cast("double") / F.col("tokens") for i in range(domains)])
+    return grouped.select("cell", "tokens", F.when(F.col("tokens") > 0, mean).otherwise(F.col("cell")).alias("posterior"))
+
+
 def fit_domains(
     labelled: DataFrame,
     docs: DataFrame,
@@ -142,7 +159,7 @@ def fit_domains(
 
 
 def fit_rates(cells: DataFrame, targets: list[float], options: MixingOptions) -> tuple[DataFrame, list[float]]:
-    """``cells(posterior, tokens)`` with a column ``rate``, and the shares that the rates reach.
+    """``cells(posterior, tokens, ...)`` with a column ``rate``, and the shares that the rates reach.
 
     Minimises half the squared distance between the expected shares, in units of all tokens, and
     the targets, over nonnegative rates, starting from using every document once. In the metric
@@ -154,6 +171,7 @@ def fit_rates(cells: DataFrame, targets: list[float], options: MixingOptions) ->
     total = cells.agg(F.sum("tokens").alias("n")).first()["n"]
     if not total:
         return cells.withColumn("rate", F.lit(1.0)), [0.0] * k
+    columns = cells.columns
     cells = cells.withColumn("weight", F.col("tokens") / F.lit(float(total)))
     p = [F.col("posterior")[i] for i in range(k)]
     moments = cells.agg(*[F.sum(F.col("weight") * p[i] * p[j]) for i in range(k) for j in range(k)]).first()
@@ -197,7 +215,7 @@ def fit_rates(cells: DataFrame, targets: list[float], options: MixingOptions) ->
             history.clear()
     cells = stage(cells.withColumns({"x": now("x"), "y": now("y")}), "rates", compact=True)
     history.clear()
-    return cells.select("posterior", "tokens", F.col("x").alias("rate")), shares()[0]
+    return cells.select(*columns, F.col("x").alias("rate")), shares()[0]
 
 
 def mix(
@@ -218,7 +236,7 @@ def mix(
     posterior 0 everywhere, domains without a target have none: their tokens are to come to nothing
     unless they share documents. Documents without words (null or empty text) have the priors as
     posterior and add no tokens. Without any usable label, rates are 1 and posteriors null. Repeated
-    rows are mixed one by one; rows with a null id share their rounding. Columns named like a new
+    rows are mixed one by one; rows with a null id share their rounding. ``p_<domain>`` is not rounded. Columns named like a new
     one are replaced, all others kept."""
     model = fit_domains(labelled, docs, domain, options, id_col=id_col, text_col=text_col)
     names = [f"p_{d}" for d in targets]
@@ -229,18 +247,18 @@ def mix(
     hidden = "_mixing"
     while any(c.startswith(hidden) for c in docs.columns):
         hidden = f"_{hidden}"
-    words = f"{hidden}_words"
+    words, cell = f"{hidden}_words", f"{hidden}_cell"
     read = docs.withColumn(words, words_of(F.col(text_col).cast("string")))
     read = read.withColumns({"n_tokens": F.size(words), hidden: model.posterior(F.col(words))}).drop(words)
-    read = stage(read, "mixing")
-    cells = stage(read.groupBy(F.col(hidden).alias("posterior")).agg(F.sum("n_tokens").alias("tokens")), "cells", compact=True)
+    read = stage(read, "mixing").withColumn(cell, cell_of(F.col(hidden), options.precision))
+    cells = stage(cells_of(read, hidden, "n_tokens", cell, len(model.domains)), "cells", compact=True)
     wanted = [targets.get(d, 0.0) for d in model.domains]
     rated, _ = fit_rates(cells, wanted, options)
-    rated = stage(rated.select(F.col("posterior").alias(f"{hidden}_of"), F.col("rate").alias(f"{hidden}_rate")), "rates", compact=True)
-    out = read.join(rated, F.col(hidden) == F.col(f"{hidden}_of"))
+    rated = stage(rated.select(F.col("cell").alias(f"{hidden}_of"), F.col("rate").alias(f"{hidden}_rate")), "rates", compact=True)
+    out = read.join(rated, F.col(cell) == F.col(f"{hidden}_of"))
     place = {d: i for i, d in enumerate(model.domains)}
     known = lambda d: F.col(hidden)[place[d]] if d in place else F.lit(0.0)
     out = out.withColumns({f"p_{d}": known(d) for d in targets} | {"rate": F.col(f"{hidden}_rate")})
     chance = F.pmod(F.xxhash64(F.lit("mixing"), F.col(id_col)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     copies = F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")
-    return out.withColumn("copies", copies).drop(hidden, f"{hidden}_of", f"{hidden}_rate")
+    return out.withColumn("copies", copies).drop(hidden, cell, f"{hidden}_of", f"{hidden}_rate")

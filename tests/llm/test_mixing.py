@@ -43,6 +43,37 @@ def test_targets_are_met(spark):
     assert np.mean([x == y for x, y in zip(likely, own, strict=True)]) > 0.95
 
 
+@pytest.mark.parametrize("precision", [1, 2])
+def test_targets_are_met_in_unrounded_posteriors(spark, precision):
+    """However coarse the cells: a document's posterior counts with all its digits."""
+    docs, labels = corpus(spark)
+    targets = {"a": 0.45, "b": 0.35, "c": 0.2}
+    options = MixingOptions(evidence=6, precision=precision)
+    rows = mixing.mix(docs, labels, F.col("topic"), targets, options).collect()
+    assert any(abs(r["p_c"] - round(r["p_c"], precision)) > 1e-6 for r in rows)
+    for d, share in totals(rows, targets).items():
+        assert share == pytest.approx(targets[d], abs=1.1e-5)
+
+
+def test_cells_are_exact_sums(spark):
+    docs, labels = corpus(spark, 120)
+    model = mixing.fit_domains(labels, docs, F.col("topic"), MixingOptions(evidence=6))
+    read = docs.select(F.size(mixing.words_of(F.col("text"))).alias("n"), model.posterior(mixing.words_of(F.col("text"))).alias("p"))
+    read = read.union(spark.createDataFrame([(0, [0.5, 0.25, 0.25])], "n int, p array<double>"))
+    read = read.withColumn("c", mixing.cell_of(F.col("p"), 1))
+    want = {}
+    for r in read.collect():
+        tokens, mass = want.get(tuple(r["c"]), (0, np.zeros(3)))
+        want[tuple(r["c"])] = tokens + r["n"], mass + r["n"] * np.array(r["p"])
+    got = mixing.cells_of(read, "p", "n", "c", 3).collect()
+    assert {tuple(r["cell"]): r["tokens"] for r in got} == {c: t for c, (t, _) in want.items()}
+    for r in got:
+        tokens, mass = want[tuple(r["cell"])]
+        assert np.allclose(r["posterior"], mass / tokens if tokens else r["cell"], atol=1e-10)
+    again = mixing.cells_of(read.repartition(7), "p", "n", "c", 3).collect()
+    assert sorted(map(tuple, again), key=str) == sorted(map(tuple, got), key=str)
+
+
 def test_rates_match_plain_projected_gradient(spark):
     rng = np.random.default_rng(7)
     p = np.round(rng.dirichlet([1.0, 0.6, 0.3], 60), 2)
@@ -78,7 +109,7 @@ def test_posterior_equals_a_plain_one(spark):
         scale = min(1, 20 / len(words))
         odds = [pr + scale * sum(wt[bucket[w]] for w in words) for pr, wt in zip(model.priors, model.weights, strict=True)] + [0.0]
         e = np.exp(np.array(odds) - max(odds))
-        assert np.allclose(r["p"], np.round(e / e.sum(), 2), atol=0.0101)
+        assert np.allclose(r["p"], e / e.sum(), atol=1e-6)
 
 
 def test_odd_rows(spark):
