@@ -2,33 +2,75 @@
 
 Values that pass their format's check are replaced by other values that pass it too: card numbers
 keep their length and a right Luhn digit, IBANs their country and a right check number, dates stay
-dates from 1900 to 2099, IPv4 addresses stay addresses, phone and social security numbers keep
-their punctuation. Each replacement is a Feistel network over the value's own domain, keyed by
-``key``; it is a permutation, so equal values get equal pseudonyms in all documents and different
-values of one format get different ones, without any table of values. Numbers that fail the check
-(a 16-digit number with a wrong Luhn digit, 31 February, 300.1.1.1) are not personal and stay.
+dates from 1900 to 2099, IPv4 and IPv6 addresses stay addresses, phone and social security numbers
+keep their punctuation, letters of a mail address stay letters of their script. Each replacement is
+a Feistel network over the value's own domain, keyed by ``key``; it is a permutation, so equal values
+get equal pseudonyms in all documents and different values of one format get different ones, without
+any table of values. Numbers that fail the check (a 16-digit number with a wrong Luhn digit,
+31 February, 300.1.1.1, the phone number 123-456-7890) are not personal and stay.
+
+One value may be written in several ways, and its pseudonym is then the same value in each: IBANs and
+cards with or without separators, dates with or without leading zeros and in any order, IPv6
+addresses shortened or not (the pseudonym is written in full), ten-digit phone numbers with or
+without +1.
 
 All of it is column expressions inside one map over the documents: no shuffle, no Python."""
 
 from __future__ import annotations
 
+import json
+import sys
+import unicodedata
+from collections import defaultdict
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("email", "iban", "date", "ip", "ssn", "phone", "card")
 
-_EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,9}[A-Za-z]{2,63}"
-_IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])"
+# fixed values: lengths of IBANs by country
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK|FI|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|XK", 21: "CH|CR|HR|LI|LV",
+    22: "BG|BH|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 25: "LY|PT|ST",
+    26: "IS|TR", 27: "BI|DJ|FR|GR|IT|MC|MR|SM", 28: "AL|AZ|BY|CY|DO|GT|HU|LB|NI|PL|SV", 29: "BR|EG|PS|QA|UA",
+    30: "JO|KW|MU", 31: "MT|SC", 32: "LC", 33: "RU",
+}
+
+
+def _grouped(length: int, countries: str) -> str:
+    """An IBAN in groups of four, set apart by what the group ``ib`` holds."""
+    groups, rest = divmod(length - 4, 4)
+    last = rf"\k<ib>[A-Z0-9]{{{rest}}}" if rest else ""
+    return rf"(?:{countries})[0-9]{{2}}(?:\k<ib>[A-Z0-9]{{4}}){{{groups}}}{last}"
+
+
+_EMAIL = (
+    r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{M}\p{N}._%+-]++@(?:(?:[A-Za-z0-9-]{1,63}\.){1,9}[A-Za-z]{2,63}"
+    r"|(?:[\p{L}\p{M}\p{N}-]{1,63}\.){1,9}[\p{L}\p{M}]{2,63})"
+)
+_IBAN = (
+    r"(?<![A-Za-z0-9])(?:[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}|(?=[A-Z]{2}[0-9]{2}(?<ib>[ -]))(?:"
+    + "|".join(_grouped(*entry) for entry in _IBAN_LENGTHS.items())
+    + r"))(?![A-Za-z0-9])"
+)
 _DATE = (
-    r"(?<![0-9])(?:[0-9]{4}(?<y>[-/.])[0-9]{2}\k<y>[0-9]{2}|[0-9]{2}(?<d>[-/.])[0-9]{2}\k<d>[0-9]{4})(?![0-9])"
+    r"(?<![0-9])(?:[0-9]{4}(?<y>[-/.])[0-9]{1,2}\k<y>[0-9]{1,2}|[0-9]{1,2}(?<d>[-/.])[0-9]{1,2}\k<d>[0-9]{4})(?![0-9])"
+)
+_IP = (
+    r"(?:(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])"
+    r"|(?<![\p{L}\p{N}:.])(?=(?:[0-9A-Fa-f]{0,4}:){1,7}:|(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f])"
+    r"(?:[0-9A-Fa-f]{0,4}:){2,8}[0-9A-Fa-f]{0,4}(?![\p{L}\p{N}:]|\.[0-9]))"
 )
-_IP = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])"
 _SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 _PHONE = (
     r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,3}"
+    r"|\+[0-9]{1,3}[ .-]\(?[0-9]\)?(?:(?:[ .-]?[0-9]{2}){4}|(?:[ .-]?[0-9]{3,4}){2})"
     r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}(?<p>[ .-])[0-9]{3}\k<p>[0-9]{4})(?![0-9])"
 )
-_CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?<sep>[ -])[0-9]{4}\k<sep>[0-9]{4}\k<sep>[0-9]{1,7})(?![0-9])"
+_CARD = (
+    r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?<sep>[ -])(?:[0-9]{4}\k<sep>[0-9]{4}\k<sep>[0-9]{1,7}"
+    r"|[0-9]{6}\k<sep>[0-9]{4,5}))(?![0-9])"
+)
 _PATTERNS = dict(zip(KINDS, (_EMAIL, _IBAN, _DATE, _IP, _SSN, _PHONE, _CARD), strict=True))
 _ANY = "|".join(_PATTERNS.values())
 
@@ -36,6 +78,32 @@ _ROUNDS = 10
 _FIRST_DAY, _DAYS = "1900-01-01", (17, 4297)  # 17 * 4297 days: up to 2099-12-31
 # (first code, letters) of the runs a character stays in: digits, A-Z, a-z, Latin-1 letters
 _RUNS = ((48, 10), (65, 26), (97, 26), (192, 23), (216, 7), (224, 23), (248, 8))
+_BLOCK = 128
+
+
+def other_runs() -> list[list[list[int]]]:
+    """(first code, letters, distance of letters) of the runs of all other letters and digits, by block of
+    128 codes: neighbours of one category, or every second code where capital and small letters alternate."""
+    codes = defaultdict(list)
+    for code in range(256, sys.maxunicode + 1):
+        category = unicodedata.category(chr(code))
+        if category[0] in "LN":
+            codes[category].append(code)
+    blocks = defaultdict(list)
+    for found in codes.values():
+        at = 0
+        while at < len(found) - 1:
+            step, end = found[at + 1] - found[at], at + 1
+            while step <= 2 and end < len(found) and found[end] - found[end - 1] == step:
+                end += 1
+            if end - at > 1:
+                for block in range(found[at] // _BLOCK, found[end - 1] // _BLOCK + 1):
+                    blocks[block].append([found[at], end - at, step])
+            at = end
+    return [blocks[block] for block in range(max(blocks) + 1)]
+
+
+_OTHER_RUNS = json.dumps(other_runs())
 
 
 def _prf(key: str, *parts: Column) -> Column:
@@ -78,11 +146,11 @@ def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
 
-def _into_format(value: Column, digits: Column) -> Column:
-    """``value`` with its digits replaced in turn by those of ``digits``."""
+def _into_format(value: Column, digits: Column, kept: str = "^[0-9]$") -> Column:
+    """``value`` with its digits (characters like ``kept``) replaced in turn by those of ``digits``."""
 
     def step(state: Column, char: Column) -> Column:
-        is_digit = char.rlike("^[0-9]$")
+        is_digit = char.rlike(kept)
         new = F.when(is_digit, F.substring(digits, state["at"], 1)).otherwise(char)
         return F.struct(
             (state["at"] + is_digit.cast("int")).alias("at"), F.concat(state["out"], new).alias("out")
@@ -123,37 +191,84 @@ def _mod97(text: Column) -> Column:
 
 
 def _iban(key: str, value: Column) -> Column:
-    country, body = F.substring(value, 1, 2), F.substring(value, 5, 30)
-    valid = _mod97(F.concat(body, F.substring(value, 1, 4))) == 1
-    new = _permute_chars(key, "iban", body)
+    written = F.regexp_replace(value, "[ -]", "")
+    country, body = F.substring(written, 1, 2), F.substring(written, 5, 30)
+    valid = _mod97(F.concat(body, F.substring(written, 1, 4))) == 1
+    new = _permute_chars(key, F.lit("iban"), body)
     check = lambda b: F.lpad((98 - _mod97(F.concat(b, country, F.lit("00")))).cast("string"), 2, "0")
-    return F.when(valid, F.transform(F.array(new), lambda b: F.concat(country, check(b), b))[0]).otherwise(value)
+    whole = F.transform(F.array(new), lambda b: F.concat(country, check(b), b))[0]
+    return F.when(valid, _into_format(value, whole, "^[A-Z0-9]$")).otherwise(value)
 
 
 def _date(key: str, value: Column) -> Column:
-    """Year, month and day in one of three orders; day first where both that and month first fit."""
-    year_first = value.rlike("^[0-9]{4}")
-    part = lambda at, n: F.substring(value, at, n)
+    """Year, month and day in one of three orders; day first where both that and month first fit.
+    Leading zeros are left out where a date has a part of one digit."""
+    parts = F.split(value, "[-/.]")
+    year_first = F.length(parts[0]) == 4
+    short = F.exists(parts, lambda p: F.length(p) == 1)
     orders = {
-        "yyyy-MM-dd": (year_first, ((1, 4), (6, 2), (9, 2))),
-        "dd-MM-yyyy": (~year_first, ((7, 4), (4, 2), (1, 2))),
-        "MM-dd-yyyy": (~year_first, ((7, 4), (1, 2), (4, 2))),
+        "yyyy-MM-dd": (year_first, (0, 1, 2)),
+        "dd-MM-yyyy": (~year_first, (2, 1, 0)),
+        "MM-dd-yyyy": (~year_first, (2, 0, 1)),
     }
     a, b = _DAYS
     first = F.lit(_FIRST_DAY).cast("date")
     out = value
     for written, (fits, places) in reversed(orders.items()):
-        iso = F.when(fits, F.concat_ws("-", *[part(*place) for place in places]))
+        iso = F.when(fits, F.concat_ws("-", *[F.lpad(parts[at], 4 if at == places[0] else 2, "0") for at in places]))
         day = F.datediff(F.try_to_timestamp(iso, F.lit("yyyy-MM-dd")).cast("date"), first)
         pair = _feistel(key, F.lit("date"), F.floor(day / b), F.pmod(day, F.lit(b)), F.lit(a), F.lit(b))
         new = F.transform(F.array(pair), lambda p: F.date_add(first, (p["a"] * b + p["b"]).cast("int")))[0]
         mark = F.regexp_extract(value, "[-/.]", 0)
-        text = F.replace(F.date_format(new, written), F.lit("-"), mark)
+        unpadded = written.replace("MM", "M").replace("dd", "d")
+        form = F.when(short, F.date_format(new, unpadded)).otherwise(F.date_format(new, written))
+        text = F.replace(form, F.lit("-"), mark)
         out = F.when(day.between(0, a * b - 1), text).otherwise(out)
     return out
 
 
 def _ip(key: str, value: Column) -> Column:
+    return F.when(F.contains(value, F.lit(":")), _ipv6(key, value)).otherwise(_ipv4(key, value))
+
+
+def _ipv6(key: str, value: Column) -> Column:
+    """The address as two halves of 64 bits, in turn XORed with a keyed function of the other. At least
+    two groups and a digit must be written: ``std::`` and ``ab::cd`` are no addresses."""
+    sides = F.split(value, "::")
+    groups = lambda text: F.filter(F.split(text, ":"), lambda g: g != "")
+    head, tail = groups(sides[0]), groups(F.coalesce(F.get(sides, F.lit(1)), F.lit("")))
+    n, shortened = F.size(head) + F.size(tail), F.size(sides) == 2
+    valid = (
+        F.when(shortened, n.between(2, 7)).otherwise((n == 8) & (F.size(sides) == 1))
+        & value.rlike("[0-9]")
+        & ~value.rlike("^:(?!:)|(?<!:):$|:::")
+    )
+    full = F.concat(head, F.array_repeat(F.lit("0"), F.greatest(8 - n, F.lit(0))), tail)
+    hex_ = F.array_join(F.transform(full, lambda g: F.lpad(g, 4, "0")), "")
+
+    def step(pair: Column, i: Column) -> Column:
+        def mask(other: Column) -> Column:
+            digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit("ipv6"), i.cast("string"), other.cast("string")), 256)
+            return F.conv(F.substring(digest, 1, 16), 16, -10).cast("long")
+
+        return F.struct(
+            F.when(i % 2 == 0, pair["a"].bitwiseXOR(mask(pair["b"]))).otherwise(pair["a"]).alias("a"),
+            F.when(i % 2 == 1, pair["b"].bitwiseXOR(mask(pair["a"]))).otherwise(pair["b"]).alias("b"),
+        )
+
+    half = lambda at: F.conv(F.substring(hex_, at, 16), 16, -10).cast("long")
+    start = F.struct(half(1).alias("a"), half(17).alias("b"))
+
+    def written(pair: Column) -> Column:
+        out = F.concat(*[F.lpad(F.lower(F.hex(pair[name])), 16, "0") for name in ("a", "b")])
+        parts = [F.regexp_replace(F.substring(out, at, 4), "^0{1,3}", "") for at in range(1, 33, 4)]
+        return F.concat_ws(":", *parts)
+
+    new = F.aggregate(F.sequence(F.lit(0), F.lit(_ROUNDS - 1)), start, step, written)
+    return F.when(valid, F.when(value.rlike("[A-F]"), F.upper(new)).otherwise(new)).otherwise(value)
+
+
+def _ipv4(key: str, value: Column) -> Column:
     octets = F.transform(F.split(value, r"\."), lambda o: o.cast("int"))
     valid = F.forall(octets, lambda o: o <= 255)
     low = F.lit(1 << 16)
@@ -184,15 +299,50 @@ def _ssn(key: str, value: Column) -> Column:
 
 
 def _phone(key: str, value: Column) -> Column:
-    """All digits but those of a country code that is set apart."""
-    code = F.regexp_extract(value, r"^\+[0-9]{1,3}(?=[ .(-])", 0)
+    """All digits but those of a country code that is set apart. Numbers without a country code must
+    have an area and an exchange from 200 on, as ten-digit numbers of the North American plan do."""
+    code = F.regexp_extract(value, r"^\+[0-9]{1,3}(?=[ .(-])|^\+1(?=[0-9]{10}$)", 0)
     rest = value.substr(F.length(code) + 1, F.length(value))
-    return F.concat(code, _into_format(rest, _permute_digits(key, "phone", _digits(rest))))
+    digits = _digits(rest)
+    ten = (F.length(digits) == 10) & code.isin("", "+1")
+    new = F.when(ten, _ten_digits(key, digits)).otherwise(_permute_digits(key, "phone", digits))
+    valid = value.startswith("+") | digits.rlike("^[2-9][0-9]{2}[2-9]")
+    return F.when(valid, F.concat(code, _into_format(rest, new))).otherwise(value)
+
+
+def _ten_digits(key: str, digits: Column) -> Column:
+    """Area, exchange and line: an area or an exchange from 200 on gets one from 200 on, others others."""
+    area, exchange, line = (F.substring(digits, at, n).cast("long") for at, n in ((1, 3), (4, 3), (7, 4)))
+    from_200 = [x >= 200 for x in (area, exchange)]
+    first = [F.when(is_, 200).otherwise(0) for is_ in from_200]
+    sizes = [F.when(is_, 800).otherwise(200) for is_ in from_200]
+    tag = F.concat_ws("|", F.lit("ten"), *[f.cast("string") for f in first])
+    left = (area - first[0]) * sizes[1] + exchange - first[1]
+    pair = _feistel(key, tag, left, line, sizes[0] * sizes[1], F.lit(10_000))
+
+    def written(p: Column) -> Column:
+        parts = ((F.floor(p["a"] / sizes[1]) + first[0], 3), (p["a"] % sizes[1] + first[1], 3), (p["b"], 4))
+        return F.concat(*[F.lpad(x.cast("string"), n, "0") for x, n in parts])
+
+    return F.transform(F.array(pair), written)[0]
 
 
 def _shift(key: str, tag: Column, text: Column) -> Column:
     """Each letter and digit moved within its run of characters, by a keyed function of its place
-    and the tag. Other characters stay."""
+    and the tag. Other characters stay, as do the few letters without a neighbour of their category."""
+    blocks = F.from_json(F.lit(_OTHER_RUNS), "array<array<array<int>>>")
+
+    def other(c: Column, code: Column, move: Column) -> Column:
+        def holds(run: Column) -> Column:
+            place = code - run[0]
+            return (place >= 0) & (place < run[1] * run[2]) & (place % run[2] == 0)
+
+        def moved(run: Column) -> Column:
+            to = run[0] + run[2] * F.pmod(F.floor((code - run[0]) / run[2]) + F.pmod(move, run[1]), run[1])
+            return F.decode(F.unhex(F.lpad(F.hex(to.cast("long")), 8, "0")), "UTF-32")
+
+        runs = F.filter(F.get(blocks, F.floor(code / _BLOCK).cast("int")), holds)
+        return F.coalesce(F.get(F.transform(runs, moved), F.lit(0)), c)
 
     def char(c: Column, i: Column) -> Column:
         code = F.ascii(c)
@@ -201,19 +351,19 @@ def _shift(key: str, tag: Column, text: Column) -> Column:
         for first, n in _RUNS:
             inside = (code >= first) & (code < first + n)
             new = F.when(inside, F.char(first + F.pmod(code - first + F.pmod(move, F.lit(n)), F.lit(n)))).otherwise(new)
-        return new
+        return F.when(code >= 256, other(c, code, move)).otherwise(new)
 
     return F.array_join(F.transform(F.split(text, ""), char), "")
 
 
-def _permute_chars(key: str, tag: str, text: Column) -> Column:
+def _permute_chars(key: str, tag: Column, text: Column) -> Column:
     """A Feistel network over characters: the halves of the text are shifted in turn, each by a
     keyed function of the other. Letters stay letters of their case, digits digits."""
     half = F.floor(F.length(text) / 2).cast("int")
 
     def step(pair: Column, i: Column) -> Column:
         a, b = pair["a"], pair["b"]
-        label = lambda other: F.concat_ws("|", F.lit(tag), i.cast("string"), other)
+        label = lambda other: F.concat_ws("|", tag, i.cast("string"), other)
         return F.struct(
             F.when(i % 2 == 1, _shift(key, label(b), a)).otherwise(a).alias("a"),
             F.when(i % 2 == 0, _shift(key, label(a), b)).otherwise(b).alias("b"),
@@ -226,7 +376,7 @@ def _permute_chars(key: str, tag: str, text: Column) -> Column:
 
 def _email(key: str, value: Column) -> Column:
     local, domain = F.regexp_extract(value, "^([^@]*)(@.*)$", 1), F.regexp_extract(value, "^([^@]*)(@.*)$", 2)
-    return F.concat(_permute_chars(key, "email", local), domain)
+    return F.concat(_permute_chars(key, F.lit("email"), local), domain)
 
 
 _REPLACE = dict(zip(KINDS, (_email, _iban, _date, _ip, _ssn, _phone, _card), strict=True))
