@@ -18,7 +18,6 @@ All of it is column expressions inside one map over the documents: no shuffle, n
 
 from __future__ import annotations
 
-import json
 import sys
 import unicodedata
 from collections import defaultdict
@@ -103,7 +102,8 @@ def other_runs() -> list[list[list[int]]]:
     return [blocks[block] for block in range(max(blocks) + 1)]
 
 
-_OTHER_RUNS = json.dumps(other_runs())
+# blocks apart by ; and runs by , as one text: it is split once, when a query is planned
+_OTHER_RUNS = ";".join(",".join(" ".join(map(str, run)) for run in block) for block in other_runs())
 
 
 def _prf(key: str, *parts: Column) -> Column:
@@ -149,15 +149,19 @@ def _digits(value: Column) -> Column:
 def _into_format(value: Column, digits: Column, kept: str = "^[0-9]$") -> Column:
     """``value`` with its digits (characters like ``kept``) replaced in turn by those of ``digits``."""
 
-    def step(state: Column, char: Column) -> Column:
-        is_digit = char.rlike(kept)
-        new = F.when(is_digit, F.substring(digits, state["at"], 1)).otherwise(char)
-        return F.struct(
-            (state["at"] + is_digit.cast("int")).alias("at"), F.concat(state["out"], new).alias("out")
-        )
+    def filled(new_digits: Column) -> Column:
+        def step(state: Column, char: Column) -> Column:
+            is_digit = char.rlike(kept)
+            new = F.when(is_digit, F.substring(new_digits, state["at"], 1)).otherwise(char)
+            return F.struct(
+                (state["at"] + is_digit.cast("int")).alias("at"), F.concat(state["out"], new).alias("out")
+            )
 
-    start = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
-    return F.aggregate(F.split(value, ""), start, step, lambda state: state["out"])
+        start = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
+        return F.aggregate(F.split(value, ""), start, step, lambda state: state["out"])
+
+    # bound to a variable, or each character would compute the digits again
+    return F.transform(F.array(digits), filled)[0]
 
 
 def _luhn_sum(digits: Column, doubled: int) -> Column:
@@ -330,9 +334,12 @@ def _ten_digits(key: str, digits: Column) -> Column:
 def _shift(key: str, tag: Column, text: Column) -> Column:
     """Each letter and digit moved within its run of characters, by a keyed function of its place
     and the tag. Other characters stay, as do the few letters without a neighbour of their category."""
-    blocks = F.from_json(F.lit(_OTHER_RUNS), "array<array<array<int>>>")
+    blocks = F.split(F.lit(_OTHER_RUNS), ";")
 
     def other(c: Column, code: Column, move: Column) -> Column:
+        def numbers(run: Column) -> Column:
+            return F.transform(F.split(run, " "), lambda n: n.cast("int"))
+
         def holds(run: Column) -> Column:
             place = code - run[0]
             return (place >= 0) & (place < run[1] * run[2]) & (place % run[2] == 0)
@@ -341,7 +348,8 @@ def _shift(key: str, tag: Column, text: Column) -> Column:
             to = run[0] + run[2] * F.pmod(F.floor((code - run[0]) / run[2]) + F.pmod(move, run[1]), run[1])
             return F.decode(F.unhex(F.lpad(F.hex(to.cast("long")), 8, "0")), "UTF-32")
 
-        runs = F.filter(F.get(blocks, F.floor(code / _BLOCK).cast("int")), holds)
+        block = F.split(F.get(blocks, F.floor(code / _BLOCK).cast("int")), ",")
+        runs = F.filter(F.transform(F.filter(block, lambda run: run != ""), numbers), holds)
         return F.coalesce(F.get(F.transform(runs, moved), F.lit(0)), c)
 
     def char(c: Column, i: Column) -> Column:
