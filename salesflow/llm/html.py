@@ -8,20 +8,25 @@ or id (menu, advert, cookie, comments, ...), unless they hold main content or mo
 elements are never judged by name, and in marked main content a name that parts of an article have too
 (related, social, notice, ...) counts only if most of the element's text is links. Where a page marks its main content (article, main,
 ``role=main``), the text is what lies inside; only boxes in it (div, section, list, table, ... with
-less than half of its text) that recur on most pages of the host are deleted there, never
-paragraphs, so pages that share passages and copies of a page keep their article: pages of equal text
-count once. A header inside an article is its heading, and stays.
+less than half of its text) that recur are deleted there, never paragraphs, so pages that share
+passages and copies of a page keep their article: pages of equal text count once. A header inside an
+article is its heading, and stays.
 
-Each page is one row all along: parsed to its blocks of text, each with the hashes of the subtrees it
-stands in and the hashes of all its subtrees, written once; the counts read the hashes only, and
-only pages whose main text has a subtree to judge take part in a join."""
+What recurs is told by a number of pages, not by a share of the host: a section's template counts the
+same on a small host and on a large one. Near copies of a page count as different pages.
+
+Each page is one row all along: parsed to its blocks of text, the subtrees that recurrence may delete
+with the blocks they hold, however deep, and the hashes of all its subtrees, written once; the counts
+read the hashes only, and only pages whose main text has a subtree to judge take part in a join."""
 
 from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -74,7 +79,6 @@ _P_ENDS = frozenset(
     "hr main menu nav ol p pre section table ul".split()
 )
 _BOXES = frozenset("div section ul ol dl table figure details fieldset center".split())
-_DEPTH = 100  # levels of subtrees around a block that recurrence may delete, from the outside
 _STOPS = frozenset(("table", "ul", "ol", "dl", "article", "section", "div", "body", "main", "td", "th", "select"))
 
 
@@ -236,45 +240,47 @@ class Subtrees:
         return node.tag in _BOXES and 2 * self.letters[id(node)] < self.letters[id(top)]
 
 
-def blocks_of(page: str | None) -> list[tuple[str, list[int]]]:
-    """Blocks of text in page order, each with the hashes of the subtrees around it that recurrence
-    may delete; on pages nested deeper than any real one, of the outer ones only."""
-    return read_page(page)[0]
+@dataclass(frozen=True)
+class Parsed:
+    """Blocks of text in page order; the subtrees that recurrence may delete, each as its hash and
+    the first block in it and the first one after it; the hashes of all subtrees of the whole page
+    that hold text; whether the page marks its main content."""
+
+    texts: list[str]
+    judged: list[tuple[int, int, int]]
+    counted: list[int]
+    marked: bool
 
 
-def read_page(page: str | None) -> tuple[list[tuple[str, list[int]]], list[int], bool]:
-    """``blocks_of`` a page, the hashes of all subtrees of the whole page that hold text, and
-    whether the page marks its main content."""
+def read_page(page: str | None) -> Parsed:
     root = parse(page or "")
     subtrees = Subtrees(root)
-    out: list[tuple[str, list[int]]] = []
+    texts: list[str] = []
+    judged: list[tuple[int, int, int]] = []
     words: list[str] = []
-    around: list[int] = []
 
     def flush() -> None:
         text = _SPACE.sub(" ", "".join(words)).strip()
         words.clear()
         if text:
-            out.append((text, list(around)))
+            texts.append(text)
 
     def walk(top: Element, in_main: bool) -> None:
-        opened: set[int] = set()
+        first: dict[int, int] = {}
         todo: list[tuple[bool, Element | str]] = [(True, top)]
         while todo:
             opens, node = todo.pop()
             if isinstance(node, str):
                 words.append(entities.unescape(node))
                 continue
-            inline = node.tag in _INLINE
-            if not inline or node.tag in _VOID:
+            if node.tag not in _INLINE or node.tag in _VOID:
                 flush()
             if not opens:
-                if id(node) in opened:
-                    around.pop()
+                if len(texts) > first.get(id(node), len(texts)):
+                    judged.append((subtrees.hashes[id(node)], first[id(node)], len(texts)))
             elif node.tag not in _VOID and not node.is_dropped(in_main) and not subtrees.is_other_part(node, in_main):
-                if len(around) < _DEPTH and subtrees.judged(node, top, in_main):
-                    around.append(subtrees.hashes[id(node)])
-                    opened.add(id(node))
+                if subtrees.judged(node, top, in_main):
+                    first[id(node)] = len(texts)
                 todo.append((False, node))
                 todo += [(True, c) for c in reversed(node.children)]
         flush()
@@ -282,7 +288,18 @@ def read_page(page: str | None) -> tuple[list[tuple[str, list[int]]], list[int],
     mains = _mains([root], subtrees)
     for top in mains or [root]:
         walk(top, bool(mains))
-    return out, subtrees.counted, bool(mains)
+    return Parsed(texts, judged, subtrees.counted, bool(mains))
+
+
+def without(texts: Iterable[str], judged: Iterable[tuple[int, int, int]], gone: set[int]) -> list[str]:
+    """The blocks that stand in no subtree whose hash is in ``gone``."""
+    texts = list(texts)
+    depth = np.zeros(len(texts) + 1, dtype=np.int64)
+    for digest, first, end in judged:
+        if digest in gone:
+            depth[first] += 1
+            depth[end] -= 1
+    return [t for t, d in zip(texts, np.cumsum(depth)[:-1], strict=True) if not d]
 
 
 def _mains(tops: list[Element | str], subtrees: Subtrees) -> list[Element]:
@@ -309,32 +326,51 @@ def _mains(tops: list[Element | str], subtrees: Subtrees) -> list[Element]:
 
 
 def _read(pages: Column) -> Column:
-    @F.pandas_udf("struct<texts:array<string>,around:array<array<bigint>>,counted:array<bigint>,marked:boolean>")
+    judged = "array<struct<hash:bigint,first:int,end:int>>"
+
+    @F.pandas_udf(f"struct<texts:array<string>,judged:{judged},counted:array<bigint>,marked:boolean>")
     def parsed(batch: pd.Series) -> pd.DataFrame:
-        rows, counted, marked = zip(*map(read_page, batch), strict=True) if len(batch) else ((), (), ())
-        texts = [[t for t, _ in row] for row in rows]
-        # hashes are written only where there are any: most marked main content has none
-        around = [[h for _, h in row] if any(h for _, h in row) else [] for row in rows]
-        return pd.DataFrame({"texts": texts, "around": around, "counted": counted, "marked": marked})
+        rows = [read_page(page) for page in batch]
+        spans = [[dict(zip(("hash", "first", "end"), s, strict=True)) for s in r.judged] for r in rows]
+        return pd.DataFrame(
+            {
+                "texts": [r.texts for r in rows],
+                "judged": spans,
+                "counted": [r.counted for r in rows],
+                "marked": [r.marked for r in rows],
+            }
+        )
 
     return parsed(pages.cast("string"))
 
 
+def _text_without(parsed: Column, gone: Column) -> Column:
+    """The blocks that are left, joined; ``gone``: hashes of the subtrees that go, or null."""
+
+    @F.pandas_udf("string")
+    def left(texts: pd.Series, judged: pd.Series, hashes: pd.Series) -> pd.Series:
+        out = []
+        for blocks, spans, some in zip(texts, judged, hashes, strict=True):
+            spans = [(s["hash"], s["first"], s["end"]) for s in spans]
+            out.append(" ".join(without(blocks, spans, set() if some is None else set(some))))
+        return pd.Series(out, dtype=object)
+
+    return left(parsed["texts"], parsed["judged"], gone)
+
+
 def extract_text(
     pages: DataFrame,
     *,
     url_col: str = "url",
     html_col: str = "html",
     min_pages: int = 5,
-    min_share: float = 0.2,
-    min_share_main: float = 0.5,
+    min_pages_main: int = 8,
 ) -> DataFrame:
     """``pages`` without the html, with ``text``, the blocks of main text joined by one space, and
     ``n_chars``, its code points.
 
-    A subtree is deleted if it stands on at least ``min_pages`` pages of its host, and on
-    ``min_share`` of them (a box in marked main content: ``min_share_main``); pages of equal text
-    count as one. Null and empty html give an empty text. A null url, or one without a host, belongs
+    A subtree is deleted if it stands on at least ``min_pages`` pages of its host (a box in marked
+    main content: ``min_pages_main``); pages of equal text count as one. Null and empty html give an empty text. A null url, or one without a host, belongs
     to the host "". Repeated rows are extracted one by one. Columns named like a new one are
     replaced, all others kept."""
     names = {}
@@ -348,33 +384,28 @@ def extract_text(
     ).drop(html_col)
     read = read.withColumns({page: F.monotonically_increasing_id(), version: F.xxhash64(F.col(parsed)["texts"])})
     read = stage(read, "parsed")
-    hashes = F.array_distinct(F.flatten(F.col(parsed)["around"]))
-    mixed = F.size(F.col(parsed)["around"]) > 0
+    mixed = F.size(F.col(parsed)["judged"]) > 0
     found = read.select(
         F.col(host).alias("host"), F.col(version).alias("version"), F.explode(F.col(parsed)["counted"]).alias("hash")
     )
     counted = found.distinct().groupBy("host", "hash").agg(F.count("*").alias("n"))
-    sizes = read.select(F.col(host).alias("of"), version).distinct()
-    sizes = stage(sizes.groupBy("of").agg(F.count("*").alias("pages")), "hosts", compact=True)
-    counted = stage(counted.filter(F.col("n") >= min_pages), "counted", compact=True)
-    share = F.col("n") / F.col("pages")
-    template = counted.join(sizes, F.col("host") == F.col("of")).withColumn("share", share)
-    template = template.filter(F.col("share") >= min(min_share, min_share_main))
-    template = stage(template.select(F.col("host").alias("t_host"), "hash", "share"), "templates", compact=True)
-    least = F.when(F.col(parsed)["marked"], min_share_main).otherwise(min_share)
+    counted = counted.filter(F.col("n") >= min(min_pages, min_pages_main))
+    template = stage(counted.select(F.col("host").alias("t_host"), "hash", "n"), "templates", compact=True)
+    least = F.when(F.col(parsed)["marked"], min_pages_main).otherwise(min_pages)
     placed = read.filter(mixed).select(
-        F.col(host).alias("host"), F.col(page).alias(of), least.alias("least"), F.explode(hashes).alias("h")
+        F.col(host).alias("host"),
+        F.col(page).alias(of),
+        least.alias("least"),
+        F.explode(F.array_distinct(F.col(parsed)["judged"]["hash"])).alias("h"),
     )
     deleted = (
         placed.join(template, (F.col("host") == F.col("t_host")) & (F.col("h") == F.col("hash")))
-        .filter(F.col("share") >= F.col("least"))
+        .filter(F.col("n") >= F.col("least"))
         .groupBy(of)
         .agg(F.collect_list("hash").alias(gone))  # at most the subtrees of one page
     )
-    blocks = F.arrays_zip(F.col(parsed)["texts"].alias("text"), F.col(parsed)["around"].alias("around"))
-    kept = F.filter(blocks, lambda b: ~F.coalesce(F.arrays_overlap(b["around"], F.col(gone)), F.lit(False)))
     whole = read.filter(~mixed).withColumn("text", F.array_join(F.col(parsed)["texts"], " "))
     cut = read.filter(mixed).join(stage(deleted, "deleted", compact=True), F.col(page) == F.col(of), "left")
-    cut = cut.withColumn("text", F.array_join(F.transform(kept, lambda b: b["text"]), " ")).drop(of, gone)
+    cut = cut.withColumn("text", _text_without(F.col(parsed), F.col(gone))).drop(of, gone)
     out = whole.unionByName(cut).drop(host, version, parsed, page)
     return out.withColumn("n_chars", F.length("text").cast("long"))

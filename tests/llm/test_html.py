@@ -2,11 +2,11 @@ import html as entities
 import re
 
 from salesflow.llm import html
-from salesflow.llm.html import blocks_of
+from salesflow.llm.html import read_page, without
 
 
 def text_of(page):
-    return " ".join(t for t, _ in blocks_of(page))
+    return " ".join(read_page(page).texts)
 
 
 def test_given_pages(spark, sf_dir):
@@ -38,8 +38,13 @@ def test_malformed_pages():
     assert text_of("<article><p title='a > b'>q</p><p data-x=\"1>2\">r</p></article> after") == "q r"
     assert text_of("<article>cut <p>text <im") == "cut text"
     assert text_of("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
-    nested = blocks_of("<div>a" * 20_000)
-    assert len(nested) == 20_000 and max(len(around) for _, around in nested) == 100
+    nested = read_page("<div>a" * 20_000)
+    assert len(nested.texts) == 20_000
+    # every level may be deleted: the innermost block, and all from the 5,000th on
+    judged = {first: digest for digest, first, _ in nested.judged}
+    assert len(judged) == 20_000
+    assert without(nested.texts, nested.judged, {judged[19_999]}) == ["a"] * 19_999
+    assert without(nested.texts, nested.judged, {judged[5_000]}) == ["a"] * 5_000
     assert len(text_of("<article>" + "<p>word</p>" * 50_000)) == 5 * 50_000 - 1
 
 
@@ -119,3 +124,17 @@ def test_article_parts_with_telling_names_stay():
     # names that no part of an article has
     assert of('<div class="ad">AD</div><section id="comments"><p>Nice one!</p></section><ul class="breadcrumb"><li>B</li></ul>') == ""
     assert of('<div class="cookie-notice">C</div>') == ""
+
+
+def test_a_section_template_goes_on_hosts_of_any_size(spark):
+    """A box on ten pages of a section, below more than a hundred levels, of hosts with 10 to 600 pages."""
+    deep = "<div>" * 150 + "Join the club" + "</div>" * 150
+    rows = []
+    for n in (10, 40, 600):
+        for i in range(n):
+            box = deep if i < 10 else ""
+            rows.append((n, f"http://h{n}.org/{i}", f"<body><p>own text {i}</p>{box}</body>"))
+            rows.append((n, f"http://m{n}.org/{i}", f"<main><p>own text {i} that is longer than the box</p>{box}</main>"))
+    got = html.extract_text(spark.createDataFrame(rows, "n int, url string, html string")).collect()
+    assert len(got) == 2 * 650 and not [r for r in got if "club" in r["text"]]
+    assert all(r["text"].startswith(f"own text {r['url'].split('/')[-1]}") for r in got)
