@@ -4,14 +4,17 @@ One classifier sees what a text says: naive Bayes over hashed tokens (words in t
 marks, immediate repetitions). The other sees only the metadata and layout of a document (language,
 source, declared length, lines, shares of capitals, marks and distinct words): a logistic
 regression. Each round, both views score all unlabelled documents, and either labels those it is sure
-of for the other to learn from. Then both are calibrated on labelled documents that neither was
-fitted on, and a logistic regression over the two calibrated log odds combines them.
+of for the other to learn from. The pseudo-labels of a class weigh ``trust`` times as much as its true
+labels, however many there are, so the classes keep their shares. After each round both are calibrated
+on labelled documents that neither was fitted on, and a logistic regression over the two calibrated
+log odds combines them; the round whose combination has the least log loss there is the model.
 
 Fitting reads a bounded sample of labelled documents, whole texts: ``max_labelled``, those with the
-smallest hashes of their ids; their features lie on the driver. The unlabelled side has no bound: the
-features of all other documents are written once, scored in maps, and reach the driver only as sums
-of a fixed size: token counts per class for naive Bayes, gradient and second derivatives for each
-Newton step of the logistic regression. Scoring is a map over all documents."""
+smallest hashes of their ids; their features lie on the driver. The unlabelled side has no bound: all
+documents outside that sample take part, their own labels unseen. Their features are written once, scored
+in maps and summed up by Spark; the driver gets only sums of a fixed size: token counts per class for
+naive Bayes, gradient and second derivatives for each Newton step of the logistic regression. Scoring
+is a map over all documents."""
 
 from __future__ import annotations
 
@@ -36,12 +39,13 @@ _REPEAT = "\x01repeat"
 
 @dataclass(frozen=True)
 class CoTraining:
-    """``confident``: least probability of a pseudo-label; ``groups``: hashed values of a metadata
-    column."""
+    """``confident``: least probability of a pseudo-label; ``trust``: weight of all pseudo-labels of a
+    class against its true ones; ``groups``: hashed values of a metadata column."""
 
     bits: int = 18
     rounds: int = 4
     confident: float = 0.97
+    trust: float = 1.0
     max_labelled: int = 8192
     groups: int = 16
     ridge: float = 1.0
@@ -120,11 +124,21 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 30) -> np.
     return w
 
 
-def newton_sums(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
+def newton_sums(x: np.ndarray, y: np.ndarray, w: np.ndarray, weight: np.ndarray | float = 1.0) -> np.ndarray:
     """Gradient and, below it, second derivatives of the logistic loss; the intercept is last."""
     x = np.column_stack([x, np.ones(len(x))])
     p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-    return np.vstack([x.T @ (p - y), (x * (p * (1 - p) + 1e-9)[:, None]).T @ x])
+    curve = weight * (p * (1 - p) + 1e-9)
+    return np.vstack([x.T @ (weight * (p - y)), (x * curve[:, None]).T @ x])
+
+
+def log_loss(p: np.ndarray, y: np.ndarray) -> float:
+    p = np.clip(p, 1e-12, 1 - 1e-12)
+    return float(-np.mean(np.where(y > 0, np.log(p), np.log(1 - p)))) if len(y) else 0.0
+
+
+def probability(odds: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
 def add_counts(counts: np.ndarray, rows: list, y: np.ndarray) -> None:
@@ -167,8 +181,8 @@ class LayoutView:
     def standard(self, rows: list) -> np.ndarray:
         return (np.array(rows, dtype=np.float64).reshape(-1, len(self.mean)) - self.mean) / self.scale
 
-    def sums(self, rows: list, y: np.ndarray) -> np.ndarray:
-        return newton_sums(self.standard(rows), y, self.weights)
+    def sums(self, rows: list, y: np.ndarray, class_weights: np.ndarray = np.ones(2)) -> np.ndarray:
+        return newton_sums(self.standard(rows), y, self.weights, class_weights[y.astype(np.int64)])
 
     def odds(self, rows: list) -> np.ndarray:
         return self.standard(rows) @ self.weights[:-1] + self.weights[-1]
@@ -178,7 +192,7 @@ def pseudo_labels(view: ContentView | LayoutView, line: np.ndarray, rows: list,
     """1 or 0 where the calibrated view is sure, -1 elsewhere."""
     if not len(rows):
         return np.zeros(0, dtype=np.int64)
-    p = 1 / (1 + np.exp(-np.clip(line[0] * view.odds(rows) + line[1], -30, 30)))
+    p = probability(line[0] * view.odds(rows) + line[1])
     return np.where(p >= confident, 1, np.where(1 - p >= confident, 0, -1))
 
 
@@ -199,11 +213,19 @@ class LocalPool:
         add_counts(counts, [self.rows[0][i] for i in np.flatnonzero(y >= 0)], y[y >= 0])
         return counts
 
-    def layout_sums(self, view: ContentView, line: np.ndarray) -> Callable[[LayoutView], np.ndarray]:
-        """``newton_sums`` of the rows that the content view labels, at a layout view's weights."""
+    def layout_sums(self, view: ContentView, line: np.ndarray, given: np.ndarray) -> Callable[[LayoutView], np.ndarray]:
+        """``newton_sums`` of the rows that the content view labels, at a layout view's weights; the
+        rows of a class weigh as much as ``given`` says."""
         y = pseudo_labels(view, line, self.rows[0], self.options.confident)
         rows = [self.rows[1][i] for i in np.flatnonzero(y >= 0)]
-        return lambda at: at.sums(rows, y[y >= 0])
+        y = y[y >= 0]
+        weights = class_weights(given, np.bincount(y, minlength=2))
+        return lambda at: at.sums(rows, y, weights)
+
+
+def class_weights(given: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """What a unit of either class counts, so that those found weigh as much as given; no more than 1."""
+    return np.minimum(given / np.maximum(found, 1e-9), 1.0)
 
 
 def moments(rows: list) -> np.ndarray:
@@ -232,74 +254,60 @@ def unpacked_layouts(batch: pd.DataFrame) -> list:
 
 
 class SparkPool:
-    """All unlabelled rows, as the table of all rows' features and bitmaps of the free ones. Every
-    method is a map in which tasks sum up their rows; what reaches the driver does not grow with them."""
+    """All unlabelled rows, as the table of their features. Every method is a map in which tasks sum up
+    their rows, and an aggregation of these sums; what reaches the driver does not grow."""
 
-    def __init__(
-        self, table: DataFrame, bitmaps: dict[int, bytes], options: CoTraining, write: Callable[[DataFrame, str], DataFrame]
-    ) -> None:
+    def __init__(self, table: DataFrame, options: CoTraining, write: Callable[[DataFrame, str], DataFrame]) -> None:
         self.table, self.options, self.write, self.written = table, options, write, 0
-        self.bitmaps = shipped(table.sparkSession, bitmaps)
 
     @staticmethod
-    def _summed(table: DataFrame, sums_of: Callable[[pd.DataFrame], np.ndarray]) -> np.ndarray | None:
+    def _summed(table: DataFrame, sums_of: Callable[[pd.DataFrame], np.ndarray], shape: tuple[int, int]) -> np.ndarray:
         def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total = None
+            total = np.zeros(shape)
             for batch in batches:
                 if len(batch):
-                    total = sums_of(batch) + (0 if total is None else total)
-            if total is not None:
-                yield pd.DataFrame({"sums": [pickle.dumps(total)]})
+                    total = total + sums_of(batch)
+            cells = np.flatnonzero(total)
+            yield pd.DataFrame({"cell": cells.astype(np.int32), "n": total.ravel()[cells]})
 
-        parts = table.mapInPandas(summed, "sums binary").collect()  # one small matrix a task
-        # in an order that does not depend on the tasks' times
-        parts = sorted(bytes(r["sums"]) for r in parts)
-        return sum(map(pickle.loads, parts)) if parts else None
+        # exact decimals, so that the sum does not depend on the tasks' order
+        exact = F.sum(F.col("n").cast("decimal(28,9)")).cast("double")
+        found = table.mapInPandas(summed, "cell int, n double").groupBy("cell").agg(exact.alias("n")).toArrow()
+        out = np.zeros(shape[0] * shape[1])  # at most a row for each cell
+        out[found["cell"].to_numpy()] = found["n"].to_numpy()
+        return out.reshape(shape)
 
     def moments(self) -> np.ndarray:
-        bitmaps = self.bitmaps
-
-        def free(batch: pd.DataFrame) -> np.ndarray | float:
-            batch = batch[is_free(bitmaps(), batch["row"].to_numpy())]
-            return moments(unpacked_layouts(batch)) if len(batch) else 0.0
-
-        found = self._summed(self.table.select("layout", "row"), free)
-        return np.zeros((3, 1)) if found is None or np.ndim(found) == 0 else found
+        width = 9 + 2 * self.options.groups
+        return self._summed(self.table.select("layout"), lambda batch: moments(unpacked_layouts(batch)), (3, width))
 
     def token_counts(self, view: LayoutView, line: np.ndarray) -> np.ndarray:
-        held, bitmaps, options = shipped(self.table.sparkSession, (view, line)), self.bitmaps, self.options
+        held, options = shipped(self.table.sparkSession, (view, line)), self.options
 
-        def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def counted(batch: pd.DataFrame) -> np.ndarray:
             counts = np.zeros((2, 1 << options.bits))
-            for batch in batches:
-                batch = batch[is_free(bitmaps(), batch["row"].to_numpy())]
-                y = pseudo_labels(*held(), unpacked_layouts(batch), options.confident)
-                add_counts(counts, unpacked_tokens(batch[y >= 0]), y[y >= 0])
-            flat = counts.ravel()
-            slots = np.flatnonzero(flat)
-            yield pd.DataFrame({"slot": slots.astype(np.int32), "n": flat[slots]})
-
-        found = self.table.mapInPandas(counted, "slot int, n double").groupBy("slot").agg(F.sum("n").alias("n"))
-        found = found.toArrow()  # at most a row for each feature and class
-        counts = np.zeros(2 << options.bits)
-        counts[found["slot"].to_numpy()] = found["n"].to_numpy()
-        return counts.reshape(2, -1)
-
-    def layout_sums(self, view: ContentView, line: np.ndarray) -> Callable[[LayoutView], np.ndarray]:
-        held, bitmaps, options = shipped(self.table.sparkSession, (view, line)), self.bitmaps, self.options
+            y = pseudo_labels(*held(), unpacked_layouts(batch), options.confident)
+            add_counts(counts, unpacked_tokens(batch[y >= 0]), y[y >= 0])
+            return counts
+
+        return self._summed(self.table, counted, (2, 1 << options.bits))
+
+    def layout_sums(self, view: ContentView, line: np.ndarray, given: np.ndarray) -> Callable[[LayoutView], np.ndarray]:
+        held, options = shipped(self.table.sparkSession, (view, line)), self.options
 
         def labelled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                batch = batch[is_free(bitmaps(), batch["row"].to_numpy())]
                 y = pseudo_labels(*held(), unpacked_tokens(batch), options.confident)
                 yield pd.DataFrame({"layout": batch["layout"][y >= 0], "y": y[y >= 0]})
 
         self.written += 1
         rows = self.write(self.table.mapInPandas(labelled, "layout binary, y int"), f"given-{self.written}")
+        found = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
+        weights = class_weights(given, np.array([found.get(0, 0), found.get(1, 0)]))
 
         def sums(at: LayoutView) -> np.ndarray:
-            found = self._summed(rows, lambda batch: at.sums(unpacked_layouts(batch), batch["y"].to_numpy(np.float64)))
-            return np.zeros((len(at.weights) + 1, len(at.weights))) if found is None else found
+            of = lambda batch: at.sums(unpacked_layouts(batch), batch["y"].to_numpy(), weights)
+            return self._summed(rows, of, (len(at.weights) + 1, len(at.weights)))
 
         return sums
 
@@ -314,7 +322,7 @@ class QualityModel:
         """Columns: content view, layout view, both."""
         odds = [c[0] * v.odds(r) + c[1] for v, c, r in zip(self.views, self.calibration, rows, strict=True)]
         both = np.column_stack(odds) @ self.combine[:-1] + self.combine[-1]
-        return 1 / (1 + np.exp(-np.clip(np.column_stack([*odds, both]), -30, 30)))
+        return probability(np.column_stack([*odds, both]))
 
 
 def features(rows: pd.DataFrame, options: CoTraining) -> tuple[list, list]:
@@ -353,12 +361,22 @@ def co_train(rows: tuple[list, list], label: np.ndarray, options: CoTraining, po
         views = [content_view, LayoutView.fitted(mean, scale, sums, options.ridge)]
         return [(m, logistic(m.odds(picked(v, test))[:, None], truth, 1e-3)) for v, m in enumerate(views)]
 
+    def model_of(models: list) -> tuple[float, QualityModel]:
+        odds = np.column_stack([line[0] * m.odds(picked(v, test)) + line[1] for v, (m, line) in enumerate(models)])
+        combine = logistic(odds, truth, 1e-2)
+        loss = log_loss(probability(odds @ combine[:-1] + combine[-1]), truth)
+        return loss, QualityModel([m for m, _ in models], [line for _, line in models], combine, options)
+
+    given = options.trust * np.bincount(label[base], minlength=2)
     models = fitted(0.0, None)
+    rounds = [model_of(models)]
     for _ in range(options.rounds):
-        models = fitted(pool.token_counts(*models[1]), pool.layout_sums(*models[0]))
-    odds = [line[0] * m.odds(picked(v, test)) + line[1] for v, (m, line) in enumerate(models)]
-    combine = logistic(np.column_stack(odds), truth, 1e-2)
-    return QualityModel([m for m, _ in models], [line for _, line in models], combine, options)
+        more = pool.token_counts(*models[1])
+        more *= class_weights(options.trust * counts.sum(axis=1), more.sum(axis=1))[:, None]
+        models = fitted(more, pool.layout_sums(*models[0], given))
+        rounds.append(model_of(models))
+    # of equal losses the later round's, as its views have seen more
+    return min(reversed(rounds), key=lambda found: found[0])[1]
 
 
 def fit(
@@ -370,7 +388,7 @@ def fit(
     id_col: str = "doc_id",
     features_col: str | None = None,
 ) -> bytes | float:
-    """The fitted model, serialised. All documents with an id that ``labels`` lacks are the pool. Null labels, null ids and ids without a document are not used; of
+    """The fitted model, serialised. All documents with an id outside the labelled sample are the pool. Null labels, null ids and ids without a document are not used; of
     an id with several labels the highest counts, of one with several texts the one with the smallest
     features. With less than ten labels of either class there is no model but the share of label 1
     (0.5 without any). ``features_col``: where ``docs`` has what ``encode`` found, staged."""
@@ -380,8 +398,8 @@ def fit(
         .agg(F.max(label_col).cast("int").alias("label"))
     )
     order = [F.xxhash64("id"), F.col("id")]
-    known = marked.orderBy(*order).limit(options.max_labelled)
     with staging(docs.sparkSession, "co_training") as write:
+        known = write(marked.orderBy(*order).limit(options.max_labelled), "known", compact=True)
         if features_col:
             read = docs.select(F.col(id_col).alias("id"), F.col(features_col).alias("f"))
         else:
@@ -394,7 +412,8 @@ def fit(
         if min((marks == 0).sum(), (marks == 1).sum()) < 10:
             shares = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
             return shares.get(1, 0) / sum(shares.values()) if shares else 0.5
-        pool = SparkPool(read.select("f.*"), _free_rows(read, labels, id_col), options, write)
+        others = read.filter("id is not null").join(F.broadcast(known.select("id")), "id", "left_anti")
+        pool = SparkPool(others.select("f.*"), options, write)
         model = co_train((unpacked_tokens(base), unpacked_layouts(base)), marks, options, pool)
     return cloudpickle.dumps(model)
 
@@ -402,34 +421,8 @@ def fit(
 def encode(
     docs: DataFrame, options: CoTraining = CoTraining(), *, features_col: str = "features"
 ) -> DataFrame:
-    """``docs`` with both views' features of each row and its number, to be staged before use."""
-    out = docs.withColumn(features_col, _encoder(options)(*_inputs(docs)))
-    row = F.monotonically_increasing_id().alias("row")
-    return out.withColumn(features_col, F.struct(f"{features_col}.*", row))
-
-
-def _free_rows(read: DataFrame, labels: DataFrame, id_col: str) -> dict[int, bytes]:
-    """Bitmaps of the numbers of rows whose id ``labels`` lacks, by their bucket: a bit for each row,
-    so that only ids are joined and the features stay where they are."""
-    given = labels.select(F.col(id_col).alias("id")).filter("id is not null").distinct()
-    rows = read.filter("id is not null").select("id", (F.col("f")["row"] + 1).alias("at"))
-    bits = (
-        rows.join(given, "id", "left_anti")
-        .groupBy(F.bitmap_bucket_number("at").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
-    )
-    return {r["bucket"]: bytes(r["bits"]) for r in bits.collect()}
-
-
-def is_free(bitmaps: dict[int, bytes], row: np.ndarray) -> np.ndarray:
-    bucket, bit = 1 + row // 32_768, row % 32_768
-    free = np.zeros(len(row), dtype=bool)
-    for b in np.unique(bucket):
-        if b in bitmaps:
-            here = bucket == b
-            bytes_of = np.frombuffer(bitmaps[b], dtype=np.uint8)
-            free[here] = bytes_of[bit[here] >> 3] >> (bit[here] & 7) & 1
-    return free
+    """``docs`` with both views' features of each row, to be staged before use."""
+    return docs.withColumn(features_col, _encoder(options)(*_inputs(docs)))
 
 
 def _encoder(options: CoTraining) -> Callable[..., Column]:

@@ -122,12 +122,43 @@ def test_features_found_before_give_the_same(spark):
     some = spark.createDataFrame([x for x in labels if x[0] % 3], "doc_id bigint, quality int")
     options = CoTraining(bits=10)
     ready = stage(quality.encode(docs, options).select("doc_id", "features"), "features")
-    bitmaps = quality._free_rows(ready.selectExpr("doc_id as id", "features as f"), some, "doc_id")
-    numbers = {r["row"]: r["doc_id"] for r in ready.select("doc_id", "features.row").collect()}
-    free = quality.is_free(bitmaps, np.array(list(numbers)))
-    known = {r["doc_id"] for r in some.collect()}
-    assert free.tolist() == [i is not None and i not in known for i in numbers.values()] and free.sum() == 100
     got = quality.score_documents(ready, quality.fit(some, ready, options, features_col="features"), features_col="features")
     want = quality.score_documents(docs, quality.fit(some, docs, options))
     scores = [sorted((r["doc_id"] or -1, r["score"]) for r in t.collect()) for t in (got, want)]
     assert len(scores[0]) == 302 and np.allclose(*scores, atol=1e-4)
+
+
+def test_the_pool_is_all_documents_outside_the_sample(spark):
+    """Each sum of the Spark pool is that of its rows in memory, whatever the partitions."""
+    rows, labels = made_up(300)
+    options = CoTraining(bits=10, confident=0.6)
+    found = quality.features(pd.DataFrame(rows, columns=["doc_id", "text", "lang", "source", "n_chars"]), options)
+    y = np.array([k for _, k in labels])
+    counts = np.zeros((2, 1 << options.bits))
+    quality.add_counts(counts, found[0], y)
+    content, line = quality.ContentView(counts, options), np.array([20.0, 0.0])
+    layouts = quality.LayoutView(np.zeros(41), np.ones(41), np.linspace(-0.1, 0.1, 42))
+    local, given = quality.LocalPool(found, options), np.array([7.0, 900.0])
+    for parts in (1, 5):
+        table = quality.encode(spark.createDataFrame(rows, SCHEMA), options).select("features.*").repartition(parts)
+        pool = quality.SparkPool(table, options, lambda df, name: stage(df, name))
+        assert np.allclose(pool.moments(), local.moments(), rtol=1e-5)
+        assert np.allclose(pool.token_counts(layouts, line), local.token_counts(layouts, line), rtol=1e-5, atol=1e-4)
+        sums = [p.layout_sums(content, line, given)(layouts) for p in (pool, local)]
+        assert np.allclose(*sums, rtol=1e-4, atol=1e-4) and np.abs(sums[0]).max() > 1
+
+
+def test_the_kept_round_is_no_worse_than_none():
+    rows, labels = made_up(900, seed=8)
+    options = CoTraining(bits=12, confident=0.9)
+    found = quality.features(pd.DataFrame(rows, columns=["doc_id", "text", "lang", "source", "n_chars"]), options)
+    truth = np.array([k for _, k in labels])
+    label = np.where(np.arange(900) % 9 == 0, truth, -1)
+    known = np.flatnonzero(label >= 0)
+    test = np.concatenate([known[label[known] == k][::5] for k in (0, 1)])
+    losses = []
+    for rounds in (0, 1, 3):
+        model = quality.co_train(found, label, CoTraining(bits=12, confident=0.9, rounds=rounds))
+        p = model.probabilities(tuple([f[i] for i in test] for f in found))[:, 2]
+        losses.append(quality.log_loss(p, truth[test]))
+    assert losses[0] >= losses[1] >= losses[2]
