@@ -6,8 +6,8 @@ source, declared length, lines, shares of capitals, marks and distinct words): a
 regression. Each round, both views score all unlabelled documents, and either labels those it is sure
 of for the other to learn from. The pseudo-labels of a class weigh ``trust`` times as much as its true
 labels, however many there are, so the classes keep their shares. After each round both are calibrated
-on labelled documents that neither was fitted on, and a logistic regression over the two calibrated
-log odds combines them; the round whose combination has the least log loss there is the model.
+on labelled documents that neither was fitted on; of each view the round with the least log loss there
+is kept, and a logistic regression over the two calibrated log odds combines them.
 
 Fitting reads a bounded sample of labelled documents, whole texts: ``max_labelled``, those with the
 smallest hashes of their ids; their features lie on the driver. The unlabelled side has no bound: all
@@ -45,7 +45,7 @@ class CoTraining:
     bits: int = 18
     rounds: int = 4
     confident: float = 0.97
-    trust: float = 1.0
+    trust: float = 10.0
     max_labelled: int = 8192
     groups: int = 16
     ridge: float = 1.0
@@ -361,22 +361,20 @@ def co_train(rows: tuple[list, list], label: np.ndarray, options: CoTraining, po
         views = [content_view, LayoutView.fitted(mean, scale, sums, options.ridge)]
         return [(m, logistic(m.odds(picked(v, test))[:, None], truth, 1e-3)) for v, m in enumerate(views)]
 
-    def model_of(models: list) -> tuple[float, QualityModel]:
-        odds = np.column_stack([line[0] * m.odds(picked(v, test)) + line[1] for v, (m, line) in enumerate(models)])
-        combine = logistic(odds, truth, 1e-2)
-        loss = log_loss(probability(odds @ combine[:-1] + combine[-1]), truth)
-        return loss, QualityModel([m for m, _ in models], [line for _, line in models], combine, options)
+    def loss(v: int, view: ContentView | LayoutView, line: np.ndarray) -> float:
+        return log_loss(probability(line[0] * view.odds(picked(v, test)) + line[1]), truth)
 
     given = options.trust * np.bincount(label[base], minlength=2)
     models = fitted(0.0, None)
-    rounds = [model_of(models)]
+    rounds = [models]
     for _ in range(options.rounds):
         more = pool.token_counts(*models[1])
         more *= class_weights(options.trust * counts.sum(axis=1), more.sum(axis=1))[:, None]
         models = fitted(more, pool.layout_sums(*models[0], given))
-        rounds.append(model_of(models))
-    # of equal losses the later round's, as its views have seen more
-    return min(reversed(rounds), key=lambda found: found[0])[1]
+        rounds.append(models)
+    best = [min((found[v] for found in rounds), key=lambda m: loss(v, *m)) for v in (0, 1)]  # noqa: B023
+    odds = np.column_stack([line[0] * m.odds(picked(v, test)) + line[1] for v, (m, line) in enumerate(best)])
+    return QualityModel([m for m, _ in best], [line for _, line in best], logistic(odds, truth, 1e-2), options)
 
 
 def fit(
