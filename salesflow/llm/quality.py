@@ -166,8 +166,9 @@ class LayoutView:
         self.mean, self.scale, self.weights = mean, scale, weights
 
     @classmethod
-    def fitted(cls, mean: np.ndarray, scale: np.ndarray, sums: Callable, ridge: float, steps: int = 30) -> LayoutView:
-        view = cls(mean, scale, np.zeros(len(mean) + 1))
+    def fitted(cls, start: LayoutView, sums: Callable, ridge: float, steps: int = 30) -> LayoutView:
+        """The minimum, which is the same from any start."""
+        view, mean, scale = start, start.mean, start.scale
         shrink = np.full(len(mean) + 1, ridge)
         shrink[-1] = 1e-6
         for _ in range(steps):
@@ -355,22 +356,24 @@ def co_train(rows: tuple[list, list], label: np.ndarray, options: CoTraining, po
     scale = np.sqrt(np.maximum(squares / n - mean**2, 0)) + 1e-6
     own = picked(1, base)
 
-    def fitted(more_counts: np.ndarray | float, more_sums: Callable[[LayoutView], np.ndarray] | None) -> list:
+    def fitted(
+        start: LayoutView, more_counts: np.ndarray | float, more_sums: Callable[[LayoutView], np.ndarray] | None
+    ) -> list:
         content_view = ContentView(counts + more_counts, options)
         sums = lambda at: at.sums(own, y) + (more_sums(at) if more_sums else 0)
-        views = [content_view, LayoutView.fitted(mean, scale, sums, options.ridge)]
+        views = [content_view, LayoutView.fitted(start, sums, options.ridge)]
         return [(m, logistic(m.odds(picked(v, test))[:, None], truth, 1e-3)) for v, m in enumerate(views)]
 
     def loss(v: int, view: ContentView | LayoutView, line: np.ndarray) -> float:
         return log_loss(probability(line[0] * view.odds(picked(v, test)) + line[1]), truth)
 
     given = options.trust * np.bincount(label[base], minlength=2)
-    models = fitted(0.0, None)
+    models = fitted(LayoutView(mean, scale, np.zeros(len(mean) + 1)), 0.0, None)
     rounds = [models]
     for _ in range(options.rounds):
         more = pool.token_counts(*models[1])
         more *= class_weights(options.trust * counts.sum(axis=1), more.sum(axis=1))[:, None]
-        models = fitted(more, pool.layout_sums(*models[0], given))
+        models = fitted(models[1][0], more, pool.layout_sums(*models[0], given))
         rounds.append(models)
     best = [min((found[v] for found in rounds), key=lambda m: loss(v, *m)) for v in (0, 1)]  # noqa: B023
     odds = np.column_stack([line[0] * m.odds(picked(v, test)) + line[1] for v, (m, line) in enumerate(best)])
