@@ -40,7 +40,15 @@ from salesflow.plans import (
     sales,
     sales_from_lines,
 )
-from salesflow.sinks import replace_table, save_bucketed, save_table, write_csv, write_lines, write_partitioned_csv
+from salesflow.sinks import (
+    replace_table,
+    save_bucketed,
+    save_table,
+    write_csv,
+    write_json_arrays,
+    write_lines,
+    write_partitioned_csv,
+)
 from salesflow.sources import (
     clean_refunds,
     read_customers,
@@ -605,17 +613,10 @@ def src_json_nested(spark, sf_dir):
 
 @query
 def src_json_arrays(spark, sf_dir):
-    """Files that hold one array over many lines, at most 10,000 orders each: such a file is read
-    by one task, so its size is what has to be bounded."""
+    """Compressed files that hold one array over many lines, at most 10,000 orders each: such a file is
+    read by one task, so its size is what has to be bounded."""
     path = scratch_path(spark, "orders")
-    orders = stage(star.nested_orders(spark, sf_dir), "orders")
-    block = F.floor(F.monotonically_increasing_id() / 10_000)
-    arrays = (
-        orders.select(block.alias("block"), F.struct("*").alias("order"))
-        .groupBy("block")
-        .agg(F.to_json(F.collect_list("order"), {"pretty": "true"}).alias("value"))
-    )
-    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    write_json_arrays(star.nested_orders(spark, sf_dir), path, compression="gzip")
     return explode_items(read_orders(spark, f"{path}/part-*"))
 
 

@@ -1,6 +1,6 @@
-"""Writers for CSV, date-partitioned CSV, tables and text lines."""
+"""Writers for CSV, date-partitioned CSV, JSON arrays, tables and text lines."""
 
-from .files import save_table, write_csv, write_lines, write_partitioned_csv
+from .files import save_table, write_csv, write_json_arrays, write_lines, write_partitioned_csv
 from .tables import replace_table, save_bucketed, table_location
 
 __all__ = [
@@ -9,6 +9,7 @@ __all__ = [
     "save_table",
     "table_location",
     "write_csv",
+    "write_json_arrays",
     "write_lines",
     "write_partitioned_csv",
 ]

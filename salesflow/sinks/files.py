@@ -3,6 +3,8 @@ nothing is renamed or gathered on the driver."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -129,3 +131,26 @@ def save_table(
 def write_lines(df: DataFrame, path: str, column: str = "value") -> None:
     """A folder of text part files, one line per row."""
     df.select(column).write.mode("overwrite").text(path)
+
+
+def write_json_arrays(df: DataFrame, path: str, *, max_rows_per_file: int = 10_000, **options: str) -> None:
+    """A folder of text part files, each of which holds one JSON array over many lines, of at most
+    max_rows_per_file rows; such a file is read by one task. Each task joins the rows it has, so nothing
+    is shuffled. Further options (compression, ...) go to Spark's text writer."""
+
+    def joined(batches: Iterator) -> Iterator:
+        import pandas as pd
+
+        held: list[str] = []
+        for batch in batches:
+            for value in batch["value"]:
+                held.append(value)
+                if len(held) == max_rows_per_file:
+                    yield pd.DataFrame({"value": ["[ " + ", ".join(held) + " ]"]})
+                    held = []
+        if held:
+            yield pd.DataFrame({"value": ["[ " + ", ".join(held) + " ]"]})
+
+    rows = df.select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("value"))
+    arrays = rows.mapInPandas(joined, "value string")
+    arrays.write.mode("overwrite").option("maxRecordsPerFile", 1).options(**options).text(path)

@@ -1,4 +1,5 @@
 import csv
+import gzip
 import json
 import os
 import re
@@ -10,11 +11,12 @@ from pyspark.sql import functions as F
 from test_sales import CUSTOMERS, ORDERS, REFUNDS, order
 
 from salesflow import staging as staging_module
+from salesflow.checks import queries
 from salesflow.functions import is_non_numeric, safe_double
 from salesflow.operators import explode_items, number_sorted
 from salesflow.plans import SalesOptions, job, run_sales_job
 from salesflow.sinks import files as sink_files
-from salesflow.sinks import save_table, write_csv, write_lines, write_partitioned_csv
+from salesflow.sinks import save_table, write_csv, write_json_arrays, write_lines, write_partitioned_csv
 from salesflow.sources import list_files, read_customers, read_lines, read_orders, read_refunds
 from salesflow.staging import cleanup, scratch_path, stage, staging
 
@@ -182,6 +184,50 @@ def read_text(path):
 SORTED = ["2025-03-01;Lyon;3;", "2025-03-01;Paris;2;123456789.13", "2025-03-02;Albi;4;0.00", "2025-03-02;Lyon;1;1.50"]
 
 
+def test_json_arrays_are_joined_without_a_shuffle(spark, tmp_path):
+    """Whole arrays of a bounded number of rows, compressed; no job of the write has a second stage."""
+    orders = spark.range(0, 25, 1, 3).selectExpr("cast(id as string) order_id", "if(id = 7, null, 'pa\u00efd, ]') payment_status")
+    path, group = str(tmp_path / "out"), "json arrays"
+    spark.sparkContext.setJobGroup(group, group)
+    write_json_arrays(orders, path, max_rows_per_file=5, compression="gzip")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    assert [len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup(group)] == [1]
+    texts = []
+    for file in glob(f"{path}/part-*"):
+        with gzip.open(file, "rt", encoding="utf-8") as f:
+            texts.append(f.read())
+    arrays = [json.loads(t) for t in texts]
+    assert all(0 < len(a) <= 5 for a in arrays) and min(t.count("\n") for t in texts) > 2
+    assert sorted(int(r["order_id"]) for a in arrays for r in a) == list(range(25))
+    back = read_orders(spark, f"{path}/part-*")
+    assert rows(back, "order_id", "payment_status") == rows(orders)
+
+
+def test_array_files_of_the_query(spark, tmp_path, monkeypatch):
+    """Its orders are shuffled for their own join only, and its files are compressed."""
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, label: str(tmp_path / label))
+    star_tables(spark, tmp_path / "in", 300)
+    found = queries.src_json_arrays(spark, str(tmp_path / "in"))
+    assert found.count() == 600 and found.select("order_id").distinct().count() == 300
+    files = glob(f"{tmp_path}/orders/part-*")
+    assert files and all(f.endswith(".gz") for f in files)
+
+
+def star_tables(spark, folder, n):
+    """Small tables of the star schema: ``n`` paid orders of a line each."""
+    day = "timestamp_ntz'2025-03-01 10:00:00'"
+    tables = {
+        "nation": "1 n_nationkey, 'CHILE' n_name, 1 n_regionkey",
+        "customer": "id + 1 c_custkey, 'c' c_name, 1 c_nationkey, 0D c_acctbal, 'x' c_mktsegment",
+        "orders": f"id o_orderkey, id % 7 + 1 o_custkey, 'F' o_orderstatus, 1D o_totalprice, {day} o_orderdate, '1' o_orderpriority",
+        "lineitem": "id l_orderkey, id + 1 l_partkey, 2L l_suppkey, 1 l_linenumber, 2D l_quantity, 3.5D l_extendedprice, "
+        f"if(id % 3 = 0, 0D, 0.1D) l_discount, 0.05D l_tax, 'R' l_returnflag, 'F' l_linestatus, {day} l_shipdate",
+    }
+    for name, columns in tables.items():
+        spark.sql(f"select {columns} from range({1 if name == 'nation' else n})").write.parquet(f"{folder}/{name}.parquet")
+
+
 def test_csv_is_sorted_over_its_parts(spark, tmp_path):
     path = f"{tmp_path}/out"
     for _ in range(2):  # the second run replaces the first
