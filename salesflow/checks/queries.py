@@ -604,11 +604,17 @@ def src_csv_refunds(spark, sf_dir):
     return read_refunds(spark, path)
 
 
+def _write_order_lines(spark, sf_dir, path):
+    """Nested orders, one per line, in compressed files. Such a file is read by one task, so a task
+    writes several."""
+    star.nested_orders(spark, sf_dir).write.option("maxRecordsPerFile", 100_000).json(path, compression="gzip")
+
+
 @query
 def src_json_nested(spark, sf_dir):
     path = scratch_path(spark, "orders")
-    star.nested_orders(spark, sf_dir).write.json(path)
-    return explode_items(read_orders(spark, f"{path}/*.json", multiline=False))
+    _write_order_lines(spark, sf_dir, path)
+    return explode_items(read_orders(spark, f"{path}/*.json.gz", multiline=False))
 
 
 @query
@@ -832,12 +838,12 @@ def _run_job(spark, sf_dir, **options) -> tuple[str, DataFrame]:
     source, out = scratch_path(spark, "input"), scratch_path(spark, "output")
     write_csv(star.raw_customers(spark, sf_dir), f"{source}/customers", sep=",")
     write_csv(star.raw_shipment_refunds(spark, sf_dir), f"{source}/refunds", sep=",")
-    star.nested_orders(spark, sf_dir).write.json(f"{source}/orders")
+    _write_order_lines(spark, sf_dir, f"{source}/orders")
     report = run_sales_job(
         spark,
         f"{source}/customers",
         f"{source}/refunds",
-        f"{source}/orders/*.json",
+        f"{source}/orders/*.json.gz",
         out,
         multiline=False,
         **options,

@@ -214,6 +214,16 @@ def test_array_files_of_the_query(spark, tmp_path, monkeypatch):
     assert files and all(f.endswith(".gz") for f in files)
 
 
+def test_order_files_of_the_job_queries(spark, tmp_path, monkeypatch):
+    """Orders as compressed lines, all of which the job reads."""
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, label: str(tmp_path / label))
+    star_tables(spark, tmp_path / "in", 300)
+    report = queries.run_report(spark, str(tmp_path / "in")).first()
+    assert report["status"] == "OK" and report["orders_rows_raw"] == 300 and report["rejected_negative_price_rows"] == 100
+    files = glob(f"{tmp_path}/input/orders/part-*")
+    assert files and all(f.endswith(".json.gz") for f in files)
+
+
 def star_tables(spark, folder, n):
     """Small tables of the star schema: ``n`` paid orders of a line each."""
     day = "timestamp_ntz'2025-03-01 10:00:00'"
