@@ -7,7 +7,8 @@ regression. Each round, both views score all unlabelled documents, and either la
 of for the other to learn from. The pseudo-labels of a class weigh ``trust`` times as much as its true
 labels, however many there are, so the classes keep their shares. After each round both are calibrated
 on labelled documents that neither was fitted on; of each view the round with the least log loss there
-is kept, and a logistic regression over the two calibrated log odds combines them.
+is kept, of equal ones the last, and teaches the other view in the next round. A logistic regression over
+the two calibrated log odds combines them.
 
 Fitting reads a bounded sample of labelled documents, whole texts: ``max_labelled``, those with the
 smallest hashes of their ids; their features lie on the driver. The unlabelled side has no bound: all
@@ -22,6 +23,7 @@ import pickle
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -35,6 +37,7 @@ from salesflow.staging import staging
 
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 _REPEAT = "\x01repeat"
+_EQUAL_LOSS = 1e-4  # losses so close tell no difference; the later round has learned from more documents
 
 
 @dataclass(frozen=True)
@@ -52,43 +55,73 @@ class CoTraining:
     smoothing: float = 1.0
 
 
-class _Tokens:
-    """Feature numbers of tokens, kept for tokens seen before."""
+class _Tokens(dict):
+    """Tokens seen before and their numbers, which count up; for each number the token's hash and length,
+    and whether it is a word, and in capitals."""
 
     limit = 1 << 18
 
     def __init__(self) -> None:
-        self.known: dict[tuple[str, int], int] = {}
-
-    def number(self, token: str, bits: int) -> int:
-        if len(self.known) > self.limit:
-            self.known.clear()
-        at = self.known.get((token, bits))
-        if at is None:
-            digest = xxhash.xxh64_intdigest(token.encode("utf-8", "surrogatepass"))
-            at = self.known[token, bits] = digest >> (64 - bits)
+        super().__init__()
+        self.hashes, self.lengths = np.zeros(1024, np.uint64), np.zeros(1024, np.int64)
+        self.words, self.capitals = np.zeros(1024, bool), np.zeros(1024, bool)
+        self.new: list[str] = []
+
+    def __missing__(self, token: str) -> int:
+        at = self[token] = len(self)
+        self.new.append(token)
         return at
 
+    def of(self, tokens: list[str]) -> np.ndarray:
+        """The tokens' numbers, which hold until the next call."""
+        if len(self) > self.limit:
+            self.clear()
+        ids = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
+        if self.new:
+            self._describe(len(self) - len(self.new))
+            self.new = []
+        return ids
+
+    def _describe(self, start: int) -> None:
+        new, end = self.new, len(self)
+        if end > len(self.hashes):
+            for name in ("hashes", "lengths", "words", "capitals"):
+                held = getattr(self, name)
+                setattr(self, name, np.concatenate([held, np.zeros(2 * end - len(held), held.dtype)]))
+        digest = xxhash.xxh64_intdigest
+        self.hashes[start:end] = np.array([digest(t.encode("utf-8", "surrogatepass")) for t in new], np.uint64)
+        self.lengths[start:end] = [len(t) for t in new]
+        self.words[start:end] = [t[0].isalnum() for t in new]
+        self.capitals[start:end] = [t.isupper() for t in new]
+
 
 _tokens = _Tokens()
 
 
 def content(tokens: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct feature numbers of a text and 1 + log of how often each occurs."""
-    number = _tokens.number
-    numbers = [number(t, bits) for t in tokens]
-    repeats = sum(map(str.__eq__, tokens, tokens[1:]))
-    numbers += [number(_REPEAT, bits)] * repeats
-    at, n = np.unique(np.array(numbers, dtype=np.int64), return_counts=True)
+    return _content(_tokens.of(tokens), bits)
+
+
+def _content(ids: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    numbers = (_tokens.hashes[ids] >> np.uint64(64 - bits)).astype(np.int64)
+    repeats = np.count_nonzero(ids[1:] == ids[:-1])
+    repeat = xxhash.xxh64_intdigest(_REPEAT) >> (64 - bits)
+    at, n = np.unique(np.concatenate([numbers, np.full(repeats, repeat, np.int64)]), return_counts=True)
     return at, 1 + np.log(n)
 
 
 def layout(text: str, tokens: list[str], lang: str | None, source: str | None, n_chars: float | None, groups: int):
     """Numbers about a document's form and metadata, without its words."""
-    words = [t for t in tokens if t[0].isalnum()]
+    return _layout(text, _tokens.of(tokens), lang, source, n_chars, groups)
+
+
+def _layout(text: str, ids: np.ndarray, lang: str | None, source: str | None, n_chars: float | None, groups: int):
+    words = ids[_tokens.words[ids]]
     n = max(len(words), 1)
-    letters = max(sum(map(len, words)), 1)
-    marks = sum(map(len, tokens)) - sum(map(len, words))
+    in_words = int(_tokens.lengths[words].sum())
+    letters = max(in_words, 1)
+    marks = int(_tokens.lengths[ids].sum()) - in_words
     lines = text.count("\n") + 1
     numbers = [
         np.log1p(len(text)),
@@ -96,9 +129,9 @@ def layout(text: str, tokens: list[str], lang: str | None, source: str | None, n
         np.log1p(len(text) / lines),
         min(letters / n, 40.0),
         np.log1p(100 * marks / letters),
-        np.log1p(100 * sum(map(str.isupper, words)) / n),
-        len(set(words)) / n,
-        np.log1p(100 * sum(map(str.__eq__, words, words[1:])) / n),
+        np.log1p(100 * np.count_nonzero(_tokens.capitals[words]) / n),
+        len(np.unique(words)) / n,
+        np.log1p(100 * np.count_nonzero(words[1:] == words[:-1]) / n),
         float(n_chars is not None and abs(n_chars - len(text)) > 0.01 * len(text) + 1),
     ]
     kinds = np.zeros(2 * groups)
@@ -250,8 +283,12 @@ def unpacked_tokens(batch: pd.DataFrame) -> list:
     ]
 
 
-def unpacked_layouts(batch: pd.DataFrame) -> list:
-    return [unpacked(x, "<f4") for x in batch["layout"]]
+def unpacked_layouts(batch: pd.DataFrame) -> np.ndarray | list:
+    """A row for each layout; all are of one length."""
+    if not len(batch):
+        return []
+    data = np.frombuffer(b"".join(batch["layout"]), dtype=np.uint8).reshape(len(batch), 4, -1)
+    return np.ascontiguousarray(data.transpose(0, 2, 1)).view("<f4")[:, :, 0]
 
 
 class SparkPool:
@@ -331,11 +368,11 @@ def features(rows: pd.DataFrame, options: CoTraining) -> tuple[list, list]:
     first, second = [], []
     for text, lang, source, n_chars in zip(rows.text, rows.lang, rows.source, rows.n_chars, strict=True):
         text = text if isinstance(text, str) else ""
-        tokens = _TOKEN.findall(text)
-        first.append(content(tokens, options.bits))
+        ids = _tokens.of(_TOKEN.findall(text))
+        first.append(_content(ids, options.bits))
         n_chars = None if n_chars is None or pd.isna(n_chars) else float(n_chars)
         lang, source = (v if isinstance(v, str) else None for v in (lang, source))
-        second.append(layout(text, tokens, lang, source, n_chars, options.groups))
+        second.append(_layout(text, ids, lang, source, n_chars, options.groups))
     return first, second
 
 
@@ -369,13 +406,21 @@ def co_train(rows: tuple[list, list], label: np.ndarray, options: CoTraining, po
 
     given = options.trust * np.bincount(label[base], minlength=2)
     models = fitted(LayoutView(mean, scale, np.zeros(len(mean) + 1)), 0.0, None)
-    rounds = [models]
+    best, least = list(models), [loss(v, *m) for v, m in enumerate(models)]
+    more, asked = 0.0, None
     for _ in range(options.rounds):
-        more = pool.token_counts(*models[1])
-        more *= class_weights(options.trust * counts.sum(axis=1), more.sum(axis=1))[:, None]
-        models = fitted(models[1][0], more, pool.layout_sums(*models[0], given))
-        rounds.append(models)
-    best = [min((found[v] for found in rounds), key=lambda m: loss(v, *m)) for v in (0, 1)]  # noqa: B023
+        teachers = list(best)
+        if teachers[1] is not asked:  # the same view labels the same rows again
+            asked = teachers[1]
+            more = pool.token_counts(*asked)
+            more *= class_weights(options.trust * counts.sum(axis=1), more.sum(axis=1))[:, None]
+        models = fitted(models[1][0], more, pool.layout_sums(*teachers[0], given))
+        for v, m in enumerate(models):
+            found = loss(v, *m)
+            if found <= least[v] + _EQUAL_LOSS:
+                best[v], least[v] = m, min(found, least[v])
+        if best[0] is teachers[0] and best[1] is teachers[1]:
+            break  # all further rounds would be like this one
     odds = np.column_stack([line[0] * m.odds(picked(v, test)) + line[1] for v, (m, line) in enumerate(best)])
     return QualityModel([m for m, _ in best], [line for _, line in best], logistic(odds, truth, 1e-2), options)
 
@@ -414,7 +459,7 @@ def fit(
             shares = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
             return shares.get(1, 0) / sum(shares.values()) if shares else 0.5
         others = read.filter("id is not null").join(F.broadcast(known.select("id")), "id", "left_anti")
-        pool = SparkPool(others.select("f.*"), options, write)
+        pool = SparkPool(others.select("f.*"), options, partial(write, compact=True))
         model = co_train((unpacked_tokens(base), unpacked_layouts(base)), marks, options, pool)
     return cloudpickle.dumps(model)
 

@@ -162,3 +162,55 @@ def test_the_round_kept_of_a_view_is_no_worse_than_none():
         p = model.probabilities(tuple([f[i] for i in test] for f in found))
         losses.append([quality.log_loss(p[:, v], truth[test]) for v in (0, 1)])
     assert all(a >= b >= c for a, b, c in zip(*losses, strict=True))
+
+
+def test_a_view_that_a_round_made_worse_does_not_teach():
+    """The unlabelled rows spoil the layout view, so the first one goes on teaching: its labels are asked
+    for once, and what the content view learned from them is kept."""
+    rows, labels = made_up(400)
+    rng = random.Random(3)
+    for i in range(400, 8400):
+        good = i % 2
+        text = " ".join(rng.choice(["river", "stone", "walk"] if good else ["BUY", "now", "click"]) for _ in range(12))
+        rows.append((i, text, "en", "good.org" if good else "spam.biz", len(text)))
+    rows += [(30_000 + i, ("Fjord " if i % 2 else "XYZZY!!! ") + rows[400 + i][1], *rows[400 + i][2:]) for i in range(1, 61)]
+    options = CoTraining(bits=12, rounds=3, confident=0.9)
+    found = quality.features(pd.DataFrame(rows, columns=["doc_id", "text", "lang", "source", "n_chars"]), options)
+    asked = []
+
+    class Pool(quality.LocalPool):
+        def token_counts(self, view, line):
+            asked.append(view)
+            return super().token_counts(view, line)
+
+    known = tuple(f[:400] for f in found)
+    pool = Pool(tuple(f[400:] for f in found), options)
+    model = quality.co_train(known, np.array([k for _, k in labels]), options, pool)
+    weight = lambda word: model.views[0].weights[quality.content([word], 12)[0][0]]
+    assert len(asked) == len(set(map(id, asked))) < 3 and weight("Fjord") > weight("XYZZY") + 1
+
+
+def test_features_against_plain_code():
+    """Token by token, also after more tokens than are kept."""
+    rng = random.Random(4)
+    texts = ["", "a", "A A a !!! !!! 1 \u00c4\u00c4", "x" * 70_000] + [
+        " ".join(rng.choice(["UP", "up", "!?", "\u00e9t\u00e9", str(rng.random())]) for _ in range(rng.randint(1, 400))) for _ in range(60)
+    ]
+    held = quality._tokens
+    quality._tokens = quality._Tokens()
+    quality._tokens.limit = 500
+    try:
+        for text in texts:
+            tokens = quality._TOKEN.findall(text)
+            hashed = [quality.xxhash.xxh64_intdigest(t.encode()) >> 54 for t in tokens]
+            hashed += [quality.xxhash.xxh64_intdigest(quality._REPEAT) >> 54] * sum(a == b for a, b in zip(tokens, tokens[1:], strict=False))
+            at, weight = quality.content(tokens, 10)
+            assert {int(a): w for a, w in zip(at, weight, strict=True)} == {h: 1 + np.log(hashed.count(h)) for h in set(hashed)}
+            got = quality.layout(text, tokens, None, "s", float(len(text)), 4)
+            words = [t for t in tokens if t[0].isalnum()]
+            n, letters = max(len(words), 1), max(sum(map(len, words)), 1)
+            assert got[4] == np.log1p(100 * (sum(map(len, tokens)) - sum(map(len, words))) / letters)
+            assert got[5] == np.log1p(100 * sum(w.isupper() for w in words) / n) and got[6] == len(set(words)) / n
+            assert got[7] == np.log1p(100 * sum(a == b for a, b in zip(words, words[1:], strict=False)) / n)
+    finally:
+        quality._tokens = held
